@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import bm25, dense, encode, fusion, rerank
+from ..functions import answers as ans
+from ..functions import law as lawf
+from ..functions import text
+from ..operators import bm25, dense, encode, fusion, grading, law, qa, rerank
 from ..operators.topk import round_out
 from . import tables as T
 
@@ -101,6 +104,166 @@ def hybrid_rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.select("query_id", "doc_id", round_out("score"), "rank")
 
 
+# ---------------------------------------------------------------- text & law
+
+def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = T.table(spark, sf_dir, "documents")
+    toks = text.tokenize(F.col("text"))
+    return d.select("doc_id", F.size(toks).cast("bigint").alias("n_tokens"),
+                    F.array_join(toks, " ").alias("tokens"))
+
+
+def digits_to_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = T.table(spark, sf_dir, "part")
+    s = F.concat(F.lit("제"), F.col("p_size").cast("string"), F.lit("조 "), F.col("p_name"))
+    return p.select(F.col("p_partkey").alias("id"), lawf.digits_to_int(s).alias("article"),
+                    lawf.digits_to_int(F.col("p_type")).alias("none_found"))
+
+
+def _extract(spark, sf_dir, mode):
+    q = T.law_questions(spark, sf_dir)
+    return law.extract_laws(q, mode)
+
+
+def extract_law_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extract(spark, sf_dir, "loose")
+
+
+def extract_law_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extract(spark, sf_dir, "strict")
+
+
+def law_corpus_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = law.normalize_law_corpus(T.law_corpus(spark, sf_dir))
+    return c.select("doc_id", "law_name", "law_name_norm", "law_no_str", "law_no_int")
+
+
+def law_match_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = law.law_match(T.law_questions(spark, sf_dir), T.law_corpus(spark, sf_dir), mode="strict")
+    return m.select("query_id", "doc_id")
+
+
+def law_match_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = law.law_match(T.law_questions(spark, sf_dir), T.law_corpus(spark, sf_dir), mode="strict",
+                      normalized=True)
+    return m.select("query_id", "doc_id")
+
+
+def law_match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = law.law_match(T.law_questions(spark, sf_dir), T.law_corpus(spark, sf_dir), mode="strict")
+    s = law.law_match_summary(m, order="doc_id", n=5)
+    return s.select("query_id", "n_matches",
+                    F.array_join(F.transform("first_docs", lambda x: x.cast("string")), ",").alias("first_docs"))
+
+
+def _law_run(spark, sf_dir, k=20):
+    corpus = T.law_corpus(spark, sf_dir)
+    idx = bm25.build_bm25_index(corpus, "doc_id", "text", "title")
+    qs = T.law_bench_queries(spark, sf_dir)
+    run = bm25.bm25_topk(idx, qs, k=k)
+    return law.prioritize_law(run, qs, corpus, mode="strict", qtext="text")
+
+
+def prioritize_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _law_run(spark, sf_dir).select("query_id", "doc_id", round_out("score"), "priority", "rank")
+
+
+def context_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = qa.ordered_texts(_law_run(spark, sf_dir, 5), T.law_corpus(spark, sf_dir))
+    return texts.select("query_id", F.size("texts").cast("bigint").alias("n_docs"),
+                        F.array_join("texts", "\n").alias("context"))
+
+
+# ---------------------------------------------------------------- QA
+
+def is_multiple_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = T.qa_questions(spark, sf_dir)
+    return q.select("ID", ans.option_count(F.col("question")).cast("bigint").alias("n_options"),
+                    ans.is_multiple_choice(F.col("question")).alias("is_mc"))
+
+
+def split_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = T.qa_questions(spark, sf_dir)
+    return q.select("ID", ans.question_stem(F.col("question")).alias("stem"),
+                    F.array_join(ans.question_options(F.col("question")), "\n").alias("options"))
+
+
+def extract_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = T.qa_questions(spark, sf_dir)
+    return q.select("ID", ans.extract_answer(F.col("generated"), F.col("question")).alias("answer"))
+
+
+def parse_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = T.verdicts(spark, sf_dir)
+    def j(c):
+        return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return v.select("id", j(ans.parse_verdict(F.col("verdict"), "tokens")).alias("by_tokens"),
+                    j(ans.parse_verdict(F.col("verdict"), "chars")).alias("by_chars"),
+                    j(ans.parse_verdict(F.col("verdict"), "chars", 2)).alias("by_chars_2"))
+
+
+def parse_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, sub = T.key_and_submission(spark, sf_dir)
+    p = ans.parse_answer(F.col("Answer"))
+    return sub.select("ID", "ord", p["kind"].alias("kind"), F.array_join(p["vals"], ",").alias("vals"))
+
+
+def _qa_contexts(spark, sf_dir, k=3):
+    qs = T.qa_questions(spark, sf_dir).select(F.col("ID").alias("query_id"), F.col("question").alias("text"))
+    run = bm25.bm25_topk(_doc_index(spark, sf_dir), qs, k=k)
+    return qa.ordered_texts(run, T.doc_corpus(spark, sf_dir))
+
+
+def prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.prompt_table(T.qa_questions(spark, sf_dir), _qa_contexts(spark, sf_dir))
+
+
+def selection_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ctx = _qa_contexts(spark, sf_dir)
+    q = T.qa_questions(spark, sf_dir).join(ctx.withColumnRenamed("query_id", "ID"), "ID")
+    return q.select("ID", qa.selection_prompt(F.col("question"), F.col("texts")).alias("prompt"))
+
+
+def answer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = T.qa_questions(spark, sf_dir)
+    responses = q.filter(F.col("generated") != "").select("ID", "generated")
+    return qa.answer_table(q, responses, skip_free_text=True)
+
+
+def submission_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = T.qa_questions(spark, sf_dir)
+    template = q.select("ID", F.lit(0).alias("Answer"))
+    answers = qa.answer_table(q, q.filter(F.col("generated") != "").select("ID", "generated"),
+                              skip_free_text=False).filter(F.col("Answer") != "미응답")
+    return qa.submission_table(template, answers)
+
+
+def gen_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = qa.gen_throughput(T.gen_log(spark, sf_dir), group="event_type")
+    return g.select("event_type", "n", "n_measured", round_out("avg_tokps"), round_out("min_tokps"),
+                    round_out("max_tokps"), "tokens")
+
+
+# ---------------------------------------------------------------- grading
+
+def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, _ = T.key_and_submission(spark, sf_dir)
+    return grading.dedupe_first(key, "ID", "ord")
+
+
+def grade_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, sub = T.key_and_submission(spark, sf_dir)
+    g = grading.grade_answers(key, sub)
+    return g.select("ID", "answer_key", "answer_sub", "kind_key", "kind_sub",
+                    F.array_join("vals_key", ",").alias("vals_key"),
+                    F.array_join("vals_sub", ",").alias("vals_sub"), "correct")
+
+
+def grade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, sub = T.key_and_submission(spark, sf_dir)
+    return grading.grade_summary(grading.grade_answers(key, sub))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items()
             if callable(fn) and getattr(fn, "__module__", None) == __name__

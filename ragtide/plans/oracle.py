@@ -230,6 +230,295 @@ def q_hybrid_rerank() -> str:
                  rerank_ctes("fused", "b_queries", "b_corpus", 5)) + \
         "\nSELECT query_id, doc_id, round(score, 6) AS score, rank FROM rr_run"
 
+
+# ---------------------------------------------------------------- text & law
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+LAW_NAME_LOOSE = r"([가-힣A-Za-z0-9·\-\s]+법)"
+ARTICLE_LOOSE = r"제?\s*(\d+)\s*조"
+LAW_NAME_STRICT = r"([가-힣A-Za-z]+법)"
+ARTICLE_STRICT = r"제(\d+)조"
+
+
+def law_name(q: str, pat: str) -> str:
+    return f"nullif({strip(f'regexp_extract({strip(q)}, {lit(pat)}, 1)')}, '')"
+
+
+def law_no(q: str, pat: str) -> str:
+    return f"TRY_CAST(nullif(regexp_extract({strip(q)}, {lit(pat)}, 1), '') AS BIGINT)"
+
+
+def digits(s: str) -> str:
+    return f"TRY_CAST(nullif(regexp_extract(CAST({s} AS VARCHAR), '([0-9]+)', 1), '') AS BIGINT)"
+
+
+def q_tokenize() -> str:
+    return f"""SELECT doc_id, len(t)::BIGINT AS n_tokens, array_to_string(t, ' ') AS tokens
+FROM (SELECT doc_id, {tok("text")} AS t FROM documents)"""
+
+
+def q_digits_to_int() -> str:
+    return f"""SELECT p_partkey AS id, {digits("'제' || CAST(p_size AS VARCHAR) || '조 ' || p_name")} AS article,
+  {digits("p_type")} AS none_found FROM part"""
+
+
+def q_extract_law_loose() -> str:
+    return f"""SELECT query_id, {law_name("question", LAW_NAME_LOOSE)} AS law_name,
+  {law_no("question", ARTICLE_LOOSE)} AS law_no FROM ({LAW_QUESTIONS})"""
+
+
+def q_extract_law_strict() -> str:
+    return f"""SELECT query_id, {law_name("question", LAW_NAME_STRICT)} AS law_name,
+  {law_no("question", ARTICLE_STRICT)} AS law_no FROM ({LAW_QUESTIONS})"""
+
+
+def q_law_corpus_normalize() -> str:
+    return f"""SELECT doc_id, law_name, regexp_replace(coalesce(law_name, ''), '\\s+', '', 'g') AS law_name_norm,
+  law_no AS law_no_str, {digits("law_no")} AS law_no_int FROM ({LAW_CORPUS})"""
+
+
+def law_match_sql(normalized: bool) -> str:
+    if normalized:
+        qn = "regexp_replace(qname, '\\s+', '', 'g')"
+        dn = "regexp_replace(coalesce(c.law_name, ''), '\\s+', '', 'g')"
+        dno = digits("c.law_no")
+    else:
+        qn, dn, dno = "qname", "coalesce(c.law_name, '')", f"TRY_CAST({strip('c.law_no')} AS BIGINT)"
+    return f"""lq AS (SELECT query_id, {law_name("question", LAW_NAME_STRICT)} AS qname,
+     {law_no("question", ARTICLE_STRICT)} AS qno FROM ({LAW_QUESTIONS})),
+lq2 AS (SELECT query_id, {qn} AS qn, qno FROM lq WHERE qname IS NOT NULL),
+m AS (SELECT q.query_id, c.doc_id FROM lq2 q JOIN ({LAW_CORPUS}) c
+   ON contains({dn}, q.qn) AND (q.qno IS NULL OR {dno} = q.qno) WHERE q.qn <> '')"""
+
+
+def q_law_match_contains() -> str:
+    return with_(law_match_sql(False)) + "\nSELECT query_id, doc_id FROM m"
+
+
+def q_law_match_normalized() -> str:
+    return with_(law_match_sql(True)) + "\nSELECT query_id, doc_id FROM m"
+
+
+def q_law_match_summary() -> str:
+    return with_(law_match_sql(False)) + """
+SELECT query_id, count(*) AS n_matches,
+  array_to_string(list(CAST(doc_id AS VARCHAR) ORDER BY doc_id)[1:5], ',') AS first_docs
+FROM m GROUP BY query_id"""
+
+
+def prio_ctes(k: int) -> str:
+    return bm25_ctes(LAW_CORPUS, LAW_BENCH_QUERIES, k, "b") + f""",
+ext AS (SELECT query_id, {law_name("text", LAW_NAME_STRICT)} AS qname, {law_no("text", ARTICLE_STRICT)} AS qno FROM b_queries),
+meta AS (SELECT doc_id, {strip("coalesce(law_name, '')")} AS dn, TRY_CAST({strip("law_no")} AS BIGINT) AS dno FROM b_corpus),
+pr AS (SELECT r.query_id, r.doc_id, r.score, r.rank AS r0,
+   (CASE WHEN e.qname IS NOT NULL AND m.dn = e.qname AND e.qno IS NOT NULL AND m.dno = e.qno THEN 0
+        WHEN e.qname IS NOT NULL AND m.dn = e.qname THEN 1 ELSE 2 END)::BIGINT AS priority
+   FROM b_run r JOIN meta m ON m.doc_id = r.doc_id LEFT JOIN ext e ON e.query_id = r.query_id),
+prr AS (SELECT query_id, doc_id, score, priority,
+   row_number() OVER (PARTITION BY query_id ORDER BY priority, r0) AS rank FROM pr)"""
+
+
+def q_prioritize_law() -> str:
+    return with_(prio_ctes(20)) + "\nSELECT query_id, doc_id, round(score, 6) AS score, priority, rank FROM prr"
+
+
+def q_context_docs() -> str:
+    return with_(prio_ctes(5)) + """
+SELECT p.query_id, count(*)::BIGINT AS n_docs, string_agg(c.text, chr(10) ORDER BY p.rank) AS context
+FROM prr p JOIN b_corpus c ON c.doc_id = p.doc_id GROUP BY p.query_id"""
+
+
+# ---------------------------------------------------------------- QA
+
+OPTION_LINE = r"^\s*[1-9][0-9]?\s"
+
+
+def lines(q: str) -> str:
+    return f"string_split({strip(f'coalesce({q}, {lit(chr(39) * 0)})')}, chr(10))"
+
+
+def n_options(q: str) -> str:
+    return f"len(list_filter({lines(q)}, lambda l: regexp_matches(l, {lit(OPTION_LINE)})))"
+
+
+def is_mc(q: str) -> str:
+    return f"({n_options(q)} >= 2)"
+
+
+def stem(q: str) -> str:
+    return (f"array_to_string(list_transform(list_filter({lines(q)}, lambda l: NOT regexp_matches(l, {lit(OPTION_LINE)})), "
+            f"lambda l: {strip('l')}), ' ')")
+
+
+def options(q: str) -> str:
+    return (f"array_to_string(list_transform(list_filter({lines(q)}, lambda l: regexp_matches(l, {lit(OPTION_LINE)})), "
+            f"lambda l: {strip('l')}), chr(10))")
+
+
+def answer_text(g: str) -> str:
+    return strip(f"string_split(coalesce({g}, ''), '답변:')[-1]")
+
+
+def extract(g: str, q: str, skip_free: bool = False) -> str:
+    t = answer_text(g)
+    num = f"regexp_extract({t}, {lit(r'^\D*([1-9][0-9]?)')}, 1)"
+    core = (f"CASE WHEN {t} = '' THEN '미응답' WHEN {is_mc(q)} THEN "
+            f"(CASE WHEN {num} = '' THEN '0' ELSE {num} END) ELSE {t} END")
+    if skip_free:
+        return f"CASE WHEN NOT {is_mc(q)} THEN '0' ELSE {core} END"
+    return core
+
+
+def q_is_multiple_choice() -> str:
+    return f'SELECT "ID", {n_options("question")}::BIGINT AS n_options, {is_mc("question")} AS is_mc FROM ({QA_QUESTIONS})'
+
+
+def q_split_choices() -> str:
+    return f'SELECT "ID", {stem("question")} AS stem, {options("question")} AS options FROM ({QA_QUESTIONS})'
+
+
+def q_extract_answer() -> str:
+    return f'SELECT "ID", {extract("generated", "question")} AS answer FROM ({QA_QUESTIONS})'
+
+
+VERDICTS = """SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN 'T F T' WHEN 1 THEN 'TFT'
+  WHEN 2 THEN ' t f ' ELSE '' END AS verdict FROM part"""
+
+
+def verdict_idx(parts: str, n: int | None = None) -> str:
+    cond = "y >= 0" if n is None else f"y >= 0 AND y < {n}"
+    return (f"array_to_string(list_filter(list_transform({parts}, lambda x, i: CASE WHEN x = 'T' THEN i - 1 ELSE -1 END), "
+            f"lambda y: {cond}), ',')")
+
+
+def q_parse_verdict() -> str:
+    t = f"upper({strip('verdict')})"
+    toks = f"string_split_regex({t}, '\\s+')"
+    chars = f"string_split(regexp_replace({t}, '\\s+', '', 'g'), '')"
+    return (f"SELECT id, {verdict_idx(toks)} AS by_tokens, {verdict_idx(chars)} AS by_chars, "
+            f"{verdict_idx(chars, 2)} AS by_chars_2 FROM ({VERDICTS})")
+
+
+KEY_ROWS = """SELECT o_orderkey, unnest(CASE WHEN o_orderkey % 10 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM orders"""
+KEY = f"""SELECT 'ID_' || CAST(o_orderkey AS VARCHAR) AS "ID",
+  CASE WHEN copy = 1 THEN '4' ELSE CAST(o_orderkey % 5 + 1 AS VARCHAR) END AS "Answer",
+  (o_orderkey * 2 + copy)::BIGINT AS ord FROM ({KEY_ROWS})"""
+SUB = f"""SELECT 'ID_' || CAST(o_orderkey AS VARCHAR) AS "ID",
+  CASE WHEN copy = 1 THEN '2' ELSE (CASE o_orderkey % 9 WHEN 0 THEN CAST(o_orderkey % 5 + 1 AS VARCHAR)
+    WHEN 1 THEN CAST((o_orderkey + 1) % 5 + 1 AS VARCHAR) WHEN 2 THEN '1,3' WHEN 3 THEN ' 3 , 1 '
+    WHEN 4 THEN '3,3' WHEN 5 THEN '3.0' WHEN 6 THEN '정답은 3번입니다' WHEN 7 THEN '' END) END AS "Answer",
+  (o_orderkey * 2 + copy)::BIGINT AS ord FROM ({KEY_ROWS}) WHERE o_orderkey % 9 <> 8"""
+
+
+def parsed(a: str, prefix: str) -> str:
+    s = strip(a)
+    parts = f"list_transform(string_split({s}, ','), lambda p: {strip('p')})"
+    numeric = (f"coalesce({s} IS NOT NULL AND {s} <> '' AND "
+               f"list_bool_and(list_transform({parts}, lambda p: regexp_matches(p, '^[0-9]+$'))), false)")
+    vals = f"list_sort(list_distinct(list_transform({parts}, lambda p: TRY_CAST(p AS BIGINT))))"
+    kind = f"CASE WHEN NOT {numeric} THEN 'str' WHEN len({vals}) = 1 THEN 'single' ELSE 'multi' END"
+    return (f"{kind} AS kind{prefix}, CASE WHEN NOT {numeric} THEN NULL ELSE array_to_string({vals}, ',') END "
+            f"AS vals{prefix}")
+
+
+def q_parse_answer() -> str:
+    return f'SELECT "ID", ord, {parsed(chr(34) + "Answer" + chr(34), "")} FROM ({SUB})'
+
+
+def first_rows(src: str) -> str:
+    return f"""SELECT "ID", "Answer", ord FROM (SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY ord) AS rn
+  FROM ({src})) WHERE rn = 1"""
+
+
+def q_dedupe_first() -> str:
+    return first_rows(KEY)
+
+
+GRADED = f"""graded AS (SELECT "ID", answer_key, answer_sub, kind_key, kind_sub, vals_key, vals_sub,
+  coalesce(kind_key <> 'str' AND kind_sub <> 'str' AND vals_key = vals_sub, false) AS correct FROM
+  (SELECT k."ID", k."Answer" AS answer_key, s."Answer" AS answer_sub, {parsed('k."Answer"', "_key")},
+          {parsed('s."Answer"', "_sub")}
+   FROM ({first_rows(KEY)}) k LEFT JOIN ({first_rows(SUB)}) s ON k."ID" = s."ID"))"""
+
+
+def q_grade_answers() -> str:
+    return with_(GRADED) + "\nSELECT * FROM graded"
+
+
+def q_grade_summary() -> str:
+    return with_(GRADED) + """
+SELECT count(DISTINCT "ID")::BIGINT AS total, count_if(correct)::BIGINT AS correct,
+  count_if(kind_sub = 'str')::BIGINT AS str_count FROM graded"""
+
+
+QA_AS_QUERIES = f'SELECT "ID" AS query_id, question AS text FROM ({QA_QUESTIONS})'
+
+
+def qa_ctx_ctes() -> str:
+    return bm25_ctes(DOC_CORPUS, QA_AS_QUERIES, 3, "b") + """,
+ctx AS (SELECT r.query_id, string_agg(c.text, chr(10) ORDER BY r.rank) AS rag, count(*) AS n,
+   list(c.text ORDER BY r.rank) AS texts FROM b_run r JOIN b_corpus c ON c.doc_id = r.doc_id GROUP BY r.query_id)"""
+
+
+MC_HEAD = ("당신은 금융보안 전문가입니다.\n"
+           "아래 질문에 대해 적절한 **정답 선택지 번호만 출력**하세요.\n\n")
+FREE_HEAD = ("당신은 금융보안 전문가입니다.\n"
+             "아래 주관식 질문에 대해 정확하고 간략한 설명을 작성하세요.\n"
+             "콜론, 번호, 불릿으로 시작하는 것은 금지이며, 반드시 줄글으로 작성하세요.\n\n")
+
+
+def q_prompt_table() -> str:
+    rag = "(coalesce(x.rag, '') || chr(10))"
+    mc = (f"{lit(MC_HEAD)} || '질문: ' || {stem('q.question')} || chr(10) || '참고 문서: ' || {rag} || "
+          f"'선택지:' || chr(10) || {options('q.question')} || chr(10) || chr(10) || '답변:'")
+    free = (f"{lit(FREE_HEAD)} || '질문: ' || coalesce(q.question, '') || chr(10) || chr(10) || "
+            f"'참고 문서: ' || {rag} || '답변:'")
+    return with_(qa_ctx_ctes()) + f"""
+SELECT q."ID", {is_mc('q.question')} AS is_mc, CASE WHEN {is_mc('q.question')} THEN {mc} ELSE {free} END AS prompt
+FROM ({QA_QUESTIONS}) q LEFT JOIN ctx x ON x.query_id = q."ID\""""
+
+
+SELECT_PARTS = ("당신은 금융 분야의 전문가입니다. 아래에 주어진 질의(Query)와 문서(Corpus)를 보고, "
+                "각 문서가 질의에 답하는 데 관련이 있는지를 판단하세요.\n"
+                "        정답은 반드시 **'T' 또는 'F' ",
+                "개 문자로만** 연속해서 작성하세요. (추가 설명 없이)\n"
+                "        'T'는 관련 있음, 'F'는 관련 없음 을 의미합니다. "
+                "전부 다 F인 경우 가장 관련성이 높은 문서에 T를 부여하세요.\n"
+                "        질의(Query): ",
+                "\n")
+
+
+def q_selection_prompt() -> str:
+    a, b, c = (lit(x) for x in SELECT_PARTS)
+    return with_(qa_ctx_ctes()) + f"""
+SELECT q."ID", {a} || CAST(x.n AS VARCHAR) || {b} || coalesce(q.question, '') || {c} ||
+  array_to_string(list_transform(x.texts, lambda d, i: chr(10) || '###문서_' || CAST(i AS VARCHAR) || chr(10) || d || chr(10)), '') AS prompt
+FROM ({QA_QUESTIONS}) q JOIN ctx x ON x.query_id = q."ID\""""
+
+
+def q_answer_table() -> str:
+    return f"""SELECT q."ID", {extract("r.generated", "q.question", skip_free=True)} AS "Answer"
+FROM ({QA_QUESTIONS}) q LEFT JOIN (SELECT "ID", generated FROM ({QA_QUESTIONS}) WHERE generated <> '') r ON r."ID" = q."ID\""""
+
+
+def q_submission_table() -> str:
+    return f"""WITH a AS (SELECT q."ID", {extract("r.generated", "q.question")} AS "Answer"
+  FROM ({QA_QUESTIONS}) q LEFT JOIN (SELECT "ID", generated FROM ({QA_QUESTIONS}) WHERE generated <> '') r
+  ON r."ID" = q."ID")
+SELECT t."ID", a."Answer" FROM ({QA_QUESTIONS}) t LEFT JOIN (SELECT * FROM a WHERE "Answer" <> '미응답') a ON a."ID" = t."ID\""""
+
+
+def q_gen_throughput() -> str:
+    return """WITH g AS (SELECT event_type, event_id % 200 AS eval_count, value AS eval_duration FROM events),
+t AS (SELECT *, eval_count IS NOT NULL AND eval_count <> 0 AND eval_duration IS NOT NULL AND eval_duration <> 0 AS ok FROM g),
+u AS (SELECT *, CASE WHEN ok THEN eval_count / greatest(eval_duration / 1.0, 1e-9) END AS tokps FROM t)
+SELECT event_type, count(*) AS n, count(tokps) AS n_measured, round(avg(tokps), 6) AS avg_tokps,
+  round(min(tokps), 6) AS min_tokps, round(max(tokps), 6) AS max_tokps,
+  sum(CASE WHEN ok THEN eval_count END)::BIGINT AS tokens FROM u GROUP BY event_type"""
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, fn in sorted(globals().items()):
