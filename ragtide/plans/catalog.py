@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ..functions import answers as ans
 from ..functions import law as lawf
 from ..functions import text
-from ..operators import bm25, dense, encode, fusion, grading, law, qa, rerank
+from pyspark import StorageLevel
+
+from ..operators import bm25, dense, encode, fusion, grading, law, parent, qa, rerank
 from ..operators.topk import round_out
 from . import tables as T
 
@@ -264,6 +266,75 @@ def grade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grading.grade_summary(grading.grade_answers(key, sub))
 
 
+# ---------------------------------------------------------------- parent / child
+
+def pick_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = T.child_rows(spark, sf_dir)
+    return c.select("law_key", "start", text.pick_text("prefixed_text", "text").alias("picked"))
+
+
+def child_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = T.child_rows(spark, sf_dir)
+    compat = F.when(F.col("start") == 0, F.lit(-1)).otherwise(F.col("start"))
+    return c.select("law_key", "start", "end", text.child_id("law_key", "start", "end").alias("doc_id"),
+                    text.child_id("law_key", compat, "end").alias("doc_id_compat"))
+
+
+def _children(spark, sf_dir):
+    return parent.child_corpus(T.child_rows(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _expansions(spark, sf_dir):
+    e = T.expanded_rows(spark, sf_dir).withColumn("ord", F.lit(0))
+    a = T.article_rows(spark, sf_dir).withColumn("ord", F.lit(0))
+    return parent.expansion_table(e), parent.article_table(a)
+
+
+def child_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parent.child_corpus(T.child_rows(spark, sf_dir))
+
+
+def parent_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    exp, art = _expansions(spark, sf_dir)
+    x = parent.with_parent_context(parent.child_corpus(T.child_rows(spark, sf_dir)), exp, art)
+    return x.select("doc_id", "expanded_text", "parent_head")
+
+
+def _child_hybrid(spark, sf_dir, final_k):
+    children = _children(spark, sf_dir)
+    idx = bm25.build_bm25_index(children, "doc_id", "text", "title")
+    qs = T.bench_queries(spark, sf_dir)
+    sparse = bm25.bm25_topk(idx, qs, k=10)
+    dvec = encode.encode_corpus(children)
+    dense_run = dense.dense_topk(encode.encode_queries(qs), dvec, k=10, exclude_self=False)
+    fused = fusion.hybrid_fuse(dense_run, sparse, alpha=0.7)
+    return children, qs, fused
+
+
+def rerank_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    children, qs, fused = _child_hybrid(spark, sf_dir, None)
+    exp, art = _expansions(spark, sf_dir)
+    run = parent.rerank_parent(fused, qs, children, exp, art, k=5)
+    return run.select("query_id", "doc_id", round_out("score"), "rank")
+
+
+def _packed(spark, sf_dir):
+    children, _, fused = _child_hybrid(spark, sf_dir, None)
+    exp, art = _expansions(spark, sf_dir)
+    return parent.context_pack(fused, children, exp, art, top_n=5, preview_chars=900)
+
+
+def context_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _packed(spark, sf_dir)
+    return p.select("query_id", "rank", "doc_id", round_out("score"), "law_key", "law_name", "law_no",
+                    "title", "child_text", "expanded_text", "parent_head")
+
+
+def context_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = parent.context_render(_packed(spark, sf_dir))
+    return r.select("query_id", "n_hits", F.array_join("docs", "\n").alias("rendered"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items()
             if callable(fn) and getattr(fn, "__module__", None) == __name__

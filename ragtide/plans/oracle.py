@@ -519,6 +519,95 @@ SELECT event_type, count(*) AS n, count(tokps) AS n_measured, round(avg(tokps),
   round(min(tokps), 6) AS min_tokps, round(max(tokps), 6) AS max_tokps,
   sum(CASE WHEN ok THEN eval_count END)::BIGINT AS tokens FROM u GROUP BY event_type"""
 
+
+# ---------------------------------------------------------------- parent / child
+
+CHILD_ROWS = """SELECT CAST(doc_id AS VARCHAR) AS law_key, CAST(i - 1 AS INTEGER) AS start, CAST(i AS INTEGER) AS "end",
+  lang AS title, CASE WHEN (i - 1) % 2 = 0 THEN source || ' ' || line ELSE '' END AS prefixed_text,
+  line AS text, source AS law_name, CAST(doc_id % 50 + 1 AS VARCHAR) AS law_no, doc_id * 1000 + i - 1 AS ord
+FROM (SELECT doc_id, source, lang, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)"""
+
+CHILD_CORPUS = f"""SELECT law_key || ':' || CAST(start AS VARCHAR) || ':' || CAST("end" AS VARCHAR) AS doc_id,
+  coalesce(title, '') AS title, coalesce(nullif(prefixed_text, ''), nullif(text, ''), '') AS text, law_key,
+  coalesce(law_name, '') AS law_name, coalesce(law_no, '') AS law_no, coalesce(title, '') AS title_meta, start, "end"
+FROM ({CHILD_ROWS})"""
+
+EXPANDED = """SELECT CAST(doc_id AS VARCHAR) AS law_key, CAST(i - 1 AS INTEGER) AS start, CAST(i AS INTEGER) AS "end",
+  concat_ws(chr(10), lag(line) OVER w, line, lead(line) OVER w) AS expanded
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+QUALIFY (doc_id * 1000 + i - 1) % 7 <> 0"""
+
+ARTICLES = """SELECT CAST(doc_id AS VARCHAR) AS law_key, string_split(text, chr(10))[1] AS head FROM documents
+WHERE doc_id % 5 <> 0"""
+
+
+def q_pick_text() -> str:
+    return f"SELECT law_key, start, coalesce(nullif(prefixed_text, ''), nullif(text, ''), '') AS picked FROM ({CHILD_ROWS})"
+
+
+def q_child_id() -> str:
+    return f"""SELECT law_key, start, "end", law_key || ':' || CAST(start AS VARCHAR) || ':' || CAST("end" AS VARCHAR) AS doc_id,
+  law_key || ':' || CAST(CASE WHEN start = 0 THEN -1 ELSE start END AS VARCHAR) || ':' || CAST("end" AS VARCHAR) AS doc_id_compat
+FROM ({CHILD_ROWS})"""
+
+
+def q_child_corpus() -> str:
+    return CHILD_CORPUS
+
+
+def ctx_join(src: str) -> str:
+    return f"""SELECT c.*, coalesce(nullif(e.expanded, ''), c.text) AS expanded_text, coalesce(a.head, '') AS parent_head
+FROM {src} c LEFT JOIN ({EXPANDED}) e ON e.law_key = c.law_key AND e.start = c.start AND e."end" = c."end"
+LEFT JOIN ({ARTICLES}) a ON a.law_key = c.law_key"""
+
+
+def q_parent_context() -> str:
+    return f"SELECT doc_id, expanded_text, parent_head FROM ({ctx_join('(' + CHILD_CORPUS + ')')})"
+
+
+def child_hybrid() -> str:
+    return hybrid_ctes(CHILD_CORPUS, BENCH_QUERIES, final_k=5)
+
+
+def q_rerank_parent() -> str:
+    pair = ("'Head: ' || coalesce(d.parent_head, '') || chr(10) || 'Title: ' || coalesce(d.title, '') || chr(10) || "
+            "'Text: ' || coalesce(d.expanded_text, '')")
+    return with_(child_hybrid()) + f""",
+rp_c AS (SELECT * FROM (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id
+   ORDER BY round(score, 9) DESC, doc_id) AS pre FROM fused) WHERE pre <= 100),
+rp_d AS ({ctx_join('b_corpus')}),
+rp_p AS (SELECT c.query_id, c.doc_id, q.text AS qtext, {pair} AS ptext
+   FROM rp_c c JOIN b_queries q ON q.query_id = c.query_id JOIN rp_d d ON d.doc_id = c.doc_id),
+rp_s AS (SELECT query_id, doc_id, {overlap("qtext", "ptext")} AS score FROM rp_p)
+SELECT query_id, doc_id, round(score, 6) AS score, rank FROM (SELECT query_id, doc_id, score,
+  row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM rp_s) WHERE rank <= 5"""
+
+
+def pack_ctes() -> str:
+    return child_hybrid() + f""",
+top5 AS (SELECT * FROM final WHERE rank <= 5),
+pk_d AS ({ctx_join('b_corpus')}),
+packed AS (SELECT t.query_id, t.rank, t.doc_id, t.score, d.law_key, d.law_name, d.law_no, d.title_meta AS title,
+   substr(replace(coalesce(d.text, ''), chr(10), ' '), 1, 900) AS child_text,
+   substr(replace(coalesce(d.expanded_text, ''), chr(10), ' '), 1, 900) AS expanded_text, d.parent_head
+   FROM top5 t JOIN pk_d d ON d.doc_id = t.doc_id)"""
+
+
+def q_context_pack() -> str:
+    return with_(pack_ctes()) + """
+SELECT query_id, rank, doc_id, round(score, 6) AS score, law_key, law_name, law_no, title, child_text,
+  expanded_text, parent_head FROM packed"""
+
+
+def q_context_render() -> str:
+    return with_(pack_ctes()) + """
+SELECT query_id, count(*)::BIGINT AS n_hits, string_agg('[' || CAST(rank AS VARCHAR) || '] Head: ' || parent_head ||
+  chr(10) || 'Child: ' || child_text || chr(10) || 'Expanded: ' || expanded_text, chr(10) ORDER BY rank) AS rendered
+FROM packed GROUP BY query_id"""
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, fn in sorted(globals().items()):
