@@ -14,8 +14,8 @@ from ..functions import law as lawf
 from ..functions import text
 from pyspark import StorageLevel
 
-from ..operators import bm25, dense, encode, fusion, grading, law, parent, qa, rerank
-from ..operators.topk import round_out
+from ..operators import bm25, dense, encode, fusion, grading, ireval, law, parent, prep, qa, rerank
+from ..operators.topk import broadcast_if_small, round_out
 from . import tables as T
 
 
@@ -335,6 +335,126 @@ def context_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("query_id", "n_hits", F.array_join("docs", "\n").alias("rendered"))
 
 
+# ---------------------------------------------------------------- training prep
+
+def compose_question(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prep.final_question(T.exam_rows(spark, sf_dir)).select("no", "final_question")
+
+
+def extract_doc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = T.exam_rows(spark, sf_dir)
+    return e.select("no", F.array_join(prep.extract_doc_ids("rag_data"), ",").alias("doc_ids"))
+
+
+def _exploded(spark, sf_dir):
+    return prep.explode_doc_ids(T.exam_rows(spark, sf_dir))
+
+
+def explode_doc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exploded(spark, sf_dir).select("no", "final_question", "doc_ids")
+
+
+def relation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prep.relation_pairs(_exploded(spark, sf_dir), T.statutes(spark, sf_dir))
+
+
+def qrels_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = _exploded(spark, sf_dir)
+    st = T.statutes(spark, sf_dir)
+    return prep.relevance_grid(x, st, prep.relation_pairs(x, st))
+
+
+def _std(spark, sf_dir):
+    x = _exploded(spark, sf_dir)
+    st = T.statutes(spark, sf_dir)
+    queries = x.select("no", "final_question").distinct()
+    q_std = prep.std_queries(queries)
+    c_std = prep.std_corpus(st, "id", "contents", None)
+    qrels = prep.std_qrels(prep.relation_pairs(x, st))
+    return q_std, c_std, qrels, prep.all_data(qrels, q_std, c_std)
+
+
+def std_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _std(spark, sf_dir)[2]
+
+
+def all_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _std(spark, sf_dir)[3]
+
+
+def prep_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the prepared tables, one row per table."""
+    x = _exploded(spark, sf_dir)
+    st = T.statutes(spark, sf_dir)
+    grid = prep.relevance_grid(x, st, prep.relation_pairs(x, st))
+    nq = x.select("no", "final_question").distinct().agg(F.count(F.lit(1)).alias("n_rows"))
+    nc = st.agg(F.count(F.lit(1)).alias("n_rows"))
+    nr = grid.agg(F.sum("n_cells").cast("bigint").alias("n_rows"))
+    return (nq.select(F.lit("queries").alias("table"), "n_rows")
+            .unionByName(nc.select(F.lit("corpus").alias("table"), "n_rows"))
+            .unionByName(nr.select(F.lit("relations").alias("table"), "n_rows")))
+
+
+def _split(spark, sf_dir):
+    q_std, c_std, qrels, rows = _std(spark, sf_dir)
+    return q_std, c_std, prep.train_val_split(qrels, rows, 0.2, 42)
+
+
+def train_val_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, (_, _, train_rel, val_rel) = _split(spark, sf_dir)
+    return train_rel.withColumn("split", F.lit("train")).unionByName(val_rel.withColumn("split", F.lit("val")))
+
+
+def train_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, (train_data, _, _, _) = _split(spark, sf_dir)
+    return prep.train_pairs(train_data)
+
+
+def eval_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, c_std, (_, _, _, val_rel) = _split(spark, sf_dir)
+    return prep.eval_corpus(c_std, val_rel, random_sample=30, seed=42)
+
+
+def eval_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q_std, _, _ = _split(spark, sf_dir)
+    return prep.eval_queries(q_std)
+
+
+def relevant_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, (_, _, _, val_rel) = _split(spark, sf_dir)
+    r = prep.relevant_docs(val_rel)
+    return r.select("query_id", F.array_join("corpus_ids", ",").alias("corpus_ids"))
+
+
+def nodup_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, (train_data, _, _, _) = _split(spark, sf_dir)
+    b = prep.nodup_batches(prep.train_pairs(train_data), batch_size=16)
+    return b.select("batch_id", "query_id", "corpus_id")
+
+
+# ---------------------------------------------------------------- IR evaluation
+
+def ir_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _emb(spark, sf_dir)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    d = e.select(F.col("vec_id").alias("doc_id"), "embedding")
+    run = dense.dense_topk(q, d, k=ireval.MAP_K, score_function="cos_sim", exclude_self=True)
+    judged, n_rel = ireval.judged_from_labels(run, e, "vec_id", "label", exclude_self=True)
+    m = ireval.ir_metrics(judged, n_rel)
+    return m.select("metric", round_out("value"))
+
+
+def ir_metrics_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 run over documents judged by containment of the benchmark passage."""
+    docs = T.doc_corpus(spark, sf_dir)
+    qs = T.bench_queries(spark, sf_dir)
+    run = bm25.bm25_topk(_doc_index(spark, sf_dir), qs, k=ireval.MAP_K)
+    qb = broadcast_if_small(qs.select("query_id", F.col("text").alias("qtext")))
+    qrels = docs.join(qb, F.col("text").contains(F.col("qtext"))).select("query_id", "doc_id")
+    judged, n_rel = ireval.judged_from_qrels(run, qrels)
+    return ireval.ir_metrics(judged, n_rel).select("metric", round_out("value"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items()
             if callable(fn) and getattr(fn, "__module__", None) == __name__

@@ -608,6 +608,158 @@ SELECT query_id, count(*)::BIGINT AS n_hits, string_agg('[' || CAST(rank AS VARC
   chr(10) || 'Child: ' || child_text || chr(10) || 'Expanded: ' || expanded_text, chr(10) ORDER BY rank) AS rendered
 FROM packed GROUP BY query_id"""
 
+
+# ---------------------------------------------------------------- training prep
+
+EXAM = """SELECT p_partkey AS no, p_name AS question, p_brand AS "A", p_type AS "B", CAST(p_size AS VARCHAR) AS "C",
+  CAST(p_retailprice AS VARCHAR) AS "D", CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_name END AS "E",
+  CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 10 = 0 THEN []::VARCHAR[]
+       ELSE ['docid' || CAST(p_partkey % 97 AS VARCHAR), 'case' || CAST(p_size AS VARCHAR),
+             'docid' || CAST((p_partkey * 7 + p_size) % 97 AS VARCHAR)] END AS ids
+FROM part"""
+
+FINAL_Q = ("""coalesce(question, 'None') || chr(10) || 'A. ' || coalesce("A", 'None') || chr(10) || 'B. ' || """
+           """coalesce("B", 'None') || chr(10) || 'C. ' || coalesce("C", 'None') || chr(10) || 'D. ' || """
+           """coalesce("D", 'None') || chr(10) || 'E. ' || coalesce("E", 'None')""")
+
+DOC_IDS = "coalesce(list_filter(ids, lambda d: starts_with(d, 'docid')), []::VARCHAR[])"
+
+EXPLODED = f"""SELECT no, final_question, doc_ids FROM (SELECT no, "E", ids, {FINAL_Q} AS final_question,
+  unnest({DOC_IDS}) AS doc_ids FROM ({EXAM})) WHERE "E" IS NOT NULL AND ids IS NOT NULL"""
+
+STATUTES = "SELECT 'docid' || CAST(doc_id AS VARCHAR) AS id, text AS contents FROM documents"
+
+PAIRS = f"SELECT x.no, x.doc_ids, 1 AS rel FROM ({EXPLODED}) x JOIN ({STATUTES}) s ON s.id = x.doc_ids"
+
+
+def q_compose_question() -> str:
+    return f"SELECT no, {FINAL_Q} AS final_question FROM ({EXAM})"
+
+
+def q_extract_doc_ids() -> str:
+    return f"SELECT no, array_to_string({DOC_IDS}, ',') AS doc_ids FROM ({EXAM})"
+
+
+def q_explode_doc_ids() -> str:
+    return EXPLODED
+
+
+def q_relation_pairs() -> str:
+    return PAIRS
+
+
+GRID = f"""grid AS (SELECT q.no, (n.n - coalesce(p.d, 0) + coalesce(p.c, 0))::BIGINT AS n_cells,
+  coalesce(p.c, 0)::BIGINT AS n_pos, (n.n - coalesce(p.d, 0))::BIGINT AS n_zero
+FROM (SELECT DISTINCT no FROM ({EXPLODED})) q
+LEFT JOIN (SELECT no, count(*) AS c, count(DISTINCT doc_ids) AS d FROM ({PAIRS}) GROUP BY no) p ON p.no = q.no
+CROSS JOIN (SELECT count(DISTINCT id) AS n FROM ({STATUTES})) n)"""
+
+
+def q_qrels_grid() -> str:
+    return with_(GRID) + "\nSELECT * FROM grid"
+
+
+STD = f"""qstd AS (SELECT DISTINCT CAST(no AS VARCHAR) AS _id, CAST(no AS VARCHAR) AS title, final_question AS text
+  FROM ({EXPLODED})),
+cstd AS (SELECT id AS _id, id AS title, contents AS text FROM ({STATUTES})),
+qrels AS (SELECT CAST(no AS VARCHAR) AS query_id, doc_ids AS corpus_id, rel AS score FROM ({PAIRS}) WHERE rel > 0),
+alld AS (SELECT r.corpus_id, r.query_id, r.score, q.title AS title_queries, q.text AS text_queries,
+  c.title AS title_corpus, c.text AS text_corpus FROM qrels r JOIN qstd q ON q._id = r.query_id
+  JOIN cstd c ON c._id = r.corpus_id),
+ordered AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(chr(1), query_id, corpus_id, CAST(score AS VARCHAR), '42')),
+  query_id, corpus_id, score) AS pos FROM qrels),
+split AS (SELECT query_id, corpus_id, score, CASE WHEN pos <= ceil(0.2::DOUBLE * (SELECT count(*) FROM qrels))
+  THEN 'val' ELSE 'train' END AS split FROM ordered)"""
+
+
+def q_std_tables() -> str:
+    return with_(STD) + "\nSELECT * FROM qrels"
+
+
+def q_all_data() -> str:
+    return with_(STD) + "\nSELECT * FROM alld"
+
+
+def q_prep_counts() -> str:
+    return with_(GRID) + f"""
+SELECT 'queries' AS "table", count(*) AS n_rows FROM (SELECT DISTINCT no, final_question FROM ({EXPLODED}))
+UNION ALL SELECT 'corpus', count(*) FROM ({STATUTES})
+UNION ALL SELECT 'relations', sum(n_cells)::BIGINT FROM grid"""
+
+
+def q_train_val_split() -> str:
+    return with_(STD) + "\nSELECT * FROM split"
+
+
+def q_train_pairs() -> str:
+    return with_(STD) + """
+SELECT query_id, corpus_id, 'Query: ' || text_queries AS anchor,
+  'Title: ' || title_corpus || chr(10) || 'Text: ' || text_corpus AS positive
+FROM alld WHERE query_id IN (SELECT query_id FROM split WHERE split = 'train')"""
+
+
+def q_eval_corpus() -> str:
+    return with_(STD) + """,
+sample AS (SELECT _id FROM (SELECT DISTINCT _id FROM cstd) ORDER BY md5(_id || '|42'), _id LIMIT 30),
+req AS (SELECT corpus_id AS _id FROM split WHERE split = 'val' UNION SELECT _id FROM sample)
+SELECT _id AS corpus_id, 'Title: ' || title || chr(10) || 'Text: ' || text AS text FROM cstd WHERE _id IN (SELECT _id FROM req)"""
+
+
+def q_eval_queries() -> str:
+    return with_(STD) + """
+SELECT _id AS query_id, 'Query: ' || 'Title: ' || title || chr(10) || 'Text: ' || text AS text FROM qstd"""
+
+
+def q_relevant_docs() -> str:
+    return with_(STD) + """
+SELECT query_id, array_to_string(list_sort(list_distinct(list(corpus_id))), ',') AS corpus_ids
+FROM split WHERE split = 'val' GROUP BY query_id"""
+
+
+# ---------------------------------------------------------------- IR evaluation
+
+def metrics_sql(judged: str, nrel: str) -> str:
+    """``judged(query_id, rank, rel)`` and ``nrel(query_id, n_rel)`` -> long table."""
+    hk = ",\n  ".join(f"sum(CASE WHEN rel AND rank <= {k} THEN 1 ELSE 0 END) AS h{k}" for k in (1, 3, 5, 10))
+    per = [f"CASE WHEN coalesce(h{k}, 0) > 0 THEN 1.0 ELSE 0.0 END AS \"accuracy@{k}\"" for k in (1, 3, 5, 10)]
+    for k in (1, 3, 5, 10):
+        per.append(f"coalesce(h{k}, 0) / {float(k)!r} AS \"precision@{k}\"")
+        per.append(f"coalesce(h{k}, 0) / n.n_rel AS \"recall@{k}\"")
+    per.append('coalesce(mrr, 0.0) AS "mrr@10"')
+    per.append('coalesce(dcg, 0.0) / (SELECT sum(1.0 / log2(i + 1)) FROM range(1, least(n.n_rel, 10) + 1) t(i)) AS "ndcg@10"')
+    per.append('coalesce(ap, 0.0) / least(n.n_rel, 100) AS "map@100"')
+    names = ["accuracy@1", "accuracy@3", "accuracy@5", "accuracy@10"]
+    for k in (1, 3, 5, 10):
+        names += [f"precision@{k}", f"recall@{k}"]
+    names += ["mrr@10", "ndcg@10", "map@100"]
+    unions = " UNION ALL ".join(f"SELECT '{m}' AS metric, round(avg(\"{m}\"), 6) AS value FROM pq" for m in names)
+    return f"""
+jh AS (SELECT *, sum(CASE WHEN rel THEN 1 ELSE 0 END) OVER (PARTITION BY query_id ORDER BY rank
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hits FROM {judged}),
+agg AS (SELECT query_id, {hk},
+  max(CASE WHEN rel AND rank <= 10 THEN 1.0 / rank ELSE 0.0 END) AS mrr,
+  sum(CASE WHEN rel AND rank <= 10 THEN 1.0 / log2(rank + 1) ELSE 0.0 END) AS dcg,
+  sum(CASE WHEN rel AND rank <= 100 THEN hits / rank ELSE 0.0 END) AS ap FROM jh GROUP BY query_id),
+pq AS (SELECT n.query_id, {", ".join(per)} FROM {nrel} n LEFT JOIN agg a ON a.query_id = n.query_id WHERE n.n_rel > 0)
+{unions}"""
+
+
+def q_ir_metrics() -> str:
+    return "WITH " + emb_ctes(100, "cos_sim").strip() + """,
+judged AS (SELECT r.query_id, r.rank, coalesce(lq.label = ld.label AND r.doc_id <> r.query_id, false) AS rel
+  FROM e_run r LEFT JOIN embeddings ld ON ld.vec_id = r.doc_id LEFT JOIN embeddings lq ON lq.vec_id = r.query_id),
+nrel AS (SELECT e.vec_id AS query_id, c.n - 1 AS n_rel FROM embeddings e
+  JOIN (SELECT label, count(*) AS n FROM embeddings GROUP BY label) c ON c.label = e.label),""" + \
+        metrics_sql("judged", "nrel")
+
+
+def q_ir_metrics_bm25() -> str:
+    return with_(bm25_ctes(DOC_CORPUS, BENCH_QUERIES, 100)) + """,
+qrels AS (SELECT DISTINCT q.query_id, d.doc_id FROM b_corpus d JOIN b_queries q ON contains(d.text, q.text)),
+judged AS (SELECT r.query_id, r.rank, (q.doc_id IS NOT NULL) AS rel FROM b_run r
+  LEFT JOIN qrels q ON q.query_id = r.query_id AND q.doc_id = r.doc_id),
+nrel AS (SELECT query_id, count(*) AS n_rel FROM qrels GROUP BY query_id),""" + metrics_sql("judged", "nrel")
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, fn in sorted(globals().items()):
