@@ -16,6 +16,8 @@ from pyspark import StorageLevel
 
 from ..operators import bm25, dense, encode, fusion, grading, ireval, law, parent, prep, qa, rerank
 from ..operators.topk import broadcast_if_small, round_out
+from ..session import scratch_path
+from ..sources import files as src
 from . import tables as T
 
 
@@ -455,6 +457,96 @@ def ir_metrics_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ireval.ir_metrics(judged, n_rel).select("metric", round_out("value"))
 
 
+# ---------------------------------------------------------------- sources (file round trips)
+
+def _write_lines(df: DataFrame, key: str, name: str) -> str:
+    """Write ``value`` lines in ``key`` order to the shared scratch folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.orderBy(key).select("value").write.text(path)
+    return path
+
+
+def scan_jsonl_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law corpus written as JSON Lines (with blank lines), scanned back."""
+    c = T.law_corpus(spark, sf_dir)
+    js = c.select((F.col("doc_id") * 2).alias("k"),
+                  F.to_json(F.struct("law_name", "law_no", F.col("title").alias("title"), "text")).alias("value"))
+    js = c.select((F.col("doc_id") * 2).alias("k"),
+                  F.to_json(F.struct("law_name", "law_no",
+                                     F.element_at(F.split("title", " "), 2).alias("title"), "text")).alias("value"))
+    blanks = c.filter(F.col("doc_id") % 10 == 9).select((F.col("doc_id") * 2 + 1).alias("k"), F.lit("  ").alias("value"))
+    path = _write_lines(js.unionByName(blanks), "k", "corpus-jsonl")
+    return src.scan_jsonl_corpus(spark, path).drop("ord")
+
+
+def scan_child_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Child rows written as JSON Lines with malformed and blank lines, scanned
+    back and built into the child corpus."""
+    c = T.child_rows(spark, sf_dir)
+    js = c.select((F.col("ord") * 3).alias("k"),
+                  F.to_json(F.struct("law_key", "start", "end", "title", "prefixed_text", "text",
+                                     "law_name", "law_no")).alias("value"))
+    junk = c.filter(F.col("start") == 1).select((F.col("ord") * 3 + 1).alias("k"),
+                                               F.concat(F.lit('{"law_key": '), F.col("text")).alias("value"))
+    blank = c.filter(F.col("start") == 2).select((F.col("ord") * 3 + 2).alias("k"), F.lit("").alias("value"))
+    path = _write_lines(js.unionByName(junk).unionByName(blank), "k", "child-jsonl")
+    return parent.child_corpus(src.scan_child_chunks(spark, path + "/*.txt"))
+
+
+def scan_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = T.expanded_rows(spark, sf_dir).withColumn("k", F.col("law_key").cast("bigint") * 1000 + F.col("start"))
+    path = _write_lines(e.select("k", F.to_json(F.struct("law_key", "start", "end", "prefixed_text", "text"))
+                                 .alias("value")), "k", "expanded-jsonl")
+    return parent.expansion_table(src.scan_expanded(spark, path))
+
+
+def scan_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = T.article_rows(spark, sf_dir).withColumn("k", F.col("law_key").cast("bigint"))
+    path = _write_lines(a.select("k", F.to_json(F.struct("law_key", "head")).alias("value")), "k", "articles-jsonl")
+    return parent.article_table(src.scan_articles(spark, path))
+
+
+def scan_questions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = T.qa_questions(spark, sf_dir).select("ID", F.col("question").alias("Question"))
+    path = scratch_path(spark, "questions-csv")
+    q.write.option("header", True).option("escape", '"').csv(path)
+    return src.scan_questions_csv(spark, path).withColumnRenamed("Question", "question")
+
+
+def scan_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "submission-csv")
+    src.write_submission(submission_table(spark, sf_dir), path)
+    return src.scan_submission(spark, path)
+
+
+def scan_queries_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark written as JSON Lines with id / qid / no id, text / query
+    fields and malformed lines, scanned back."""
+    b = T.table(spark, sf_dir, "benchmark")
+    m3 = F.col("item_id") % 3
+    rec = (F.when(m3 == 0, F.to_json(F.struct(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("id"),
+                                              F.col("text").alias("text"))))
+           .when(m3 == 1, F.to_json(F.struct(F.concat(F.lit("c"), F.col("item_id").cast("string")).alias("qid"),
+                                             F.col("text").alias("query"))))
+           .otherwise(F.to_json(F.struct(F.col("text").alias("text")))))
+    js = b.select((F.col("item_id") * 2).alias("k"), rec.alias("value"))
+    junk = b.filter(F.col("item_id") % 7 == 3).select((F.col("item_id") * 2 + 1).alias("k"), F.lit("{oops").alias("value"))
+    path = _write_lines(js.unionByName(junk), "k", "queries-jsonl")
+    return src.scan_queries_any(spark, path + "/*.txt", fmt="jsonl")
+
+
+def scan_rag_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exam records written as JSON into three folders, read back as one
+    dataset with a nested schema, doc ids extracted."""
+    e = T.exam_rows(spark, sf_dir)
+    base = scratch_path(spark, "rag-json")
+    for i in range(3):
+        e.filter(F.col("no") % 3 == i).write.json(f"{base}/part{i}")
+    schema = e.schema
+    r = src.scan_rag_json(spark, [f"{base}/part{i}/*.json" for i in range(3)], schema)
+    return r.select("no", F.array_join(prep.extract_doc_ids("rag_data"), ",").alias("doc_ids"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items()
             if callable(fn) and getattr(fn, "__module__", None) == __name__

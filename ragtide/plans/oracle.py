@@ -760,6 +760,49 @@ judged AS (SELECT r.query_id, r.rank, (q.doc_id IS NOT NULL) AS rel FROM b_run r
   LEFT JOIN qrels q ON q.query_id = r.query_id AND q.doc_id = r.doc_id),
 nrel AS (SELECT query_id, count(*) AS n_rel FROM qrels GROUP BY query_id),""" + metrics_sql("judged", "nrel")
 
+
+# ---------------------------------------------------------------- sources
+
+def q_scan_jsonl_corpus() -> str:
+    return f"""WITH c AS ({LAW_CORPUS}),
+lines AS (SELECT doc_id * 2 AS k, doc_id FROM c UNION ALL SELECT doc_id * 2 + 1, NULL FROM c WHERE doc_id % 10 = 9),
+pos AS (SELECT doc_id, row_number() OVER (ORDER BY k) AS ord FROM lines)
+SELECT 'doc' || CAST(p.ord AS VARCHAR) AS doc_id, c.law_name || ' ' || string_split(c.title, ' ')[2] AS title, c.text,
+  c.law_name, c.law_no FROM pos p JOIN c ON c.doc_id = p.doc_id WHERE p.doc_id IS NOT NULL"""
+
+
+def q_scan_child_chunks() -> str:
+    return CHILD_CORPUS
+
+
+def q_scan_expanded() -> str:
+    return f"SELECT law_key, start, \"end\", coalesce(nullif(expanded, ''), '') AS expanded FROM ({EXPANDED})"
+
+
+def q_scan_articles() -> str:
+    return ARTICLES
+
+
+def q_scan_questions_csv() -> str:
+    return f'SELECT "ID", question FROM ({QA_QUESTIONS})'
+
+
+def q_scan_submission() -> str:
+    return q_submission_table()
+
+
+def q_scan_queries_any() -> str:
+    return """WITH lines AS (SELECT item_id * 2 AS k, item_id FROM benchmark
+  UNION ALL SELECT item_id * 2 + 1, NULL FROM benchmark WHERE item_id % 7 = 3),
+pos AS (SELECT item_id, row_number() OVER (ORDER BY k) AS ord FROM lines)
+SELECT CASE b.item_id % 3 WHEN 0 THEN 'b' || CAST(b.item_id AS VARCHAR) WHEN 1 THEN 'c' || CAST(b.item_id AS VARCHAR)
+  ELSE 'q' || CAST(p.ord AS VARCHAR) END AS query_id, coalesce(nullif(b.text, ''), '') AS text
+FROM pos p JOIN benchmark b ON b.item_id = p.item_id"""
+
+
+def q_scan_rag_json() -> str:
+    return q_extract_doc_ids()
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, fn in sorted(globals().items()):
