@@ -18,7 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import index_text, tokenize
@@ -65,13 +65,21 @@ def load_bm25_index(spark, path: str) -> BM25Index:
 
 def corpus_postings(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     title_col: str | None = None) -> DataFrame:
-    """``(term, doc_id, dl, tf)`` for every (document, distinct term)."""
+    """``(term, doc_id, dl, tf)`` for every (document, distinct term).
+
+    The corpus is hash-partitioned by ``doc_id`` first, so the term-frequency
+    aggregate needs no further exchange and the postings come out partitioned
+    by ``doc_id``. Query-time sums per (query, doc) then need no shuffle.
+    """
     title = F.col(title_col) if title_col else F.lit("")
-    toks = corpus.select(F.col(id_col).alias("doc_id"),
-                         tokenize(index_text(title, F.col(text_col))).alias("tokens"))
+    n = corpus.sparkSession.sparkContext.defaultParallelism * 2
+    parts = max(n, int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    src = corpus.select(F.col(id_col).alias("doc_id"), index_text(title, F.col(text_col)).alias("_t"))
+    src = src.repartition(parts, "doc_id")
+    toks = src.select("doc_id", tokenize(F.col("_t")).alias("tokens"))
     exploded = toks.select("doc_id", F.size("tokens").alias("dl"),
                            F.explode("tokens").alias("term"))
-    return exploded.groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    return exploded.groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def idf_expr(n_docs: int, df_col="df"):
@@ -143,29 +151,37 @@ def _padding(index: BM25Index, queries: DataFrame, k: int | None, qid: str) -> D
     scores can go negative and the whole corpus is the pool.
     """
     ids = index.doc_ids
-    if k is not None and index.mean_idf > 0:
-        pool = ids.orderBy("doc_id").limit(k)  # bounded: k rows
-    else:
-        pool = ids
-    from pyspark.sql import Window
+    bounded = k is not None and index.mean_idf > 0
+    pool = ids.orderBy("doc_id").limit(k) if bounded else ids  # bounded: k rows
     pool = pool.withColumn("_pos", F.row_number().over(Window.orderBy("doc_id")))
-    n_pool = k if (k is not None and index.mean_idf > 0) else index.n_docs
+    n_pool = k if bounded else index.n_docs
     slots = queries.select(F.col(qid).alias("query_id"),
                            F.explode(F.sequence(F.lit(1), F.lit(max(int(n_pool), 1)))).alias("_pos"))
     pool = broadcast_if_small(pool)
-    return slots.join(pool, "_pos").select("query_id", "doc_id", F.lit(0.0).alias("c"))
+    return slots.join(pool, "_pos").select("query_id", "doc_id", F.lit(0.0).alias("score"))
 
 
-def bm25_scores(index: BM25Index, queries: DataFrame, k: int | None = None,
-                qid: str = "query_id", qtext: str = "text", pad: bool = True) -> DataFrame:
+def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id",
+                qtext: str = "text") -> DataFrame:
+    """``(query_id, doc_id, score)`` for every document containing a query
+    term. The postings are partitioned by doc_id, so this sum is shuffle-free."""
     parts = bm25_contributions(index, queries, qid, qtext)
-    if pad:
-        parts = parts.unionByName(_padding(index, queries, k, qid))
     return parts.groupBy("query_id", "doc_id").agg(F.sum("c").alias("score"))
 
 
 def bm25_topk(index: BM25Index, queries: DataFrame, k: int | None = 1000,
               qid: str = "query_id", qtext: str = "text", pad: bool = True) -> DataFrame:
     """Run ``(query_id, doc_id, score, rank)``: the k best documents per query,
-    score-0 documents included as in an exhaustive ranking."""
-    return topk_per_group(bm25_scores(index, queries, k, qid, qtext, pad), "query_id", k)
+    score-0 documents included as in an exhaustive ranking.
+
+    The top k of the hits (partial per-partition limit, then one shuffle of at
+    most k rows per query and partition) is merged with the padding pool; a
+    document in both keeps its hit score.
+    """
+    hits = topk_per_group(bm25_scores(index, queries, qid, qtext), "query_id", k)
+    if not pad:
+        return hits
+    both = (hits.select("query_id", "doc_id", "score", F.lit(1).alias("_hit"))
+            .unionByName(_padding(index, queries, k, qid).withColumn("_hit", F.lit(0))))
+    merged = both.groupBy("query_id", "doc_id").agg(F.max_by("score", "_hit").alias("score"))
+    return topk_per_group(merged, "query_id", k)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import child_id, pick_text, preview
 from .grading import dedupe_last
 from .rerank import rerank
-from .topk import broadcast_if_small, topk_per_group
+from .topk import broadcast_if_small, materialize, topk_per_group
 
 TEXT_FIELDS = ("prefixed_text", "text")
 
@@ -107,6 +107,7 @@ def rerank_parent(candidates: DataFrame, queries: DataFrame, children: DataFrame
                   scorer=None, batch_size: int = 32, qid: str = "query_id",
                   qtext: str = "text") -> DataFrame:
     """Rerank with ``Head: …\\nTitle: …\\nText: <expanded>`` as the pair text."""
+    candidates = materialize(candidates.select("query_id", "doc_id", "score"))
     ctx = candidate_context(candidates, children, expanded, articles)
     corpus = ctx.select("doc_id", "title", "text", "expanded_text", "parent_head")
     return rerank(candidates, queries, corpus, k=k, scorer=scorer, batch_size=batch_size,
@@ -117,7 +118,7 @@ def context_pack(run: DataFrame, children: DataFrame, expanded: DataFrame | None
                  articles: DataFrame | None, top_n: int = 10, preview_chars: int = 900) -> DataFrame:
     """Per hit: child text, expanded text and parent head, previews of
     ``preview_chars`` characters, for the ``top_n`` best hits of each query."""
-    top = topk_per_group(run.select("query_id", "doc_id", "score"), "query_id", top_n)
+    top = materialize(topk_per_group(run.select("query_id", "doc_id", "score"), "query_id", top_n))
     ctx = candidate_context(top, children, expanded, articles)
     x = top.join(ctx, "doc_id")
     return x.select("query_id", "rank", "doc_id", "score", "law_key", "law_name", "law_no",

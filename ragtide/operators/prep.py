@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import compose_question, format_doc, format_query
+from ..session import ship_package
 from .topk import broadcast_if_small
 
 DOC_ID_PREFIX = "docid"
@@ -209,6 +210,7 @@ def nodup_batches(pairs: DataFrame, batch_size: int = 16, shard_rows: int = 100_
     shard fills batches first-fit in a pandas group. Batches never span
     shards, so shards are independent.
     """
+    ship_package(pairs.sparkSession)
     n = pairs.count()
     shards = max(1, math.ceil(n / shard_rows))
     key = F.xxhash64(*[F.col(c) for c in pairs.columns], F.lit(seed))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import format_doc, tokenize
+from ..session import ship_package
 from .topk import broadcast_if_small, topk_per_group
 
 
@@ -54,6 +55,7 @@ def scorer_udf(fn: Callable[[list[tuple[str, str]]], list[float]], batch_size: i
 
 def pair_scores(pairs: DataFrame, scorer=None, batch_size: int = 32) -> DataFrame:
     """Add ``score`` from ``(qtext, ptext)`` columns."""
+    ship_package(pairs.sparkSession)
     if scorer is None:
         s = token_overlap(F.col("qtext"), F.col("ptext"))
     else:
@@ -70,6 +72,7 @@ def rerank(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, k: int
     (columns ``title``, ``text`` and any extra corpus columns)."""
     cand = topk_per_group(candidates.select("query_id", "doc_id", "score"), "query_id",
                           prelimit(k), rank_col="_pre").select("query_id", "doc_id")
+    # bounded (queries x pre-limit): the side that is broadcast into the corpus scan
     cand = broadcast_if_small(cand)
     docs = corpus.select(F.col(id_col).alias("doc_id"),
                          (F.col(title_col) if title_col else F.lit("")).alias("title"),

@@ -8,6 +8,7 @@ corpus) from landing whole in one reducer.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,11 +62,25 @@ def first_by_key(df: DataFrame, key: str | list[str], order: str,
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when a count proves it is under ``max_rows``.
 
-    Above the bound the frame is returned as is and the join falls back to a
-    shuffle join (AQE may still switch it at run time from real sizes).
+    The frame is persisted while it is counted, so the join that follows reads
+    the counted rows instead of recomputing them. Above the bound the cache is
+    dropped and the join falls back to a shuffle join (AQE may still switch it
+    at run time from real sizes).
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Persist and compute a bounded intermediate (e.g. a top-k run) that is
+    used more than once, so its lineage runs once."""
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
+    return cached
 
 
 def round_out(c: str, decimals: int = OUT_DECIMALS) -> Column:

@@ -76,3 +76,54 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path) if not path.startswith("/") else path
+
+
+def ensure_parallel(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Spread a frame round-robin when its scan gives fewer partitions than
+    the cluster can run at once (e.g. a file with a single row group).
+
+    On large inputs (many files / row groups) the scan already has enough
+    partitions and this is a no-op, so no extra shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ragtide`` importable in Python workers (pandas UDFs reference it).
+
+    The package is zipped once per application into the shared checkpoint
+    folder and registered with ``addPyFile``, which works for any Hadoop file
+    system path, so it also reaches executors on other machines.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import io
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    target = scratch_path(spark, "pyfiles") + "/ragtide.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
