@@ -15,7 +15,7 @@ from ..functions import text
 from pyspark import StorageLevel
 
 from ..operators import bm25, dense, encode, fusion, grading, ireval, law, parent, prep, qa, rerank
-from ..operators.topk import broadcast_if_small, round_out
+from ..operators.topk import broadcast_if_small, round_out, topk_per_group
 from ..session import scratch_path
 from ..sources import files as src
 from . import tables as T
@@ -547,6 +547,26 @@ def scan_rag_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("no", F.array_join(prep.extract_doc_ids("rag_data"), ",").alias("doc_ids"))
 
 
+# ---------------------------------------------------------------- ranking helpers & templates
+
+def run_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-query top-k of the (unpadded) BM25 hit scores."""
+    scores = bm25.bm25_scores(_doc_index(spark, sf_dir), T.bench_queries(spark, sf_dir))
+    top = topk_per_group(scores, "query_id", 5)
+    return top.select("query_id", "doc_id", round_out("score"), "rank")
+
+
+def dedupe_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, sub = T.key_and_submission(spark, sf_dir)
+    return grading.dedupe_last(sub, "ID", "ord")
+
+
+def format_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = T.table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.format_query(F.col("text")).alias("as_query"),
+                    text.format_doc(F.col("source"), F.col("text")).alias("as_doc"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items()
             if callable(fn) and getattr(fn, "__module__", None) == __name__

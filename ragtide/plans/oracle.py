@@ -803,6 +803,25 @@ FROM pos p JOIN benchmark b ON b.item_id = p.item_id"""
 def q_scan_rag_json() -> str:
     return q_extract_doc_ids()
 
+
+# ---------------------------------------------------------------- ranking helpers & templates
+
+def q_run_topk() -> str:
+    return with_(bm25_ctes(DOC_CORPUS, BENCH_QUERIES, 10)) + """,
+hs AS (SELECT query_id, doc_id, sum(c) AS score FROM b_contrib GROUP BY query_id, doc_id)
+SELECT query_id, doc_id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id
+  ORDER BY round(score, 9) DESC, doc_id) AS rank FROM hs) WHERE rank <= 5"""
+
+
+def q_dedupe_last() -> str:
+    return f"""SELECT "ID", "Answer", ord FROM (SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY ord DESC) AS rn
+  FROM ({SUB})) WHERE rn = 1"""
+
+
+def q_format_pairs() -> str:
+    return """SELECT doc_id, 'Query: ' || text AS as_query, 'Title: ' || source || chr(10) || 'Text: ' || text AS as_doc
+FROM documents"""
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, fn in sorted(globals().items()):
