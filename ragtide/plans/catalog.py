@@ -12,17 +12,34 @@ from pyspark.sql import functions as F
 from ..functions import answers as ans
 from ..functions import law as lawf
 from ..functions import text
-from pyspark import StorageLevel
 
 from ..operators import bm25, dense, encode, fusion, grading, ireval, law, parent, prep, qa, rerank
-from ..operators.topk import broadcast_if_small, round_out, topk_per_group
+from ..operators.topk import broadcast_if_small, materialize, round_out, topk_per_group
 from ..session import scratch_path
 from ..sources import files as src
 from . import tables as T
 
 
-def _doc_index(spark, sf_dir, **kw):
-    return bm25.build_bm25_index(T.doc_corpus(spark, sf_dir), "doc_id", "text", "title", **kw)
+_BUILT: dict = {}
+
+
+def _once(spark, sf_dir, name, build):
+    """Build an index / vector table once per application and corpus, then
+    reuse it (the reference rebuilt its index on every search call)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
+def _doc_index(spark, sf_dir):
+    return _once(spark, sf_dir, "doc-bm25", lambda: bm25.build_bm25_index(
+        T.doc_corpus(spark, sf_dir), "doc_id", "text", "title"))
+
+
+def _doc_vectors(spark, sf_dir):
+    return _once(spark, sf_dir, "doc-vec", lambda: materialize(
+        encode.encode_corpus(T.doc_corpus(spark, sf_dir))))
 
 
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +80,7 @@ def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hash_run(spark, sf_dir, k=10):
-    corpus = encode.encode_corpus(T.doc_corpus(spark, sf_dir))
+    corpus = _doc_vectors(spark, sf_dir)
     qv = encode.encode_queries(T.bench_queries(spark, sf_dir))
     return dense.dense_topk(qv, corpus, k=k, score_function="cos_sim", exclude_self=False)
 
@@ -162,7 +179,7 @@ def law_match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _law_run(spark, sf_dir, k=20):
     corpus = T.law_corpus(spark, sf_dir)
-    idx = bm25.build_bm25_index(corpus, "doc_id", "text", "title")
+    idx = _once(spark, sf_dir, "law-bm25", lambda: bm25.build_bm25_index(corpus, "doc_id", "text", "title"))
     qs = T.law_bench_queries(spark, sf_dir)
     run = bm25.bm25_topk(idx, qs, k=k)
     return law.prioritize_law(run, qs, corpus, mode="strict", qtext="text")
@@ -283,7 +300,7 @@ def child_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _children(spark, sf_dir):
-    return parent.child_corpus(T.child_rows(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    return _once(spark, sf_dir, "children", lambda: materialize(parent.child_corpus(T.child_rows(spark, sf_dir))))
 
 
 def _expansions(spark, sf_dir):
@@ -304,10 +321,10 @@ def parent_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _child_hybrid(spark, sf_dir, final_k):
     children = _children(spark, sf_dir)
-    idx = bm25.build_bm25_index(children, "doc_id", "text", "title")
+    idx = _once(spark, sf_dir, "child-bm25", lambda: bm25.build_bm25_index(children, "doc_id", "text", "title"))
     qs = T.bench_queries(spark, sf_dir)
     sparse = bm25.bm25_topk(idx, qs, k=10)
-    dvec = encode.encode_corpus(children)
+    dvec = _once(spark, sf_dir, "child-vec", lambda: materialize(encode.encode_corpus(children)))
     dense_run = dense.dense_topk(encode.encode_queries(qs), dvec, k=10, exclude_self=False)
     fused = fusion.hybrid_fuse(dense_run, sparse, alpha=0.7)
     return children, qs, fused
