@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Scores are rounded before ranking so the engine and the oracle break ties
 # identically despite different summation orders.
@@ -18,6 +19,7 @@ RANK_DECIMALS = 9
 OUT_DECIMALS = 6
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
 def rank_key(score: str = "score") -> Column:
@@ -59,17 +61,38 @@ def first_by_key(df: DataFrame, key: str | list[str], order: str,
     return out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it is under ``max_rows``.
-
-    The frame is persisted while it is counted, so the join that follows reads
-    the counted rows instead of recomputing them. Above the bound the cache is
-    dropped and the join falls back to a shuffle join (AQE may still switch it
-    at run time from real sizes).
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate in-memory bytes of a row: string/binary lengths, 8 bytes per
+    array element, 8 per fixed-width value, plus 16 per column of overhead."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(t, T.ArrayType):
+            parts.append(F.coalesce(F.size(c), F.lit(0)) * 8)
+        else:
+            parts.append(F.lit(8))
+    total = F.lit(16 * len(df.schema.fields))
+    for p in parts:
+        total = total + p
+    return total
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when one aggregate over it proves it holds at most
+    ``max_rows`` rows and about ``max_bytes`` bytes.
+
+    The frame is persisted while it is measured, so the join that follows reads
+    the measured rows instead of recomputing them. Above either bound the cache
+    is dropped and the join falls back to a shuffle join (AQE may still switch
+    it at run time from real sizes).
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    if n <= max_rows:
+    m = cached.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    if m.n <= max_rows and (m.b or 0) <= max_bytes:
         return F.broadcast(cached)
     cached.unpersist()
     return df
