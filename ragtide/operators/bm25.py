@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import index_text, tokenize
 from ..session import scratch_path
-from .topk import broadcast_if_small, topk_per_group
+from .topk import broadcast_if_small, measure_small, topk_per_group
 
 # The Okapi BM25 defaults the reference runs with.
 K1 = 1.5
@@ -132,9 +132,13 @@ def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "text")
 def bm25_contributions(index: BM25Index, queries: DataFrame, qid: str = "query_id",
                        qtext: str = "text") -> DataFrame:
     """``(query_id, doc_id, c)`` per matching (query term, posting)."""
-    qt = query_terms(queries, qid, qtext)
-    qt = broadcast_if_small(qt).join(index.vocab.select("term", "idf"), "term")
-    qt = broadcast_if_small(qt)
+    qt, small = measure_small(query_terms(queries, qid, qtext))
+    vocab = index.vocab.select("term", "idf")
+    if small:
+        # terms are unique in the vocabulary, so the join cannot outgrow the checked side
+        qt = F.broadcast(F.broadcast(qt).join(vocab, "term"))
+    else:
+        qt = qt.join(vocab, "term")
     k1, b, avgdl = index.k1, index.b, index.avgdl
     tf = F.col("tf").cast("double")
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
@@ -157,7 +161,7 @@ def _padding(index: BM25Index, queries: DataFrame, k: int | None, qid: str) -> D
     n_pool = k if bounded else index.n_docs
     slots = queries.select(F.col(qid).alias("query_id"),
                            F.explode(F.sequence(F.lit(1), F.lit(max(int(n_pool), 1)))).alias("_pos"))
-    pool = broadcast_if_small(pool)
+    pool = F.broadcast(pool) if bounded else broadcast_if_small(pool)  # bounded: k rows
     return slots.join(pool, "_pos").select("query_id", "doc_id", F.lit(0.0).alias("score"))
 
 

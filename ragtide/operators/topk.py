@@ -80,22 +80,27 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when one aggregate over it proves it holds at most
-    ``max_rows`` rows and about ``max_bytes`` bytes.
-
-    The frame is persisted while it is measured, so the join that follows reads
-    the measured rows instead of recomputing them. Above either bound the cache
-    is dropped and the join falls back to a shuffle join (AQE may still switch
-    it at run time from real sizes).
-    """
+def measure_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                  max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``(frame, is_small)``: one aggregate over ``df`` proves whether it holds at
+    most ``max_rows`` rows and about ``max_bytes`` bytes. A small frame comes back
+    persisted (the join that follows reads the measured rows instead of
+    recomputing them); a large one comes back as it was."""
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     m = cached.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     if m.n <= max_rows and (m.b or 0) <= max_bytes:
-        return F.broadcast(cached)
+        return cached, True
     cached.unpersist()
-    return df
+    return df, False
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when ``measure_small`` proves it small; otherwise
+    leave the join to a shuffle strategy (AQE may still switch it at run time
+    from real sizes)."""
+    out, small = measure_small(df, max_rows, max_bytes)
+    return F.broadcast(out) if small else out
 
 
 def materialize(df: DataFrame) -> DataFrame:
