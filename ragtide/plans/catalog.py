@@ -304,9 +304,11 @@ def _children(spark, sf_dir):
 
 
 def _expansions(spark, sf_dir):
-    e = T.expanded_rows(spark, sf_dir).withColumn("ord", F.lit(0))
-    a = T.article_rows(spark, sf_dir).withColumn("ord", F.lit(0))
-    return parent.expansion_table(e), parent.article_table(a)
+    def build():
+        e = T.expanded_rows(spark, sf_dir).withColumn("ord", F.lit(0))
+        a = T.article_rows(spark, sf_dir).withColumn("ord", F.lit(0))
+        return materialize(parent.expansion_table(e)), materialize(parent.article_table(a))
+    return _once(spark, sf_dir, "expansions", build)
 
 
 def child_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
