@@ -224,8 +224,8 @@ def nodup_batches(pairs: DataFrame, batch_size: int = 16, shard_rows: int = 100_
         sizes: list[int] = []
         open_from = 0
         assigned = []
-        for _, row in pdf.iterrows():
-            texts = {row[c] for c in text_cols}
+        for texts in zip(*[pdf[c].tolist() for c in text_cols]):
+            texts = set(texts)
             placed = -1
             for b in range(open_from, len(batches)):
                 if sizes[b] < batch_size and not (texts & batches[b]):

@@ -92,3 +92,15 @@ def test_bm25_plan_is_shuffle_free_for_the_sum(spark):
     # the (query, doc) sum sits directly on the postings join: no exchange in between
     head = plan.split("BroadcastHashJoin")[0]
     assert "Exchange" not in head
+
+
+def test_index_save_load_and_table_mode(spark, tmp_dir):
+    corpus = spark.createDataFrame(list(DOCS.items()), "doc_id string, text string")
+    qs = spark.createDataFrame(list(QUERIES.items()), "query_id string, text string")
+    mem = bm25.build_bm25_index(corpus)
+    want = sorted(map(tuple, bm25.bm25_topk(mem, qs, k=4).collect()))
+    saved = mem.save(tmp_dir + "/idx")
+    assert (saved.n_docs, saved.avgdl, saved.mean_idf) == (mem.n_docs, mem.avgdl, mem.mean_idf)
+    assert sorted(map(tuple, bm25.bm25_topk(saved, qs, k=4).collect())) == want
+    table = bm25.build_bm25_index(corpus, persist_to="table")
+    assert sorted(map(tuple, bm25.bm25_topk(table, qs, k=4).collect())) == want
