@@ -146,22 +146,31 @@ def bm25_contributions(index: BM25Index, queries: DataFrame, qid: str = "query_i
     return index.postings.join(qt, "term").select("query_id", "doc_id", c.alias("c"))
 
 
-def _padding(index: BM25Index, queries: DataFrame, k: int | None, qid: str) -> DataFrame:
+def _padding(index: BM25Index, queries: DataFrame, k: int, qid: str,
+             scores: DataFrame | None = None) -> DataFrame:
     """Score-0 rows so queries with fewer than k hits still return k documents.
 
-    With every idf >= 0 (mean idf > 0), only the first k documents by doc_id can
-    be needed, so the pool is k rows and the padding is queries x k rows joined
-    on a position key. With a non-positive mean idf (only tiny corpora) hit
-    scores can go negative and the whole corpus is the pool.
+    The top k of all documents is contained in (top k of the hits) + (the first
+    k non-hit documents by doc_id), and the first k non-hits lie among the
+    first ``k + hits(q)`` documents by doc_id. With every idf >= 0 (mean idf >
+    0) hit scores are >= 0, so the first k documents suffice: the pool is k rows
+    and the padding is queries x k rows joined on a position key. With a
+    non-positive mean idf (only corpora of a few documents) hits can score below
+    0 and each query is padded from the first ``k + hits(q)`` documents.
     """
     ids = index.doc_ids
-    bounded = k is not None and index.mean_idf > 0
-    pool = ids.orderBy("doc_id").limit(k) if bounded else ids  # bounded: k rows
+    q = queries.select(F.col(qid).alias("query_id"))
+    if index.mean_idf > 0:
+        n_pool, per_query = k, F.lit(k)
+    else:
+        hits = scores.groupBy("query_id").agg(F.count(F.lit(1)).alias("_h"))
+        q = q.join(hits, "query_id", "left").fillna(0, ["_h"])
+        n_pool = k + int(q.agg(F.max("_h")).first()[0] or 0)
+        per_query = F.lit(k) + F.col("_h")
+    pool = ids.orderBy("doc_id").limit(n_pool)  # bounded: n_pool rows
     pool = pool.withColumn("_pos", F.row_number().over(Window.orderBy("doc_id")))
-    n_pool = k if bounded else index.n_docs
-    slots = queries.select(F.col(qid).alias("query_id"),
-                           F.explode(F.sequence(F.lit(1), F.lit(max(int(n_pool), 1)))).alias("_pos"))
-    pool = F.broadcast(pool) if bounded else broadcast_if_small(pool)  # bounded: k rows
+    slots = q.select("query_id", F.explode(F.sequence(F.lit(1), per_query)).alias("_pos"))
+    pool = broadcast_if_small(pool)
     return slots.join(pool, "_pos").select("query_id", "doc_id", F.lit(0.0).alias("score"))
 
 
@@ -182,10 +191,13 @@ def bm25_topk(index: BM25Index, queries: DataFrame, k: int | None = 1000,
     most k rows per query and partition) is merged with the padding pool; a
     document in both keeps its hit score.
     """
-    hits = topk_per_group(bm25_scores(index, queries, qid, qtext), "query_id", k)
+    if k is None or k < 1:
+        raise ValueError("bm25_topk needs a positive k (ranking every document emits all pairs)")
+    scores = bm25_scores(index, queries, qid, qtext)
+    hits = topk_per_group(scores, "query_id", k)
     if not pad:
         return hits
     both = (hits.select("query_id", "doc_id", "score", F.lit(1).alias("_hit"))
-            .unionByName(_padding(index, queries, k, qid).withColumn("_hit", F.lit(0))))
+            .unionByName(_padding(index, queries, k, qid, scores).withColumn("_hit", F.lit(0))))
     merged = both.groupBy("query_id", "doc_id").agg(F.max_by("score", "_hit").alias("score"))
     return topk_per_group(merged, "query_id", k)
