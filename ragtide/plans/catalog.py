@@ -321,7 +321,7 @@ def parent_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", "expanded_text", "parent_head")
 
 
-def _child_hybrid(spark, sf_dir, final_k):
+def _child_hybrid(spark, sf_dir):
     children = _children(spark, sf_dir)
     idx = _once(spark, sf_dir, "child-bm25", lambda: bm25.build_bm25_index(children, "doc_id", "text", "title"))
     qs = T.bench_queries(spark, sf_dir)
@@ -333,14 +333,14 @@ def _child_hybrid(spark, sf_dir, final_k):
 
 
 def rerank_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    children, qs, fused = _child_hybrid(spark, sf_dir, None)
+    children, qs, fused = _child_hybrid(spark, sf_dir)
     exp, art = _expansions(spark, sf_dir)
     run = parent.rerank_parent(fused, qs, children, exp, art, k=5)
     return run.select("query_id", "doc_id", round_out("score"), "rank")
 
 
 def _packed(spark, sf_dir):
-    children, _, fused = _child_hybrid(spark, sf_dir, None)
+    children, _, fused = _child_hybrid(spark, sf_dir)
     exp, art = _expansions(spark, sf_dir)
     return parent.context_pack(fused, children, exp, art, top_n=5, preview_chars=900)
 
@@ -488,8 +488,6 @@ def _write_lines(df: DataFrame, key: str, name: str) -> str:
 def scan_jsonl_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law corpus written as JSON Lines (with blank lines), scanned back."""
     c = T.law_corpus(spark, sf_dir)
-    js = c.select((F.col("doc_id") * 2).alias("k"),
-                  F.to_json(F.struct("law_name", "law_no", F.col("title").alias("title"), "text")).alias("value"))
     js = c.select((F.col("doc_id") * 2).alias("k"),
                   F.to_json(F.struct("law_name", "law_no",
                                      F.element_at(F.split("title", " "), 2).alias("title"), "text")).alias("value"))
