@@ -89,10 +89,18 @@ def with_parent_context(children: DataFrame, expanded: DataFrame | None,
 
 def candidate_context(run: DataFrame, children: DataFrame, expanded: DataFrame | None,
                       articles: DataFrame | None) -> DataFrame:
-    """Parent context for the documents of a run only: the run is the bounded
-    side, so it is broadcast into the child scan and the lookups follow."""
+    """Parent context for the documents of a run only. The run is the bounded
+    side: it is broadcast into the child scan, and the hit keys are broadcast
+    into the expansion and article scans, so none of the big tables is
+    shuffled for a lookup."""
     ids = broadcast_if_small(run.select("doc_id").distinct())
-    hit_children = children.join(ids, "doc_id")
+    hit_children = materialize(children.join(ids, "doc_id"))
+    if expanded is not None:
+        keys = broadcast_if_small(hit_children.select("law_key", "start", "end").distinct())
+        expanded = expanded.join(keys, ["law_key", "start", "end"])
+    if articles is not None:
+        lk = broadcast_if_small(hit_children.select("law_key").distinct())
+        articles = articles.join(lk, "law_key")
     return with_parent_context(hit_children, expanded, articles)
 
 

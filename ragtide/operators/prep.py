@@ -49,7 +49,8 @@ def relation_pairs(exploded: DataFrame, statutes: DataFrame, q_id: str = "no",
                    doc_col: str = "doc_ids", stat_id: str = "id") -> DataFrame:
     """Positive pairs ``(no, doc_ids, rel=1)`` that exist in the statutes."""
     s = statutes.select(F.col(stat_id).alias(doc_col))
-    return exploded.select(q_id, doc_col).join(s, doc_col).select(q_id, doc_col, F.lit(1).alias("rel"))
+    pairs = broadcast_if_small(exploded.select(q_id, doc_col))  # question-sized, not corpus-sized
+    return s.join(pairs, doc_col).select(q_id, doc_col, F.lit(1).alias("rel"))
 
 
 def relevance_grid(questions: DataFrame, statutes: DataFrame, positives: DataFrame,
@@ -95,7 +96,9 @@ def all_data(qrels: DataFrame, q_std: DataFrame, c_std: DataFrame) -> DataFrame:
                      F.col("text").alias("text_queries"))
     c = c_std.select(F.col("_id").alias("corpus_id"), F.col("title").alias("title_corpus"),
                      F.col("text").alias("text_corpus"))
-    return qrels.join(q, "query_id").join(c, "corpus_id")
+    x = broadcast_if_small(qrels.join(q, "query_id"))  # question-sized side into the corpus scan
+    return c.join(x, "corpus_id").select("corpus_id", "query_id", "score", "title_queries", "text_queries",
+                                         "title_corpus", "text_corpus")
 
 
 def _hash_key(cols: list[str], seed: int):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.answers import extract_answer, is_multiple_choice, question_options, question_stem
 from ..functions.text import _c
+from .topk import broadcast_if_small
 
 # Prompt templates of the reference.
 MC_HEAD = ("당신은 금융보안 전문가입니다.\n"
@@ -33,7 +34,7 @@ def ordered_texts(run: DataFrame, corpus: DataFrame, id_col: str = "doc_id",
     """``(query_id, texts)``: document texts in rank order per query (a run is
     top-k, so each group holds at most k rows)."""
     docs = corpus.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
-    x = run.select("query_id", "doc_id", "rank").join(docs, "doc_id")
+    x = docs.join(broadcast_if_small(run.select("query_id", "doc_id", "rank")), "doc_id")
     g = x.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "_t"))).alias("_l"))
     return g.select("query_id", F.transform("_l", lambda s: s["_t"]).alias("texts"))
 
