@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import index_text, tokenize
 from ..session import scratch_path
-from .topk import broadcast_if_small, measure_small, topk_per_group
+from .topk import broadcast_if_small, materialize, measure_small, topk_per_group
 
 # The Okapi BM25 defaults the reference runs with.
 K1 = 1.5
@@ -101,21 +101,23 @@ def build_bm25_index(corpus: DataFrame, id_col: str = "doc_id", text_col: str =
         postings.write.parquet(path)
         postings = spark.read.parquet(path)
     n_docs = corpus.count()
-    doc_freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"),
-                                            F.sum("tf").alias("ctf"))
-    raw = doc_freq.select("term", "df", "ctf", idf_expr(n_docs).alias("idf_raw"))
+    total = float(postings.agg(F.sum("tf")).first()[0] or 0)
+    avgdl = total / n_docs if n_docs else 0.0
+    tf = F.col("tf").cast("double")
+    sat = tf * F.lit(k1 + 1.0) / (tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0)))
+    doc_freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf"),
+                                            F.max(sat).alias("maxsat"))
+    raw = doc_freq.select("term", "df", "ctf", "maxsat", idf_expr(n_docs).alias("idf_raw"))
     if persist_to == "memory":
         raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     elif persist_to == "table":
         path = scratch_path(spark, "bm25-vocab")
         raw.write.parquet(path)
         raw = spark.read.parquet(path)
-    s = raw.agg(F.sum("ctf").alias("tokens"), F.avg("idf_raw").alias("mean_idf")).first()
-    total = float(s.tokens or 0)
-    mean_idf = float(s.mean_idf) if s.mean_idf is not None else 0.0
-    avgdl = total / n_docs if n_docs else 0.0
+    m = raw.agg(F.avg("idf_raw").alias("mean_idf")).first()
+    mean_idf = float(m.mean_idf) if m.mean_idf is not None else 0.0
     floor = epsilon * mean_idf
-    vocab = raw.select("term", "df",
+    vocab = raw.select("term", "df", "maxsat",
                        F.when(F.col("idf_raw") < 0, F.lit(floor))
                         .otherwise(F.col("idf_raw")).alias("idf"))
     doc_ids = corpus.select(F.col(id_col).alias("doc_id"))
@@ -129,21 +131,31 @@ def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "text")
             .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
-def bm25_contributions(index: BM25Index, queries: DataFrame, qid: str = "query_id",
-                       qtext: str = "text") -> DataFrame:
-    """``(query_id, doc_id, c)`` per matching (query term, posting)."""
+def _weighted_terms(index: BM25Index, queries: DataFrame, qid: str, qtext: str) -> tuple[DataFrame, bool]:
+    """``(query_id, term, qtf, idf, df, maxsat)`` for query terms in the vocabulary,
+    and whether that (measured) frame is small enough to broadcast."""
     qt, small = measure_small(query_terms(queries, qid, qtext))
-    vocab = index.vocab.select("term", "idf")
+    vocab = index.vocab.select("term", "idf", "df", "maxsat")
     if small:
         # terms are unique in the vocabulary, so the join cannot outgrow the checked side
-        qt = F.broadcast(F.broadcast(qt).join(vocab, "term"))
-    else:
-        qt = qt.join(vocab, "term")
+        return F.broadcast(qt).join(vocab, "term"), True
+    return qt.join(vocab, "term"), False
+
+
+def _contrib(index: BM25Index, postings: DataFrame, qt: DataFrame) -> DataFrame:
     k1, b, avgdl = index.k1, index.b, index.avgdl
     tf = F.col("tf").cast("double")
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
     c = F.col("qtf") * F.col("idf") * (tf * F.lit(k1 + 1.0) / (tf + norm))
-    return index.postings.join(qt, "term").select("query_id", "doc_id", c.alias("c"))
+    return postings.join(qt, "term").select("query_id", "doc_id", c.alias("c"))
+
+
+def bm25_contributions(index: BM25Index, queries: DataFrame, qid: str = "query_id",
+                       qtext: str = "text", terms: tuple[DataFrame, bool] | None = None) -> DataFrame:
+    """``(query_id, doc_id, c)`` per matching (query term, posting)."""
+    qt, small = terms or _weighted_terms(index, queries, qid, qtext)
+    qt = qt.select("query_id", "term", "qtf", "idf")
+    return _contrib(index, index.postings, F.broadcast(qt) if small else qt)
 
 
 def _padding(index: BM25Index, queries: DataFrame, k: int, qid: str,
@@ -175,25 +187,15 @@ def _padding(index: BM25Index, queries: DataFrame, k: int, qid: str,
 
 
 def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id",
-                qtext: str = "text") -> DataFrame:
+                qtext: str = "text", terms: tuple[DataFrame, bool] | None = None) -> DataFrame:
     """``(query_id, doc_id, score)`` for every document containing a query
     term. The postings are partitioned by doc_id, so this sum is shuffle-free."""
-    parts = bm25_contributions(index, queries, qid, qtext)
+    parts = bm25_contributions(index, queries, qid, qtext, terms)
     return parts.groupBy("query_id", "doc_id").agg(F.sum("c").alias("score"))
 
 
-def bm25_topk(index: BM25Index, queries: DataFrame, k: int | None = 1000,
-              qid: str = "query_id", qtext: str = "text", pad: bool = True) -> DataFrame:
-    """Run ``(query_id, doc_id, score, rank)``: the k best documents per query,
-    score-0 documents included as in an exhaustive ranking.
-
-    The top k of the hits (partial per-partition limit, then one shuffle of at
-    most k rows per query and partition) is merged with the padding pool; a
-    document in both keeps its hit score.
-    """
-    if k is None or k < 1:
-        raise ValueError("bm25_topk needs a positive k (ranking every document emits all pairs)")
-    scores = bm25_scores(index, queries, qid, qtext)
+def _exhaustive_topk(index, queries, k, qid, qtext, pad, terms=None):
+    scores = bm25_scores(index, queries, qid, qtext, terms)
     hits = topk_per_group(scores, "query_id", k)
     if not pad:
         return hits
@@ -201,3 +203,87 @@ def bm25_topk(index: BM25Index, queries: DataFrame, k: int | None = 1000,
             .unionByName(_padding(index, queries, k, qid, scores).withColumn("_hit", F.lit(0))))
     merged = both.groupBy("query_id", "doc_id").agg(F.max_by("score", "_hit").alias("score"))
     return topk_per_group(merged, "query_id", k)
+
+
+PRUNE_MIN_CONTRIBUTIONS = 200_000_000
+
+
+def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000,
+              qid: str = "query_id", qtext: str = "text", pad: bool = True,
+              prune: bool | None = None, selective_df: int | None = None,
+              prune_min_rows: int = PRUNE_MIN_CONTRIBUTIONS) -> DataFrame:
+    """Run ``(query_id, doc_id, score, rank)``: the k best documents per query,
+    score-0 documents included as in an exhaustive ranking.
+
+    Exhaustive scoring: the top k of the hits (partial per-partition limit, then
+    one shuffle of at most k rows per query and partition) is merged with the
+    padding pool; a document in both keeps its hit score.
+
+    ``prune=True`` first proves, per query, which documents can reach the top k
+    (see ``_pruned_topk``) and scores only those; queries the bound cannot
+    prune fall back to exhaustive scoring. Both give the same run. With
+    ``prune=None`` (default) the choice is made from the exact size of the
+    exhaustive work, ``sum(df)`` over the query terms: pruning costs a few more
+    passes, so it is used once exhaustive scoring would emit more than
+    ``prune_min_rows`` (query, posting) rows.
+    """
+    if k is None or k < 1:
+        raise ValueError("bm25_topk needs a positive k (ranking every document emits all pairs)")
+    if index.mean_idf <= 0 or prune is False:
+        return _exhaustive_topk(index, queries, k, qid, qtext, pad)
+    if prune is None:
+        terms = _weighted_terms(index, queries, qid, qtext)
+        work = terms[0].agg(F.sum("df")).first()[0] or 0
+        if work <= prune_min_rows:
+            return _exhaustive_topk(index, queries, k, qid, qtext, pad, terms)
+    return _pruned_topk(index, queries, k, qid, qtext, pad, selective_df)
+
+
+def _pruned_topk(index, queries, k, qid, qtext, pad, selective_df):
+    """Exact top-k with a score bound (MaxScore idea, as joins).
+
+    Every idf is >= 0 here (mean idf > 0), so scores only grow as terms are
+    added. Per query: (1) score with its selective terms only (df <= D); the
+    k-th best partial score ``theta`` is a lower bound on the true k-th score.
+    (2) The common terms can add at most ``ub = sum(qtf * idf * max saturated
+    tf)`` to any document, so a document whose partial score plus ``ub`` is
+    below ``theta`` cannot reach the top k - in particular no document without
+    a selective term can, once ``ub < theta``. (3) Only the remaining candidates
+    get the common-term contributions, through a lookup join on (doc_id, term)
+    that is co-partitioned with the doc-partitioned postings; hot posting lists
+    are probed, not emitted or aggregated. Queries where ``ub >= theta`` or with
+    fewer than k partial hits take the exhaustive path.
+    """
+    d_cut = selective_df if selective_df is not None else max(1000, index.n_docs // 100)
+    qt, small = _weighted_terms(index, queries, qid, qtext)
+    qt = materialize(qt.withColumn("_sel", F.col("df") <= d_cut))
+    b = F.broadcast if small else (lambda x: x)
+    sel = qt.filter("_sel").select("query_id", "term", "qtf", "idf")
+    com = qt.filter(~F.col("_sel"))
+    partial = materialize(_contrib(index, index.postings, b(sel))
+                          .groupBy("query_id", "doc_id").agg(F.sum("c").alias("p")))
+    top = topk_per_group(partial, "query_id", k, score="p")
+    theta = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"), F.min("p").alias("theta"))
+    ub = com.groupBy("query_id").agg(F.sum(F.col("qtf") * F.col("idf") * F.col("maxsat")).alias("ub"))
+    all_q = queries.select(F.col(qid).alias("query_id")).distinct()
+    plan = (all_q.join(theta, "query_id", "left").join(ub, "query_id", "left")
+            .fillna(0, ["_n"]).fillna(0.0, ["ub"]))
+    plan = materialize(plan.withColumn("_prune", (F.col("_n") == k) & (F.col("ub") < F.col("theta"))))
+    pruned = plan.filter("_prune").select("query_id", "theta", "ub")
+    rest_ids = plan.filter(~F.col("_prune")).select("query_id")
+    cand = partial.join(broadcast_if_small(pruned), "query_id") \
+                  .filter(F.col("p") + F.col("ub") >= F.col("theta")).select("query_id", "doc_id", "p")
+    cand = materialize(cand)
+    lookups = cand.join(F.broadcast(com.select("query_id", "term", "qtf", "idf")) if small else
+                        com.select("query_id", "term", "qtf", "idf"), "query_id")
+    lookups = broadcast_if_small(lookups)
+    k1, bb, avgdl = index.k1, index.b, index.avgdl
+    tf = F.col("tf").cast("double")
+    norm = F.lit(k1) * (F.lit(1.0 - bb) + F.lit(bb) * F.col("dl") / F.lit(avgdl))
+    add = index.postings.join(lookups, ["doc_id", "term"]).select(
+        "query_id", "doc_id", (F.col("qtf") * F.col("idf") * (tf * F.lit(k1 + 1.0) / (tf + norm))).alias("c"))
+    full = (cand.select("query_id", "doc_id", F.col("p").alias("c")).unionByName(add)
+            .groupBy("query_id", "doc_id").agg(F.sum("c").alias("score")))
+    pruned_run = topk_per_group(full, "query_id", k)
+    rest_q = queries.join(rest_ids.withColumnRenamed("query_id", qid), qid, "left_semi")
+    return pruned_run.unionByName(_exhaustive_topk(index, rest_q, k, qid, qtext, pad))

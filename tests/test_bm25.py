@@ -104,3 +104,30 @@ def test_index_save_load_and_table_mode(spark, tmp_dir):
     assert sorted(map(tuple, bm25.bm25_topk(saved, qs, k=4).collect())) == want
     table = bm25.build_bm25_index(corpus, persist_to="table")
     assert sorted(map(tuple, bm25.bm25_topk(table, qs, k=4).collect())) == want
+
+
+@pytest.mark.parametrize("cut", [0, 1, 2, 3, 100])
+def test_pruned_topk_equals_exhaustive(spark, cut):
+    corpus = spark.createDataFrame(list(DOCS.items()), "doc_id string, text string")
+    qs = spark.createDataFrame(list(QUERIES.items()) + [("q6", "quick brown dog jumps fox the")],
+                               "query_id string, text string")
+    idx = bm25.build_bm25_index(corpus)
+    for k in (1, 2, 4):
+        a = sorted(map(tuple, bm25.bm25_topk(idx, qs, k=k, prune=True, selective_df=cut).collect()))
+        b = sorted(map(tuple, bm25.bm25_topk(idx, qs, k=k, prune=False).collect()))
+        assert [x[:2] + (x[3],) for x in a] == [x[:2] + (x[3],) for x in b]
+        for x, y in zip(a, b):
+            assert x[2] == pytest.approx(y[2], abs=1e-9)
+
+
+def test_pruned_topk_on_documents(spark):
+    from conftest import SF_MID
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").selectExpr("doc_id", "source AS title", "text")
+    qs = spark.read.parquet(f"{SF_MID}/benchmark.parquet").selectExpr("item_id AS query_id", "text")
+    idx = bm25.build_bm25_index(docs, "doc_id", "text", "title")
+    for cut in (5, 50, 400):
+        a = bm25.bm25_topk(idx, qs, k=10, prune=True, selective_df=cut)
+        b = bm25.bm25_topk(idx, qs, k=10, prune=False)
+        ka = sorted((r.query_id, r.rank, r.doc_id, round(r.score, 6)) for r in a.collect())
+        kb = sorted((r.query_id, r.rank, r.doc_id, round(r.score, 6)) for r in b.collect())
+        assert ka == kb, cut
