@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import child_id, pick_text, preview
 from .grading import dedupe_last
 from .rerank import rerank
-from .topk import broadcast_if_small, materialize, topk_per_group
+from .topk import broadcast_if_small, materialize, measure_small, topk_per_group
 
 TEXT_FIELDS = ("prefixed_text", "text")
 
@@ -93,14 +93,16 @@ def candidate_context(run: DataFrame, children: DataFrame, expanded: DataFrame |
     side: it is broadcast into the child scan, and the hit keys are broadcast
     into the expansion and article scans, so none of the big tables is
     shuffled for a lookup."""
-    ids = broadcast_if_small(run.select("doc_id").distinct())
-    hit_children = materialize(children.join(ids, "doc_id"))
+    ids, small = measure_small(run.select("doc_id").distinct())
+    hit_children = materialize(children.join(F.broadcast(ids) if small else ids, "doc_id"))
+    # doc_id is unique in the child corpus, so the hit keys are no more than the
+    # measured ids: their bound is proven without another measuring job
+    bc = F.broadcast if small else broadcast_if_small
     if expanded is not None:
-        keys = broadcast_if_small(hit_children.select("law_key", "start", "end").distinct())
-        expanded = expanded.join(keys, ["law_key", "start", "end"])
+        expanded = expanded.join(bc(hit_children.select("law_key", "start", "end").distinct()),
+                                 ["law_key", "start", "end"])
     if articles is not None:
-        lk = broadcast_if_small(hit_children.select("law_key").distinct())
-        articles = articles.join(lk, "law_key")
+        articles = articles.join(bc(hit_children.select("law_key").distinct()), "law_key")
     return with_parent_context(hit_children, expanded, articles)
 
 
