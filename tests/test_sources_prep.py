@@ -110,3 +110,16 @@ def test_sparse_grid_counts(spark):
     pos = spark.createDataFrame([(1, "d1", 1), (1, "d1", 1), (2, "d3", 1)], "no int, doc_ids string, rel int")
     g = {r.no: (r.n_cells, r.n_pos, r.n_zero) for r in prep.relevance_grid(qs, st, pos).collect()}
     assert g == {1: (5, 2, 3), 2: (4, 1, 3), 3: (4, 0, 4)}
+
+
+def test_rag_json_multiline_array(spark, tmp_dir):
+    d = local(tmp_dir)
+    recs = ('[{"no": 1, "question": "q", "rag_data": {"question_only": {"retrieved_docs": {"results": '
+            '[{"doc_id": "docid7"}, {"doc_id": "case1"}]}}}},\n'
+            ' {"no": 2, "question": "r", "rag_data": null}]')
+    write(d + "/a", "x.json", recs)
+    schema = ("no long, question string, rag_data struct<question_only: struct<retrieved_docs: "
+              "struct<results: array<struct<doc_id: string>>>>>")
+    df = src.scan_rag_json(spark, [d + "/a/*.json", d + "/missing/*.json"], schema, multi_line=True)
+    got = {r.no: r.ids for r in df.select("no", prep.extract_doc_ids("rag_data").alias("ids")).collect()}
+    assert got == {1: ["docid7"], 2: []}
