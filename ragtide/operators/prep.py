@@ -9,7 +9,6 @@ never built.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import lines
-
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -182,5 +180,3 @@ def statutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.concat(F.lit("docid"), F.col("doc_id").cast("string")).alias("id"),
                     F.col("text").alias("contents"))
 
-
-__all__ = ["lines"]
