@@ -41,7 +41,7 @@ FLUSH_BYTES = 8 << 20
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Where the two regex engines could class a character differently, the
 #: tokenizer itself splits the text.
-UNUSUAL = "[^\x00-\x1b\x20-\x84\x86-˿‐-‧€]"
+UNUSUAL = f"[^\x00-\x1b\x20-\x84\x86-{chr(0x2ff)}{chr(0x2010)}-{chr(0x2027)}{chr(0x20ac)}]"
 
 
 def default_tokenizer() -> str:

@@ -109,27 +109,38 @@ def ngram_weights(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKET
     return counts.select("bucket", F.round(ratio * SCALE).cast("long").alias("weight"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
-                  n_buckets: int = N_BUCKETS, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """Statistics, score and verdict for each row of ``docs`` (doc_id, text)."""
+def _scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+            n_buckets: int = N_BUCKETS, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     weights = ngram_weights(docs, trusted_sample(labels, max_trusted), n_buckets)
-    rows = (docs.select("doc_id", text_or_empty().alias("_t"))
-            .select(F.monotonically_increasing_id().alias("_row"), "doc_id", "_t",
+    rows = (docs.select("doc_id", row_key()[1], text_or_empty().alias("_t"))
+            .select(F.monotonically_increasing_id().alias("_row"), "doc_id", "_h", "_t",
                     words_of(F.col("_t")).alias("_w"))
-            .select("_row", "doc_id", "_t", F.size("_w").cast("long").alias("n_words"),
+            .select("_row", "doc_id", "_h", "_t", F.size("_w").cast("long").alias("n_words"),
                     F.length(F.concat_ws("", "_w")).cast("long").alias("word_chars"),
                     F.transform("_w", lambda w: F.xxhash64(w)).alias("_wh"))
-            .select("_row", "doc_id", "n_words", "word_chars",
+            .select("_row", "doc_id", "_h", "n_words", "word_chars",
                     *[c.alias(k) for k, c in base_columns(F.col("_t")).items()],
                     repeat_words(F.col("_wh")).alias("n_repeat_words"),
                     ngram_buckets(F.col("_wh"), n_buckets).alias("_b")))
-    keys = ["_row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    keys = [c for c in rows.columns if c != "_b"]
+    mean = F.coalesce(F.sum("weight"), F.lit(0)) / SCALE / F.greatest(F.count("bucket"), F.lit(1))
     scored = (rows.select(*keys, F.explode_outer("_b").alias("bucket"))
-              .join(F.broadcast(weights), "bucket", "left")
-              .groupBy(*keys).agg((F.coalesce(F.sum("weight"), F.lit(0)) / SCALE
-                                   / F.greatest(F.count("bucket"), F.lit(1))).alias("llr")))
+              .join(F.broadcast(weights), "bucket", "left").groupBy(*keys).agg(mean.alias("llr")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return (scored.withColumn("base_failed", failed)
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "base_failed", (~F.col("base_failed") & (F.col("llr") >= threshold)).alias("kept"),
-                    F.col("llr")))
+    return scored.withColumn("base_failed", failed).withColumn(
+        "kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """Statistics, score and verdict for each row of ``docs`` (doc_id, text)."""
+    return _scored(docs, labels, **options).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "llr")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """Rows of ``docs`` that ``quality_rules`` keeps; equal texts share a verdict."""
+    verdicts = _scored(docs, labels, **options)
+    good = verdicts.where("kept").select(F.col("doc_id").alias("_id"), "_h").distinct()
+    keyed = docs.withColumns(dict(zip(("_id", "_h"), row_key())))
+    return join_on_key(keyed, good, "left_semi").drop("_id", "_h")
