@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_on_key, let, row_key, text_or_empty, words_of
+from .common import join_on_key, let, row_key, text_or_empty, words_of, written
 
 N_BUCKETS = 1 << 16
 #: A document may be this far below the corpus mean, in nats per n-gram.
@@ -98,9 +98,10 @@ def ngram_weights(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKET
     an integer. ``trusted`` (``_tid``) is a bounded sample of ids."""
     marked = docs.select("doc_id", text_or_empty().alias("_t")).join(
         F.broadcast(trusted), F.col("doc_id") == F.col("_tid"), "left")
-    counts = (marked.select(F.col("_tid").isNotNull().cast("int").alias("good"),
+    # written, since both the totals and the weights read it
+    counts = written(marked.select(F.col("_tid").isNotNull().cast("int").alias("good"),
                             F.explode(ngram_buckets(word_hashes(F.col("_t")), n_buckets)).alias("bucket"))
-              .groupBy("bucket").agg(F.count("*").alias("n"), F.sum("good").alias("g")))
+              .groupBy("bucket").agg(F.count("*").alias("n"), F.sum("good").alias("g")), "ngrams")
     total = counts.agg(F.sum("n").alias("n"), F.sum("g").alias("g")).first()
     n, g = total["n"] or 0, total["g"] or 0
     if not g:

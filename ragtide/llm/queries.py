@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, quality_rules, simhash, substring_dedup
+from . import decontaminate, packing, pii, quality_rules, simhash, substring_dedup, token_counts, warc
 from .common import table
 
 
@@ -19,6 +19,17 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_archives(table(spark, sf_dir, "pages"))
+    index = warc.build_index(archive)
+    found = warc.lookup(index, archive.select("key"))
+    return warc.read_records(found).drop("payload", "url", "status")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
