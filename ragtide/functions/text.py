@@ -7,6 +7,8 @@ and inside other expressions. Python string semantics the reference relies on
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,24 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``body`` (also inside lambdas,
+    where an inlined expression would run again for every element)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def runs(values: Column) -> Column:
+    """``[(value, n), ...]``: distinct elements of an array with their counts, in
+    order. One sort, then each element meets its left neighbour once."""
+    def counted(s):
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                         lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(first, lambda at: F.transform(at, lambda a, k: F.struct(
+            F.get(s, a).alias("value"), (F.coalesce(F.get(at, k + 1), F.size(s)) - a).alias("n"))))
+
+    return let(F.sort_array(values), lambda s: F.when(F.size(s) > 0, counted(s)))
+
+
 def tokenize(text) -> Column:
     """Lower-case, then every maximal run of Unicode word characters."""
     return F.regexp_extract_all(F.lower(F.coalesce(_c(text), F.lit(""))),

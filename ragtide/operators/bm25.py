@@ -1,15 +1,18 @@
 """Okapi BM25 as a postings table and a join.
 
-Index build (once, reusable): tokenize ``title + " " + text``, explode, and
-aggregate to ``postings(term, doc_id, dl, tf)``; ``vocab(term, df, idf)``
-from the postings. Three corpus scalars (N, average length, mean idf) come
-from one small aggregate each and are frozen into the index.
-
-Retrieval: query terms (bounded, size-checked, broadcast) join the postings on
-``term``; per-(query, doc) contributions are summed with a map-side partial
-aggregate; per-query top-k via ``row_number`` (partial ``WindowGroupLimit``).
-Only documents that contain a query term are touched; the score-0 documents
-the reference also ranks are added back from a bounded pool (see
+Index build (once, reusable): the terms of ``title + " " + text`` are counted
+inside the row, so the build shuffles postings and never texts. Postings
+``(bucket, term, doc_id, dl, tf)`` are written to the shared folder, one Parquet
+partition for each term bucket, sorted by term; a hot term's postings are split
+by document range into several files of its bucket. ``vocab(term, df, idf)``
+comes from the postings; three corpus scalars (N, average length, mean idf) are
+frozen into the index.
+
+Retrieval: query terms (bounded, size-checked, broadcast) join the postings of
+their buckets only (partition pruning) on ``term``; contributions per (query,
+doc) are summed with a map-side partial aggregate, so only hits are shuffled;
+per-query top-k via ``row_number`` (partial ``WindowGroupLimit``). The score-0
+documents the reference also ranks are added back from a bounded pool (see
 ``_padding``).
 """
 
@@ -17,11 +20,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import index_text, tokenize
+from ..functions.text import index_text, runs, tokenize
 from ..session import scratch_path
 from .topk import broadcast_if_small, materialize, measure_small, topk_per_group
 
@@ -29,57 +31,46 @@ from .topk import broadcast_if_small, materialize, measure_small, topk_per_group
 K1 = 1.5
 B = 0.75
 EPSILON = 0.25
+#: Layout of a written index: term buckets, and files for each of them. Both
+#: follow the corpus (a few hundred MB for each file is a good size).
+N_BUCKETS, DOC_RANGES = 16, 2
+#: Documents looked at in one step when scores can be negative.
+PAD_CHUNK = 1000
 
 
 @dataclass
 class BM25Index:
-    postings: DataFrame  # term, doc_id, dl, tf
+    postings: DataFrame  # term, doc_id, dl, tf, bucket (partition column)
     vocab: DataFrame     # term, df, idf
     doc_ids: DataFrame   # doc_id of every document (empty ones too)
     n_docs: int
     avgdl: float
     mean_idf: float
+    n_buckets: int
     k1: float = K1
     b: float = B
     epsilon: float = EPSILON
 
-    def save(self, path: str) -> "BM25Index":
-        """Write postings/vocab/doc ids as Parquet; returns the re-read index."""
-        self.postings.write.mode("overwrite").parquet(f"{path}/postings")
-        self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-        self.doc_ids.write.mode("overwrite").parquet(f"{path}/doc_ids")
-        spark = self.postings.sparkSession
-        meta = spark.createDataFrame(
-            [(self.n_docs, self.avgdl, self.mean_idf, self.k1, self.b, self.epsilon)],
-            "n_docs bigint, avgdl double, mean_idf double, k1 double, b double, epsilon double")
-        meta.write.mode("overwrite").parquet(f"{path}/meta")
-        return load_bm25_index(spark, path)
-
 
 def load_bm25_index(spark, path: str) -> BM25Index:
     m = spark.read.parquet(f"{path}/meta").first()
     return BM25Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/vocab"),
                      spark.read.parquet(f"{path}/doc_ids"), int(m.n_docs), float(m.avgdl),
-                     float(m.mean_idf), float(m.k1), float(m.b), float(m.epsilon))
+                     float(m.mean_idf), int(m.n_buckets), float(m.k1), float(m.b), float(m.epsilon))
+
+
+def term_bucket(n_buckets: int):
+    return F.pmod(F.xxhash64("term"), F.lit(n_buckets)).cast("int")
 
 
 def corpus_postings(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     title_col: str | None = None) -> DataFrame:
-    """``(term, doc_id, dl, tf)`` for every (document, distinct term).
-
-    The corpus is hash-partitioned by ``doc_id`` first, so the term-frequency
-    aggregate needs no further exchange and the postings come out partitioned
-    by ``doc_id``. Query-time sums per (query, doc) then need no shuffle.
-    """
+    """``(term, doc_id, dl, tf)`` for every (document, distinct term), without a
+    shuffle: a document is one row and its tokens are counted there."""
     title = F.col(title_col) if title_col else F.lit("")
-    n = corpus.sparkSession.sparkContext.defaultParallelism * 2
-    parts = max(n, int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    src = corpus.select(F.col(id_col).alias("doc_id"), index_text(title, F.col(text_col)).alias("_t"))
-    src = src.repartition(parts, "doc_id")
-    toks = src.select("doc_id", tokenize(F.col("_t")).alias("tokens"))
-    exploded = toks.select("doc_id", F.size("tokens").alias("dl"),
-                           F.explode("tokens").alias("term"))
-    return exploded.groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    toks = corpus.select(F.col(id_col).alias("doc_id"), tokenize(index_text(title, F.col(text_col))).alias("_k"))
+    counted = toks.select("doc_id", F.size("_k").alias("dl"), F.explode(runs(F.col("_k"))).alias("_p"))
+    return counted.select(F.col("_p.value").alias("term"), "doc_id", "dl", F.col("_p.n").cast("bigint").alias("tf"))
 
 
 def idf_expr(n_docs: int, df_col="df"):
@@ -89,39 +80,45 @@ def idf_expr(n_docs: int, df_col="df"):
 
 def build_bm25_index(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      title_col: str | None = None, k1: float = K1, b: float = B,
-                     epsilon: float = EPSILON, persist_to: str | None = "memory") -> BM25Index:
-    """Build the index. ``persist_to``: "memory" (persist), "table" (write under the
-    shared checkpoint folder and re-read), or None (stay lazy)."""
+                     epsilon: float = EPSILON, path: str | None = None,
+                     n_buckets: int = N_BUCKETS, doc_ranges: int = DOC_RANGES) -> BM25Index:
+    """Build the index under ``path`` (default: a new place in the shared folder)."""
     spark = corpus.sparkSession
-    postings = corpus_postings(corpus, id_col, text_col, title_col)
-    if persist_to == "memory":
-        postings = postings.persist(StorageLevel.MEMORY_AND_DISK)
-    elif persist_to == "table":
-        path = scratch_path(spark, "bm25-postings")
-        postings.write.parquet(path)
-        postings = spark.read.parquet(path)
-    n_docs = corpus.count()
+    path = path or scratch_path(spark, "bm25")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(doc_ranges))
+    (corpus_postings(corpus, id_col, text_col, title_col)
+     .withColumn("bucket", term_bucket(n_buckets)).withColumn("_part", part)
+     .repartition(n_buckets * doc_ranges, "bucket", "_part")
+     .sortWithinPartitions("bucket", "term").drop("_part")
+     .write.partitionBy("bucket").parquet(f"{path}/postings"))
+    postings = spark.read.parquet(f"{path}/postings") if _written(spark, path) else spark.createDataFrame(
+        [], corpus_postings(corpus, id_col, text_col, title_col).withColumn("bucket", F.lit(0)).schema)
+    corpus.select(F.col(id_col).alias("doc_id")).write.parquet(f"{path}/doc_ids")
+    doc_ids = spark.read.parquet(f"{path}/doc_ids")
+    n_docs = doc_ids.count()
     total = float(postings.agg(F.sum("tf")).first()[0] or 0)
     avgdl = total / n_docs if n_docs else 0.0
-    tf = F.col("tf").cast("double")
-    sat = tf * F.lit(k1 + 1.0) / (tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0)))
-    doc_freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf"),
-                                            F.max(sat).alias("maxsat"))
-    raw = doc_freq.select("term", "df", "ctf", "maxsat", idf_expr(n_docs).alias("idf_raw"))
-    if persist_to == "memory":
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    elif persist_to == "table":
-        path = scratch_path(spark, "bm25-vocab")
-        raw.write.parquet(path)
-        raw = spark.read.parquet(path)
+    doc_freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    raw = materialize(doc_freq.select("term", "df", idf_expr(n_docs).alias("idf_raw")))
     m = raw.agg(F.avg("idf_raw").alias("mean_idf")).first()
     mean_idf = float(m.mean_idf) if m.mean_idf is not None else 0.0
     floor = epsilon * mean_idf
-    vocab = raw.select("term", "df", "maxsat",
-                       F.when(F.col("idf_raw") < 0, F.lit(floor))
-                        .otherwise(F.col("idf_raw")).alias("idf"))
-    doc_ids = corpus.select(F.col(id_col).alias("doc_id"))
-    return BM25Index(postings, vocab, doc_ids, n_docs, avgdl, mean_idf, k1, b, epsilon)
+    raw.select("term", "df", F.when(F.col("idf_raw") < 0, F.lit(floor)).otherwise(F.col("idf_raw")).alias("idf")
+               ).write.parquet(f"{path}/vocab")
+    spark.createDataFrame(
+        [(n_docs, avgdl, mean_idf, n_buckets, k1, b, epsilon)],
+        "n_docs bigint, avgdl double, mean_idf double, n_buckets int, k1 double, b double, epsilon double",
+    ).write.parquet(f"{path}/meta")
+    return BM25Index(postings, spark.read.parquet(f"{path}/vocab"), doc_ids, n_docs, avgdl, mean_idf,
+                     n_buckets, k1, b, epsilon)
+
+
+def _written(spark, path: str) -> bool:
+    """Whether any posting was written (a corpus may hold no term at all)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{path}/postings")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return any(st.isDirectory() for st in fs.listStatus(root))
 
 
 def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "text") -> DataFrame:
@@ -131,159 +128,87 @@ def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "text")
             .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
-def _weighted_terms(index: BM25Index, queries: DataFrame, qid: str, qtext: str) -> tuple[DataFrame, bool]:
-    """``(query_id, term, qtf, idf, df, maxsat)`` for query terms in the vocabulary,
-    and whether that (measured) frame is small enough to broadcast."""
-    qt, small = measure_small(query_terms(queries, qid, qtext))
-    vocab = index.vocab.select("term", "idf", "df", "maxsat")
-    if small:
-        # terms are unique in the vocabulary, so the join cannot outgrow the checked side
-        return F.broadcast(qt).join(vocab, "term"), True
-    return qt.join(vocab, "term"), False
-
-
-def _contrib(index: BM25Index, postings: DataFrame, qt: DataFrame) -> DataFrame:
+def bm25_contributions(index: BM25Index, queries: DataFrame, qid: str = "query_id",
+                       qtext: str = "text") -> DataFrame:
+    """``(query_id, doc_id, c)`` per matching (query term, posting); reads the
+    buckets of the query terms only."""
+    qt, small = measure_small(query_terms(queries, qid, qtext).withColumn("bucket", term_bucket(index.n_buckets)))
+    # at most n_buckets numbers
+    buckets = [r[0] for r in qt.select("bucket").distinct().collect()]
+    # terms are unique in the vocabulary, so this join cannot outgrow the checked side
+    terms = (F.broadcast(qt) if small else qt).join(index.vocab.select("term", "idf"), "term").drop("bucket")
+    postings = index.postings.where(F.col("bucket").isin(buckets))
     k1, b, avgdl = index.k1, index.b, index.avgdl
     tf = F.col("tf").cast("double")
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
     c = F.col("qtf") * F.col("idf") * (tf * F.lit(k1 + 1.0) / (tf + norm))
-    return postings.join(qt, "term").select("query_id", "doc_id", c.alias("c"))
-
-
-def bm25_contributions(index: BM25Index, queries: DataFrame, qid: str = "query_id",
-                       qtext: str = "text", terms: tuple[DataFrame, bool] | None = None) -> DataFrame:
-    """``(query_id, doc_id, c)`` per matching (query term, posting)."""
-    qt, small = terms or _weighted_terms(index, queries, qid, qtext)
-    qt = qt.select("query_id", "term", "qtf", "idf")
-    return _contrib(index, index.postings, F.broadcast(qt) if small else qt)
+    return postings.join(F.broadcast(terms) if small else terms, "term").select("query_id", "doc_id", c.alias("c"))
 
 
 def _padding(index: BM25Index, queries: DataFrame, k: int, qid: str,
-             scores: DataFrame | None = None) -> DataFrame:
+             scores: DataFrame, chunk: int = PAD_CHUNK) -> DataFrame:
     """Score-0 rows so queries with fewer than k hits still return k documents.
 
     The top k of all documents is contained in (top k of the hits) + (the first
-    k non-hit documents by doc_id), and the first k non-hits lie among the
-    first ``k + hits(q)`` documents by doc_id. With every idf >= 0 (mean idf >
-    0) hit scores are >= 0, so the first k documents suffice: the pool is k rows
-    and the padding is queries x k rows joined on a position key. With a
-    non-positive mean idf (only corpora of a few documents) hits can score below
-    0 and each query is padded from the first ``k + hits(q)`` documents.
+    k non-hit documents by doc_id). With every idf >= 0 (mean idf > 0) hit scores
+    are >= 0, so the first k documents suffice, hits or not. Otherwise hits can
+    score below 0 and only non-hits count: documents are looked at in steps of
+    ``chunk`` until every query has k of them, so the rows in flight are at most
+    queries x chunk however many documents hit.
     """
-    ids = index.doc_ids
-    q = queries.select(F.col(qid).alias("query_id"))
+    q = queries.select(F.col(qid).alias("query_id")).distinct()
+
+    def slots(todo, pool, n):
+        pool = pool.withColumn("_pos", F.row_number().over(Window.orderBy("doc_id")))  # n rows
+        at = todo.select("query_id", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("_pos"))
+        return at.join(broadcast_if_small(pool), "_pos").select("query_id", "doc_id", F.lit(0.0).alias("score"))
+
     if index.mean_idf > 0:
-        n_pool, per_query = k, F.lit(k)
-    else:
-        hits = scores.groupBy("query_id").agg(F.count(F.lit(1)).alias("_h"))
-        q = q.join(hits, "query_id", "left").fillna(0, ["_h"])
-        n_pool = k + int(q.agg(F.max("_h")).first()[0] or 0)
-        per_query = F.lit(k) + F.col("_h")
-    pool = ids.orderBy("doc_id").limit(n_pool)  # bounded: n_pool rows
-    pool = pool.withColumn("_pos", F.row_number().over(Window.orderBy("doc_id")))
-    slots = q.select("query_id", F.explode(F.sequence(F.lit(1), per_query)).alias("_pos"))
-    pool = broadcast_if_small(pool)
-    return slots.join(pool, "_pos").select("query_id", "doc_id", F.lit(0.0).alias("score"))
+        return slots(q, index.doc_ids.orderBy("doc_id").limit(k), k)
+    out, last, todo = None, None, materialize(q)
+    need = materialize(todo.withColumn("_need", F.lit(k)))
+    while True:
+        rest = index.doc_ids if last is None else index.doc_ids.where(F.col("doc_id") > F.lit(last))
+        pool = materialize(rest.orderBy("doc_id").limit(chunk))
+        m = pool.agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last")).first()
+        if not m.n or not need.limit(1).count():
+            break
+        free = slots(need.select("query_id"), pool, m.n).join(
+            scores.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
+        found = materialize(topk_per_group(free, "query_id", k).drop("rank"))
+        out, last = found if out is None else out.unionByName(found), m.last
+        got = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
+        need = materialize(need.join(got, "query_id", "left")
+                           .withColumn("_need", F.col("_need") - F.coalesce("_n", F.lit(0)))
+                           .where("_need > 0").drop("_n"))
+    return out if out is not None else scores.limit(0).select("query_id", "doc_id", "score")
 
 
 def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id",
-                qtext: str = "text", terms: tuple[DataFrame, bool] | None = None) -> DataFrame:
-    """``(query_id, doc_id, score)`` for every document containing a query
-    term. The postings are partitioned by doc_id, so this sum is shuffle-free."""
-    parts = bm25_contributions(index, queries, qid, qtext, terms)
+                qtext: str = "text") -> DataFrame:
+    """``(query_id, doc_id, score)`` for every document containing a query term."""
+    parts = bm25_contributions(index, queries, qid, qtext)
     return parts.groupBy("query_id", "doc_id").agg(F.sum("c").alias("score"))
 
 
-def _exhaustive_topk(index, queries, k, qid, qtext, pad, terms=None):
-    scores = bm25_scores(index, queries, qid, qtext, terms)
-    hits = topk_per_group(scores, "query_id", k)
-    if not pad:
-        return hits
-    both = (hits.select("query_id", "doc_id", "score", F.lit(1).alias("_hit"))
-            .unionByName(_padding(index, queries, k, qid, scores).withColumn("_hit", F.lit(0))))
-    merged = both.groupBy("query_id", "doc_id").agg(F.max_by("score", "_hit").alias("score"))
-    return topk_per_group(merged, "query_id", k)
-
-
-PRUNE_MIN_CONTRIBUTIONS = 200_000_000
-
-
 def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000,
-              qid: str = "query_id", qtext: str = "text", pad: bool = True,
-              prune: bool | None = None, selective_df: int | None = None,
-              prune_min_rows: int = PRUNE_MIN_CONTRIBUTIONS) -> DataFrame:
+              qid: str = "query_id", qtext: str = "text", pad: bool = True) -> DataFrame:
     """Run ``(query_id, doc_id, score, rank)``: the k best documents per query,
     score-0 documents included as in an exhaustive ranking.
 
-    Exhaustive scoring: the top k of the hits (partial per-partition limit, then
-    one shuffle of at most k rows per query and partition) is merged with the
-    padding pool; a document in both keeps its hit score.
-
-    ``prune=True`` first proves, per query, which documents can reach the top k
-    (see ``_pruned_topk``) and scores only those; queries the bound cannot
-    prune fall back to exhaustive scoring. Both give the same run. With
-    ``prune=None`` (default) the choice is made from the exact size of the
-    exhaustive work, ``sum(df)`` over the query terms: pruning costs a few more
-    passes, so it is used once exhaustive scoring would emit more than
-    ``prune_min_rows`` (query, posting) rows.
+    The top k of the hits (partial per-partition limit, then one shuffle of at
+    most k rows per query and partition) is merged with the padding pool; a
+    document in both keeps its hit score.
     """
     if k is None or k < 1:
         raise ValueError("bm25_topk needs a positive k (ranking every document emits all pairs)")
-    if index.mean_idf <= 0 or prune is False:
-        return _exhaustive_topk(index, queries, k, qid, qtext, pad)
-    if prune is None:
-        terms = _weighted_terms(index, queries, qid, qtext)
-        work = terms[0].agg(F.sum("df")).first()[0] or 0
-        if work <= prune_min_rows:
-            return _exhaustive_topk(index, queries, k, qid, qtext, pad, terms)
-    return _pruned_topk(index, queries, k, qid, qtext, pad, selective_df)
-
-
-def _pruned_topk(index, queries, k, qid, qtext, pad, selective_df):
-    """Exact top-k with a score bound (MaxScore idea, as joins).
-
-    Every idf is >= 0 here (mean idf > 0), so scores only grow as terms are
-    added. Per query: (1) score with its selective terms only (df <= D); the
-    k-th best partial score ``theta`` is a lower bound on the true k-th score.
-    (2) The common terms can add at most ``ub = sum(qtf * idf * max saturated
-    tf)`` to any document, so a document whose partial score plus ``ub`` is
-    below ``theta`` cannot reach the top k - in particular no document without
-    a selective term can, once ``ub < theta``. (3) Only the remaining candidates
-    get the common-term contributions, through a lookup join on (doc_id, term)
-    that is co-partitioned with the doc-partitioned postings; hot posting lists
-    are probed, not emitted or aggregated. Queries where ``ub >= theta`` or with
-    fewer than k partial hits take the exhaustive path.
-    """
-    d_cut = selective_df if selective_df is not None else max(1000, index.n_docs // 100)
-    qt, small = _weighted_terms(index, queries, qid, qtext)
-    qt = materialize(qt.withColumn("_sel", F.col("df") <= d_cut))
-    b = F.broadcast if small else (lambda x: x)
-    sel = qt.filter("_sel").select("query_id", "term", "qtf", "idf")
-    com = qt.filter(~F.col("_sel"))
-    partial = materialize(_contrib(index, index.postings, b(sel))
-                          .groupBy("query_id", "doc_id").agg(F.sum("c").alias("p")))
-    top = topk_per_group(partial, "query_id", k, score="p")
-    theta = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"), F.min("p").alias("theta"))
-    ub = com.groupBy("query_id").agg(F.sum(F.col("qtf") * F.col("idf") * F.col("maxsat")).alias("ub"))
-    all_q = queries.select(F.col(qid).alias("query_id")).distinct()
-    plan = (all_q.join(theta, "query_id", "left").join(ub, "query_id", "left")
-            .fillna(0, ["_n"]).fillna(0.0, ["ub"]))
-    plan = materialize(plan.withColumn("_prune", (F.col("_n") == k) & (F.col("ub") < F.col("theta"))))
-    pruned = plan.filter("_prune").select("query_id", "theta", "ub")
-    rest_ids = plan.filter(~F.col("_prune")).select("query_id")
-    cand = partial.join(broadcast_if_small(pruned), "query_id") \
-                  .filter(F.col("p") + F.col("ub") >= F.col("theta")).select("query_id", "doc_id", "p")
-    cand = materialize(cand)
-    lookups = cand.join(F.broadcast(com.select("query_id", "term", "qtf", "idf")) if small else
-                        com.select("query_id", "term", "qtf", "idf"), "query_id")
-    lookups = broadcast_if_small(lookups)
-    k1, bb, avgdl = index.k1, index.b, index.avgdl
-    tf = F.col("tf").cast("double")
-    norm = F.lit(k1) * (F.lit(1.0 - bb) + F.lit(bb) * F.col("dl") / F.lit(avgdl))
-    add = index.postings.join(lookups, ["doc_id", "term"]).select(
-        "query_id", "doc_id", (F.col("qtf") * F.col("idf") * (tf * F.lit(k1 + 1.0) / (tf + norm))).alias("c"))
-    full = (cand.select("query_id", "doc_id", F.col("p").alias("c")).unionByName(add)
-            .groupBy("query_id", "doc_id").agg(F.sum("c").alias("score")))
-    pruned_run = topk_per_group(full, "query_id", k)
-    rest_q = queries.join(rest_ids.withColumnRenamed("query_id", qid), qid, "left_semi")
-    return pruned_run.unionByName(_exhaustive_topk(index, rest_q, k, qid, qtext, pad))
+    scores = bm25_scores(index, queries, qid, qtext)
+    if pad and index.mean_idf <= 0:
+        scores = materialize(scores)  # the padding reads them once for each step
+    hits = topk_per_group(scores, "query_id", k)
+    if not pad:
+        return hits
+    both = (hits.select("query_id", "doc_id", "score", F.lit(1).alias("_hit"))
+            .unionByName(_padding(index, queries, k, qid, scores).withColumn("_hit", F.lit(0))))
+    merged = both.groupBy("query_id", "doc_id").agg(F.max_by("score", "_hit").alias("score"))
+    return topk_per_group(merged, "query_id", k)

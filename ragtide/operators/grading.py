@@ -29,7 +29,8 @@ def grade_answers(key: DataFrame, sub: DataFrame, id_col: str = "ID", ans_col: s
         .select(id_col, F.col(ans_col).alias("answer_key"))
     s = dedupe_first(sub.select(id_col, ans_col, order), id_col, order) \
         .select(id_col, F.col(ans_col).alias("answer_sub"))
-    j = k.join(s, id_col, "left")
+    # null-safe: a row without an ID meets the other side's row without one
+    j = k.join(s.withColumnRenamed(id_col, "_sid"), F.col(id_col).eqNullSafe(F.col("_sid")), "left").drop("_sid")
     j = j.withColumn("_pk", parse_answer(F.col("answer_key"))) \
          .withColumn("_ps", parse_answer(F.col("answer_sub")))
     correct = ((F.col("_pk.kind") != "str") & (F.col("_ps.kind") != "str")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import compose_question, format_doc, format_query
 from ..session import ship_package
-from .topk import broadcast_if_small
+from .topk import broadcast_if_small, materialize
 
 DOC_ID_PREFIX = "docid"
 
@@ -105,46 +105,63 @@ def _hash_key(cols: list[str], seed: int):
                              F.lit(str(seed))))
 
 
+#: Distinct rows that are ranked in one task, and copies expanded in one cell.
+RANK_ROWS, EXPAND_ROWS = 100_000, 1000
+
+
+def _cut(g: DataFrame, want: int, rank_rows: int) -> tuple[str, int]:
+    """``(prefix, before)``: the hash prefix under which the ``want``-th row lies,
+    and the rows below that prefix. The prefix grows by three hex digits (a
+    histogram of at most 4,096 rows each time) until few distinct rows share it."""
+    prefix, before = "", 0
+    while True:
+        size = len(prefix) + 3
+        hist = (g.where(F.startswith("_h", F.lit(prefix))).groupBy(F.substring("_h", 1, size).alias("p"))
+                .agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("d")).orderBy("p").collect())
+        for r in hist:
+            if before + r["n"] >= want:
+                break
+            before += int(r["n"])
+        prefix = r["p"]
+        if r["d"] <= rank_rows or size >= 32:
+            return prefix, before
+
+
 def seeded_split(df: DataFrame, key_cols: list[str], fraction: float = 0.2, seed: int = 42,
-                 n_buckets: int = 4096) -> DataFrame:
+                 rank_rows: int = RANK_ROWS) -> DataFrame:
     """Add ``split`` = 'val' for exactly ``ceil(fraction * n)`` rows, 'train'
     for the rest, in the order of a seeded hash of ``key_cols``.
 
     Exact without a global sort: identical rows are first collapsed with a
-    count (map-side partial aggregate, so a row repeated a third of the time
-    costs nothing), a histogram of hash buckets (bounded, ``n_buckets`` rows)
-    locates the cut bucket, and only that bucket's distinct rows are ranked.
-    Rows are then re-expanded from their counts.
+    count (map-side partial aggregate) and written once; histograms of hash
+    prefixes locate the cut, and only the distinct rows under one prefix (at most
+    ``rank_rows``) are ranked. Rows are then re-expanded from their counts, at
+    most ``EXPAND_ROWS`` to a cell.
     """
     cols = df.columns
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    g = g.withColumn("_h", _hash_key(key_cols + [c for c in cols if c not in key_cols], seed))
-    g = g.withColumn("_b", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int") % n_buckets)
-    hist = g.groupBy("_b").agg(F.sum("_n").alias("_cnt")).orderBy("_b").collect()  # <= n_buckets rows
-    total = sum(int(r["_cnt"]) for r in hist)
-    want = math.ceil(fraction * total) if total else 0
-    acc, cut_b, before = 0, None, 0
-    for r in hist:
-        if acc + int(r["_cnt"]) >= want:
-            cut_b, before = int(r["_b"]), acc
-            break
-        acc += int(r["_cnt"])
-    if want == 0 or cut_b is None:
-        taken = F.lit(0)
-        g = g.withColumn("_take", taken)
+    g = materialize(g.withColumn("_h", _hash_key(key_cols + [c for c in cols if c not in key_cols], seed)))
+    total = g.agg(F.sum("_n")).first()[0] or 0
+    want = math.ceil(fraction * total)
+    if not want:
+        taken = g.withColumn("_take", F.lit(0).cast("bigint"))
     else:
-        w = Window.partitionBy("_b").orderBy("_h", *cols).rowsBetween(Window.unboundedPreceding, -1)
-        cut = g.filter(F.col("_b") == cut_b)
-        cut = cut.withColumn("_cum", F.coalesce(F.sum("_n").over(w), F.lit(0)) + F.lit(before))
+        prefix, before = _cut(g, want, rank_rows)
+        under = F.startswith("_h", F.lit(prefix))
+        w = Window.orderBy("_h", *cols).rowsBetween(Window.unboundedPreceding, -1)  # at most rank_rows rows
+        cut = g.filter(under).withColumn("_cum", F.coalesce(F.sum("_n").over(w), F.lit(0)) + F.lit(before))
         cut = cut.withColumn("_take", F.greatest(F.lit(0), F.least(F.col("_n"), F.lit(want) - F.col("_cum"))))
-        rest = g.filter(F.col("_b") != cut_b).withColumn(
-            "_take", F.when(F.col("_b") < cut_b, F.col("_n")).otherwise(F.lit(0)))
-        g = rest.unionByName(cut.drop("_cum"))
-    val = g.filter(F.col("_take") > 0).select(*cols, F.lit("val").alias("split"),
-                                               F.explode(F.sequence(F.lit(1), F.col("_take"))).alias("_i"))
-    train = g.filter(F.col("_n") > F.col("_take")).select(
-        *cols, F.lit("train").alias("split"), F.explode(F.sequence(F.lit(1), F.col("_n") - F.col("_take"))).alias("_i"))
-    return val.unionByName(train).drop("_i")
+        rest = g.filter(~under).withColumn(
+            "_take", F.when(F.col("_h") < prefix, F.col("_n")).otherwise(F.lit(0)))
+        taken = rest.unionByName(cut.drop("_cum"))
+
+    def expanded(n, split: str) -> DataFrame:
+        x = taken.withColumn("_c", n).where("_c > 0").select(
+            *cols, "_c", F.explode(F.sequence(F.lit(0), F.floor((F.col("_c") - 1) / EXPAND_ROWS))).alias("_k"))
+        size = F.least(F.lit(EXPAND_ROWS), F.col("_c") - F.col("_k") * EXPAND_ROWS)
+        return x.select(*cols, F.lit(split).alias("split"), F.explode(F.sequence(F.lit(1), size)).alias("_i")).drop("_i")
+
+    return expanded(F.col("_take"), "val").unionByName(expanded(F.col("_n") - F.col("_take"), "train"))
 
 
 def train_val_split(qrels: DataFrame, all_rows: DataFrame, test_size: float = 0.2, seed: int = 42,
@@ -204,46 +221,64 @@ def relevant_docs(val_rel: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set(F.col("corpus_id").cast("string"))).alias("corpus_ids"))
 
 
+def _fill(texts_of_rows, batch_size: int) -> list[int]:
+    """Batch number of each row: the first open batch behind all batches that
+    hold one of its texts. Each text only moves forward, and full batches are
+    skipped by path-halving pointers, so a repeated text costs no search."""
+    last: dict = {}
+    sizes: list[int] = []
+    skip: list[int] = []
+    out = []
+    for texts in texts_of_rows:
+        b = 1 + max((last.get(t, -1) for t in texts), default=-1)
+        while b < len(sizes) and sizes[b] >= batch_size:
+            skip[b] = skip[skip[b]] if skip[b] < len(skip) else skip[b]
+            b = skip[b]
+        if b >= len(sizes):
+            b = len(sizes)
+            sizes.append(0)
+            skip.append(b + 1)
+        sizes[b] += 1
+        for t in texts:
+            last[t] = b
+        out.append(b)
+    return out
+
+
 def nodup_batches(pairs: DataFrame, batch_size: int = 16, shard_rows: int = 100_000,
                   text_cols: tuple[str, ...] = ("anchor", "positive"), seed: int = 42) -> DataFrame:
     """Assign ``batch_id`` so that no text occurs twice inside a batch.
 
-    Rows are hashed into bounded shards (about ``shard_rows`` each); each
-    shard fills batches first-fit in a pandas group. Batches never span
-    shards, so shards are independent.
+    Rows are dealt into shards of about ``shard_rows`` by a seeded hash of their
+    content and place, so that repeated rows spread too; each shard fills its
+    batches in a pandas group. Batches never span shards.
     """
     ship_package(pairs.sparkSession)
     n = pairs.count()
     shards = max(1, math.ceil(n / shard_rows))
-    key = F.xxhash64(*[F.col(c) for c in pairs.columns], F.lit(seed))
-    x = pairs.withColumn("_shard", F.pmod(key, F.lit(shards))).withColumn("_k", key)
+    key = F.xxhash64(*[F.col(c) for c in pairs.columns], F.monotonically_increasing_id(), F.lit(seed))
+    x = pairs.withColumn("_k", key).withColumn("_shard", F.pmod(F.col("_k"), F.lit(shards)))
     out_schema = T.StructType(pairs.schema.fields + [T.StructField("batch_id", T.StringType())])
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_k", kind="stable")
         shard = int(pdf["_shard"].iloc[0])
-        batches: list[set] = []
-        sizes: list[int] = []
-        open_from = 0
-        assigned = []
-        for texts in zip(*[pdf[c].tolist() for c in text_cols]):
-            texts = set(texts)
-            placed = -1
-            for b in range(open_from, len(batches)):
-                if sizes[b] < batch_size and not (texts & batches[b]):
-                    placed = b
-                    break
-            if placed < 0:
-                batches.append(set())
-                sizes.append(0)
-                placed = len(batches) - 1
-            batches[placed] |= texts
-            sizes[placed] += 1
-            while open_from < len(batches) and sizes[open_from] >= batch_size:
-                open_from += 1
-            assigned.append(f"{shard}-{placed}")
+        rows = (set(t) for t in zip(*[pdf[c].tolist() for c in text_cols]))
         res = pdf.drop(columns=["_shard", "_k"]).copy()
-        res["batch_id"] = assigned
+        res["batch_id"] = [f"{shard}-{b}" for b in _fill(rows, batch_size)]
         return res
 
     return x.groupBy("_shard").applyInPandas(fill, out_schema)
+
+
+def nodup_check(pairs: DataFrame, batches: DataFrame, batch_size: int = 16,
+                text_cols: tuple[str, ...] = ("anchor", "positive")) -> DataFrame:
+    """One row: rows in, rows out, texts repeated inside a batch, batches too large."""
+    texts = batches.select("batch_id", F.explode(F.array_distinct(F.array(*text_cols))).alias("t"))
+    repeats = texts.groupBy("batch_id", "t").count().where("count > 1").agg(F.count("*").alias("n_repeats"))
+    large = batches.groupBy("batch_id").count().where(F.col("count") > batch_size).agg(F.count("*").alias("n_too_large"))
+    counts = [pairs.agg(F.count("*").alias("rows_in")), batches.agg(F.count("*").alias("rows_out")), repeats, large]
+    out = counts[0].withColumn("_one", F.lit(1))
+    for c in counts[1:]:  # one row on each side
+        out = out.join(c.withColumn("_one", F.lit(1)), "_one")
+    return out.drop("_one")

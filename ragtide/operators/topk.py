@@ -8,11 +8,12 @@ corpus) from landing whole in one reducer.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written
+
 # Scores are rounded before ranking so the engine and the oracle break ties
 # identically despite different summation orders.
 RANK_DECIMALS = 9
@@ -47,16 +48,21 @@ def topk_per_group(df: DataFrame, group: str | list[str], k: int | None,
 
 def first_by_key(df: DataFrame, key: str | list[str], order: str,
                  last: bool = False) -> DataFrame:
-    """Keep one row per key: the first (or last) by ``order``.
+    """Keep one row per key: the first (or last) by ``order``; rows without an
+    order come after all others (before them for ``last``), but a key that has
+    no other row keeps one of them.
 
-    Written as ``min_by``/``max_by`` over a struct so the hash aggregate does a
-    map-side partial step: a key holding a third of all rows is reduced in
-    every map task before the shuffle instead of being sorted in one task.
+    ``min_by``/``max_by`` over a struct reduce map-side: a key holding a third
+    of all rows is reduced in every map task before the shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in others])
-    pick = F.max_by(packed, F.col(order)) if last else F.min_by(packed, F.col(order))
+    # a struct is never null, so that rows without an order still compete
+    if last:
+        pick = F.max_by(packed, F.struct(F.col(order).isNotNull(), F.col(order)))
+    else:
+        pick = F.min_by(packed, F.struct(F.col(order).isNull(), F.col(order)))
     out = df.groupBy(*keys).agg(pick.alias("_row"))
     return out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
@@ -82,16 +88,15 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def measure_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """``(frame, is_small)``: one aggregate over ``df`` proves whether it holds at
-    most ``max_rows`` rows and about ``max_bytes`` bytes. A small frame comes back
-    persisted (the join that follows reads the measured rows instead of
-    recomputing them); a large one comes back as it was."""
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    m = cached.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    if m.n <= max_rows and (m.b or 0) <= max_bytes:
-        return cached, True
-    cached.unpersist()
-    return df, False
+    """``(frame, is_small)``: whether ``df`` holds at most ``max_rows`` rows and
+    about ``max_bytes`` bytes. Counting stops in every task after ``max_rows`` + 1
+    rows, so a large frame is not computed whole to learn that it is large. A
+    small one is written to the shared folder and comes back read from there."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        return df, False
+    small = written(df, "small")
+    total = small.agg(F.sum(_row_bytes(small)).alias("b")).first().b or 0
+    return small, total <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -104,11 +109,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Persist and compute a bounded intermediate (e.g. a top-k run) that is
-    used more than once, so its lineage runs once."""
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.count()
-    return cached
+    """Write an intermediate that is used more than once, so its lineage runs
+    once; nothing stays cached."""
+    return written(df, "table")
 
 
 def round_out(c: str, decimals: int = OUT_DECIMALS) -> Column:

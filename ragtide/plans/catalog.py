@@ -13,7 +13,7 @@ from ..functions import answers as ans
 from ..functions import law as lawf
 from ..functions import text
 
-from ..operators import bm25, dense, encode, fusion, grading, ireval, law, parent, prep, qa, rerank
+from ..operators import bm25, dense, encode, fusion, grading, ireval, law, parent, prep, qa, rerank, search
 from ..operators.topk import broadcast_if_small, materialize, round_out, topk_per_group
 from ..session import scratch_path
 from ..sources import files as src
@@ -23,13 +23,25 @@ from . import tables as T
 _BUILT: dict = {}
 
 
-def _once(spark, sf_dir, name, build):
-    """Build an index / vector table once per application and corpus, then
-    reuse it (the reference rebuilt its index on every search call)."""
+def _version(spark, sf_dir, tables):
+    """Files of the input tables with their sizes and times."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = path.getFileSystem(conf)
+        out += [(t, st.getPath().getName(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(path)]
+    return tuple(sorted(out))
+
+
+def _once(spark, sf_dir, name, build, tables=("documents",)):
+    """Build an index / vector table once per application and state of the input
+    tables, then reuse it (the reference rebuilt its index on every search call)."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _BUILT:
-        _BUILT[key] = build()
-    return _BUILT[key]
+    version = _version(spark, sf_dir, tables)
+    if key not in _BUILT or _BUILT[key][0] != version:
+        _BUILT[key] = version, build()
+    return _BUILT[key][1]
 
 
 def _doc_index(spark, sf_dir):
@@ -79,6 +91,13 @@ def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.filter(F.col("weight") > 0).select("doc_id", F.col("bucket").cast("bigint"), "weight")
 
 
+def hash_embed_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hash_embed`` with each partition sorted by text length before encoding."""
+    vecs = encode.encode_corpus(T.doc_corpus(spark, sf_dir), sort_by_length=True)
+    x = vecs.select("doc_id", F.posexplode("embedding").alias("bucket", "weight"))
+    return x.filter(F.col("weight") > 0).select("doc_id", F.col("bucket").cast("bigint"), "weight")
+
+
 def _hash_run(spark, sf_dir, k=10):
     corpus = _doc_vectors(spark, sf_dir)
     qv = encode.encode_queries(T.bench_queries(spark, sf_dir))
@@ -107,8 +126,8 @@ def hybrid_fuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = fusion.hybrid_search(_hash_run(spark, sf_dir, 10), _sparse_run(spark, sf_dir, 10),
-                               alpha=0.7, final_topk=5)
+    run = search.search(T.bench_queries(spark, sf_dir), T.doc_corpus(spark, sf_dir), _doc_index(spark, sf_dir),
+                        _doc_vectors(spark, sf_dir), dense_topk=10, sparse_topk=10, final_topk=5)
     return run.select("query_id", "doc_id", round_out("score"), "rank")
 
 
@@ -120,8 +139,9 @@ def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hybrid_rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: BM25 + dense -> softmax fusion -> pair rerank -> top 5."""
-    run = rerank.rerank(_fused(spark, sf_dir), T.bench_queries(spark, sf_dir),
-                        T.doc_corpus(spark, sf_dir), k=5)
+    run = search.search(T.bench_queries(spark, sf_dir), T.doc_corpus(spark, sf_dir), _doc_index(spark, sf_dir),
+                        _doc_vectors(spark, sf_dir), dense_topk=10, sparse_topk=10, final_topk=5,
+                        reranker=rerank.rerank)
     return run.select("query_id", "doc_id", round_out("score"), "rank")
 
 
@@ -171,18 +191,30 @@ def law_match_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def law_match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = law.law_match(T.law_questions(spark, sf_dir), T.law_corpus(spark, sf_dir), mode="strict")
-    s = law.law_match_summary(m, order="doc_id", n=5)
+    s = law.law_match_summary(T.law_questions(spark, sf_dir), T.law_corpus(spark, sf_dir), mode="strict",
+                              order="doc_id", n=5)
     return s.select("query_id", "n_matches",
                     F.array_join(F.transform("first_docs", lambda x: x.cast("string")), ",").alias("first_docs"))
 
 
-def _law_run(spark, sf_dir, k=20):
+def law_match_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loose names and articles, counted per question."""
+    s = law.law_match_summary(T.law_loose_questions(spark, sf_dir), T.law_corpus(spark, sf_dir), mode="loose",
+                              order="doc_id", n=5)
+    return s.select("query_id", "n_matches",
+                    F.array_join(F.transform("first_docs", lambda x: x.cast("string")), ",").alias("first_docs"))
+
+
+def _law_run(spark, sf_dir, k=20, mode="strict"):
     corpus = T.law_corpus(spark, sf_dir)
     idx = _once(spark, sf_dir, "law-bm25", lambda: bm25.build_bm25_index(corpus, "doc_id", "text", "title"))
     qs = T.law_bench_queries(spark, sf_dir)
     run = bm25.bm25_topk(idx, qs, k=k)
-    return law.prioritize_law(run, qs, corpus, mode="strict", qtext="text")
+    return law.prioritize_law(run, qs, corpus, mode=mode, qtext="text")
+
+
+def prioritize_law_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _law_run(spark, sf_dir, mode="loose").select("query_id", "doc_id", round_out("score"), "priority", "rank")
 
 
 def prioritize_law(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,8 +337,8 @@ def _children(spark, sf_dir):
 
 def _expansions(spark, sf_dir):
     def build():
-        e = T.expanded_rows(spark, sf_dir).withColumn("ord", F.lit(0))
-        a = T.article_rows(spark, sf_dir).withColumn("ord", F.lit(0))
+        e = T.expanded_rows(spark, sf_dir).withColumn("ord", F.col("law_key").cast("bigint") * 1000 + F.col("start"))
+        a = T.article_rows(spark, sf_dir).withColumn("ord", F.col("law_key").cast("bigint"))
         return materialize(parent.expansion_table(e)), materialize(parent.article_table(a))
     return _once(spark, sf_dir, "expansions", build)
 
@@ -315,32 +347,34 @@ def child_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parent.child_corpus(T.child_rows(spark, sf_dir))
 
 
+def child_corpus_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parent.child_corpus(T.child_rows(spark, sf_dir), compat=True)
+
+
 def parent_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     exp, art = _expansions(spark, sf_dir)
     x = parent.with_parent_context(parent.child_corpus(T.child_rows(spark, sf_dir)), exp, art)
     return x.select("doc_id", "expanded_text", "parent_head")
 
 
-def _child_hybrid(spark, sf_dir):
+def _child_index(spark, sf_dir):
     children = _children(spark, sf_dir)
     idx = _once(spark, sf_dir, "child-bm25", lambda: bm25.build_bm25_index(children, "doc_id", "text", "title"))
-    qs = T.bench_queries(spark, sf_dir)
-    sparse = bm25.bm25_topk(idx, qs, k=10)
-    dvec = _once(spark, sf_dir, "child-vec", lambda: materialize(encode.encode_corpus(children)))
-    dense_run = dense.dense_topk(encode.encode_queries(qs), dvec, k=10, exclude_self=False)
-    fused = fusion.hybrid_fuse(dense_run, sparse, alpha=0.7)
-    return children, qs, fused
+    return children, idx, _once(spark, sf_dir, "child-vec", lambda: materialize(encode.encode_corpus(children)))
 
 
 def rerank_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    children, qs, fused = _child_hybrid(spark, sf_dir)
+    children, idx, vectors = _child_index(spark, sf_dir)
     exp, art = _expansions(spark, sf_dir)
-    run = parent.rerank_parent(fused, qs, children, exp, art, k=5)
+    run = search.search(T.bench_queries(spark, sf_dir), children, idx, vectors, dense_topk=10, sparse_topk=10,
+                        final_topk=5, reranker=lambda cand, qs, corpus, k: parent.rerank_parent(
+                            cand, qs, corpus, exp, art, k=k))
     return run.select("query_id", "doc_id", round_out("score"), "rank")
 
 
 def _packed(spark, sf_dir):
-    children, _, fused = _child_hybrid(spark, sf_dir)
+    children, idx, vectors = _child_index(spark, sf_dir)
+    fused = search.hybrid_candidates(T.bench_queries(spark, sf_dir), idx, vectors, dense_topk=10, sparse_topk=10)
     exp, art = _expansions(spark, sf_dir)
     return parent.context_pack(fused, children, exp, art, top_n=5, preview_chars=900)
 
@@ -453,6 +487,12 @@ def nodup_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("batch_id", "query_id", "corpus_id")
 
 
+def nodup_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, (train_data, _, _, _) = _split(spark, sf_dir)
+    pairs = materialize(prep.train_pairs(train_data))
+    return prep.nodup_check(pairs, materialize(prep.nodup_batches(pairs, batch_size=16)), batch_size=16)
+
+
 # ---------------------------------------------------------------- IR evaluation
 
 def ir_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,8 +510,20 @@ def ir_metrics_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = T.doc_corpus(spark, sf_dir)
     qs = T.bench_queries(spark, sf_dir)
     run = bm25.bm25_topk(_doc_index(spark, sf_dir), qs, k=ireval.MAP_K)
-    qb = broadcast_if_small(qs.select("query_id", F.col("text").alias("qtext")))
-    qrels = docs.join(qb, F.col("text").contains(F.col("qtext"))).select("query_id", "doc_id")
+    qrels = ireval.containment_qrels(qs, docs, _doc_index(spark, sf_dir))
+    judged, n_rel = ireval.judged_from_qrels(run, qrels)
+    return ireval.ir_metrics(judged, n_rel).select("metric", round_out("value"))
+
+
+def ir_metrics_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default encoder evaluated on the prepared inputs: evaluation corpus,
+    evaluation queries and the validation side's relevant documents."""
+    q_std, c_std, (_, _, _, val_rel) = _split(spark, sf_dir)
+    corpus = prep.eval_corpus(c_std, val_rel, random_sample=30, seed=42)
+    vectors = encode.encode_corpus(corpus, "corpus_id", "text", None)
+    qrels = prep.relevant_docs(val_rel).select("query_id", F.explode("corpus_ids").alias("doc_id"))
+    asked = prep.eval_queries(q_std).join(qrels.select("query_id").distinct(), "query_id", "left_semi")
+    run = dense.dense_topk(encode.encode_queries(asked), vectors, k=ireval.MAP_K, exclude_self=False)
     judged, n_rel = ireval.judged_from_qrels(run, qrels)
     return ireval.ir_metrics(judged, n_rel).select("metric", round_out("value"))
 
@@ -510,15 +562,25 @@ def scan_child_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parent.child_corpus(src.scan_child_chunks(spark, path + "/*.txt"))
 
 
+def scan_child_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Child chunks whose text field has a name of the caller's own."""
+    c = T.child_rows(spark, sf_dir)
+    js = c.select(F.col("ord").alias("k"), F.to_json(F.struct(
+        "law_key", "start", "end", "title", F.col("prefixed_text").alias("body"), "text", "law_name", "law_no")).alias("value"))
+    fields = ("body", "text")
+    rows = src.scan_child_chunks(spark, _write_lines(js, "k", "child-body"), text_fields=fields)
+    return parent.child_corpus(rows, text_fields=fields)
+
+
 def scan_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = T.expanded_rows(spark, sf_dir).withColumn("k", F.col("law_key").cast("bigint") * 1000 + F.col("start"))
+    e = T.expanded_rows(spark, sf_dir, gaps=False).withColumn("k", F.col("law_key").cast("bigint") * 1000 + F.col("start"))
     path = _write_lines(e.select("k", F.to_json(F.struct("law_key", "start", "end", "prefixed_text", "text"))
                                  .alias("value")), "k", "expanded-jsonl")
     return parent.expansion_table(src.scan_expanded(spark, path))
 
 
 def scan_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = T.article_rows(spark, sf_dir).withColumn("k", F.col("law_key").cast("bigint"))
+    a = T.article_rows(spark, sf_dir, gaps=False).withColumn("k", F.col("law_key").cast("bigint"))
     path = _write_lines(a.select("k", F.to_json(F.struct("law_key", "head")).alias("value")), "k", "articles-jsonl")
     return parent.article_table(src.scan_articles(spark, path))
 
@@ -532,7 +594,8 @@ def scan_questions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "submission-csv")
-    src.write_submission(submission_table(spark, sf_dir), path)
+    rows = T.qa_questions(spark, sf_dir).select("ID", F.substring("ID", 6, 20).cast("bigint").alias("ord"))
+    src.write_submission(submission_table(spark, sf_dir).join(rows, "ID"), path, order="ord")
     return src.scan_submission(spark, path)
 
 
@@ -552,6 +615,24 @@ def scan_queries_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.scan_queries_any(spark, path + "/*.txt", fmt="jsonl")
 
 
+def scan_queries_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark written as one JSON object ``{id: text}``, scanned back (the
+    benchmark is one small file by its form)."""
+    b = T.table(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("id"), "text")
+    path = scratch_path(spark, "queries-object")
+    b.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "text")))).alias("value")).write.text(path)
+    return src.scan_queries_any(spark, path, fmt="json")
+
+
+def scan_queries_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark written as one JSON list of records, scanned back."""
+    b = T.table(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("qid"),
+                                                   F.col("text").alias("query"))
+    path = scratch_path(spark, "queries-list")
+    b.agg(F.to_json(F.collect_list(F.struct("qid", "query"))).alias("value")).write.text(path)
+    return src.scan_queries_any(spark, path, fmt="json")
+
+
 def scan_rag_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exam records written as JSON into three folders, read back as one
     dataset with a nested schema, doc ids extracted."""

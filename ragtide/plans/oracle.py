@@ -153,6 +153,10 @@ def q_hash_embed() -> str:
     return with_(hash_vec_ctes(DOC_CORPUS, BENCH_QUERIES, 10)) + "\nSELECT doc_id, CAST(bucket AS BIGINT) AS bucket, w AS weight FROM h_dvec"
 
 
+def q_hash_embed_sorted() -> str:
+    return q_hash_embed()
+
+
 def q_dense_topk_hash() -> str:
     return with_(hash_vec_ctes(DOC_CORPUS, BENCH_QUERIES, 10)) + \
         "\nSELECT query_id, doc_id, round(score, 6) AS score, rank FROM h_run"
@@ -280,15 +284,21 @@ def q_law_corpus_normalize() -> str:
   law_no AS law_no_str, {digits("law_no")} AS law_no_int FROM ({LAW_CORPUS})"""
 
 
-def law_match_sql(normalized: bool) -> str:
+LAW_LOOSE_QUESTIONS = """SELECT p_partkey AS query_id, CASE p_partkey % 4 WHEN 0 THEN '개인정보보호법'
+  WHEN 1 THEN '전자금융거래법' WHEN 2 THEN '신용정보법' ELSE '정보통신망법' END || CASE p_partkey % 3 WHEN 0 THEN ''
+  WHEN 1 THEN ' 제 ' || p_size || ' 조' ELSE ' ' || p_size || '조' END || ' 설명' AS question FROM part"""
+
+
+def law_match_sql(normalized: bool, name: str = LAW_NAME_STRICT, article: str = ARTICLE_STRICT,
+                  questions: str = LAW_QUESTIONS) -> str:
     if normalized:
         qn = "regexp_replace(qname, '\\s+', '', 'g')"
         dn = "regexp_replace(coalesce(c.law_name, ''), '\\s+', '', 'g')"
         dno = digits("c.law_no")
     else:
         qn, dn, dno = "qname", "coalesce(c.law_name, '')", f"TRY_CAST({strip('c.law_no')} AS BIGINT)"
-    return f"""lq AS (SELECT query_id, {law_name("question", LAW_NAME_STRICT)} AS qname,
-     {law_no("question", ARTICLE_STRICT)} AS qno FROM ({LAW_QUESTIONS})),
+    return f"""lq AS (SELECT query_id, {law_name("question", name)} AS qname,
+     {law_no("question", article)} AS qno FROM ({questions})),
 lq2 AS (SELECT query_id, {qn} AS qn, qno FROM lq WHERE qname IS NOT NULL),
 m AS (SELECT q.query_id, c.doc_id FROM lq2 q JOIN ({LAW_CORPUS}) c
    ON contains({dn}, q.qn) AND (q.qno IS NULL OR {dno} = q.qno) WHERE q.qn <> '')"""
@@ -302,16 +312,23 @@ def q_law_match_normalized() -> str:
     return with_(law_match_sql(True)) + "\nSELECT query_id, doc_id FROM m"
 
 
-def q_law_match_summary() -> str:
-    return with_(law_match_sql(False)) + """
+LAW_SUMMARY = """
 SELECT query_id, count(*) AS n_matches,
   array_to_string(list(CAST(doc_id AS VARCHAR) ORDER BY doc_id)[1:5], ',') AS first_docs
 FROM m GROUP BY query_id"""
 
 
-def prio_ctes(k: int) -> str:
+def q_law_match_summary() -> str:
+    return with_(law_match_sql(False)) + LAW_SUMMARY
+
+
+def q_law_match_loose() -> str:
+    return with_(law_match_sql(False, LAW_NAME_LOOSE, ARTICLE_LOOSE, LAW_LOOSE_QUESTIONS)) + LAW_SUMMARY
+
+
+def prio_ctes(k: int, name: str = LAW_NAME_STRICT, article: str = ARTICLE_STRICT) -> str:
     return bm25_ctes(LAW_CORPUS, LAW_BENCH_QUERIES, k, "b") + f""",
-ext AS (SELECT query_id, {law_name("text", LAW_NAME_STRICT)} AS qname, {law_no("text", ARTICLE_STRICT)} AS qno FROM b_queries),
+ext AS (SELECT query_id, {law_name("text", name)} AS qname, {law_no("text", article)} AS qno FROM b_queries),
 meta AS (SELECT doc_id, {strip("coalesce(law_name, '')")} AS dn, TRY_CAST({strip("law_no")} AS BIGINT) AS dno FROM b_corpus),
 pr AS (SELECT r.query_id, r.doc_id, r.score, r.rank AS r0,
    (CASE WHEN e.qname IS NOT NULL AND m.dn = e.qname AND e.qno IS NOT NULL AND m.dno = e.qno THEN 0
@@ -325,6 +342,11 @@ def q_prioritize_law() -> str:
     return with_(prio_ctes(20)) + "\nSELECT query_id, doc_id, round(score, 6) AS score, priority, rank FROM prr"
 
 
+def q_prioritize_law_loose() -> str:
+    return (with_(prio_ctes(20, LAW_NAME_LOOSE, ARTICLE_LOOSE))
+            + "\nSELECT query_id, doc_id, round(score, 6) AS score, priority, rank FROM prr")
+
+
 def q_context_docs() -> str:
     return with_(prio_ctes(5)) + """
 SELECT p.query_id, count(*)::BIGINT AS n_docs, string_agg(c.text, chr(10) ORDER BY p.rank) AS context
@@ -528,20 +550,24 @@ CHILD_ROWS = """SELECT CAST(doc_id AS VARCHAR) AS law_key, CAST(i - 1 AS INTEGER
 FROM (SELECT doc_id, source, lang, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)"""
 
-CHILD_CORPUS = f"""SELECT law_key || ':' || CAST(start AS VARCHAR) || ':' || CAST("end" AS VARCHAR) AS doc_id,
+def child_corpus(rows: str) -> str:
+    return f"""SELECT law_key || ':' || CAST(start AS VARCHAR) || ':' || CAST("end" AS VARCHAR) AS doc_id,
   coalesce(title, '') AS title, coalesce(nullif(prefixed_text, ''), nullif(text, ''), '') AS text, law_key,
   coalesce(law_name, '') AS law_name, coalesce(law_no, '') AS law_no, coalesce(title, '') AS title_meta, start, "end"
-FROM ({CHILD_ROWS})"""
+FROM ({rows})"""
+
 
-EXPANDED = """SELECT CAST(doc_id AS VARCHAR) AS law_key, CAST(i - 1 AS INTEGER) AS start, CAST(i AS INTEGER) AS "end",
+CHILD_CORPUS = child_corpus(CHILD_ROWS)
+
+EXPANDED_ALL = """SELECT CAST(doc_id AS VARCHAR) AS law_key, CAST(i - 1 AS INTEGER) AS start, CAST(i AS INTEGER) AS "end",
   concat_ws(chr(10), lag(line) OVER w, line, lead(line) OVER w) AS expanded
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
-WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-QUALIFY (doc_id * 1000 + i - 1) % 7 <> 0"""
+WINDOW w AS (PARTITION BY doc_id ORDER BY i)"""
+EXPANDED = EXPANDED_ALL + "\nQUALIFY (doc_id * 1000 + i - 1) % 7 <> 0"
 
-ARTICLES = """SELECT CAST(doc_id AS VARCHAR) AS law_key, string_split(text, chr(10))[1] AS head FROM documents
-WHERE doc_id % 5 <> 0"""
+ARTICLES_ALL = "SELECT CAST(doc_id AS VARCHAR) AS law_key, string_split(text, chr(10))[1] AS head FROM documents"
+ARTICLES = ARTICLES_ALL + " WHERE doc_id % 5 <> 0"
 
 
 def q_pick_text() -> str:
@@ -558,6 +584,10 @@ def q_child_corpus() -> str:
     return CHILD_CORPUS
 
 
+def q_child_corpus_compat() -> str:
+    return child_corpus(f"SELECT * REPLACE (CASE WHEN start = 0 THEN -1 ELSE start END AS start) FROM ({CHILD_ROWS})")
+
+
 def ctx_join(src: str) -> str:
     return f"""SELECT c.*, coalesce(nullif(e.expanded, ''), c.text) AS expanded_text, coalesce(a.head, '') AS parent_head
 FROM {src} c LEFT JOIN ({EXPANDED}) e ON e.law_key = c.law_key AND e.start = c.start AND e."end" = c."end"
@@ -614,8 +644,8 @@ FROM packed GROUP BY query_id"""
 EXAM = """SELECT p_partkey AS no, p_name AS question, p_brand AS "A", p_type AS "B", CAST(p_size AS VARCHAR) AS "C",
   CAST(p_retailprice AS VARCHAR) AS "D", CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_name END AS "E",
   CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 10 = 0 THEN []::VARCHAR[]
-       ELSE ['docid' || CAST(p_partkey % 97 AS VARCHAR), 'case' || CAST(p_size AS VARCHAR),
-             'docid' || CAST((p_partkey * 7 + p_size) % 97 AS VARCHAR)] END AS ids
+       ELSE ['docid' || CAST(p_partkey % (SELECT count(*) FROM documents) AS VARCHAR), 'case' || CAST(p_size AS VARCHAR),
+             'docid' || CAST((p_partkey * 7 + p_size) % (SELECT count(*) FROM documents) AS VARCHAR)] END AS ids
 FROM part"""
 
 FINAL_Q = ("""coalesce(question, 'None') || chr(10) || 'A. ' || coalesce("A", 'None') || chr(10) || 'B. ' || """
@@ -716,6 +746,12 @@ SELECT query_id, array_to_string(list_sort(list_distinct(list(corpus_id))), ',')
 FROM split WHERE split = 'val' GROUP BY query_id"""
 
 
+def q_nodup_check() -> str:
+    return with_(STD) + """
+SELECT count(*) AS rows_in, count(*) AS rows_out, 0::BIGINT AS n_repeats, 0::BIGINT AS n_too_large
+FROM alld WHERE query_id IN (SELECT query_id FROM split WHERE split = 'train')"""
+
+
 # ---------------------------------------------------------------- IR evaluation
 
 def metrics_sql(judged: str, nrel: str) -> str:
@@ -761,6 +797,20 @@ judged AS (SELECT r.query_id, r.rank, (q.doc_id IS NOT NULL) AS rel FROM b_run r
 nrel AS (SELECT query_id, count(*) AS n_rel FROM qrels GROUP BY query_id),""" + metrics_sql("judged", "nrel")
 
 
+def q_ir_metrics_eval() -> str:
+    corpus = """SELECT _id AS doc_id, '' AS title, 'Title: ' || title || chr(10) || 'Text: ' || text AS text
+  FROM cstd WHERE _id IN (SELECT _id FROM req)"""
+    asked = """SELECT _id AS query_id, 'Query: ' || 'Title: ' || title || chr(10) || 'Text: ' || text AS text
+  FROM qstd WHERE _id IN (SELECT query_id FROM rel)"""
+    return with_(STD) + """,
+sample AS (SELECT _id FROM (SELECT DISTINCT _id FROM cstd) ORDER BY md5(_id || '|42'), _id LIMIT 30),
+req AS (SELECT corpus_id AS _id FROM split WHERE split = 'val' UNION SELECT _id FROM sample),
+rel AS (SELECT DISTINCT query_id, corpus_id FROM split WHERE split = 'val'),""" + hash_vec_ctes(corpus, asked, 100) + """,
+judged AS (SELECT r.query_id, r.rank, (q.corpus_id IS NOT NULL) AS rel FROM h_run r
+  LEFT JOIN rel q ON q.query_id = r.query_id AND q.corpus_id = r.doc_id),
+nrel AS (SELECT query_id, count(*) AS n_rel FROM rel GROUP BY query_id),""" + metrics_sql("judged", "nrel")
+
+
 # ---------------------------------------------------------------- sources
 
 def q_scan_jsonl_corpus() -> str:
@@ -775,12 +825,24 @@ def q_scan_child_chunks() -> str:
     return CHILD_CORPUS
 
 
+def q_scan_child_body() -> str:
+    return CHILD_CORPUS
+
+
+def q_scan_queries_object() -> str:
+    return "SELECT 'b' || CAST(item_id AS VARCHAR) AS query_id, text FROM benchmark"
+
+
+def q_scan_queries_list() -> str:
+    return q_scan_queries_object()
+
+
 def q_scan_expanded() -> str:
-    return f"SELECT law_key, start, \"end\", coalesce(nullif(expanded, ''), '') AS expanded FROM ({EXPANDED})"
+    return f"SELECT law_key, start, \"end\", coalesce(nullif(expanded, ''), '') AS expanded FROM ({EXPANDED_ALL})"
 
 
 def q_scan_articles() -> str:
-    return ARTICLES
+    return ARTICLES_ALL
 
 
 def q_scan_questions_csv() -> str:

@@ -59,6 +59,18 @@ def law_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "text", name.alias("law_name"), no.alias("law_no"))
 
 
+def law_loose_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions that open with a law name; the article has spaces or no prefix
+    (loose forms), and every third asks for none."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    name = F.element_at(F.array(*[F.lit(n) for n in CORPUS_LAW_NAMES]), (k % 4 + 1).cast("int"))
+    size = F.col("p_size").cast("string")
+    article = (F.when(k % 3 == 0, "").when(k % 3 == 1, F.concat(F.lit(" 제 "), size, F.lit(" 조")))
+               .otherwise(F.concat(F.lit(" "), size, F.lit("조"))))
+    return p.select(k.alias("query_id"), F.concat(name, article, F.lit(" 설명")).alias("question"))
+
+
 def law_bench_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages followed by a law reference built from the item id."""
     b = table(spark, sf_dir, "benchmark")
@@ -137,33 +149,37 @@ def child_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ((F.col("doc_id") * 1000 + F.col("i")).cast("bigint")).alias("ord"))
 
 
-def expanded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``expanded``: previous + own + next line; every 7th chunk has none."""
+def expanded_rows(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
+    """``expanded``: previous + own + next line; with ``gaps`` every 7th chunk has
+    none, so that the lookups that read it meet their fallback."""
     d = table(spark, sf_dir, "documents")
     x = d.select("doc_id", F.posexplode(F.split(F.col("text"), "\n", -1)).alias("i", "line"))
     w = Window.partitionBy("doc_id").orderBy("i")
     txt = F.concat_ws("\n", F.lag("line").over(w), F.col("line"), F.lead("line").over(w))
     e = x.select("doc_id", "i", txt.alias("text"))
-    e = e.filter((F.col("doc_id") * 1000 + F.col("i")) % 7 != 0)
+    if gaps:
+        e = e.filter((F.col("doc_id") * 1000 + F.col("i")) % 7 != 0)
     return e.select(F.col("doc_id").cast("string").alias("law_key"), F.col("i").cast("int").alias("start"),
                     (F.col("i") + 1).cast("int").alias("end"), F.lit("").alias("prefixed_text"), "text")
 
 
-def article_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``articles``: the first line of a document is its head; every 5th is absent."""
+def article_rows(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
+    """``articles``: the first line of a document is its head; with ``gaps`` every
+    5th is absent, for the fallback of the lookups."""
     d = table(spark, sf_dir, "documents")
-    return (d.filter(F.col("doc_id") % 5 != 0)
+    return ((d.filter(F.col("doc_id") % 5 != 0) if gaps else d)
             .select(F.col("doc_id").cast("string").alias("law_key"),
                     F.element_at(F.split(F.col("text"), "\n", -1), 1).alias("head")))
 
 
 def exam_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``exam``: multiple-choice items with nested retrieved doc ids."""
+    """``exam``: multiple-choice items with nested retrieved doc ids, which go
+    round all documents."""
     p = table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    ids = F.array(F.concat(F.lit("docid"), (k % 97).cast("string")),
+    k, n = F.col("p_partkey"), table(spark, sf_dir, "documents").count()
+    ids = F.array(F.concat(F.lit("docid"), (k % n).cast("string")),
                   F.concat(F.lit("case"), F.col("p_size").cast("string")),
-                  F.concat(F.lit("docid"), ((k * 7 + F.col("p_size")) % 97).cast("string")))
+                  F.concat(F.lit("docid"), ((k * 7 + F.col("p_size")) % n).cast("string")))
     ids = F.when(k % 10 == 0, F.array().cast("array<string>")).otherwise(ids)
     results = F.transform(ids, lambda x: F.struct(x.alias("doc_id")))
     rag = F.struct(F.struct(F.struct(results.alias("results")).alias("retrieved_docs")).alias("question_only"))

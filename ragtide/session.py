@@ -2,13 +2,14 @@
 
 The library never creates machine-local scratch space on a cluster: every
 materialisation (checkpoint, index table, file round trip) goes under the
-shared folder named by ``spark.checkpoint.dir``. Only when that setting is
-missing (local tests) do we pick a temporary folder ourselves.
+shared folder named by ``spark.checkpoint.dir``. Only in local mode, and only
+when that setting is missing, do we pick a temporary folder ourselves.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^-\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ragtide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -63,19 +66,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/ragtide-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives lost executors; never localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side existence checks work."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path) if not path.startswith("/") else path
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage, survives lost
+    executors, holds no executor storage, and every later read sees the same
+    rows. Files live as long as the folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ensure_parallel(df: DataFrame, factor: int = 2) -> DataFrame:

@@ -2,27 +2,28 @@
 
 JSON Lines sources keep the position of every line (1-based, blank lines
 counted, files in path order) because the reference derives ids from it and
-lets the last duplicate win. The position is computed without moving lines:
-inside a file split ``monotonically_increasing_id`` is consecutive, so a
-line's position is ``split offset + (id - first id of the split)``; only the
-per-split first id and count (one row per split) are aggregated, and the
-offsets are broadcast back.
+lets the last duplicate win. Inside a file split ``monotonically_increasing_id``
+is consecutive, so a line's position is ``split offset + (id - first id of the
+split)``; only the per-split first id and count (one row per split) are
+aggregated. The offsets stay a DataFrame and are broadcast back only when their
+counted rows allow it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import py_strip
+from ..operators.topk import broadcast_if_small, materialize
 
 STRING_CHILD_FIELDS = ("law_key", "start", "end", "title", "prefixed_text", "text", "law_name", "law_no")
 
 
 def expand_paths(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Existing files for a path or glob (any Hadoop file system), sorted;
-    missing paths are ignored."""
+    folders are read with all folders inside them, missing paths are ignored."""
     paths = [path] if isinstance(path, str) else list(path)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     out: list[str] = []
@@ -33,13 +34,15 @@ def expand_paths(spark: SparkSession, path: str | list[str]) -> list[str]:
         if stats is None:
             continue
         for st in stats:
-            if st.isDirectory():
-                for child in fs.listStatus(st.getPath()):
-                    name = child.getPath().getName()
-                    if child.isFile() and not name.startswith(("_", ".")):
-                        out.append(child.getPath().toString())
-            else:
-                out.append(st.getPath().toString())
+            root = st.getPath().toString().rstrip("/")
+            if not st.isDirectory():
+                out.append(root)
+                continue
+            files = fs.listFiles(st.getPath(), True)
+            while files.hasNext():
+                name = files.next().getPath().toString()
+                if not any(part.startswith(("_", ".")) for part in name[len(root):].split("/") if part):
+                    out.append(name)
     return sorted(set(out))
 
 
@@ -52,14 +55,15 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     raw = spark.read.text(files).select(
         "value", F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
-    splits = raw.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n")) \
-                .orderBy("_f", "_b").collect()  # one row per file split
-    offsets, acc = [], 0
-    for r in splits:
-        offsets.append((r["_f"], int(r["_b"]), int(r["_m0"]), acc))
-        acc += int(r["_n"])
-    off = spark.createDataFrame(offsets, "_f string, _b bigint, _m0 bigint, _off bigint")
-    x = raw.join(F.broadcast(off), ["_f", "_b"])
+    splits = materialize(raw.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n")))
+    # offsets of splits inside a file, and of files (one row each) before a file
+    inside = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.groupBy("_f").agg(F.sum("_n").alias("_total")).select(
+        "_f", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
+    off = (splits.withColumn("_off", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, "_f")
+           .select("_f", "_b", "_m0", (F.col("_off") + F.col("_start")).alias("_off")))
+    x = raw.join(broadcast_if_small(off), ["_f", "_b"])
     return x.select("value", (F.col("_off") + F.col("_m") - F.col("_m0") + 1).alias("ord"))
 
 
@@ -101,12 +105,19 @@ def scan_jsonl_records(spark: SparkSession, path: str | None, fields) -> DataFra
     return _parse(read_lines(spark, path), _strings(fields), failfast=False)
 
 
-def scan_child_chunks(spark: SparkSession, path: str) -> DataFrame:
-    return scan_jsonl_records(spark, path, STRING_CHILD_FIELDS)
+def _with(fields: tuple[str, ...], text_fields: tuple[str, ...]) -> tuple[str, ...]:
+    return fields + tuple(f for f in text_fields if f not in fields)
 
 
-def scan_expanded(spark: SparkSession, path: str | None) -> DataFrame:
-    return scan_jsonl_records(spark, path, ("law_key", "start", "end", "prefixed_text", "text"))
+def scan_child_chunks(spark: SparkSession, path: str, text_fields: tuple[str, ...] = ()) -> DataFrame:
+    """Child chunks; ``text_fields`` names further text fields to read."""
+    return scan_jsonl_records(spark, path, _with(STRING_CHILD_FIELDS, tuple(text_fields)))
+
+
+def scan_expanded(spark: SparkSession, path: str | None, text_fields: tuple[str, ...] = ()) -> DataFrame:
+    """Expanded chunks; ``text_fields`` names further text fields to read."""
+    fields = ("law_key", "start", "end", "prefixed_text", "text")
+    return scan_jsonl_records(spark, path, _with(fields, tuple(text_fields)))
 
 
 def scan_articles(spark: SparkSession, path: str | None) -> DataFrame:
@@ -144,9 +155,13 @@ def scan_queries_any(spark: SparkSession, path: str | None = None, query: str |
                      F.coalesce(pick(F.col("text"), F.col("query")), F.lit("")).alias("text"), "ord")
     else:
         whole = spark.read.text(expand_paths(spark, path), wholetext=True).select("value")
-        as_map = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
-        as_list = F.from_json("value", T.ArrayType(_strings(("id", "qid", "text", "query"))))
-        kind = F.substring(F.ltrim(F.col("value")), 1, 1)
+        # a file that is neither, or broken JSON, raises
+        strict = {"mode": "FAILFAST"}
+        as_map = F.from_json("value", T.MapType(T.StringType(), T.StringType()), strict)
+        as_list = F.from_json("value", T.ArrayType(_strings(("id", "qid", "text", "query"))), strict)
+        kind = F.substring(F.regexp_replace("value", "^\\s+", ""), 1, 1)
+        whole = whole.withColumn("value", F.when(kind.isin("{", "["), F.col("value")).otherwise(
+            F.raise_error(F.lit("a query file holds JSON lines, a JSON object or a JSON list"))))
         objs = whole.filter(kind == "{").select(F.posexplode(as_map).alias("ord", "query_id", "text"))
         lst = whole.filter(kind == "[").select(F.posexplode(as_list).alias("i", "o")).select(
             pick(F.col("o.id"), F.col("o.qid"), F.concat(F.lit("q"), (F.col("i") + 1).cast("string"))).alias("query_id"),
@@ -165,7 +180,10 @@ def scan_rag_json(spark: SparkSession, paths: list[str], schema: T.StructType |
     return spark.read.schema(schema).option("multiLine", multi_line).json(files)
 
 
-def write_submission(df: DataFrame, path: str) -> None:
-    """CSV with a header, one file per partition (Spark has no BOM option;
-    the files are plain UTF-8)."""
+def write_submission(df: DataFrame, path: str, order: str | None = None) -> None:
+    """CSV with a header (Spark has no BOM option; the files are plain UTF-8).
+    With ``order`` rows are range-sorted by that column, which is not written:
+    part files in name order hold the template's row order."""
+    if order:
+        df = df.orderBy(order).drop(order)
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -77,14 +77,23 @@ def test_query_files_and_csv(spark, tmp_dir):
 def test_seeded_split_is_exact_with_duplicates(spark):
     rows = [("q1", "d1", 1)] * 300 + [(f"q{i}", f"d{i}", 1) for i in range(2, 600)]
     df = spark.createDataFrame(rows, "query_id string, corpus_id string, score int")
-    s = prep.seeded_split(df, ["query_id", "corpus_id"], 0.2, 42, n_buckets=64)
+    s = prep.seeded_split(df, ["query_id", "corpus_id"], 0.2, 42, rank_rows=5)
     counts = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
     n = len(rows)
     assert counts["val"] == math_ceil(0.2 * n) and counts["train"] == n - math_ceil(0.2 * n)
-    again = prep.seeded_split(df, ["query_id", "corpus_id"], 0.2, 42, n_buckets=64)
+    again = prep.seeded_split(df, ["query_id", "corpus_id"], 0.2, 42, rank_rows=5)
     assert sorted(map(tuple, s.collect())) == sorted(map(tuple, again.collect()))
 
 
+def test_split_with_a_third_of_the_rows_alike(spark):
+    rows = [("hot", "d", 1)] * 4000 + [(f"q{i}", f"d{i}", 1) for i in range(8000)]
+    df = spark.createDataFrame(rows, "query_id string, corpus_id string, score int")
+    for share in (0.0, 0.1, 0.5, 1.0):
+        s = prep.seeded_split(df, ["query_id", "corpus_id"], share, 7, rank_rows=50)
+        counts = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
+        assert counts.get("val", 0) == math_ceil(share * 12000) and sum(counts.values()) == 12000
+
+
 def math_ceil(x):
     import math
     return math.ceil(x)
@@ -104,6 +113,60 @@ def test_nodup_batches_invariant(spark):
         assert len(texts) == len(set(texts))
 
 
+def test_nodup_batches_hot_text_and_rows(spark):
+    rows = [("q", "d", "hot anchor", "hot positive")] * 1500 + [(f"q{i}", f"d{i}", f"a{i}", f"p{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "query_id string, corpus_id string, anchor string, positive string")
+    b = prep.nodup_batches(df, batch_size=8, shard_rows=2000)
+    assert prep.nodup_check(df, b, batch_size=8).collect() == [(4500, 4500, 0, 0)]
+    assert prep._fill([{"a"}] * 20000, 4) == list(range(20000))
+
+
+def test_train_val_split_by_query(spark):
+    rel = spark.createDataFrame([(f"q{i % 20}", f"d{i}", 1) for i in range(100)], "query_id string, corpus_id string, score int")
+    data = rel.withColumn("text_queries", rel.query_id)
+    train, val, train_rel, val_rel = prep.train_val_split(rel, data, 0.2, 42, by="query")
+    a, b = ({r.query_id for r in x.collect()} for x in (train_rel, val_rel))
+    assert not a & b and len(b) == 4 and len(a) == 16
+    assert train.count() == 80 and val.count() == 20
+
+
+def test_text_fields_nested_folders_and_broken_json(spark, tmp_dir):
+    d = local(tmp_dir)
+    write(d + "/p=1", "a.jsonl", '{"law_key": "k", "start": 1, "end": 2, "body": "from body"}\n')
+    write(d + "/p=2/deep", "b.jsonl", '\n{"law_key": "m", "start": 1, "end": 2, "text": "from text"}\n')
+    write(d + "/_hidden", "c.jsonl", '{"law_key": "no"}\n')
+    rows = src.scan_child_chunks(spark, d, text_fields=("body", "text"))
+    from ragtide.operators import parent
+    got = {r.law_key: r.text for r in parent.child_corpus(rows, text_fields=("body", "text")).collect()}
+    assert got == {"k": "from body", "m": "from text"}
+    assert sorted(r.ord for r in rows.collect()) == [1, 3]
+    for name, body in (("x.json", '{"a": "b"'), ("y.json", '[{"id": "a"'), ("z.json", "words")):
+        write(d, name, body)
+        with pytest.raises(Exception):
+            src.scan_queries_any(spark, d + "/" + name).collect()
+
+
+def test_rows_without_an_order(spark):
+    from ragtide.operators.grading import dedupe_first, dedupe_last
+    df = spark.createDataFrame([("A", "1", None), ("B", "2", None), ("B", "3", 5)], "ID string, Answer string, ord int")
+    for pick in (dedupe_first, dedupe_last):
+        assert {(r.ID, r.Answer) for r in pick(df, "ID").collect()} == {("A", "1"), ("B", "3")}
+
+
+def test_null_ids_are_graded(spark):
+    from ragtide.operators.grading import grade_answers
+    df = spark.createDataFrame([(None, "3", 1), ("x", "2", 2)], "ID string, Answer string, ord int")
+    assert all(r.correct for r in grade_answers(df, df).collect())
+
+
+def test_submission_keeps_the_template_order(spark, tmp_dir):
+    df = spark.createDataFrame([(f"T{i}", str(i), (i * 37) % 101) for i in range(101)], "ID string, Answer string, ord int")
+    src.write_submission(df, tmp_dir, order="ord")
+    import glob
+    lines = [x for f in sorted(glob.glob(local(tmp_dir) + "/part-*")) for x in open(f).read().splitlines()[1:]]
+    assert [x.split(",")[0] for x in lines] == [f"T{i}" for i in sorted(range(101), key=lambda i: (i * 37) % 101)]
+
+
 def test_sparse_grid_counts(spark):
     qs = spark.createDataFrame([(1,), (2,), (3,)], "no int")
     st = spark.createDataFrame([("d1",), ("d2",), ("d3",), ("d4",)], "id string")
