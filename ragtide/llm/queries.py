@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language, packing, pii, quality_model, quality_rules, simhash, substring_dedup,
+from . import (decontaminate, language, oracle, packing, pii, quality_model, quality_rules, simhash, substring_dedup,
                token_counts, warc)
 from .common import table
 
@@ -57,9 +57,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op")}
+def oracle_sql() -> dict[str, str]:
+    return oracle.oracle_sql()
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: f for k, f in globals().items() if k.startswith("op")}
