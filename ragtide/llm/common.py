@@ -11,7 +11,8 @@ from ragtide.session import scratch_path
 
 #: ASCII white space as the contracts name it: space and 0x09-0x0D.
 WS = " \t\n\x0b\x0c\r"
-WS_RUN = "[ \\t-\\r]+"
+#: Single characters, which Java looks up in one table (a range it compares).
+WS_RUN = "[ \\t\\n\\x0B\\x0C\\r]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,6 +56,15 @@ def row_key(text: str = "text", doc_id: str = "doc_id") -> list[Column]:
             F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h")]
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The whole row as ``_row`` beside its key, so that no column can clash."""
+    return docs.select(F.struct("*").alias("_row"), *row_key())
+
+
+def rows_of(df: DataFrame) -> DataFrame:
+    return df.select("_row.*")
+
+
 def join_on_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """Null-safe join on ``_id, _h``; the right side's keys are dropped."""
     right = right.withColumnsRenamed({"_id": "_rid", "_h": "_rh"})

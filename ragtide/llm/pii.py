@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_on_key, let, row_key, text_or_empty, written
+from .common import join_on_key, keyed, let, row_key, rows_of, text_or_empty, written
 
 LOCAL = "A-Za-z0-9._%+-"
 #: The contract's patterns, in the order in which kinds are listed.
@@ -42,7 +42,7 @@ PATTERNS = {
 #: What a text must hold for the pattern to match at all.
 NEEDS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": "\\+[0-9]"}
 FOUND = "id"
-TOKEN = r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+(?:[._-][A-Za-z0-9]++)*+"
+TOKEN = r"(?<![A-Za-z0-9])(?:[A-Za-z]{1,8}+[._-])?+[A-Za-z]*+[0-9][A-Za-z0-9]*+(?:[._-][A-Za-z0-9]++)*+"
 MENTION = "|".join([PATTERNS["phone"], PATTERNS["email"], PATTERNS["ip"],
                     r"(?<![0-9])[0-9](?:[ -]?[0-9]){11,}+", TOKEN])
 ROUNDS, MIN_SUPPORT, MIN_PRECISION, ACCEPT, MIN_DIGITS = 3, 5, 0.8, 0.8, 4
@@ -171,14 +171,13 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUP
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with _id, _h, _base (base spans) and _spans (with discovered ones
-    that overlap no base span)."""
+    """_row (the row of ``docs``), _base (its base spans) and _spans (with discovered
+    ones that overlap no base span)."""
     more = bootstrap(written(mentions(docs), "mentions"))
-    keyed = docs.withColumns(dict(zip(("_id", "_h"), row_key()))).withColumn("_base", base_spans(text_or_empty()))
-    joined = join_on_key(keyed, more, "left")
+    joined = join_on_key(keyed(docs).withColumn("_base", base_spans(text_or_empty("_row.text"))), more, "left")
     extra = F.filter("more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return joined.withColumn("_spans", F.when(F.col("more").isNull(), F.col("_base")).otherwise(
-        F.sort_array(F.concat("_base", extra)))).drop("more")
+    return joined.select("_row", "_base", F.when(F.col("more").isNull(), F.col("_base")).otherwise(
+        F.sort_array(F.concat("_base", extra))).alias("_spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -189,7 +188,7 @@ def joined(spans: Column) -> Column:
 def pii_report(docs: DataFrame) -> DataFrame:
     """Counts by kind, digest of the base spans, and all spans, for each row."""
     rows = with_spans(docs.select("doc_id", "text"))
-    return rows.select("doc_id", *[
+    return rows.select("_row.doc_id", *[
         F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in PATTERNS],
         F.sha2(joined(F.col("_base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("_spans")).alias("spans"))
 
@@ -207,6 +206,6 @@ def redact(docs: DataFrame) -> DataFrame:
         done = F.aggregate(spans, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")), step)
         return let(done, lambda a: F.concat(F.concat_ws("", a["out"]), F.substr(text, a["at"] + 1)))
 
-    rows = with_spans(docs)
-    text = F.when(F.size("_spans") > 0, rewritten(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    return rows.withColumn("text", text).drop("_id", "_h", "_base", "_spans")
+    old = F.col("_row.text")
+    text = F.when(F.size("_spans") > 0, rewritten(old, F.col("_spans"))).otherwise(old)
+    return rows_of(with_spans(docs).withColumn("_row", F.col("_row").withField("text", text)))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ragtide.session import ship_package
 
-from .common import join_on_key, row_key, written
+from .common import join_on_key, keyed, row_key, rows_of, written
 
 SHINGLE, MAX_BITS = 3, 2
 #: Bound of the driver-side sample that the routing tree is built from.
@@ -302,5 +302,4 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     stay = (_grouped(docs, shingle, max_bits, **limits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("component_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("_lone"))
             .agg(F.min("_h").alias("_h")).select(F.col("component_id").alias("_id"), "_h").distinct())
-    keyed = docs.withColumns(dict(zip(("_id", "_h"), row_key())))
-    return join_on_key(keyed, stay, "left_semi").dropDuplicates(["_id", "_h"]).drop("_id", "_h")
+    return rows_of(join_on_key(keyed(docs), stay, "left_semi").dropDuplicates(["_id", "_h"]))
