@@ -10,8 +10,8 @@ document or end after it are dropped (position and length bounds), and the rest
 are compared word for word.
 
 The prefix table is broadcast when its counted rows are at most
-``max_broadcast``; beyond that the same join runs on narrow rows with a shuffle,
-and the surviving alignments go back to the texts by key.
+``max_broadcast``; beyond that the same join on narrow rows shuffles. Alignments
+are gathered by document and meet its text once.
 
 Defined cases: null or wordless documents have no words and are clean; wordless
 items match nothing; items without an id are left out; repeated items or rows
@@ -24,12 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, join_on_key, row_key, text_or_empty, written
+from .common import ascii_lower, join_on_key, keyed, let, row_key, rows_of, text_or_empty, written
 
 WINDOW = 13
 MAX_BROADCAST = 500_000
 #: Words of a text before lower-casing A-Z: digits, letters, all beyond ASCII.
-WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+#: The class lists single characters, which Java looks up in one table.
+WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 
 
 def raw_words(text: Column) -> Column:
@@ -67,28 +68,31 @@ def prefixes(docs: DataFrame, windows: DataFrame, max_broadcast: int = MAX_BROAD
     return rarest.where("p.n > 0").select("p.word", "p.at", "words", "items")
 
 
-def _aligned(joined: DataFrame) -> DataFrame:
-    """Keep alignments inside the document whose words are equal."""
-    n = F.size("words")
-    inside = (F.col("start") >= 1) & (F.col("start") + n - 1 <= F.size("_w"))
-    equal = F.when(inside, F.transform(F.slice("_w", F.col("start"), n), ascii_lower) == F.col("words"))
-    return joined.where(equal).select("_id", "_h", "start", (F.col("start") + n - 1).alias("end"), "items")
-
-
 def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 max_broadcast: int = MAX_BROADCAST) -> DataFrame:
-    """(_id, _h, start, end, items): where windows occur, 1-based word positions."""
+    """(_id, _h, hits): for each document with any, its occurrences of windows as
+    (start, end, items), 1-based word positions."""
     table = written(prefixes(docs, item_windows(benchmark, window), max_broadcast), "prefixes")
-    texts = docs.select(*row_key(), raw_words(text_or_empty()).alias("_w"))
-    small = _small(table, max_broadcast)
-    kept = ["_w"] if small else []
-    placed = texts.select("_id", "_h", *kept, F.posexplode("_w").alias("_at", "_word")).withColumn(
-        "_word", F.lower("_word"))
-    met = placed.join(F.broadcast(table) if small else table, F.col("_word") == F.col("word")).select(
-        "_id", "_h", *kept, (F.col("_at") - F.col("at") + 1).alias("start"), "words", "items")
-    if not small:
-        met = join_on_key(met.where("start >= 1"), texts.dropDuplicates(["_id", "_h"]), "inner")
-    return _aligned(met)
+    side = F.broadcast(table) if _small(table, max_broadcast) else table
+    # only ids and single words are exploded: a row carries no text
+    placed = docs.select(*row_key(), F.posexplode(raw_words(text_or_empty())).alias("_at", "_word"))
+    met = (placed.withColumn("_word", F.lower("_word")).join(side, F.col("_word") == F.col("word"))
+           .select("_id", "_h", (F.col("_at") - F.col("at") + 1).alias("start"), "words", "items")
+           .where("start >= 1"))
+    # alignments meet their text once for each document
+    by_doc = written(met.groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "words", "items")).alias("met")), "met")
+    texts = docs.select(*row_key(), text_or_empty().alias("_t"))
+    joined = join_on_key(by_doc, texts, "inner").dropDuplicates(["_id", "_h"])
+
+    def equal(words, m):
+        n = F.size(m["words"])
+        return (m["start"] + n - 1 <= F.size(words)) & (
+            F.transform(F.slice(words, m["start"], n), ascii_lower) == m["words"])
+
+    hits = let(raw_words(F.col("_t")), lambda words: F.filter("met", lambda m: equal(words, m)))
+    return joined.select("_id", "_h", F.transform(hits, lambda m: F.struct(
+        m["start"].alias("start"), (m["start"] + F.size(m["words"]) - 1).alias("end"),
+        m["items"].alias("items"))).alias("hits")).where(F.size("hits") > 0)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -96,16 +100,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """n_words, n_hit, n_items, items_sha256, contaminated for each row of ``docs``."""
     def union(spans):
         return F.aggregate(
-            F.array_sort(spans), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
+            F.sort_array(spans), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
             lambda a, s: F.struct(
                 (a["n"] + F.greatest(s["end"] - F.greatest(a["end"], s["start"] - 1), F.lit(0))).alias("n"),
                 F.greatest(a["end"], s["end"]).alias("end")))["n"]
 
     found = occurrences(docs, benchmark, window, max_broadcast)
-    hits = (found.groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "end")).alias("spans"),
-                                           F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-            .select("_id", "_h", union(F.col("spans")).alias("n_hit"),
-                    F.transform("items", lambda x: x.cast("string")).alias("items")))
+    items = F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))
+    hits = found.select("_id", "_h", union(F.col("hits")).alias("n_hit"),
+                        F.transform(items, lambda x: x.cast("string")).alias("items"))
     rows = docs.select(*row_key(), F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("n_words"))
     joined = join_on_key(rows, hits, "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
@@ -121,5 +124,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataF
     """``docs`` without the contaminated rows; rows of equal id and text share a verdict."""
     bad = (contamination(docs, benchmark, **options).where("contaminated")
            .select(F.col("doc_id").alias("_id"), "_h").distinct())
-    keyed = docs.withColumns(dict(zip(("_id", "_h"), row_key())))
-    return join_on_key(keyed, bad, "left_anti").drop("_id", "_h")
+    return rows_of(join_on_key(keyed(docs), bad, "left_anti"))
