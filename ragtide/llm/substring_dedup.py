@@ -35,6 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ragtide.session import ship_package
 
+from . import packed
 from .common import written
 from .wordhash import hash_spans, hash_windows, mix
 
@@ -108,24 +109,22 @@ def split_shards(values: np.ndarray, shards: int, bits: int):
 
 
 def pack_values(values: np.ndarray) -> bytes:
-    """Sorted integers as compressed byte planes of their gaps."""
-    gaps = np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    return pa.compress(np.ascontiguousarray(gaps).tobytes(), codec="zstd", asbytes=True)
+    """Sorted integers as their gaps."""
+    return packed.pack(np.diff(values, prepend=np.uint64(0)))
 
 
-def unpack_values(packed: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(packed, 8 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.cumsum(np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel(), dtype=np.uint64)
+def unpack_values(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(packed.unpack(data, n), dtype=np.uint64)
 
 
 def unpack(replies, first: int, shards: int, bits: int, values: np.ndarray) -> np.ndarray:
     """Reply bits of sorted unique ``values``, shard by shard."""
     out = np.zeros(len(values), bool)
     bounds = split_shards(values, shards, bits)
-    for shard, packed in replies:
+    for shard, reply in replies:
         if first <= shard < first + shards:
             a, b = bounds[shard - first], bounds[shard - first + 1]
-            out[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a).astype(bool)
+            out[a:b] = np.unpackbits(np.frombuffer(reply, np.uint8), count=b - a).astype(bool)
     return out
 
 

@@ -7,7 +7,7 @@ import xxhash
 
 #: Odd constants; any would do.
 BASE, BASE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-CHUNK, LONG = 1 << 22, 64
+CHUNK, LONG = 1 << 18, 64
 _powers: list[np.ndarray] = []
 
 
