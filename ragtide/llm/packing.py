@@ -35,7 +35,7 @@ from .common import written
 
 SEQUENCE, END_ID = 1024, 0
 BUCKETS, DIMS, BITS = 256, 3, 16
-CACHE = 400_000
+CACHE, SLICE = 200_000, 512
 FLUSH_BYTES = 8 << 20
 #: The byte-level pre-tokenizer's pattern (fixed by the vocabulary file).
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -116,11 +116,18 @@ def curve_points(vectors: np.ndarray, dims: int = DIMS, bits: int = BITS, seed:
     return np.clip((flat + 4) * (2 ** bits / 8), 0, 2 ** bits - 1).astype(np.int64)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: Python objects of a whole batch would add up."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
 def _encode(spec, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = ByteIds(spec.value)
         end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in sliced(batches):
             texts, out, vectors = b.column("text"), [], np.zeros((b.num_rows, BUCKETS))
             for i in range(b.num_rows):
                 ids = ids_of(texts[i].as_py() or "") + end
@@ -144,7 +151,7 @@ def _pack(size: int, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 40
         out, open_, fill, held = [], [], 0, 0
-        for b in batches:
+        for b in sliced(batches):
             for doc_id, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
                 total, at = len(ids) // 4, 0
                 while at < total:
