@@ -8,9 +8,8 @@ which share a key, still spread over partitions. Each task then streams its
 documents into sequences and cuts a document where a sequence is full. The rest
 at a task's end becomes sequences of powers of two, which need no padding.
 
-Token ids are cached by pre-token and tokenized texts are written before the
-range shuffle, which reads its input twice. Memory in a task is bounded by an
-Arrow batch, the cache limit and the longest document.
+Tokenized texts are written before the range shuffle, which reads its input
+twice. Memory in a task is bounded by an Arrow batch and the longest document.
 
 Defined cases: a null or empty text is the end id alone; special strings inside
 texts become what the tokenizer makes of them; repeated rows are packed each;
@@ -20,6 +19,7 @@ ties on the curve are ordered by doc_id; an empty table gives no pieces; only
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +35,7 @@ from .common import written
 
 SEQUENCE, END_ID = 1024, 0
 BUCKETS, DIMS, BITS = 256, 3, 16
-CACHE, SLICE = 200_000, 512
+SLICE = 512
 FLUSH_BYTES = 8 << 20
 #: The byte-level pre-tokenizer's pattern (fixed by the vocabulary file).
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -50,34 +50,42 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_of() -> dict[str, int]:
+    """The byte-level alphabet: printable characters stand for their own byte,
+    the rest are numbered from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class ByteIds:
-    """Token ids of whole texts as little-endian 32-bit bytes."""
+    """Token ids of whole texts as a numpy array of ``dtype``.
+
+    The vocabulary file's tokens are its merge ranks, so plain texts go through a
+    rank-based encoder built from the same file, which is several times faster;
+    every other text goes through the tokenizer itself. Tests hold both against
+    each other.
+    """
 
     def __init__(self, spec: str):
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.split = regex.compile(PIECE).findall
         self.unusual = regex.compile(UNUSUAL).search
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        alphabet = byte_of()
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in json.loads(spec)["model"]["vocab"].items()}
+        self.ranked = Encoding("ranks", pat_str=PIECE, mergeable_ranks=ranks, special_tokens={})
+        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
-    def plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def plain(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
 
-    def __call__(self, text: str) -> bytes:
+    def __call__(self, text: str) -> np.ndarray:
         if self.unusual(text) or any(s in text for s in self.special):
             return self.plain(text)
-        pieces, cache = self.split(text), self.cache
-        try:
-            return b"".join([cache[p] for p in pieces])
-        except KeyError:
-            if len(cache) > CACHE:
-                cache.clear()
-            for p in set(pieces):
-                if p not in cache:
-                    cache[p] = self.plain(p)
-            return b"".join([cache[p] for p in pieces])
+        return self.ranked.encode_to_numpy(text, disallowed_special=()).astype(self.dtype)
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -126,13 +134,12 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _encode(spec, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = ByteIds(spec.value)
-        end = np.array([end_id], "<u4").tobytes()
         for b in sliced(batches):
             texts, out, vectors = b.column("text"), [], np.zeros((b.num_rows, BUCKETS))
             for i in range(b.num_rows):
-                ids = ids_of(texts[i].as_py() or "") + end
-                out.append(ids)
-                hashed = np.frombuffer(ids, "<u4") * np.uint32(0x9E3779B1) >> np.uint32(24)
+                ids = np.append(ids_of(texts[i].as_py() or ""), np.array(end_id, ids_of.dtype))
+                out.append(ids.tobytes())
+                hashed = ids.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(24)
                 vectors[i] = np.bincount(hashed, minlength=BUCKETS)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(hilbert_key(curve_points(vectors))), pa.array(out, pa.binary())],
@@ -140,7 +147,7 @@ def _encode(spec, end_id: int):
     return run
 
 
-def _pack(size: int, kind: pa.DataType):
+def _pack(size: int, kind: pa.DataType, dtype: str):
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def batch(rows):
@@ -153,6 +160,7 @@ def _pack(size: int, kind: pa.DataType):
         out, open_, fill, held = [], [], 0, 0
         for b in sliced(batches):
             for doc_id, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
+                ids = np.frombuffer(ids, dtype).astype("<u4").tobytes()
                 total, at = len(ids) // 4, 0
                 while at < total:
                     n = min(size - fill, total - at)
@@ -179,12 +187,17 @@ def _pack(size: int, kind: pa.DataType):
     return run
 
 
+def _spec(tokenizer: str | None) -> str:
+    with open(tokenizer or default_tokenizer(), encoding="utf-8") as f:
+        return f.read()
+
+
 def encoded(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, curve, ids): end-terminated token ids and the key on the curve."""
+    """(doc_id, curve, ids): end-terminated token ids (little-endian, two bytes
+    each where the vocabulary allows, else four) and the key on the curve."""
     spark = docs.sparkSession
     ship_package(spark)
-    with open(tokenizer or default_tokenizer(), encoding="utf-8") as f:
-        spec = spark.sparkContext.broadcast(f.read())
+    spec = spark.sparkContext.broadcast(_spec(tokenizer))
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(_encode(spec, end_id), f"doc_id {kind}, curve bigint, ids binary")
@@ -194,11 +207,12 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, en
     """Pieces: doc_id, start, length, ids (binary), doc_tokens, sequence_id, offset."""
     from pyspark.sql.pandas.types import to_arrow_type
 
+    dtype = ByteIds(_spec(tokenizer)).dtype
     rows = written(encoded(docs, tokenizer, end_id), "encoded")
     kind = rows.schema["doc_id"].dataType
     ordered = rows.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id", F.xxhash64("ids"))
     return ordered.select("doc_id", "ids").mapInArrow(
-        _pack(size, to_arrow_type(kind)),
+        _pack(size, to_arrow_type(kind), dtype),
         f"doc_id {kind.simpleString()}, start bigint, length bigint, ids binary, doc_tokens bigint,"
         " sequence_id bigint, offset bigint")
 

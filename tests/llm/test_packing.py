@@ -35,6 +35,18 @@ def test_pieces_cover_every_id(spark, documents, with_clashes, empty_docs):
     assert packing.pack(empty_docs).count() == 0
 
 
+def test_both_encoders_agree(documents):
+    ids_of = packing.ByteIds(packing._spec(None))
+    rng = np.random.default_rng(5)
+    letters = list("aeinorstlu THEtion.,!?'-0123456789\n\t  éñüßçÀ“”’–€_/()[]#$%&*|")
+    texts = ["".join(rng.choice(letters, rng.integers(1, 300))) for _ in range(1500)]
+    texts += ["a" * 5000, "ab" * 4000, " " * 3000, "\n" * 3000, "the" * 3000, "!" * 3000, "1" * 3000, "'s" * 2000]
+    texts += [r.text for r in documents.where("text IS NOT NULL").collect()]
+    assert sum(not ids_of.unusual(t) for t in texts) > 1500
+    for t in texts:
+        assert ids_of(t).tolist() == ids_of.plain(t).tolist(), t[:80]
+
+
 def test_repeated_rows_are_packed_each(spark):
     df = spark.createDataFrame([(1, "same text")] * 3 + [(None, "x")], "doc_id bigint, text string")
     rows = packing.pack(df).collect()

@@ -26,7 +26,7 @@ def test_stages_take_effect(spark, sf, documents, with_clashes):
     assert all(r.n_chars == len(r.text) for r in made[3].collect())
     pieces = made[4].collect()
     assert {r.doc_id for r in pieces} == {r.doc_id for r in made[3].collect()}
-    assert sum(r.length for r in pieces) == sum(len(r.ids) // 4 for r in packing.encoded(made[3]).collect())
+    assert sum(r.length for r in pieces) == sum(len(r.ids) // 2 for r in packing.encoded(made[3]).collect())
 
 
 def test_empty_documents(spark, sf, empty_docs):
