@@ -23,15 +23,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_on_key, let, row_key, text_or_empty, words_of, written
+from .common import join_on_key, keyed, let, row_key, rows_of, text_or_empty, words_of, written
 
 N_BUCKETS = 1 << 16
 #: A document may be this far below the corpus mean, in nats per n-gram.
-THRESHOLD = -0.12
+THRESHOLD = -0.08
 #: Bound of the trusted sample; its ids are broadcast (8 bytes each).
 MAX_TRUSTED = 100_000
 MIN_WORDS, WINDOW = 20, 8
-SCALE = 1 << 20
+#: N-grams of the raw corpus added to every bucket of both multinomials.
+PRIOR, SCALE = 50, 1 << 20
 
 
 def base_columns(text: Column) -> dict[str, Column]:
@@ -43,14 +44,16 @@ def base_columns(text: Column) -> dict[str, Column]:
     }
 
 
-def repeat_words(hashes: Column, window: int = WINDOW) -> Column:
-    """Words inside windows of ``window`` words whose sequence occurs at least
-    twice in the same text; ``hashes`` holds a 64-bit hash for each word."""
+def _joined(hashes: Column, step: int) -> Column:
+    """Hash of each run with the run that starts ``step`` places later."""
+    return let(hashes, lambda h: F.zip_with(
+        h, F.slice(h, step + 1, F.greatest(F.size(h), F.lit(1))), lambda a, b: F.xxhash64(a, b)))
 
-    def windows(h):
-        return F.when(F.size(h) >= window, F.transform(
-            F.sequence(F.lit(1), F.size(h) - (window - 1)),
-            lambda i: F.xxhash64(F.slice(h, i, window))))
+
+def repeat_words(pairs: Column) -> Column:
+    """Words inside 8-word windows whose sequence occurs at least twice in the
+    same text; ``pairs`` holds the hash of each word with the next one."""
+    window = WINDOW
 
     def covered(starts):
         # sorted starts: each covers up to the next one, at most a window
@@ -66,19 +69,21 @@ def repeat_words(hashes: Column, window: int = WINDOW) -> Column:
             (F.get(o, k - 1)["x"] == e["x"]) | (F.get(o, k + 1)["x"] == e["x"]))))
         return covered(F.sort_array(F.transform(same, lambda e: e["i"])))
 
-    return F.coalesce(let(windows(hashes), lambda w: F.when(
-        F.size(F.array_distinct(w)) < F.size(w), repeated(w))), F.lit(0)).cast("long")
+    def windows(p):
+        return F.slice(_joined(_joined(p, 2), 4), 1, F.size(p) - (window - 1))
+
+    return F.coalesce(F.when(F.size(pairs) > window, let(windows(pairs), lambda w: F.when(
+        F.size(F.array_distinct(w)) < F.size(w), repeated(w)))), F.lit(0)).cast("long")
 
 
-def ngram_buckets(hashes: Column, n_buckets: int = N_BUCKETS) -> Column:
+def ngram_buckets(hashes: Column, pairs: Column, n_buckets: int = N_BUCKETS) -> Column:
     """Buckets of the word unigrams and bigrams (the last word pairs with the end)."""
-    pairs = let(hashes, lambda h: F.zip_with(
-        h, F.slice(h, 2, F.greatest(F.size(h), F.lit(1))), lambda a, b: F.xxhash64(a, b)))
     return F.transform(F.concat(hashes, pairs), lambda x: F.pmod(x, F.lit(n_buckets)).cast("int"))
 
 
-def word_hashes(text: Column) -> Column:
-    return F.transform(words_of(text), lambda w: F.xxhash64(w))
+def with_hashes(df: DataFrame, words: str = "_w") -> DataFrame:
+    """Adds _wh (a hash for each word) and _wp (one for it and the next word)."""
+    return df.withColumn("_wh", F.transform(words, lambda w: F.xxhash64(w))).withColumn("_wp", _joined(F.col("_wh"), 1))
 
 
 def trusted_sample(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
@@ -94,19 +99,24 @@ def trusted_sample(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFra
 
 
 def ngram_weights(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKETS) -> DataFrame:
-    """(bucket, weight): log(p_trusted / p_raw) with add-one smoothing, scaled to
-    an integer. ``trusted`` (``_tid``) is a bounded sample of ids."""
+    """(bucket, weight): log(p_trusted / p_raw), smoothed by ``PRIOR`` raw n-grams
+    a bucket and scaled to an integer. ``trusted`` (``_tid``) is a bounded sample
+    of ids."""
     marked = docs.select("doc_id", text_or_empty().alias("_t")).join(
         F.broadcast(trusted), F.col("doc_id") == F.col("_tid"), "left")
     # written, since both the totals and the weights read it
-    counts = written(marked.select(F.col("_tid").isNotNull().cast("int").alias("good"),
-                            F.explode(ngram_buckets(word_hashes(F.col("_t")), n_buckets)).alias("bucket"))
+    words = with_hashes(marked.select(F.col("_tid").isNotNull().cast("int").alias("good"),
+                                      words_of(F.col("_t")).alias("_w")))
+    counts = written(words.select("good", F.explode(
+        ngram_buckets(F.col("_wh"), F.col("_wp"), n_buckets)).alias("bucket"))
               .groupBy("bucket").agg(F.count("*").alias("n"), F.sum("good").alias("g")), "ngrams")
     total = counts.agg(F.sum("n").alias("n"), F.sum("g").alias("g")).first()
     n, g = total["n"] or 0, total["g"] or 0
     if not g:
         return counts.select("bucket", F.lit(0).cast("long").alias("weight"))
-    ratio = F.log((F.col("g") + 1.0) / (g + n_buckets)) - F.log((F.col("n") + 1.0) / (n + n_buckets))
+    # the trusted prior follows the raw corpus: rare buckets weigh next to nothing
+    share = g / n
+    ratio = F.log((F.col("g") + PRIOR * share) / ((F.col("n") + PRIOR) * share))
     return counts.select("bucket", F.round(ratio * SCALE).cast("long").alias("weight"))
 
 
@@ -117,12 +127,12 @@ def _scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
             .select(F.monotonically_increasing_id().alias("_row"), "doc_id", "_h", "_t",
                     words_of(F.col("_t")).alias("_w"))
             .select("_row", "doc_id", "_h", "_t", F.size("_w").cast("long").alias("n_words"),
-                    F.length(F.concat_ws("", "_w")).cast("long").alias("word_chars"),
-                    F.transform("_w", lambda w: F.xxhash64(w)).alias("_wh"))
+                    F.length(F.concat_ws("", "_w")).cast("long").alias("word_chars"), "_w")
+            .transform(with_hashes)
             .select("_row", "doc_id", "_h", "n_words", "word_chars",
                     *[c.alias(k) for k, c in base_columns(F.col("_t")).items()],
-                    repeat_words(F.col("_wh")).alias("n_repeat_words"),
-                    ngram_buckets(F.col("_wh"), n_buckets).alias("_b")))
+                    repeat_words(F.col("_wp")).alias("n_repeat_words"),
+                    ngram_buckets(F.col("_wh"), F.col("_wp"), n_buckets).alias("_b")))
     keys = [c for c in rows.columns if c != "_b"]
     mean = F.coalesce(F.sum("weight"), F.lit(0)) / SCALE / F.greatest(F.count("bucket"), F.lit(1))
     scored = (rows.select(*keys, F.explode_outer("_b").alias("bucket"))
@@ -143,5 +153,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` that ``quality_rules`` keeps; equal texts share a verdict."""
     verdicts = _scored(docs, labels, **options)
     good = verdicts.where("kept").select(F.col("doc_id").alias("_id"), "_h").distinct()
-    keyed = docs.withColumns(dict(zip(("_id", "_h"), row_key())))
-    return join_on_key(keyed, good, "left_semi").drop("_id", "_h")
+    return rows_of(join_on_key(keyed(docs), good, "left_semi"))
