@@ -275,10 +275,12 @@ def nodup_check(pairs: DataFrame, batches: DataFrame, batch_size: int = 16,
                 text_cols: tuple[str, ...] = ("anchor", "positive")) -> DataFrame:
     """One row: rows in, rows out, texts repeated inside a batch, batches too large."""
     texts = batches.select("batch_id", F.explode(F.array_distinct(F.array(*text_cols))).alias("t"))
-    repeats = texts.groupBy("batch_id", "t").count().where("count > 1").agg(F.count("*").alias("n_repeats"))
-    large = batches.groupBy("batch_id").count().where(F.col("count") > batch_size).agg(F.count("*").alias("n_too_large"))
-    counts = [pairs.agg(F.count("*").alias("rows_in")), batches.agg(F.count("*").alias("rows_out")), repeats, large]
-    out = counts[0].withColumn("_one", F.lit(1))
-    for c in counts[1:]:  # one row on each side
-        out = out.join(c.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    repeats = texts.groupBy("batch_id", "t").count().where("count > 1").agg(F.count("*").alias("n"))
+    large = batches.groupBy("batch_id").count().where(F.col("count") > batch_size).agg(F.count("*").alias("n"))
+    counts = {"rows_in": pairs.agg(F.count("*").alias("n")), "rows_out": batches.agg(F.count("*").alias("n")),
+              "n_repeats": repeats, "n_too_large": large}
+    stacked = None
+    for name, c in counts.items():
+        row = c.select(F.lit(name).alias("name"), "n")
+        stacked = row if stacked is None else stacked.unionByName(row)
+    return stacked.agg(*[F.max(F.when(F.col("name") == k, F.col("n"))).alias(k) for k in counts])
