@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ragtide.session import ship_package
 
+from . import packed
 from .common import written
 
 LIMIT = 2048
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 4_000_000
 #: The vocabulary file's splitting pattern (fixed); it keeps no white space.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Beyond these characters lower-casing, composition or classes may differ
@@ -78,28 +80,31 @@ class Splitter:
         return self.findall(text.lower())
 
 
+@lru_cache(maxsize=2)
+def splitter(spec: str) -> Splitter:
+    """One for each Python worker, not for each task."""
+    return Splitter(spec)
+
+
 def _batches(spec, kind: pa.DataType, limit: int):
     schema = pa.schema([("batch", pa.int64()), ("tokens", pa.list_(pa.string())), ("doc_ids", pa.list_(kind)),
                         ("n_bytes", pa.list_(pa.int64())), ("fixed", pa.list_(pa.int64())),
-                        ("sizes", pa.list_(pa.int32())), ("numbers", pa.list_(pa.int32())),
-                        ("counts", pa.list_(pa.int32()))])
+                        ("sizes", pa.list_(pa.int32())), ("numbers", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Splitter(spec.value)
+        split = splitter(spec.value)
         number, held = TaskContext.get().partitionId() << 32, 0
         seen: dict[str, int] = {}
         ids, n_bytes, fixed, sizes, numbers, counts = [], [], [], [], [], []
 
         def row():
-            def flat(parts):
-                return pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32), pa.int32())
-
             def one(values):
                 return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
             cols = [pa.array([number], pa.int64()), one(pa.array(list(seen), pa.string())), one(pa.array(ids, kind)),
                     one(pa.array(n_bytes, pa.int64())), one(pa.array(fixed, pa.int64())),
-                    one(pa.array(sizes, pa.int32())), one(flat(numbers)), one(flat(counts))]
+                    one(pa.array(sizes, pa.int32())),
+                    pa.array([packed.pack(np.concatenate(numbers))]), pa.array([packed.pack(np.concatenate(counts))])]
             return pa.RecordBatch.from_arrays(cols, schema=schema)
 
         for b in batches:
@@ -108,8 +113,11 @@ def _batches(spec, kind: pa.DataType, limit: int):
                 pieces = split(text)
                 whole = isinstance(pieces, int)
                 freq = Counter(() if whole else pieces)
-                numbers.append(np.array([seen.setdefault(p, len(seen)) for p in freq], np.int32))
-                counts.append(np.fromiter(freq.values(), np.int32, len(freq)))
+                at = np.array([seen.setdefault(p, len(seen)) for p in freq], np.int64)
+                order = np.argsort(at)
+                # gaps of the sorted numbers; each document starts anew
+                numbers.append(np.diff(at[order], prepend=0))
+                counts.append(np.fromiter(freq.values(), np.int64, len(freq))[order])
                 ids.append(doc_id)
                 n_bytes.append(len(text.encode()))
                 fixed.append(pieces if whole else 0)
@@ -126,7 +134,7 @@ def _batches(spec, kind: pa.DataType, limit: int):
 
 def _pieces(spec):
     def run(batches):
-        split = Splitter(spec.value)
+        split = splitter(spec.value)
         for b in batches:
             tokens = b.column("token").to_pylist()
             found = split.tokenizer.encode_batch_fast(tokens, add_special_tokens=False)
@@ -138,16 +146,21 @@ def _pieces(spec):
 def _sums(batches):
     for b in batches:
         for i in range(b.num_rows):
-            col = {n: b.column(n)[i].values for n in ("doc_ids", "n_bytes", "fixed", "sizes", "numbers", "counts")}
-            pieces = np.zeros(len(b.column("tokens")[i].values) if b.column("tokens")[i].is_valid else 0, np.int64)
+            ids, n_bytes, fixed, sizes = (b.column(n)[i].values for n in ("doc_ids", "n_bytes", "fixed", "sizes"))
+            sizes = sizes.to_numpy()
+            ends = np.cumsum(sizes)
+            gaps, counts = (packed.unpack(b.column(n)[i].as_py(), int(ends[-1])).astype(np.int64)
+                            for n in ("numbers", "counts"))
+            run = np.cumsum(gaps)
+            before = np.concatenate(([0], run))[ends - sizes]
+            numbers = run - np.repeat(before, sizes)
             back = b.column("back")[i]
+            pieces = np.zeros(int(numbers.max(initial=-1)) + 1, np.int64)
             if back.is_valid:
                 pieces[back.values.field("at").to_numpy()] = back.values.field("pieces").to_numpy()
-            sizes = col["sizes"].to_numpy()
-            sums = np.concatenate(([0], np.cumsum(pieces[col["numbers"].to_numpy()] * col["counts"].to_numpy())))
-            ends = np.cumsum(sizes)
+            sums = np.concatenate(([0], np.cumsum(pieces[numbers] * counts)))
             yield pa.RecordBatch.from_arrays(
-                [col["doc_ids"], col["n_bytes"], pa.array(sums[ends] - sums[ends - sizes] + col["fixed"].to_numpy())],
+                [ids, n_bytes, pa.array(sums[ends] - sums[ends - sizes] + fixed.to_numpy())],
                 ["doc_id", "n_bytes", "n_tokens"])
 
 
@@ -163,11 +176,11 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIM
     kind, ddl = to_arrow_type(id_type), id_type.simpleString()
     rows = written(docs.mapInArrow(_batches(spec, kind, batch_tokens), (
         f"batch bigint, tokens array<string>, doc_ids array<{ddl}>, n_bytes array<bigint>, fixed array<bigint>,"
-        " sizes array<int>, numbers array<int>, counts array<int>")), "batches")
+        " sizes array<int>, numbers binary, counts binary")), "batches")
     tokens = rows.select("batch", F.posexplode("tokens").alias("at", "token"))
     distinct = tokens.groupBy("token").agg(F.count("*").alias("n_batches"))
     counted = written(distinct.select("token").mapInArrow(_pieces(spec), "token string, pieces int"), "pieces")
     back = (tokens.join(counted, "token").groupBy("batch")
             .agg(F.collect_list(F.struct("at", "pieces")).alias("back")))
-    sums = rows.join(back, "batch", "left").mapInArrow(_sums, f"doc_id {ddl}, n_bytes bigint, n_tokens bigint")
+    sums = rows.drop("tokens").join(back, "batch", "left").mapInArrow(_sums, f"doc_id {ddl}, n_bytes bigint, n_tokens bigint")
     return sums.withColumn("over_limit", F.col("n_tokens") > limit)
