@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +89,12 @@ class ByteIds:
         return self.ranked.encode_to_numpy(text, disallowed_special=()).astype(self.dtype)
 
 
+@lru_cache(maxsize=2)
+def byte_ids(spec: str) -> ByteIds:
+    """One for each Python worker, not for each task."""
+    return ByteIds(spec)
+
+
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Position on the Hilbert curve of integer points (n, dims) below 2**bits."""
     x = points.astype(np.int64).T.copy()
@@ -133,7 +140,7 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _encode(spec, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = ByteIds(spec.value)
+        ids_of = byte_ids(spec.value)
         for b in sliced(batches):
             texts, out, vectors = b.column("text"), [], np.zeros((b.num_rows, BUCKETS))
             for i in range(b.num_rows):
