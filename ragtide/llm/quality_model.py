@@ -37,7 +37,7 @@ HASH_BITS, SHARDS, EPOCHS = 18, 8, 2
 MAX_ROWS = 16_000
 ALPHA, BETA, L1, L2, SCALE = 0.5, 1.0, 0.02, 0.1, 20.0
 THRESHOLD = 0.7
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _byte = np.arange(256)
 WORD_BYTE = (((_byte >= 48) & (_byte <= 57)) | ((_byte >= 65) & (_byte <= 90))
