@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ragtide.session import scratch_path
+from ragtide.functions.text import let
+from ragtide.session import written
+
+__all__ = ["WS", "ascii_lower", "join_on_key", "keyed", "let", "row_key", "rows_of", "table", "text_or_empty",
+           "words_of", "written"]
 
 #: ASCII white space as the contracts name it: space and 0x09-0x0D.
 WS = " \t\n\x0b\x0c\r"
@@ -36,20 +38,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it in ``body`` (also inside lambdas,
-    where an inlined expression would run again for every element)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost
-    executors, and every later read sees the same rows."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def row_key(text: str = "text", doc_id: str = "doc_id") -> list[Column]:
     """A key that holds for repeated and null ids: equal keys, equal rows."""
     return [F.col(doc_id).alias("_id"),
