@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 
 from ragtide.session import ship_package
 
+from .packing import sliced
 from .quality_model import held_out
 
 MAX_ROWS, MIN_COUNT, MAX_GRAM = 10_000, 3, 5
 #: Smoothing: counts added to each entry of a table.
 ALPHA = 0.5
-CACHE = 400_000
+CACHE = 300_000
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
@@ -71,7 +72,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Log frequencies: ``words`` and ``grams`` map a string to a row."""
+    """Log frequencies: ``words`` and ``grams`` map a string to a row of ``logs``."""
 
     def __init__(self, rows, languages: list[str]):
         self.languages = languages
@@ -80,26 +81,43 @@ class Model:
         for r in rows:
             name = "word" if r["kind"] == "word" else f"gram{len(r['piece'])}"
             tables.setdefault(name, {}).setdefault(r["piece"], np.zeros(len(languages)))[at[r["lang"]]] = r["n"]
-        self.words, self.grams = {}, {}
+        self.words, self.grams, logs, first = {}, {}, [], 0
         for name, table in tables.items():
-            keys = list(table)
-            n = np.array([table[k] for k in keys]) + ALPHA
-            logs = np.log(n / n.sum(0)).astype(np.float32)
-            (self.words if name == "word" else self.grams).update(zip(keys, logs))
-
-    def score(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        w, total, n = f" {word} ", np.zeros(len(self.languages)), 0
-        for i in range(len(w)):
-            for size in range(min(MAX_GRAM, len(w) - i), 0, -1):
-                found = self.grams.get(w[i:i + size])
-                if found is not None:
-                    total += found
-                    n += 1
-                    break
-        return total / max(n, 1)
+            n = np.array(list(table.values())) + ALPHA
+            logs.append(np.log(n / n.sum(0)))
+            (self.words if name == "word" else self.grams).update(zip(table, range(first, first + len(table))))
+            first += len(table)
+        self.logs = np.concatenate([*logs, np.zeros((1, len(languages)))]).astype(np.float32)
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """A row for each word: its own, or the mean of its longest known n-grams."""
+        rows, sizes, known, grams = [], [], self.words.get, self.grams.get
+        for word in words:
+            row = known(word)
+            if row is not None:
+                rows.append(row)
+                sizes.append(1)
+                continue
+            w, before = f" {word} ", len(rows)
+            n = len(w)
+            for i in range(n):
+                for end in range(min(i + MAX_GRAM, n), i, -1):
+                    row = grams(w[i:end])
+                    if row is not None:
+                        rows.append(row)
+                        break
+            if len(rows) == before:
+                rows.append(len(self.logs) - 1)
+            sizes.append(len(rows) - before)
+        sizes = np.array(sizes)
+        starts = np.cumsum(sizes) - sizes
+        out = np.empty((len(words), len(self.languages)))
+        step = 1 << 16  # bounds the gathered rows
+        for a in range(0, len(words), step):
+            b = min(a + step, len(words))
+            part = self.logs[rows[starts[a]:starts[b - 1] + sizes[b - 1]]].astype(np.float64)
+            out[a:b] = np.add.reduceat(part, starts[a:b] - starts[a]) / sizes[a:b, None]
+        return out
 
 
 def train(docs: DataFrame, max_rows: int = MAX_ROWS, min_count: int = MIN_COUNT) -> Model:
@@ -120,24 +138,22 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS, min_count: int = MIN_COUNT)
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        k = len(model.languages)
         number: dict[str, int] = {}
-        scores = np.zeros((1024, max(k, 1)), np.float64)
-        for b in batches:
+        scores = np.zeros((0, len(model.languages)))
+        for b in sliced(batches):
             if len(number) > CACHE:
-                number = {}
+                number, scores = {}, scores[:0]
+            texts = [words_of(t.as_py()) for t in b.column("text")]
+            fresh = list(dict.fromkeys(w for t in texts for w in t if w not in number))
+            number.update(zip(fresh, range(len(number), len(number) + len(fresh))))
+            if fresh and model.languages:
+                scores = np.concatenate([scores, model.score(fresh)])
             langs, best = [], []
-            for text in b.column("text"):
-                words = words_of(text.as_py())
-                if not words or not k:
+            for words in texts:
+                if not words or not model.languages:
                     langs.append("und")
                     best.append(0.0)
                     continue
-                for w in set(words).difference(number):
-                    if len(number) == len(scores):
-                        scores = np.concatenate([scores, np.zeros_like(scores)])
-                    scores[len(number)] = model.score(w)
-                    number[w] = len(number)
                 total = scores[np.fromiter(map(number.__getitem__, words), np.int64, len(words))].sum(0)
                 share = np.exp(total - total.max())
                 i = int(total.argmax())
