@@ -82,7 +82,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     # alignments meet their text once for each document
     by_doc = written(met.groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "words", "items")).alias("met")), "met")
     texts = docs.select(*row_key(), text_or_empty().alias("_t"))
-    joined = join_on_key(by_doc, texts, "inner").dropDuplicates(["_id", "_h"])
+    joined = join_on_key(by_doc, texts, "inner")
 
     def equal(words, m):
         n = F.size(m["words"])
@@ -92,7 +92,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     hits = let(raw_words(F.col("_t")), lambda words: F.filter("met", lambda m: equal(words, m)))
     return joined.select("_id", "_h", F.transform(hits, lambda m: F.struct(
         m["start"].alias("start"), (m["start"] + F.size(m["words"]) - 1).alias("end"),
-        m["items"].alias("items"))).alias("hits")).where(F.size("hits") > 0)
+        m["items"].alias("items"))).alias("hits")).where(F.size("hits") > 0).dropDuplicates(["_id", "_h"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
