@@ -60,10 +60,12 @@ def prefixes(docs: DataFrame, windows: DataFrame, max_broadcast: int = MAX_BROAD
     parts = grouped.select("words", "items", F.posexplode("words").alias("at", "w")).withColumn(
         "word", F.lower("w"))
     vocabulary = written(parts.select("word").distinct(), "vocabulary")
-    side = F.broadcast(vocabulary) if _small(vocabulary, max_broadcast) else vocabulary
+    small = _small(vocabulary, max_broadcast)
+    side = F.broadcast(vocabulary) if small else vocabulary
     counts = (docs.select(F.explode(raw_words(text_or_empty())).alias("word"))
               .select(F.lower("word").alias("word")).join(side, "word").groupBy("word").agg(F.count("*").alias("n")))
-    rarest = (parts.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # at most a row for each word of the vocabulary; a word may be in most windows
+    rarest = (parts.join(F.broadcast(counts) if small else counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
               .groupBy("words").agg(F.min(F.struct("n", "word", "at")).alias("p"), F.first("items").alias("items")))
     return rarest.where("p.n > 0").select("p.word", "p.at", "words", "items")
 
