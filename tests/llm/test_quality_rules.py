@@ -48,8 +48,8 @@ def test_scores_equal_brute_force(spark, labels):
         if i in good:
             trusted.update(b)
     n, g = sum(raw.values()), sum(trusted.values())
-    weight = {b: round((math.log((trusted[b] + 1) / (g + 4096)) - math.log((raw[b] + 1) / (n + 4096))) * (1 << 20))
-              for b in raw}
+    share, prior = g / n, quality_rules.PRIOR
+    weight = {b: round(math.log((trusted[b] + prior * share) / ((raw[b] + prior) * share)) * (1 << 20)) for b in raw}
     for r in quality_rules.quality_rules(docs, labels, n_buckets=1 << 12).collect():
         b = buckets[r.doc_id]
         assert abs(r.llr - sum(weight[x] for x in b) / (1 << 20) / max(1, len(b))) < 1e-5
