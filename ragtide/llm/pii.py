@@ -126,7 +126,7 @@ def mentions(docs: DataFrame) -> DataFrame:
         return F.get(F.reverse(F.split(F.btrim(F.lower(col)), "\\s+")), F.lit(n))
 
     rows = (docs.select(*row_key(), text_or_empty().alias("_t"))
-            .select("_id", "_h", F.explode(matches(F.col("_t"), MENTION, "[0-9]")).alias("m"))
+            .select("_id", "_h", F.explode(matches(F.col("_t"), MENTION, "[0-9@]")).alias("m"))
             .select("_id", "_h", "m.*"))
     whole = [F.rlike("value", F.lit(f"^(?:{p})$")) & valid(k, F.col("value")) for k, p in PATTERNS.items()]
     seed = whole[0]

@@ -68,6 +68,26 @@ def test_contexts_discover_identifiers(spark):
     assert all(not found[i] for i in range(14, len(texts)))
 
 
+def letters(i):
+    return chr(97 + i // 26) + chr(97 + i % 26)
+
+
+def found_ids(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = {}
+    for r in pii.pii_report(docs).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        out[r.doc_id] = [texts[r.doc_id][int(a):int(b)] for kind, a, b in spans if kind == "id"]
+    return [out[i] for i in range(len(texts))]
+
+
+def test_seeds_without_digits(spark):
+    """E-mails without digits in texts without digits carry patterns."""
+    seeds = [f"please call or mail member number {letters(i)}.smith@corp.com about it" for i in range(12)]
+    hidden = [f"please call or mail member number KX-{70000 + i} about it" for i in range(2)]
+    assert found_ids(spark, seeds + hidden) == [[]] * 12 + [["KX-70000"], ["KX-70001"]]
+
+
 def test_redact(spark, documents, with_clashes, empty_docs):
     odd = spark.createDataFrame([(1, "mail é a.b@c.d or 1.2.3.4@e.f!", "en", "s", 5), (2, None, "en", "s", None),
                                  (1, "mail é a.b@c.d or 1.2.3.4@e.f!", "en", "s", 5)], documents.schema)
