@@ -8,7 +8,9 @@ a text; possessive quantifiers and look-behinds keep the patterns linear.
 
 Bootstrapping: every base entity and every other identifier-like token (it holds
 digits) is a mention with its lexical contexts: the two words to its left, and
-the word on either side. Contexts (patterns) and values (instances) form a
+the word on either side. Every match of the mention pattern is one word of its
+text, whatever it is attached to; as a context its digits are one 0, and an
+e-mail is @. Contexts (patterns) and values (instances) form a
 graph. In each round Spark scores a pattern by the mean score of its distinct
 instances and an instance by noisy-or over its accepted patterns; base entities
 are the seeds, with score 1. Mentions of instances beyond ``accept`` inside
@@ -28,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_on_key, keyed, let, row_key, rows_of, text_or_empty, written
+from .common import join_on_key, keyed, let, row_key, rows_of, text_or_empty, words_of, written
 
 LOCAL = "A-Za-z0-9._%+-"
 #: The contract's patterns, in the order in which kinds are listed.
@@ -45,6 +47,11 @@ FOUND = "id"
 TOKEN = r"(?<![A-Za-z0-9])(?:[A-Za-z]{1,8}+[._-])?+[A-Za-z]*+[0-9][A-Za-z0-9]*+(?:[._-][A-Za-z0-9]++)*+"
 MENTION = "|".join([PATTERNS["phone"], PATTERNS["email"], PATTERNS["ip"],
                     r"(?<![0-9])[0-9](?:[ -]?[0-9]){11,}+", TOKEN])
+#: A number as a context word: a phone or card number with its separators is one.
+NUMBER = "[0-9]++(?:[ ().-]++[0-9]++)*+"
+#: Marks the words that are matches; taken as a space where a text holds it.
+MARK = "\x01"
+SIDES = ("two", "one", "after")
 ROUNDS, MIN_SUPPORT, MIN_PRECISION, ACCEPT, MIN_DIGITS = 3, 5, 0.8, 0.8, 4
 CHUNK = 256
 
@@ -67,22 +74,46 @@ def starts_of(lengths: Column) -> Column:
                 chunks, running(F.transform(chunks, total), zero), running)))))
 
 
-def matches(text: Column, pattern: str, needs: str) -> Column:
-    """Array of (value, start, left, right): matches, code-point starts, and the
-    ends of the gaps on both sides."""
+def matches(text: Column, pattern: str, needs: str, words: bool = False) -> Column:
+    """Array of (value, start): matches and their code-point starts; with
+    ``words`` also two, one and after (see ``neighbours``)."""
     def located(found, gaps):
         lengths = F.transform(found, lambda m, i: (F.length(F.get(gaps, i)) + F.length(m)).cast("long"))
-        return let(starts_of(lengths), lambda at: F.transform(found, lambda m, i: F.struct(
-            m.alias("value"), (F.get(at, i) + F.length(F.get(gaps, i))).alias("start"),
-            F.substring(F.get(gaps, i), -48, 48).alias("left"),
-            F.substring(F.get(gaps, i + 1), 1, 24).alias("right"))))
-
-    none = F.array().cast("array<struct<value:string,start:bigint,left:string,right:string>>")
+        at = F.transform(starts_of(lengths), lambda a, i: a + F.length(F.get(gaps, i)))
+        if words:
+            return F.zip_with(F.zip_with(found, at, lambda m, a: F.struct(m.alias("value"), a.alias("start"))),
+                              neighbours(found, gaps), lambda m, n: F.struct(
+                *[m[c].alias(c) for c in ("value", "start")], *[n[c].alias(c) for c in SIDES]))
+        return F.zip_with(found, at, lambda m, a: F.struct(m.alias("value"), a.alias("start")))
+
+    fields = ["value:string", "start:bigint", *[f"{c}:string" for c in SIDES if words]]
+    none = F.array().cast(f"array<struct<{','.join(fields)}>>")
     return F.when(F.rlike(text, F.lit(needs)), let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda found: let(F.split(text, pattern), lambda gaps: located(found, gaps)))).otherwise(none)
 
 
+def neighbours(found: Column, gaps: Column) -> Column:
+    """Array of (two, one, after): the second and the next word to the left of each
+    match and the next one to its right, null where the text ends. The words are
+    cut from the whole text, in which each match is a marked word."""
+    def masked(m):
+        return F.when(F.contains(m, F.lit("@")), F.lit("@")).otherwise(F.regexp_replace(m, NUMBER, "0"))
+
+    text = F.lower(F.array_join(F.zip_with(gaps, found, lambda g, m: F.concat(
+        F.translate(g, MARK, " "), F.coalesce(F.concat(F.lit(f" {MARK}"), masked(m), F.lit(" ")), F.lit("")))), ""))
+
+    def word(w, i):
+        return F.regexp_replace(F.translate(F.get(w, i), MARK, ""), "[0-9]+", "0")
+
+    def around(w):
+        places = F.filter(F.transform(w, lambda x, i: F.when(F.startswith(x, F.lit(MARK)), i)), lambda i: i.isNotNull())
+        return F.transform(places, lambda i: F.struct(*[
+            word(w, i + step).alias(c) for c, step in zip(SIDES, (-2, -1, 1))]))
+
+    return let(words_of(text), around)
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]+", "")
 
@@ -122,20 +153,15 @@ def base_spans(text: Column) -> Column:
 def mentions(docs: DataFrame) -> DataFrame:
     """(_id, _h, value, start, end, seed, patterns): base entities and other
     tokens with digits, each with its contexts."""
-    def word(col, n):
-        return F.get(F.reverse(F.split(F.btrim(F.lower(col)), "\\s+")), F.lit(n))
-
     rows = (docs.select(*row_key(), text_or_empty().alias("_t"))
-            .select("_id", "_h", F.explode(matches(F.col("_t"), MENTION, "[0-9@]")).alias("m"))
+            .select("_id", "_h", F.explode(matches(F.col("_t"), MENTION, "[0-9@]", words=True)).alias("m"))
             .select("_id", "_h", "m.*"))
     whole = [F.rlike("value", F.lit(f"^(?:{p})$")) & valid(k, F.col("value")) for k, p in PATTERNS.items()]
     seed = whole[0]
     for w in whole[1:]:
         seed = seed | w
-    one, two = (F.regexp_replace(word(F.col("left"), n), "[0-9]+", "0") for n in (0, 1))
-    after = F.regexp_extract(F.lower("right"), "^\\s*(\\S+)", 1)
-    contexts = F.array(F.when((one != "") & (two != ""), F.concat_ws(" ", two, one, F.lit("_"))),
-                       F.when((one != "") & (after != ""), F.concat_ws(" ", one, F.lit("_"), after)))
+    # null where a word is missing
+    contexts = F.array(F.concat("two", F.lit(" "), "one", F.lit(" _")), F.concat("one", F.lit(" _ "), "after"))
     return (rows.withColumn("seed", seed)
             .where(F.col("seed") | (F.length(digits(F.col("value"))) >= MIN_DIGITS))
             .select("_id", "_h", F.lower("value").alias("value"), "start",

@@ -88,6 +88,30 @@ def test_seeds_without_digits(spark):
     assert found_ids(spark, seeds + hidden) == [[]] * 12 + [["KX-70000"], ["KX-70001"]]
 
 
+def test_contexts_across_lines_tabs_and_other_numbers(spark):
+    """Words around a mention come from the whole text, not from one gap."""
+    layouts = ["our customer number:\n{}\nis in use", "plan\tanna\t{}\tpaid", "room {n} ref {} then",
+               "kin of {n}.{n}@old.org, {} too", "a {long} {} b", "x(+1 212 555-12{n}) {}"]
+    shapes = [x.replace("{long}", "w" * 60) for x in layouts]
+    seeds, hidden = [], []
+    for k, shape in enumerate(shapes):
+        seeds += [shape.replace("{n}", str(10 + i)).replace("{}", f"{letters(i)}@corp.com") for i in range(8)]
+        hidden.append(shape.replace("{n}", "77").replace("{}", f"KX-{70000 + k}"))
+    assert found_ids(spark, seeds + hidden) == [[]] * len(seeds) + [[f"KX-{70000 + k}"] for k in range(len(shapes))]
+
+
+def test_neighbours(spark):
+    texts = ["a\x01b 12 c", "\t99\n", "é ü/7 x", "u@x.org 5 5", "4111 1111 1111 1111(+1 212 555-1234)q"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = docs.orderBy("doc_id").select(pii.matches(F.col("text"), pii.MENTION, "[0-9@]", words=True).alias("m")).collect()
+    assert [[tuple(x) for x in r.m] for r in got] == [
+        [("12", 4, "a", "b", "c")],
+        [("99", 1, None, None, None)],
+        [("7", 4, "é", "ü/", "x")],
+        [("u@x.org", 0, None, None, "0"), ("5", 8, None, "@", "0"), ("5", 10, "@", "0", None)],
+        [("4111 1111 1111 1111", 0, None, None, "("), ("+1 212 555-1234", 20, "0", "(", ")q")]]
+
+
 def test_redact(spark, documents, with_clashes, empty_docs):
     odd = spark.createDataFrame([(1, "mail é a.b@c.d or 1.2.3.4@e.f!", "en", "s", 5), (2, None, "en", "s", None),
                                  (1, "mail é a.b@c.d or 1.2.3.4@e.f!", "en", "s", 5)], documents.schema)
