@@ -2,15 +2,16 @@
 
 Every document gets the base statistics of the rules and a score: the mean over
 its hashed word n-grams of log(p_trusted / p_raw). ``p_raw`` is the multinomial
-of all documents, ``p_trusted`` that of a bounded sample of trusted documents,
-both over ``n_buckets`` hash buckets. A document is kept when no base rule fails
+of all documents, ``p_trusted`` that of all trusted documents, both over
+``n_buckets`` hash buckets, whose number follows the bytes of text. A document is kept when no base rule fails
 and its score reaches ``threshold``, a constant: the verdict depends on the
 corpus counts only, never on the rank of a document.
 
-Scale: n-gram counts are aggregated map-side to ``n_buckets`` rows, the weight
-table is broadcast (its size is the parameter), and per-document sums are
-integers, so that the result does not depend on the order of addition. Texts
-are never shuffled.
+Scale: n-gram counts are aggregated map-side to ``n_buckets`` rows, and
+per-document sums are integers, so that the result does not depend on the order
+of addition. The weight table is broadcast up to ``max_broadcast`` buckets; beyond
+it the buckets of each text, with their counts, are shuffled to their weights.
+Texts are shuffled only when the trusted ids are too many to broadcast.
 
 Defined cases: null or blank text has no words and fails the base rule; repeated
 rows are judged alike and all come back; an empty table gives an empty result;
@@ -23,13 +24,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ragtide.functions.text import runs
+from ragtide.operators.topk import broadcast_if_small
+
 from .common import join_on_key, keyed, let, row_key, rows_of, text_or_empty, words_of, written
 
-N_BUCKETS = 1 << 16
+#: Buckets at least; their number doubles until a bucket has no more text than this.
+N_BUCKETS, BYTES_A_BUCKET = 1 << 16, 1 << 13
+#: Weights are broadcast up to so many buckets.
+MAX_BROADCAST = 1 << 21
 #: A document may be this far below the corpus mean, in nats per n-gram.
 THRESHOLD = -0.08
-#: Bound of the trusted sample; its ids are broadcast (8 bytes each).
-MAX_TRUSTED = 100_000
 MIN_WORDS, WINDOW = 20, 8
 #: N-grams of the raw corpus added to every bucket of both multinomials.
 PRIOR, SCALE = 50, 1 << 20
@@ -86,13 +91,20 @@ def with_hashes(df: DataFrame, words: str = "_w") -> DataFrame:
     return df.withColumn("_wh", F.transform(words, lambda w: F.xxhash64(w))).withColumn("_wp", _joined(F.col("_wh"), 1))
 
 
-def trusted_sample(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """Ids labelled quality 1 and never 0, at most about ``max_trusted`` of them,
-    chosen by a hash of the id (the same ones on every run)."""
+def bucket_count(docs: DataFrame, bytes_a_bucket: int = BYTES_A_BUCKET, least: int = N_BUCKETS) -> int:
+    """The smallest doubling of ``least`` that holds all text of ``docs``."""
+    total = docs.agg(F.sum(F.octet_length(text_or_empty()).cast("long"))).first()[0] or 0
+    while least * bytes_a_bucket < total:
+        least *= 2
+    return least
+
+
+def trusted_sample(labels: DataFrame, max_trusted: int | None = None) -> DataFrame:
+    """Ids labelled quality 1 and never 0: all of them, or at most about
+    ``max_trusted``, chosen by a hash of the id (the same ones on every run)."""
     good = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
             .groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1"))
-    n = good.count()
-    if n > max_trusted:
+    if max_trusted is not None and (n := good.count()) > max_trusted:
         cut = int(max_trusted / n * (1 << 30))
         good = good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut)
     return good.select(F.col("doc_id").alias("_tid"))
@@ -100,10 +112,9 @@ def trusted_sample(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFra
 
 def ngram_weights(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKETS) -> DataFrame:
     """(bucket, weight): log(p_trusted / p_raw), smoothed by ``PRIOR`` raw n-grams
-    a bucket and scaled to an integer. ``trusted`` (``_tid``) is a bounded sample
-    of ids."""
+    a bucket and scaled to an integer. ``trusted`` (``_tid``) has distinct ids."""
     marked = docs.select("doc_id", text_or_empty().alias("_t")).join(
-        F.broadcast(trusted), F.col("doc_id") == F.col("_tid"), "left")
+        broadcast_if_small(trusted), F.col("doc_id") == F.col("_tid"), "left")
     # written, since both the totals and the weights read it
     words = with_hashes(marked.select(F.col("_tid").isNotNull().cast("int").alias("good"),
                                       words_of(F.col("_t")).alias("_w")))
@@ -120,8 +131,9 @@ def ngram_weights(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKET
     return counts.select("bucket", F.round(ratio * SCALE).cast("long").alias("weight"))
 
 
-def _scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
-            n_buckets: int = N_BUCKETS, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def _scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, n_buckets: int | None = None,
+            max_trusted: int | None = None, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    n_buckets = n_buckets or bucket_count(docs)
     weights = ngram_weights(docs, trusted_sample(labels, max_trusted), n_buckets)
     rows = (docs.select("doc_id", row_key()[1], text_or_empty().alias("_t"))
             .select(F.monotonically_increasing_id().alias("_row"), "doc_id", "_h", "_t",
@@ -134,9 +146,17 @@ def _scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                     repeat_words(F.col("_wp")).alias("n_repeat_words"),
                     ngram_buckets(F.col("_wh"), F.col("_wp"), n_buckets).alias("_b")))
     keys = [c for c in rows.columns if c != "_b"]
-    mean = F.coalesce(F.sum("weight"), F.lit(0)) / SCALE / F.greatest(F.count("bucket"), F.lit(1))
-    scored = (rows.select(*keys, F.explode_outer("_b").alias("bucket"))
-              .join(F.broadcast(weights), "bucket", "left").groupBy(*keys).agg(mean.alias("llr")))
+    if n_buckets <= max_broadcast:
+        mean = F.coalesce(F.sum("weight"), F.lit(0)) / SCALE / F.greatest(F.count("bucket"), F.lit(1))
+        scored = (rows.select(*keys, F.explode_outer("_b").alias("bucket"))
+                  .join(F.broadcast(weights), "bucket", "left").groupBy(*keys).agg(mean.alias("llr")))
+    else:
+        # by text: copies multiply both sums alike
+        means = (rows.select("_h", F.explode(runs(F.col("_b"))).alias("r"))
+                 .select("_h", F.col("r.value").alias("bucket"), F.col("r.n").cast("long").alias("n"))
+                 .join(weights, "bucket").groupBy("_h")
+                 .agg((F.sum(F.col("weight") * F.col("n")) / SCALE / F.sum("n")).alias("llr")))
+        scored = rows.select(*keys).join(means, "_h", "left").select(*keys, F.coalesce("llr", F.lit(0.0)).alias("llr"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("llr") >= threshold))

@@ -80,3 +80,19 @@ def test_filter_and_odd_tables(spark, documents, labels, with_clashes, empty_doc
     assert all(r.llr == 0 and r.kept == (not r.base_failed) for r in none)
     sample = quality_rules.trusted_sample(labels, 20)
     assert 0 < sample.count() < 45 and sample.collect() == quality_rules.trusted_sample(labels, 20).collect()
+
+
+def test_all_trusted_documents_count(spark):
+    many = spark.range(150_000).selectExpr("id AS doc_id", "1 AS quality")
+    assert quality_rules.trusted_sample(many).count() == 150_000
+    assert quality_rules.trusted_sample(many.limit(3), 0).count() == 0
+
+
+def test_buckets_follow_the_text(spark, documents, labels, empty_docs):
+    total = sum(len((r.text or "").encode()) for r in documents.collect())
+    n = quality_rules.bucket_count(documents, 64, 16)
+    assert n * 64 >= total > n * 32 and n & (n - 1) == 0
+    assert quality_rules.bucket_count(empty_docs, 64, 16) == 16
+    near, far = (sorted(map(str, quality_rules.quality_rules(documents, labels, n_buckets=1 << 12, max_broadcast=m).collect()))
+                 for m in (1 << 12, 0))
+    assert near == far
