@@ -285,7 +285,7 @@ def _grouped(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     members = written(points.join(trees, points.fp == trees.u, "left").select(
         "fp", "first", F.coalesce("v", "fp").alias("root")), "members")
     tops = written(members.groupBy("root").agg(F.min("first").alias("component_id")), "tops")
-    return fps.join(members.join(tops, "root").select("fp", "component_id"), "fp")
+    return fps.join(members.join(tops, "root").select("fp", "root", "component_id"), "fp")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, **limits) -> DataFrame:
@@ -297,9 +297,10 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, **limits) -> DataFrame:
     """``docs`` with one row of each group, that of the smallest doc_id (of
-    several rows with this id, the one with the smallest text hash; of rows in
-    groups without any id, one for each fingerprint)."""
+    several rows with this id in the group, the one with the smallest text hash; of
+    rows in groups without any id, one for each fingerprint). An id that stands in
+    several groups stays in each."""
     stay = (_grouped(docs, shingle, max_bits, **limits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("component_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("_lone"))
+            .groupBy("root", "component_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("_lone"))
             .agg(F.min("_h").alias("_h")).select(F.col("component_id").alias("_id"), "_h").distinct())
     return rows_of(join_on_key(keyed(docs), stay, "left_semi").dropDuplicates(["_id", "_h"]))

@@ -120,3 +120,10 @@ def test_keep_one(spark, documents, with_clashes, empty_docs):
     assert all(r.more == "kept more" for r in rows)
     assert simhash.keep_one(empty_docs).count() == 0
     assert simhash.simhash_groups(empty_docs).count() == 0
+
+
+def test_one_id_in_two_groups(spark):
+    """Each group keeps a row, also where one id names both."""
+    a, b = (" ".join(f"{c}{i * i}" for i in range(60)) for c in "pq")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, b), (3, a)], "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in simhash.keep_one(docs).collect()) == [(1, a), (1, b)]
