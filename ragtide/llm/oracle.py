@@ -55,5 +55,36 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 
+def op13_source_audit(min_docs: int = 30, top: int = 50) -> str:
+    terms = f"regexp_extract_all({LOWER}, '[a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+    def share(n, total):
+        return f"1 + (1000000000::HUGEINT * ({n} + 5)) // ({total} + 5 * v)"
+
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  {terms} AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+x AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM x GROUP BY lang, term HAVING count(DISTINCT r) >= {min_docs}),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM x SEMI JOIN kept USING (lang, term)
+  GROUP BY lang, source, term),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {share('coalesce(c.n, 0)', 'coalesce(s.total, 0)')} AS p,
+    {share('k.n', 'l.total')} AS q
+  FROM g JOIN kept k USING (lang) JOIN l USING (lang) LEFT JOIN s USING (lang, source)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) f
+  ON f.lang = a.lang AND f.source = a.source AND f.item = b.source)
+SELECT lang, source, 'pair' AS part, item, value,
+  (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM pairs
+UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term))::INTEGER AS rank
+  FROM p WHERE n > 0 AND p > q) WHERE rank <= {top}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {f.__name__: f() for f in (op4_warc, op6_substring_dedup, op7_decontaminate)}
+    return {f.__name__: f() for f in (op4_warc, op6_substring_dedup, op7_decontaminate, op13_source_audit)}
