@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import license_scan
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -55,6 +57,37 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 
+def op11_license_scan(gap: int = 4, min_share: str = "0.8") -> str:
+    def values(rows, phrase, k):
+        return [f"('{label}', '{text}', {phrase}, {k})" for label, text in rows]
+
+    templates = ", ".join(values(license_scan.PHRASES, "true", 2) + values(license_scan.NOTICES, "false", 3))
+    words = f"regexp_extract_all({LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+t AS (SELECT row_number() OVER () AS t, label, phrase, k, {words} AS w
+  FROM (VALUES {templates}) v(label, text, phrase, k)),
+tg AS (SELECT t, label, phrase, k, len(w) AS n, o, array_to_string(w[o + 1:o + k], ' ') AS g
+  FROM (SELECT *, unnest(range(0, len(w) - k + 1)) AS o FROM t)),
+dg AS (SELECT r, k, p, array_to_string(w[p + 1:p + k], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(0, len(w) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM t) WHERE len(w) >= k)),
+votes AS (SELECT r, t, label, phrase, k, n, p - o AS diagonal, o FROM dg JOIN tg USING (k, g)),
+marked AS (SELECT *, CASE WHEN before IS NULL OR (CASE WHEN phrase THEN diagonal <> before ELSE diagonal - before > {gap} END)
+    THEN 1 ELSE 0 END AS new
+  FROM (SELECT *, lag(diagonal) OVER (PARTITION BY r, t ORDER BY diagonal, o) AS before FROM votes)),
+bands AS (SELECT *, sum(new) OVER (PARTITION BY r, t ORDER BY diagonal, o) AS band FROM marked),
+s AS (SELECT r, t, label, phrase, band, min(p) AS start, count(DISTINCT c) / any_value(n) AS share
+  FROM (SELECT *, diagonal + o AS p, unnest(range(o, o + k)) AS c FROM bands) GROUP BY r, t, label, phrase, band),
+f AS (SELECT r, count(*) FILTER (phrase AND share = 1) AS n_base, min(start) FILTER (phrase AND share = 1) AS first_word,
+    max(start) FILTER (phrase AND share = 1) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase AND share = 1) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (CASE WHEN phrase THEN share = 1 ELSE share >= {min_share} END)
+      AS labels, max(share) AS score
+  FROM s GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  round(coalesce(score, 0), 6) AS score FROM d LEFT JOIN f USING (r)"""
+
+
 def op13_source_audit(min_docs: int = 30, top: int = 50) -> str:
     terms = f"regexp_extract_all({LOWER}, '[a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
@@ -87,4 +120,5 @@ UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, term AS item, (p -
 
 
 def oracle_sql() -> dict[str, str]:
-    return {f.__name__: f() for f in (op4_warc, op6_substring_dedup, op7_decontaminate, op13_source_audit)}
+    return {f.__name__: f() for f in (op4_warc, op6_substring_dedup, op7_decontaminate, op11_license_scan,
+                                       op13_source_audit)}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language, oracle, packing, pii, quality_model, quality_rules, simhash, source_audit,
-               substring_dedup, token_counts, warc)
+from . import (decontaminate, language, license_scan, oracle, packing, pii, quality_model, quality_rules, simhash,
+               source_audit, substring_dedup, token_counts, warc)
 from .common import table
 
 
@@ -57,6 +57,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
