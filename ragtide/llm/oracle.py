@@ -88,6 +88,35 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_w
   round(coalesce(score, 0), 6) AS score FROM d LEFT JOIN f USING (r)"""
 
 
+def op12_spelling() -> str:
+    run = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+          "'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')"
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END"
+    return f"""WITH RECURSIVE t AS (SELECT list_transform(range(0, 256),
+  lambda b: list_reduce(range(0, 8), lambda c, k: {step}, b)) AS crc),
+x AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest({run}) AS run FROM documents),
+y AS (SELECT run, count(*) AS n, hex(encode(id || ':' || run)) AS h FROM x GROUP BY id, run),
+z AS (SELECT run, n, xor(list_reduce(list_transform(range(0, length(h) // 2),
+    lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295::BIGINT) AS h FROM y, t),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 31 = 0
+    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM z)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+gone AS (SELECT DISTINCT c.word AS a, c.n AS na, w.word AS b, w.n AS nb FROM cut c JOIN w ON c.less = w.word),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION ALL SELECT a, na, b, nb FROM gone UNION ALL SELECT b, nb, a, na FROM gone),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, min(other) FILTER (m = top) AS form
+  FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN form END AS form,
+    CASE WHEN m >= 10 * w.n THEN m END AS form_n FROM w LEFT JOIN best USING (word)),
+up AS (SELECT word, form AS root FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, coalesce(r.root, f.word) AS root, f.n, n_near, form_n FROM f LEFT JOIN
+  (SELECT up.word, up.root FROM up JOIN f ON f.word = up.root WHERE f.form IS NULL) r USING (word)"""
+
+
 def op13_source_audit(min_docs: int = 30, top: int = 50) -> str:
     terms = f"regexp_extract_all({LOWER}, '[a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
@@ -121,4 +150,4 @@ UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, term AS item, (p -
 
 def oracle_sql() -> dict[str, str]:
     return {f.__name__: f() for f in (op4_warc, op6_substring_dedup, op7_decontaminate, op11_license_scan,
-                                       op13_source_audit)}
+                                       op12_spelling, op13_source_audit)}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontaminate, language, license_scan, oracle, packing, pii, quality_model, quality_rules, simhash,
-               source_audit, substring_dedup, token_counts, warc)
+               source_audit, spelling, substring_dedup, token_counts, warc)
 from .common import table
 
 
@@ -61,6 +61,10 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
