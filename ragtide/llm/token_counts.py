@@ -1,16 +1,16 @@
 """Token counts from distinct pre-tokens; no ids are kept anywhere.
 
 1. Each batch of documents becomes one row: its distinct pre-tokens, and for
-   every document sparse (pre-token number, frequency) pairs. These rows are
-   written once.
-2. Distinct pre-tokens of all batches are reduced to one row each, and only these
-   are run through the tokenizer, for their number of pieces.
-3. Piece counts are joined to the batches' pre-tokens and return to the batch as
-   one array, in which each document sums frequency x pieces.
+   every document sparse (pre-token number, frequency) pairs, all as compressed
+   bytes. These rows are written once.
+2. The batches' pre-tokens (token, batch, number) are shuffled once by token and
+   sorted by it, and each distinct one of a run is put through the tokenizer once.
+3. Numbers of pre-tokens with more than one piece return to their batch as packed
+   bytes, where each document sums frequency x pieces.
 
 A frequent pre-token appears once for each batch, so no key holds more rows than
 there are batches. Memory in a task is bounded by a batch (``BATCH_TOKENS``
-pre-tokens, or the longest document).
+pre-tokens, or the longest document) and by ``HELD`` numbers on their way back.
 
 The tokenizer's own normalizer and splitter decide for every text with unusual
 characters; plain texts take an equal, faster path. A text that holds a special
@@ -41,7 +41,7 @@ from . import packed
 from .common import written
 
 LIMIT = 2048
-BATCH_TOKENS = 4_000_000
+BATCH_TOKENS, HELD, SLICE = 4_000_000, 500_000, 50_000
 #: The vocabulary file's splitting pattern (fixed); it keeps no white space.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Beyond these characters lower-casing, composition or classes may differ
@@ -87,8 +87,8 @@ def splitter(spec: str) -> Splitter:
 
 
 def _batches(spec, kind: pa.DataType, limit: int):
-    schema = pa.schema([("batch", pa.int64()), ("tokens", pa.list_(pa.string())), ("doc_ids", pa.list_(kind)),
-                        ("n_bytes", pa.list_(pa.int64())), ("fixed", pa.list_(pa.int64())),
+    schema = pa.schema([("batch", pa.int64()), ("n", pa.int64()), ("lengths", pa.binary()), ("tokens", pa.binary()),
+                        ("doc_ids", pa.list_(kind)), ("n_bytes", pa.list_(pa.int64())), ("fixed", pa.list_(pa.int64())),
                         ("sizes", pa.list_(pa.int32())), ("numbers", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +101,9 @@ def _batches(spec, kind: pa.DataType, limit: int):
             def one(values):
                 return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-            cols = [pa.array([number], pa.int64()), one(pa.array(list(seen), pa.string())), one(pa.array(ids, kind)),
+            lengths, tokens = packed.pack_texts(list(seen))
+            cols = [pa.array([number], pa.int64()), pa.array([len(seen)], pa.int64()), pa.array([lengths]),
+                    pa.array([tokens]), one(pa.array(ids, kind)),
                     one(pa.array(n_bytes, pa.int64())), one(pa.array(fixed, pa.int64())),
                     one(pa.array(sizes, pa.int32())),
                     pa.array([packed.pack(np.concatenate(numbers))]), pa.array([packed.pack(np.concatenate(counts))])]
@@ -132,14 +134,48 @@ def _batches(spec, kind: pa.DataType, limit: int):
     return run
 
 
-def _pieces(spec):
+def _tokens(batches):
+    """One row for each pre-token of a batch."""
+    for b in batches:
+        for i in range(b.num_rows):
+            batch, n, lengths, tokens = (b.column(c)[i].as_py() for c in ("batch", "n", "lengths", "tokens"))
+            texts = packed.unpack_texts(lengths, tokens, n)
+            for at in range(0, n, SLICE):
+                part = texts.slice(at, SLICE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), batch)), pa.array(np.arange(at, at + len(part))), part],
+                    ["batch", "at", "token"])
+
+
+def _pieces(spec, limit: int):
+    """Numbers of pieces other than one, packed by batch; rows come sorted by token."""
     def run(batches):
         split = splitter(spec.value)
+        held, n = [], 0
+
+        def rows():
+            if not held:
+                return
+            batch, at, pieces = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((at, batch))
+            batch, at, pieces = batch[order], at[order], pieces[order]
+            cuts = np.nonzero(np.diff(batch))[0] + 1
+            found = [(int(batch[a]), e - a, packed.pack(np.diff(at[a:e], prepend=0)), packed.pack(pieces[a:e]))
+                     for a, e in zip([0, *cuts], [*cuts, len(batch)])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found)], ["batch", "n", "at", "pieces"])
+
         for b in batches:
-            tokens = b.column("token").to_pylist()
-            found = split.tokenizer.encode_batch_fast(tokens, add_special_tokens=False)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("token"), pa.array([len(e.ids) for e in found], pa.int32())], ["token", "pieces"])
+            code = b.column("token").dictionary_encode()
+            encoded = split.tokenizer.encode_batch_fast(code.dictionary.to_pylist(), add_special_tokens=False)
+            pieces = np.fromiter((len(e.ids) for e in encoded), np.int64, len(encoded))[code.indices.to_numpy()]
+            more = pieces != 1
+            held.append([x[more] for x in (b.column("batch").to_numpy(), b.column("at").to_numpy(), pieces)])
+            n += int(more.sum())
+            if n > limit:
+                yield from rows()
+                held, n = [], 0
+        if n:
+            yield from rows()
     return run
 
 
@@ -154,10 +190,10 @@ def _sums(batches):
             run = np.cumsum(gaps)
             before = np.concatenate(([0], run))[ends - sizes]
             numbers = run - np.repeat(before, sizes)
-            back = b.column("back")[i]
-            pieces = np.zeros(int(numbers.max(initial=-1)) + 1, np.int64)
-            if back.is_valid:
-                pieces[back.values.field("at").to_numpy()] = back.values.field("pieces").to_numpy()
+            pieces = np.ones(int(numbers.max(initial=-1)) + 1, np.int64)
+            for part in b.column("back")[i].as_py() or ():
+                at = np.cumsum(packed.unpack(part["at"], part["n"]).astype(np.int64))
+                pieces[at] = packed.unpack(part["pieces"], part["n"])
             sums = np.concatenate(([0], np.cumsum(pieces[numbers] * counts)))
             yield pa.RecordBatch.from_arrays(
                 [ids, n_bytes, pa.array(sums[ends] - sums[ends - sizes] + fixed.to_numpy())],
@@ -165,7 +201,7 @@ def _sums(batches):
 
 
 def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT,
-                 batch_tokens: int = BATCH_TOKENS) -> DataFrame:
+                 batch_tokens: int = BATCH_TOKENS, held: int = HELD) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for each row."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -175,12 +211,12 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIM
     id_type = docs.schema["doc_id"].dataType
     kind, ddl = to_arrow_type(id_type), id_type.simpleString()
     rows = written(docs.mapInArrow(_batches(spec, kind, batch_tokens), (
-        f"batch bigint, tokens array<string>, doc_ids array<{ddl}>, n_bytes array<bigint>, fixed array<bigint>,"
-        " sizes array<int>, numbers binary, counts binary")), "batches")
-    tokens = rows.select("batch", F.posexplode("tokens").alias("at", "token"))
-    distinct = tokens.groupBy("token").agg(F.count("*").alias("n_batches"))
-    counted = written(distinct.select("token").mapInArrow(_pieces(spec), "token string, pieces int"), "pieces")
-    back = (tokens.join(counted, "token").groupBy("batch")
-            .agg(F.collect_list(F.struct("at", "pieces")).alias("back")))
-    sums = rows.drop("tokens").join(back, "batch", "left").mapInArrow(_sums, f"doc_id {ddl}, n_bytes bigint, n_tokens bigint")
+        f"batch bigint, n bigint, lengths binary, tokens binary, doc_ids array<{ddl}>, n_bytes array<bigint>,"
+        " fixed array<bigint>, sizes array<int>, numbers binary, counts binary")), "batches")
+    tokens = rows.select("batch", "n", "lengths", "tokens").mapInArrow(_tokens, "batch bigint, at bigint, token string")
+    back = (tokens.repartition("token").sortWithinPartitions("token")
+            .mapInArrow(_pieces(spec, held), "batch bigint, n bigint, at binary, pieces binary")
+            .groupBy("batch").agg(F.collect_list(F.struct("n", "at", "pieces")).alias("back")))
+    sums = (rows.drop("n", "lengths", "tokens").join(back, "batch", "left")
+            .mapInArrow(_sums, f"doc_id {ddl}, n_bytes bigint, n_tokens bigint"))
     return sums.withColumn("over_limit", F.col("n_tokens") > limit)
