@@ -14,9 +14,10 @@ The prefix table is broadcast when its counted rows are at most
 are gathered by document and meet its text once.
 
 Defined cases: null or wordless documents have no words and are clean; wordless
-items match nothing; items without an id are left out; repeated items or rows
-change nothing else; empty tables give empty or clean results. Only ``doc_id``,
-``text``, ``item_id`` are read.
+items match nothing; the windows of items without an id hit words as others do, but
+such items are neither counted nor listed; repeated items or rows change nothing
+else; empty tables give empty or clean results. Only ``doc_id``, ``text``,
+``item_id`` are read.
 """
 
 from __future__ import annotations
@@ -39,8 +40,7 @@ def raw_words(text: Column) -> Column:
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item_id, words): one row for each distinct window of an item."""
-    words = (benchmark.where(F.col("item_id").isNotNull())
-             .select("item_id", raw_words(ascii_lower(text_or_empty())).alias("w"))
+    words = (benchmark.select("item_id", raw_words(ascii_lower(text_or_empty())).alias("w"))
              .where(F.size("w") > 0).distinct())
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - (window - 1), F.lit(1)))
     return (words.select("item_id", "w", F.explode(starts).alias("s"))
@@ -54,7 +54,7 @@ def _small(df: DataFrame, max_rows: int) -> bool:
 def prefixes(docs: DataFrame, windows: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """(word, at, words, items): each distinct window under its rarest word, at
     its first position there. A window with a word that no document has is out."""
-    grouped = windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))
+    grouped = windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))  # without nulls
     # keyed by the general lower case, which also merges what ASCII keeps apart:
     # more candidates, the same verified matches
     parts = grouped.select("words", "items", F.posexplode("words").alias("at", "w")).withColumn(
