@@ -1,66 +1,84 @@
-"""Okapi BM25 as a postings table and a join.
+"""Okapi BM25 over an index cut by document range.
 
 Index build (once, reusable): the terms of ``title + " " + text`` are counted
-inside the row, so the build shuffles postings and never texts. Postings
-``(bucket, term, doc_id, dl, tf)`` are written to the shared folder, one Parquet
-partition for each term bucket, sorted by term; a hot term's postings are split
-by document range into several files of its bucket. ``vocab(term, df, idf)``
-comes from the postings; three corpus scalars (N, average length, mean idf) are
-frozen into the index.
-
-Retrieval: query terms (bounded, size-checked, broadcast) join the postings of
-their buckets only (partition pruning) on ``term``; contributions per (query,
-doc) are summed with a map-side partial aggregate, so only hits are shuffled;
-per-query top-k via ``row_number`` (partial ``WindowGroupLimit``). The score-0
-documents the reference also ranks are added back from a bounded pool (see
-``_padding``).
+inside the row, so the build shuffles postings and never texts. Documents are dealt
+into ranges by hash, ranges into blocks of about ``BLOCK_DOCS`` documents; a row
+holds the postings of one term in one block, with the block's largest frequency,
+smallest length and best posting. Rows are written as a table bucketed by range and
+sorted by term; the number of ranges follows the bytes of text. ``vocab(term, df,
+ctf, idf)`` comes from one pass over the rows; three corpus scalars are frozen into
+the index.
+
+Retrieval: query terms are broadcast (in slices of a bounded number) into the
+bucketed scan. Sums by document and the best k finish inside a range, because the
+scan is already distributed by range: only k rows for each query and range are
+shuffled. With ``prune``, bounds are read first: a block's bound is the sum of its
+terms' largest possible contributions, and the k-th largest best posting of a query
+is a score that k documents reach. Blocks whose bound lies below it are skipped,
+which loses nothing. The score-0 documents the reference also ranks are added back
+from a bounded pool (see ``_padding``).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import index_text, runs, tokenize
 from ..session import scratch_path
-from .topk import broadcast_if_small, materialize, measure_small, topk_per_group
+from .topk import RANK_DECIMALS, broadcast_if_small, materialize, topk_per_group
 
 # The Okapi BM25 defaults the reference runs with.
 K1 = 1.5
 B = 0.75
 EPSILON = 0.25
-#: Layout of a written index: term buckets, and files for each of them. Both
-#: follow the corpus (a few hundred MB for each file is a good size).
-N_BUCKETS, DOC_RANGES = 16, 2
+#: Text bytes of a document range and documents of a block; Spark takes at most
+#: 100,000 buckets, so that ranges grow beyond ``MAX_RANGES`` of them.
+RANGE_BYTES, MAX_RANGES, BLOCK_DOCS = 64 << 20, 50_000, 64
+#: Indexes of fewer blocks than this are read whole: bounds would cost more.
+PRUNE_FROM = 4096
+#: Query terms broadcast at once.
+TERM_ROWS = 1_000_000
 #: Documents looked at in one step when scores can be negative.
 PAD_CHUNK = 1000
 
 
 @dataclass
 class BM25Index:
-    postings: DataFrame  # term, doc_id, dl, tf, bucket (partition column)
-    vocab: DataFrame     # term, df, idf
+    postings: DataFrame  # range (bucket), term, block, hits, max_tf, min_dl, best
+    vocab: DataFrame     # term, df, ctf, idf
     doc_ids: DataFrame   # doc_id of every document (empty ones too)
     n_docs: int
     avgdl: float
     mean_idf: float
-    n_buckets: int
+    n_ranges: int
+    n_blocks: int        # blocks of a range
     k1: float = K1
     b: float = B
     epsilon: float = EPSILON
 
 
+META = ("n_docs bigint, avgdl double, mean_idf double, n_ranges int, n_blocks int, k1 double, b double, "
+        "epsilon double")
+
+
 def load_bm25_index(spark, path: str) -> BM25Index:
     m = spark.read.parquet(f"{path}/meta").first()
-    return BM25Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/vocab"),
-                     spark.read.parquet(f"{path}/doc_ids"), int(m.n_docs), float(m.avgdl),
-                     float(m.mean_idf), int(m.n_buckets), float(m.k1), float(m.b), float(m.epsilon))
+    # the bucketing is known to the catalogue, not to the files
+    rows = spark.read.parquet(f"{path}/postings")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    name = _table_name()
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (range) SORTED BY (term) "
+              f"INTO {m.n_ranges} BUCKETS LOCATION '{path}/postings'")
+    return BM25Index(spark.table(name), spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/doc_ids"), *m)
 
 
-def term_bucket(n_buckets: int):
-    return F.pmod(F.xxhash64("term"), F.lit(n_buckets)).cast("int")
+def _table_name() -> str:
+    return f"ragtide_bm25_{uuid.uuid4().hex[:12]}"
 
 
 def corpus_postings(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -70,7 +88,7 @@ def corpus_postings(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "
     title = F.col(title_col) if title_col else F.lit("")
     toks = corpus.select(F.col(id_col).alias("doc_id"), tokenize(index_text(title, F.col(text_col))).alias("_k"))
     counted = toks.select("doc_id", F.size("_k").alias("dl"), F.explode(runs(F.col("_k"))).alias("_p"))
-    return counted.select(F.col("_p.value").alias("term"), "doc_id", "dl", F.col("_p.n").cast("bigint").alias("tf"))
+    return counted.select(F.col("_p.value").alias("term"), "doc_id", "dl", F.col("_p.n").alias("tf"))
 
 
 def idf_expr(n_docs: int, df_col="df"):
@@ -78,47 +96,49 @@ def idf_expr(n_docs: int, df_col="df"):
     return F.log(F.lit(float(n_docs)) - df + F.lit(0.5)) - F.log(df + F.lit(0.5))
 
 
+def layout(corpus: DataFrame, text_col: str, title_col: str | None, range_bytes: int = RANGE_BYTES,
+           block_docs: int = BLOCK_DOCS) -> tuple[int, int, int]:
+    """Documents, ranges, and blocks of a range, from one look at the sizes."""
+    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint")
+    if title_col:
+        size = size + F.coalesce(F.octet_length(title_col), F.lit(0))
+    m = corpus.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    parallel = corpus.sparkSession.sparkContext.defaultParallelism
+    n_ranges = min(max(parallel, -(-(m.b or 0) // range_bytes)), MAX_RANGES)
+    return m.n, n_ranges, max(1, -(-m.n // (n_ranges * block_docs)))
+
+
 def build_bm25_index(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      title_col: str | None = None, k1: float = K1, b: float = B,
                      epsilon: float = EPSILON, path: str | None = None,
-                     n_buckets: int = N_BUCKETS, doc_ranges: int = DOC_RANGES) -> BM25Index:
+                     range_bytes: int = RANGE_BYTES, block_docs: int = BLOCK_DOCS) -> BM25Index:
     """Build the index under ``path`` (default: a new place in the shared folder)."""
     spark = corpus.sparkSession
     path = path or scratch_path(spark, "bm25")
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(doc_ranges))
-    (corpus_postings(corpus, id_col, text_col, title_col)
-     .withColumn("bucket", term_bucket(n_buckets)).withColumn("_part", part)
-     .repartition(n_buckets * doc_ranges, "bucket", "_part")
-     .sortWithinPartitions("bucket", "term").drop("_part")
-     .write.partitionBy("bucket").parquet(f"{path}/postings"))
-    postings = spark.read.parquet(f"{path}/postings") if _written(spark, path) else spark.createDataFrame(
-        [], corpus_postings(corpus, id_col, text_col, title_col).withColumn("bucket", F.lit(0)).schema)
+    n_docs, n_ranges, n_blocks = layout(corpus, text_col, title_col, range_bytes, block_docs)
+    dealt = (corpus_postings(corpus, id_col, text_col, title_col)
+             .withColumn("range", F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")))
+    # a block's postings of a term are at most about block_docs rows
+    blocks = dealt.repartition(n_ranges, "range").groupBy("range", "term", "block").agg(
+        F.collect_list(F.struct("doc_id", "dl", "tf")).alias("hits"), F.max("tf").alias("max_tf"),
+        F.min("dl").alias("min_dl"), F.max(F.struct("tf", (-F.col("dl")).alias("minus_dl"))).alias("best"))
+    name = _table_name()
+    blocks.write.bucketBy(n_ranges, "range").sortBy("term").option("path", f"{path}/postings").saveAsTable(name)
+    postings = spark.table(name)
     corpus.select(F.col(id_col).alias("doc_id")).write.parquet(f"{path}/doc_ids")
-    doc_ids = spark.read.parquet(f"{path}/doc_ids")
-    n_docs = doc_ids.count()
-    total = float(postings.agg(F.sum("tf")).first()[0] or 0)
-    avgdl = total / n_docs if n_docs else 0.0
-    doc_freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = materialize(doc_freq.select("term", "df", idf_expr(n_docs).alias("idf_raw")))
-    m = raw.agg(F.avg("idf_raw").alias("mean_idf")).first()
+    counted = materialize(postings.groupBy("term").agg(
+        F.sum(F.size("hits")).alias("df"),
+        F.sum(F.aggregate("hits", F.lit(0).cast("bigint"), lambda a, h: a + h["tf"])).alias("ctf")))
+    raw = counted.withColumn("idf_raw", idf_expr(n_docs))
+    m = raw.agg(F.avg("idf_raw").alias("mean_idf"), F.sum("ctf").alias("total")).first()
+    avgdl = float(m.total or 0) / n_docs if n_docs else 0.0
     mean_idf = float(m.mean_idf) if m.mean_idf is not None else 0.0
-    floor = epsilon * mean_idf
-    raw.select("term", "df", F.when(F.col("idf_raw") < 0, F.lit(floor)).otherwise(F.col("idf_raw")).alias("idf")
-               ).write.parquet(f"{path}/vocab")
-    spark.createDataFrame(
-        [(n_docs, avgdl, mean_idf, n_buckets, k1, b, epsilon)],
-        "n_docs bigint, avgdl double, mean_idf double, n_buckets int, k1 double, b double, epsilon double",
-    ).write.parquet(f"{path}/meta")
-    return BM25Index(postings, spark.read.parquet(f"{path}/vocab"), doc_ids, n_docs, avgdl, mean_idf,
-                     n_buckets, k1, b, epsilon)
-
-
-def _written(spark, path: str) -> bool:
-    """Whether any posting was written (a corpus may hold no term at all)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{path}/postings")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return any(st.isDirectory() for st in fs.listStatus(root))
+    raw.select("term", "df", "ctf", F.when(F.col("idf_raw") < 0, F.lit(epsilon * mean_idf))
+               .otherwise(F.col("idf_raw")).alias("idf")).write.parquet(f"{path}/vocab")
+    meta = (n_docs, avgdl, mean_idf, n_ranges, n_blocks, k1, b, epsilon)
+    spark.createDataFrame([meta], META).write.parquet(f"{path}/meta")
+    return BM25Index(postings, spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/doc_ids"), *meta)
 
 
 def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "text") -> DataFrame:
@@ -128,21 +148,75 @@ def query_terms(queries: DataFrame, qid: str = "query_id", qtext: str = "text")
             .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
-def bm25_contributions(index: BM25Index, queries: DataFrame, qid: str = "query_id",
-                       qtext: str = "text") -> DataFrame:
-    """``(query_id, doc_id, c)`` per matching (query term, posting); reads the
-    buckets of the query terms only."""
-    qt, small = measure_small(query_terms(queries, qid, qtext).withColumn("bucket", term_bucket(index.n_buckets)))
-    # at most n_buckets numbers
-    buckets = [r[0] for r in qt.select("bucket").distinct().collect()]
-    # terms are unique in the vocabulary, so this join cannot outgrow the checked side
-    terms = (F.broadcast(qt) if small else qt).join(index.vocab.select("term", "idf"), "term").drop("bucket")
-    postings = index.postings.where(F.col("bucket").isin(buckets))
-    k1, b, avgdl = index.k1, index.b, index.avgdl
-    tf = F.col("tf").cast("double")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
-    c = F.col("qtf") * F.col("idf") * (tf * F.lit(k1 + 1.0) / (tf + norm))
-    return postings.join(F.broadcast(terms) if small else terms, "term").select("query_id", "doc_id", c.alias("c"))
+def _weighted_terms(index: BM25Index, queries: DataFrame, qid: str, qtext: str,
+                    max_rows: int = TERM_ROWS) -> list[DataFrame]:
+    """``(query_id, term, weight)`` of the terms that the index knows, in slices of
+    about ``max_rows`` rows, each with all terms of its queries."""
+    known = query_terms(queries, qid, qtext).join(index.vocab.select("term", "idf"), "term")
+    terms = materialize(known.select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")))
+    n = max(1, -(-terms.count() // max_rows))
+    if n == 1:
+        return [terms]
+    return [terms.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i) for i in range(n)]
+
+
+def _saturation(index: BM25Index, tf: Column, dl: Column) -> Column:
+    tf = tf.cast("double")
+    norm = F.lit(index.k1) * (F.lit(1.0 - index.b) + F.lit(index.b) * dl / F.lit(index.avgdl))
+    return tf * F.lit(index.k1 + 1.0) / (tf + norm)
+
+
+def _met(index: BM25Index, terms: DataFrame) -> DataFrame:
+    """Rows of the index for each query term, still distributed by range."""
+    return index.postings.join(F.broadcast(terms), "term")
+
+
+def block_bounds(index: BM25Index, terms: DataFrame) -> DataFrame:
+    """``(range, query_id, block, bound, reached)``: no document of the block scores
+    above ``bound``, one of them scores ``reached`` or more. Reads no postings."""
+    most = F.col("weight") * _saturation(index, F.col("max_tf"), F.col("min_dl"))
+    one = F.col("weight") * _saturation(index, F.col("best.tf"), -F.col("best.minus_dl"))
+    return _met(index, terms).groupBy("range", "query_id", "block").agg(
+        F.sum(most).alias("bound"), F.max(one).alias("reached"))
+
+
+def thresholds(index: BM25Index, terms: DataFrame, k: int) -> DataFrame:
+    """``(query_id, floor)``: a score that k documents reach, less a rounding step."""
+    best = topk_per_group(block_bounds(index, terms), "query_id", k, score="reached", tie=["range", "block"])
+    return best.where(F.col("rank") == k).select(
+        "query_id", (F.col("reached") - F.lit(10.0 ** (1 - RANK_DECIMALS))).alias("floor"))
+
+
+def _scored_rows(index: BM25Index, terms: DataFrame, k: int | None) -> DataFrame:
+    """``(range, query_id, weight, hits)``; with ``k``, without the rows of blocks
+    whose bound lies below the query's floor."""
+    if k is None:
+        return _met(index, terms).select("range", "query_id", "weight", "hits")
+    floors = F.broadcast(thresholds(index, terms, k))  # one row for a query at most
+    most = F.col("weight") * _saturation(index, F.col("max_tf"), F.col("min_dl"))
+    gathered = _met(index, terms).groupBy("range", "query_id", "block").agg(
+        F.sum(most).alias("bound"), F.collect_list(F.struct("weight", "hits")).alias("rows"))
+    kept = gathered.join(floors, "query_id", "left").where(F.col("floor").isNull() | (F.col("bound") >= F.col("floor")))
+    return kept.select("range", "query_id", F.explode("rows").alias("_r")).select(
+        "range", "query_id", "_r.weight", "_r.hits")
+
+
+def skipped_blocks(index: BM25Index, queries: DataFrame, k: int, qid: str = "query_id",
+                   qtext: str = "text") -> DataFrame:
+    """``(query_id, n_blocks, n_skipped)``: blocks that hold a query term, and those
+    that the bounds rule out."""
+    def one(terms):
+        x = block_bounds(index, terms).join(F.broadcast(thresholds(index, terms, k)), "query_id", "left")
+        return x.groupBy("query_id").agg(
+            F.count(F.lit(1)).alias("n_blocks"), F.count_if(F.col("bound") < F.col("floor")).alias("n_skipped"))
+
+    return reduce(DataFrame.unionByName, [one(t) for t in _weighted_terms(index, queries, qid, qtext)])
+
+
+def index_hits(index: BM25Index, terms: DataFrame) -> DataFrame:
+    """``terms`` (with a column ``term``) with ``doc_id``, ``dl``, ``tf`` of each posting."""
+    return (index.postings.select("term", "hits").join(terms, "term")
+            .select("*", F.inline("hits")).drop("hits"))
 
 
 def _padding(index: BM25Index, queries: DataFrame, k: int, qid: str,
@@ -184,25 +258,34 @@ def _padding(index: BM25Index, queries: DataFrame, k: int, qid: str,
     return out if out is not None else scores.limit(0).select("query_id", "doc_id", "score")
 
 
-def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id",
-                qtext: str = "text") -> DataFrame:
-    """``(query_id, doc_id, score)`` for every document containing a query term."""
-    parts = bm25_contributions(index, queries, qid, qtext)
-    return parts.groupBy("query_id", "doc_id").agg(F.sum("c").alias("score"))
+def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id", qtext: str = "text",
+                k: int | None = None) -> DataFrame:
+    """``(query_id, doc_id, score)`` for every document containing a query term; with
+    ``k``, at least for the k best of each query. Ends distributed by range."""
+    def one(terms):
+        c = F.col("weight") * _saturation(index, F.col("tf"), F.col("dl"))
+        return (_scored_rows(index, terms, k).select("range", "query_id", "weight", F.inline("hits"))
+                .groupBy("range", "query_id", "doc_id").agg(F.sum(c).alias("score"))
+                .select("query_id", "doc_id", "score"))
+
+    return reduce(DataFrame.unionByName, [one(t) for t in _weighted_terms(index, queries, qid, qtext)])
 
 
-def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000,
-              qid: str = "query_id", qtext: str = "text", pad: bool = True) -> DataFrame:
+def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000, qid: str = "query_id", qtext: str = "text",
+              pad: bool = True, prune: bool | None = None) -> DataFrame:
     """Run ``(query_id, doc_id, score, rank)``: the k best documents per query,
     score-0 documents included as in an exhaustive ranking.
 
-    The top k of the hits (partial per-partition limit, then one shuffle of at
-    most k rows per query and partition) is merged with the padding pool; a
-    document in both keeps its hit score.
+    The top k of the hits (k rows for each query and range are shuffled) is merged
+    with the padding pool; a document in both keeps its hit score. ``prune`` reads
+    the block bounds first (default: for indexes of ``PRUNE_FROM`` blocks or more);
+    it needs scores that no term lowers, so that it is off where idfs may be negative.
     """
     if k is None or k < 1:
         raise ValueError("bm25_topk needs a positive k (ranking every document emits all pairs)")
-    scores = bm25_scores(index, queries, qid, qtext)
+    if prune is None:
+        prune = index.n_ranges * index.n_blocks >= PRUNE_FROM
+    scores = bm25_scores(index, queries, qid, qtext, k if prune and index.mean_idf > 0 else None)
     if pad and index.mean_idf <= 0:
         scores = materialize(scores)  # the padding reads them once for each step
     hits = topk_per_group(scores, "query_id", k)

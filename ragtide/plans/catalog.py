@@ -62,8 +62,7 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bm25_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = _doc_index(spark, sf_dir)
-    ctf = idx.postings.groupBy("term").agg(F.sum("tf").alias("ctf"))
-    return idx.vocab.join(ctf, "term").select("term", "df", "ctf", round_out("idf"))
+    return idx.vocab.select("term", "df", "ctf", round_out("idf"))
 
 
 def _emb(spark, sf_dir):

@@ -1,9 +1,11 @@
 import math
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from ragtide.operators import bm25
 from ragtide.operators.topk import topk_per_group
 
@@ -84,19 +86,76 @@ def test_topk_equals_sorted_prefix_and_partition_invariant(spark):
             assert mine == want
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_index_build_and_lookup_plans(spark, tmp_dir):
     corpus = spark.createDataFrame(list(DOCS.items()), "doc_id string, text string")
     qs = spark.createDataFrame([("q", "quick fox")], "query_id string, text string")
     # no text is shuffled: counting terms is one stage
-    build = bm25.corpus_postings(corpus)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in build
-    idx = bm25.build_bm25_index(corpus, path=tmp_dir + "/idx", n_buckets=64)
-    plan = bm25.bm25_scores(idx, qs)._jdf.queryExecution().toString()
-    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
-    assert any("bucket" in f for f in filters)
+    assert "Exchange" not in plan_of(bm25.corpus_postings(corpus))
+    idx = bm25.build_bm25_index(corpus, path=tmp_dir + "/idx", block_docs=1)
+    # sums by document finish inside a range; only the best k of each are shuffled
+    for k in (None, 2):
+        scores = plan_of(bm25.bm25_scores(idx, qs, k=k))
+        assert not re.findall(r"(?<!Broadcast)Exchange hashpartitioning\(range", scores)
+        assert "doc_id" not in "".join(re.findall(r"Exchange hashpartitioning.*", scores))
+    top = plan_of(bm25.bm25_topk(idx, qs, k=2, pad=False, prune=False))
+    assert len(re.findall(r"(?<!Broadcast)Exchange", top)) == 1 and "WindowGroupLimit" in top
+    bounds = re.findall(r"ReadSchema: (.*)", bm25.block_bounds(idx, bm25._weighted_terms(idx, qs, "query_id", "text")[0])
+                        ._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode
+                                                            .fromString("formatted")))
+    assert bounds and not any("hits" in x for x in bounds)
     again = bm25.load_bm25_index(spark, tmp_dir + "/idx")
     assert sorted(map(tuple, bm25.bm25_topk(again, qs, k=4).collect())) == \
         sorted(map(tuple, bm25.bm25_topk(idx, qs, k=4).collect()))
+    assert "Exchange hashpartitioning(range" not in plan_of(bm25.bm25_scores(again, qs))
+
+
+def corpora(spark):
+    rng = random.Random(7)
+    zipf = [f"w{int(rng.paretovariate(0.7))}" for _ in range(60_000)]
+    yield {f"d{i:04d}": " ".join(zipf[i * 30:i * 30 + rng.randrange(5, 60)]) for i in range(1200)}
+    # equal texts: many ties at the k-th place
+    yield {f"d{i:04d}": ["fox den", "fox", "a b c fox", "none here"][i % 4] for i in range(800)}
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    yield {f"d{r.doc_id:04d}": r.text for r in docs}
+
+
+@pytest.mark.parametrize("n", range(3))
+def test_skipping_blocks_loses_nothing(spark, n):
+    docs = list(corpora(spark))[n]
+    words = sorted({w for t in docs.values() for w in re.findall(r"\w+", t.lower())})
+    rng = random.Random(n)
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 6))) for _ in range(30)]
+    texts += [" ".join(t.split()[:6]) for t in list(docs.values())[:20]]
+    corpus = spark.createDataFrame(list(docs.items()), "doc_id string, text string")
+    qs = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(texts)], "query_id string, text string")
+    idx = bm25.build_bm25_index(corpus, block_docs=4)
+    assert idx.mean_idf > 0
+    for k in (1, 10):
+        rows = [sorted((r.query_id, r.rank, r.doc_id, round(r.score, 9)) for r in
+                       bm25.bm25_topk(idx, qs, k=k, prune=p).collect()) for p in (True, False)]
+        assert rows[0] == rows[1]
+    m = bm25.skipped_blocks(idx, qs, 1).agg(F.sum("n_blocks").alias("n"), F.sum("n_skipped").alias("s")).first()
+    assert 0 < m.s < m.n if n != 1 else m.n
+
+
+def test_terms_in_slices(spark):
+    corpus = spark.createDataFrame(list(DOCS.items()), "doc_id string, text string")
+    qs = spark.createDataFrame(list(QUERIES.items()), "query_id string, text string")
+    idx = bm25.build_bm25_index(corpus)
+    parts = bm25._weighted_terms(idx, qs, "query_id", "text", max_rows=2)
+    assert len(parts) > 1
+    seen = [{r.query_id for r in p.collect()} for p in parts]
+    assert sum(map(len, seen)) == len(set().union(*seen))
+
+
+def test_layout_follows_the_corpus(spark):
+    corpus = spark.createDataFrame([(f"d{i}", "x" * 100) for i in range(1000)], "doc_id string, text string")
+    n, ranges, blocks = bm25.layout(corpus, "text", None, range_bytes=1000, block_docs=5)
+    assert (n, ranges, blocks) == (1000, 100, 2)
 
 
 def test_index_of_texts_without_terms(spark):
