@@ -3,8 +3,8 @@
 Index build (once, reusable): the terms of ``title + " " + text`` are counted
 inside the row, so the build shuffles postings and never texts. Documents are dealt
 into ranges by hash, ranges into blocks of about ``BLOCK_DOCS`` documents; a row
-holds the postings of one term in one block, with the block's largest frequency,
-smallest length and best posting. Rows are written as a table bucketed by range and
+holds the postings of one term in one block, with their number, smallest length and
+best posting (the largest frequency, of these the shortest document). Rows are written as a table bucketed by range and
 sorted by term; the number of ranges follows the bytes of text. ``vocab(term, df,
 ctf, idf)`` comes from one pass over the rows; three corpus scalars are frozen into
 the index.
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import index_text, runs, tokenize
-from ..session import scratch_path
+from ..session import ensure_parallel, scratch_path
 from .topk import RANK_DECIMALS, broadcast_if_small, materialize, topk_per_group
 
 # The Okapi BM25 defaults the reference runs with.
@@ -39,8 +39,10 @@ EPSILON = 0.25
 #: Text bytes of a document range and documents of a block; Spark takes at most
 #: 100,000 buckets, so that ranges grow beyond ``MAX_RANGES`` of them.
 RANGE_BYTES, MAX_RANGES, BLOCK_DOCS = 64 << 20, 50_000, 64
-#: Indexes of fewer blocks than this are read whole: bounds would cost more.
-PRUNE_FROM = 4096
+BEST_BASE = 1 << 31
+#: By default bounds are read for indexes of this many blocks and queries of at most
+#: this many terms on average: beyond, the bounds of long sums rule out next to none.
+PRUNE_FROM, PRUNE_TERMS = 4096, 6
 #: Query terms broadcast at once.
 TERM_ROWS = 1_000_000
 #: Documents looked at in one step when scores can be negative.
@@ -49,7 +51,7 @@ PAD_CHUNK = 1000
 
 @dataclass
 class BM25Index:
-    postings: DataFrame  # range (bucket), term, block, hits, max_tf, min_dl, best
+    postings: DataFrame  # range (bucket), term, block, hits, df, ctf, min_dl, best
     vocab: DataFrame     # term, df, ctf, idf
     doc_ids: DataFrame   # doc_id of every document (empty ones too)
     n_docs: int
@@ -116,20 +118,20 @@ def build_bm25_index(corpus: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = corpus.sparkSession
     path = path or scratch_path(spark, "bm25")
     n_docs, n_ranges, n_blocks = layout(corpus, text_col, title_col, range_bytes, block_docs)
-    dealt = (corpus_postings(corpus, id_col, text_col, title_col)
+    dealt = (corpus_postings(ensure_parallel(corpus, 1), id_col, text_col, title_col)
              .withColumn("range", F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int"))
              .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")))
     # a block's postings of a term are at most about block_docs rows
     blocks = dealt.repartition(n_ranges, "range").groupBy("range", "term", "block").agg(
-        F.collect_list(F.struct("doc_id", "dl", "tf")).alias("hits"), F.max("tf").alias("max_tf"),
-        F.min("dl").alias("min_dl"), F.max(F.struct("tf", (-F.col("dl")).alias("minus_dl"))).alias("best"))
+        F.collect_list(F.struct("doc_id", "dl", "tf")).alias("hits"), F.count(F.lit(1)).alias("df"),
+        F.sum("tf").alias("ctf"), F.min("dl").alias("min_dl"),
+        # the largest frequency, and of its documents the shortest, in one number
+        F.max(F.col("tf").cast("bigint") * BEST_BASE + (BEST_BASE - 1 - F.col("dl"))).alias("best"))
     name = _table_name()
     blocks.write.bucketBy(n_ranges, "range").sortBy("term").option("path", f"{path}/postings").saveAsTable(name)
     postings = spark.table(name)
     corpus.select(F.col(id_col).alias("doc_id")).write.parquet(f"{path}/doc_ids")
-    counted = materialize(postings.groupBy("term").agg(
-        F.sum(F.size("hits")).alias("df"),
-        F.sum(F.aggregate("hits", F.lit(0).cast("bigint"), lambda a, h: a + h["tf"])).alias("ctf")))
+    counted = materialize(postings.groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf")))
     raw = counted.withColumn("idf_raw", idf_expr(n_docs))
     m = raw.agg(F.avg("idf_raw").alias("mean_idf"), F.sum("ctf").alias("total")).first()
     avgdl = float(m.total or 0) / n_docs if n_docs else 0.0
@@ -171,11 +173,18 @@ def _met(index: BM25Index, terms: DataFrame) -> DataFrame:
     return index.postings.join(F.broadcast(terms), "term")
 
 
+def _bounds(index: BM25Index) -> tuple[Column, Column]:
+    """What no posting of a row exceeds, and what its best posting adds."""
+    tf = F.floor(F.col("best") / F.lit(BEST_BASE))
+    shortest = F.lit(BEST_BASE - 1) - F.pmod(F.col("best"), F.lit(BEST_BASE))
+    return (F.col("weight") * _saturation(index, tf, F.col("min_dl")),
+            F.col("weight") * _saturation(index, tf, shortest))
+
+
 def block_bounds(index: BM25Index, terms: DataFrame) -> DataFrame:
     """``(range, query_id, block, bound, reached)``: no document of the block scores
     above ``bound``, one of them scores ``reached`` or more. Reads no postings."""
-    most = F.col("weight") * _saturation(index, F.col("max_tf"), F.col("min_dl"))
-    one = F.col("weight") * _saturation(index, F.col("best.tf"), -F.col("best.minus_dl"))
+    most, one = _bounds(index)
     return _met(index, terms).groupBy("range", "query_id", "block").agg(
         F.sum(most).alias("bound"), F.max(one).alias("reached"))
 
@@ -193,7 +202,7 @@ def _scored_rows(index: BM25Index, terms: DataFrame, k: int | None) -> DataFrame
     if k is None:
         return _met(index, terms).select("range", "query_id", "weight", "hits")
     floors = F.broadcast(thresholds(index, terms, k))  # one row for a query at most
-    most = F.col("weight") * _saturation(index, F.col("max_tf"), F.col("min_dl"))
+    most, _ = _bounds(index)
     gathered = _met(index, terms).groupBy("range", "query_id", "block").agg(
         F.sum(most).alias("bound"), F.collect_list(F.struct("weight", "hits")).alias("rows"))
     kept = gathered.join(floors, "query_id", "left").where(F.col("floor").isNull() | (F.col("bound") >= F.col("floor")))
@@ -259,7 +268,7 @@ def _padding(index: BM25Index, queries: DataFrame, k: int, qid: str,
 
 
 def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id", qtext: str = "text",
-                k: int | None = None) -> DataFrame:
+                k: int | None = None, terms: list[DataFrame] | None = None) -> DataFrame:
     """``(query_id, doc_id, score)`` for every document containing a query term; with
     ``k``, at least for the k best of each query. Ends distributed by range."""
     def one(terms):
@@ -268,7 +277,16 @@ def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id", qte
                 .groupBy("range", "query_id", "doc_id").agg(F.sum(c).alias("score"))
                 .select("query_id", "doc_id", "score"))
 
-    return reduce(DataFrame.unionByName, [one(t) for t in _weighted_terms(index, queries, qid, qtext)])
+    terms = _weighted_terms(index, queries, qid, qtext) if terms is None else terms
+    return reduce(DataFrame.unionByName, [one(t) for t in terms])
+
+
+def _worth_bounds(index: BM25Index, terms: list[DataFrame]) -> bool:
+    if index.n_ranges * index.n_blocks < PRUNE_FROM:
+        return False
+    m = reduce(DataFrame.unionByName, terms).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("q")).first()
+    return m.n <= PRUNE_TERMS * m.q
 
 
 def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000, qid: str = "query_id", qtext: str = "text",
@@ -278,14 +296,14 @@ def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000, qid: str = "q
 
     The top k of the hits (k rows for each query and range are shuffled) is merged
     with the padding pool; a document in both keeps its hit score. ``prune`` reads
-    the block bounds first (default: for indexes of ``PRUNE_FROM`` blocks or more);
-    it needs scores that no term lowers, so that it is off where idfs may be negative.
+    the block bounds first (default: see ``PRUNE_FROM``); it needs scores that no term lowers, so that it is off where idfs may be negative.
     """
     if k is None or k < 1:
         raise ValueError("bm25_topk needs a positive k (ranking every document emits all pairs)")
+    terms = _weighted_terms(index, queries, qid, qtext)
     if prune is None:
-        prune = index.n_ranges * index.n_blocks >= PRUNE_FROM
-    scores = bm25_scores(index, queries, qid, qtext, k if prune and index.mean_idf > 0 else None)
+        prune = _worth_bounds(index, terms)
+    scores = bm25_scores(index, queries, qid, qtext, k if prune and index.mean_idf > 0 else None, terms)
     if pad and index.mean_idf <= 0:
         scores = materialize(scores)  # the padding reads them once for each step
     hits = topk_per_group(scores, "query_id", k)
