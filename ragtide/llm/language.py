@@ -6,7 +6,7 @@ word ends marked) scores its log frequency, and the word takes their mean. A
 document takes the language with the largest sum over its words; its score is
 the softmax share of that sum.
 
-The frequencies come from a bounded sample (``MAX_ROWS`` rows with a language,
+The frequencies come from a bounded sample (about ``MAX_ROWS`` rows of each language,
 chosen by a hash of the id); the tables keep entries seen ``MIN_COUNT`` times, so
 what is broadcast is bounded by the sample. Scoring works on the distinct words
 of each Arrow batch and reads whole texts.
@@ -36,7 +36,7 @@ from ragtide.session import ship_package
 from .packing import sliced
 from .quality_model import held_out
 
-MAX_ROWS, MIN_COUNT, MAX_GRAM = 10_000, 3, 5
+MAX_ROWS, MIN_COUNT, MAX_GRAM = 4_000, 3, 5
 #: Smoothing: counts added to each entry of a table.
 ALPHA = 0.5
 CACHE = 300_000
@@ -121,14 +121,16 @@ class Model:
 
 
 def train(docs: DataFrame, max_rows: int = MAX_ROWS, min_count: int = MIN_COUNT) -> Model:
-    """Word and n-gram frequencies by language, from a bounded sample."""
+    """Word and n-gram frequencies by language, from about ``max_rows`` rows of each
+    language (all rows of one that has fewer), picked by hash."""
     ship_package(docs.sparkSession)
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
-        F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)).alias("pick"))
-    total = docs.where(F.col("lang").isNotNull() & ~held_out()).count()
-    if total > max_rows:
-        usable = usable.where(F.col("pick") < int(max_rows / total * (1 << 30)))
+        F.pmod(F.xxhash64("doc_id", "text", F.lit(2)), F.lit(1 << 30)).alias("pick"))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("rows"))
+    # the model names every language, so that their number is small by design
+    usable = usable.join(F.broadcast(sizes), "lang").where(
+        F.col("pick") * F.col("rows") < F.lit(float(max_rows * (1 << 30))))
     counts = (usable.select("text", "lang").mapInArrow(_counts, "lang string, kind string, piece string, n bigint")
               .groupBy("kind", "piece", "lang").agg(F.sum("n").alias("n")))
     rows = counts.where(F.col("n") >= min_count).orderBy("kind", "piece", "lang").toArrow().to_pylist()

@@ -43,7 +43,7 @@ from .common import join_on_key, keyed, row_key, rows_of, written
 
 SHINGLE, MAX_BITS = 3, 2
 #: Bound of the driver-side sample that the routing tree is built from.
-SAMPLE = 1 << 16
+SAMPLE, SAMPLE_SHARE = 1 << 16, 1 / 8
 SHARD, BLOCK, HOT_SHARD = 2048, 512, 8192
 SEED = 42
 
@@ -234,7 +234,7 @@ def link_edges(points: DataFrame, max_bits: int = MAX_BITS, sample: int = SAMPLE
     """(u, v), u > v: edges that connect exactly the linked points (fp, distinct)."""
     ship_package(points.sparkSession)
     n = points.count()
-    share = min(1.0, sample / max(n, 1))
+    share = min(SAMPLE_SHARE, sample / max(n, 1))  # a fraction at every size
     picked = points.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30))).select("fp")
     arr = np.array([r[0] for r in picked.collect()], np.int64)
     arr = np.sort(arr).view(np.uint64)

@@ -91,3 +91,11 @@ def test_backoff_scores():
     # "then": th is known as a pair, e alone, the rest is skipped
     want = (m.logs[m.grams["th"]].astype(float) + m.logs[m.grams["e"]].astype(float)) / 2
     assert abs(unseen - want).max() < 1e-6 and none.tolist() == [0, 0]
+
+
+def test_a_rare_language_is_learned_beside_a_hot_one(spark):
+    rows = [(i, "the house is on the hill and the road", "en") for i in range(4000)]
+    rows += [(5000 + i, "talo on mäellä ja tie vie kotiin", "fi") for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = language.predict(docs, max_rows=40).groupBy("lang_pred").count().collect()
+    assert {r.lang_pred: r["count"] for r in got} == {"en": 4000, "fi": 24}
