@@ -614,21 +614,29 @@ def scan_queries_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.scan_queries_any(spark, path + "/*.txt", fmt="jsonl")
 
 
+def _write_groups(rows: DataFrame, value, name: str, group_rows: int = 10_000) -> str:
+    """One JSON document of about ``group_rows`` rows in each file of a folder."""
+    path = scratch_path(rows.sparkSession, name)
+    n = max(1, -(-rows.count() // group_rows))
+    group = F.pmod(F.xxhash64(*rows.columns), F.lit(n)).alias("group")
+    rows.groupBy(group).agg(value.alias("value")).write.partitionBy("group").text(path)
+    return path
+
+
 def scan_queries_object(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark written as one JSON object ``{id: text}``, scanned back (the
-    benchmark is one small file by its form)."""
+    """Benchmark written as JSON objects ``{id: text}``, one in each file, whose
+    number follows the rows; scanned back by member."""
     b = T.table(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("id"), "text")
-    path = scratch_path(spark, "queries-object")
-    b.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "text")))).alias("value")).write.text(path)
+    path = _write_groups(b, F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "text")))), "queries-object")
     return src.scan_queries_any(spark, path, fmt="json")
 
 
 def scan_queries_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark written as one JSON list of records, scanned back."""
+    """Benchmark written as JSON lists of records, one in each file, whose number
+    follows the rows; scanned back by member."""
     b = T.table(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("qid"),
                                                    F.col("text").alias("query"))
-    path = scratch_path(spark, "queries-list")
-    b.agg(F.to_json(F.collect_list(F.struct("qid", "query"))).alias("value")).write.text(path)
+    path = _write_groups(b, F.to_json(F.collect_list(F.struct("qid", "query"))), "queries-list")
     return src.scan_queries_any(spark, path, fmt="json")
 
 

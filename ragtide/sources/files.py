@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import py_strip
 from ..operators.topk import broadcast_if_small, materialize
+from .json_split import json_members
 
 STRING_CHILD_FIELDS = ("law_key", "start", "end", "title", "prefixed_text", "text", "law_name", "law_no")
 
@@ -154,18 +155,16 @@ def scan_queries_any(spark: SparkSession, path: str | None = None, query: str |
         x = r.select(pick(F.col("id"), F.col("qid"), F.concat(F.lit("q"), F.col("ord").cast("string"))).alias("query_id"),
                      F.coalesce(pick(F.col("text"), F.col("query")), F.lit("")).alias("text"), "ord")
     else:
-        whole = spark.read.text(expand_paths(spark, path), wholetext=True).select("value")
-        # a file that is neither, or broken JSON, raises
+        members = json_members(spark, expand_paths(spark, path))
+        # broken JSON raises
         strict = {"mode": "FAILFAST"}
-        as_map = F.from_json("value", T.MapType(T.StringType(), T.StringType()), strict)
-        as_list = F.from_json("value", T.ArrayType(_strings(("id", "qid", "text", "query"))), strict)
-        kind = F.substring(F.regexp_replace("value", "^\\s+", ""), 1, 1)
-        whole = whole.withColumn("value", F.when(kind.isin("{", "["), F.col("value")).otherwise(
-            F.raise_error(F.lit("a query file holds JSON lines, a JSON object or a JSON list"))))
-        objs = whole.filter(kind == "{").select(F.posexplode(as_map).alias("ord", "query_id", "text"))
-        lst = whole.filter(kind == "[").select(F.posexplode(as_list).alias("i", "o")).select(
-            pick(F.col("o.id"), F.col("o.qid"), F.concat(F.lit("q"), (F.col("i") + 1).cast("string"))).alias("query_id"),
-            F.coalesce(pick(F.col("o.text"), F.col("o.query")), F.lit("")).alias("text"), F.col("i").alias("ord"))
+        at = F.struct("file", "ord").alias("ord")
+        pair = F.from_json(F.concat(F.lit("{"), F.col("value"), F.lit("}")), T.MapType(T.StringType(), T.StringType()), strict)
+        objs = members.filter("kind = '{'").select(at, F.explode(pair).alias("query_id", "text"))
+        lst = members.filter("kind = '['").select(
+            "file", "ord", F.from_json("value", _strings(("id", "qid", "text", "query")), strict).alias("o")).select(
+            pick(F.col("o.id"), F.col("o.qid"), F.concat(F.lit("q"), (F.col("ord") + 1).cast("string"))).alias("query_id"),
+            F.coalesce(pick(F.col("o.text"), F.col("o.query")), F.lit("")).alias("text"), at)
         x = objs.select("query_id", F.coalesce("text", F.lit("")).alias("text"), "ord").unionByName(lst)
     from ..operators.grading import dedupe_last
     return dedupe_last(x, "query_id", "ord").select("query_id", "text")
