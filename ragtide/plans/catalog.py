@@ -13,7 +13,7 @@ from ..functions import answers as ans
 from ..functions import law as lawf
 from ..functions import text
 
-from ..operators import bm25, dense, encode, fusion, grading, ireval, law, parent, prep, qa, rerank, search
+from ..operators import bm25, dense, encode, fusion, generate, grading, ireval, law, parent, prep, qa, rerank, search
 from ..operators.topk import broadcast_if_small, materialize, round_out, topk_per_group
 from ..session import scratch_path
 from ..sources import files as src
@@ -276,6 +276,15 @@ def selection_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("ID", qa.selection_prompt(F.col("question"), F.col("texts")).alias("prompt"))
 
 
+def generated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts put to the generation hook (a local stand-in client), answers taken
+    from what it returns."""
+    prompts = prompt_table(spark, sf_dir)
+    found = generate.generate(prompts, generate.LocalClient)
+    answers = qa.answer_table(T.qa_questions(spark, sf_dir), found, skip_free_text=False)
+    return answers.join(found.select("ID", "eval_count"), "ID")
+
+
 def answer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = T.qa_questions(spark, sf_dir)
     responses = q.filter(F.col("generated") != "").select("ID", "generated")

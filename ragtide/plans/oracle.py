@@ -526,6 +526,12 @@ def q_answer_table() -> str:
 FROM ({QA_QUESTIONS}) q LEFT JOIN (SELECT "ID", generated FROM ({QA_QUESTIONS}) WHERE generated <> '') r ON r."ID" = q."ID\""""
 
 
+def q_generated_answers() -> str:
+    answer = "('답변: ' || CAST(length(p.prompt) % 4 + 1 AS VARCHAR))"
+    return f"""SELECT q."ID", {extract(answer, "q.question")} AS "Answer", least(length(p.prompt), 128) AS eval_count
+FROM ({q_prompt_table()}) p JOIN ({QA_QUESTIONS}) q ON q."ID" = p."ID\""""
+
+
 def q_submission_table() -> str:
     return f"""WITH a AS (SELECT q."ID", {extract("r.generated", "q.question")} AS "Answer"
   FROM ({QA_QUESTIONS}) q LEFT JOIN (SELECT "ID", generated FROM ({QA_QUESTIONS}) WHERE generated <> '') r
