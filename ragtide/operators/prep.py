@@ -251,9 +251,11 @@ def nodup_batches(pairs: DataFrame, batch_size: int = 16, shard_rows: int = 100_
 
     Rows are dealt into shards of about ``shard_rows`` by a seeded hash of their
     content and place, so that repeated rows spread too; each shard fills its
-    batches in a pandas group. Batches never span shards.
+    batches in a pandas group. Batches never span shards. The rows are written first:
+    a task that runs again after a lost executor then numbers them as before.
     """
     ship_package(pairs.sparkSession)
+    pairs = materialize(pairs)
     n = pairs.count()
     shards = max(1, math.ceil(n / shard_rows))
     key = F.xxhash64(*[F.col(c) for c in pairs.columns], F.monotonically_increasing_id(), F.lit(seed))
