@@ -13,7 +13,8 @@ from ..functions import answers as ans
 from ..functions import law as lawf
 from ..functions import text
 
-from ..operators import bm25, dense, encode, fusion, generate, grading, ireval, law, parent, prep, qa, rerank, search
+from ..operators import (bm25, dense, dense_index, encode, fusion, generate, grading, ireval, law, parent, prep, qa,
+                         rerank, search)
 from ..operators.topk import broadcast_if_small, materialize, round_out, topk_per_group
 from ..session import scratch_path
 from ..sources import files as src
@@ -84,6 +85,25 @@ def dense_topk_dot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _emb_run(spark, sf_dir, "dot").select("query_id", "doc_id", round_out("score"), "rank")
 
 
+def _pruned_run(spark, sf_dir, score_function):
+    e = _emb(spark, sf_dir)
+    index = _once(spark, sf_dir, "emb-index", lambda: dense_index.build_dense_index(
+        e.withColumnRenamed("vec_id", "doc_id")), ("embeddings",))
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    run = dense_index.dense_topk_pruned(index, q, k=10, score_function=score_function)
+    return run.select("query_id", "doc_id", round_out("score"), "rank")
+
+
+def dense_pruned_cos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dense_topk_cos`` over the index that leaves vectors out by angle."""
+    return _pruned_run(spark, sf_dir, "cos_sim")
+
+
+def dense_pruned_dot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dense_topk_dot`` over the index that leaves vectors out by angle."""
+    return _pruned_run(spark, sf_dir, "dot")
+
+
 def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = encode.encode_corpus(T.doc_corpus(spark, sf_dir))
     x = vecs.select("doc_id", F.posexplode("embedding").alias("bucket", "weight"))

@@ -149,6 +149,14 @@ def q_dense_topk_dot() -> str:
     return with_(emb_ctes(10, "dot")) + "\nSELECT query_id, doc_id, round(score, 6) AS score, rank FROM e_run"
 
 
+def q_dense_pruned_cos() -> str:
+    return q_dense_topk_cos()
+
+
+def q_dense_pruned_dot() -> str:
+    return q_dense_topk_dot()
+
+
 def q_hash_embed() -> str:
     return with_(hash_vec_ctes(DOC_CORPUS, BENCH_QUERIES, 10)) + "\nSELECT doc_id, CAST(bucket AS BIGINT) AS bucket, w AS weight FROM h_dvec"
 
