@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import py_strip
 from ..operators.topk import broadcast_if_small, materialize
+from . import csv_bom
 from .json_split import json_members
 
 STRING_CHILD_FIELDS = ("law_key", "start", "end", "title", "prefixed_text", "text", "law_name", "law_no")
@@ -179,10 +180,15 @@ def scan_rag_json(spark: SparkSession, paths: list[str], schema: T.StructType |
     return spark.read.schema(schema).option("multiLine", multi_line).json(files)
 
 
-def write_submission(df: DataFrame, path: str, order: str | None = None) -> None:
-    """CSV with a header (Spark has no BOM option; the files are plain UTF-8).
-    With ``order`` rows are range-sorted by that column, which is not written:
-    part files in name order hold the template's row order."""
+def write_submission(df: DataFrame, path: str, order: str | None = None, bom: bool = True) -> None:
+    """CSV with a header; with ``bom`` every file opens with a byte-order mark, as
+    spreadsheet programs expect. With ``order`` rows are range-sorted by that column,
+    which is not written: part files in name order hold the template's row order."""
     if order:
         df = df.orderBy(order).drop(order)
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    if bom:
+        csv_bom.register(df.sparkSession)
+        texts = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+        texts.write.format("csv_bom").mode("overwrite").save(path)
+    else:
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

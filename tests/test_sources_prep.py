@@ -161,10 +161,41 @@ def test_null_ids_are_graded(spark):
 
 def test_submission_keeps_the_template_order(spark, tmp_dir):
     df = spark.createDataFrame([(f"T{i}", str(i), (i * 37) % 101) for i in range(101)], "ID string, Answer string, ord int")
-    src.write_submission(df, tmp_dir, order="ord")
     import glob
-    lines = [x for f in sorted(glob.glob(local(tmp_dir) + "/part-*")) for x in open(f).read().splitlines()[1:]]
-    assert [x.split(",")[0] for x in lines] == [f"T{i}" for i in sorted(range(101), key=lambda i: (i * 37) % 101)]
+    for bom, code in ((True, "utf-8-sig"), (False, "utf-8")):
+        src.write_submission(df, f"{tmp_dir}/{bom}", order="ord", bom=bom)
+        names = sorted(glob.glob(f"{local(tmp_dir)}/{bom}/part-*"))
+        assert all(open(f, "rb").read().startswith(b"\xef\xbb\xbf") == bom for f in names)
+        lines = [x for f in names for x in open(f, encoding=code).read().splitlines()[1:]]
+        assert [x.split(",")[0] for x in lines] == [f"T{i}" for i in sorted(range(101), key=lambda i: (i * 37) % 101)]
+
+
+def test_marked_csv_reads_back(spark, tmp_dir):
+    import os
+    odd = ["", None, "a,b", 'say "x"', "two\nlines", "cr\rlf\r\n", " padded ", "\\back\\", "\ufeffmark", "답변", "'"]
+    df = spark.createDataFrame([(f"k{i}", v) for i, v in enumerate(odd)], "ID string, Answer string")
+    src.write_submission(df, tmp_dir)
+    back = src.scan_submission(spark, tmp_dir)
+    assert back.columns == ["ID", "Answer"]
+    assert {r.ID: r.Answer for r in back.collect()} == {f"k{i}": v or None for i, v in enumerate(odd)}
+    src.write_submission(df.limit(1), tmp_dir)  # replaces
+    assert src.scan_submission(spark, tmp_dir).count() == 1
+    src.write_submission(df.limit(0), tmp_dir)  # a header alone
+    empty = src.scan_submission(spark, tmp_dir)
+    assert empty.columns == ["ID", "Answer"] and empty.count() == 0
+    assert sorted(n.split("-")[0] for n in os.listdir(local(tmp_dir))) == ["_SUCCESS", "part"]
+
+
+def test_marked_csv_failed_job_changes_nothing(spark, tmp_dir):
+    import os
+    src.write_submission(spark.createDataFrame([("a", "1")], "ID string, Answer string"), tmp_dir)
+    before = sorted(os.listdir(local(tmp_dir)))
+    bad = spark.range(0, 40, 1, 4).selectExpr(
+        "cast(id AS string) AS ID", "if(id = 35, cast(raise_error('stop') AS string), 'x') AS Answer")
+    with pytest.raises(Exception):
+        src.write_submission(bad, tmp_dir)
+    assert sorted(os.listdir(local(tmp_dir))) == before
+    assert [tuple(r) for r in src.scan_submission(spark, tmp_dir).collect()] == [("a", "1")]
 
 
 def test_sparse_grid_counts(spark):
