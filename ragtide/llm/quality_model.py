@@ -4,7 +4,8 @@ follow-the-regularised-leader (FTRL-proximal) updates.
 Features: hashed word 1- and 2-grams, and 1- to 3-grams of word shapes (case,
 digits, punctuation runs, repeats of the word before), each group normalised by
 its length. Training reads a bounded sample of labelled rows (``MAX_ROWS``,
-chosen by a hash of the id) in ``SHARDS`` fixed groups; each group runs the
+chosen by a hash of the id; equal rows count once, and an id with many texts is
+sampled by a hash of its texts) in ``SHARDS`` fixed groups; each group runs the
 updates over its rows in hash order, and the groups' weights are averaged. The
 weight vector has ``2**HASH_BITS`` entries whatever the corpus, so broadcasting
 it is bounded. Scoring is a gather and a sum for each document, over whole texts.
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ragtide.session import ship_package
 
+from .common import written
 from .wordhash import hash_spans, hash_windows, mix
 
 HASH_BITS, SHARDS, EPOCHS = 18, 8, 2
@@ -160,6 +162,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> np.nd
     # at most about max_rows ids: a bounded broadcast
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    # ids are bounded above, rows are not: one id may come with any number of them
+    rows = written(rows.groupBy("doc_id", "text").agg(F.max("label").alias("label")), "labelled")
+    if (n := rows.count()) > 2 * max_rows:
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1 << 30)) < int(max_rows / n * (1 << 30)))
     order = F.xxhash64("doc_id", F.lit(1))
     parts = (rows.select("doc_id", "text", "label", order.alias("order"), F.pmod(order, F.lit(SHARDS)).alias("shard"))
              .groupBy("shard").applyInPandas(_train, "at array<int>, weight array<double>").collect())

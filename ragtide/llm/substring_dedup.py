@@ -15,7 +15,10 @@
 What moves is about a byte for each window and row plus one bit back. A window
 repeated in any number of documents counts once for each block, so hot passages
 do not gather anywhere. Memory in a task is bounded by a block (or the longest
-document) and by the entries of a shard, whose number follows the input.
+document) and by the entries of a shard. A row of the exchange is what one block has
+for one shard, so both sizes follow the input (``layout``): rows keep
+``VALUES_A_ROW`` values, and their number grows with the text, until both sizes reach
+their bounds at about a terabyte; beyond, rows grow faster than the text.
 
 Defined cases: a null or blank text has no words; texts shorter than a window
 lose nothing; repeated rows (of any length beyond a window) remove each other;
@@ -40,10 +43,19 @@ from .common import written
 from .wordhash import hash_spans, hash_windows, mix
 
 WINDOW, DEPTH = 35, 2
-BLOCK_BYTES = 4 << 20
-#: Cells of a sketch row for each window (rounded up to a power of two), and
-#: entries of the exchange for each shard.
-CELLS_PER_WINDOW, SHARD_ENTRIES, MIN_SHARDS = 8, 1 << 20, 64
+#: Bytes of a block and entries of a shard: least and most.
+BLOCK_BYTES, SHARD_ENTRIES = (4 << 20, 16 << 20), (1 << 20, 4 << 20)
+VALUES_A_ROW = 64
+#: Cells of a sketch row for each window (rounded up to a power of two).
+CELLS_PER_WINDOW, MIN_SHARDS = 8, 64
+
+
+def layout(text_bytes: int) -> tuple[int, int]:
+    """Block bytes and shard entries for a corpus. A block has about
+    ``block * entries / text_bytes`` values for a shard."""
+    need = VALUES_A_ROW * text_bytes
+    block = min(max(BLOCK_BYTES[0], need // SHARD_ENTRIES[0]), BLOCK_BYTES[1])
+    return block, min(max(SHARD_ENTRIES[0], need // block), SHARD_ENTRIES[1])
 
 
 def _blocks(size: int, kind: pa.DataType, window: int):
@@ -243,12 +255,17 @@ def power_of_two(n: float) -> int:
     return 1 << max(0, int(np.ceil(np.log2(max(n, 1)))))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
-                   shard_entries: int = SHARD_ENTRIES, min_shards: int = MIN_SHARDS,
+def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int | None = None,
+                   shard_entries: int | None = None, min_shards: int = MIN_SHARDS,
                    cells_per_window: float = CELLS_PER_WINDOW) -> DataFrame:
-    """doc_id, n_words, n_removed and the kept words (one space between) for each row."""
+    """doc_id, n_words, n_removed and the kept words (one space between) for each row.
+    Sizes that are not given come from ``layout``; none changes the result."""
     ship_package(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    if block_bytes is None or shard_entries is None:
+        text_bytes = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        sizes = layout(text_bytes)
+        block_bytes, shard_entries = block_bytes or sizes[0], shard_entries or sizes[1]
     id_type = docs.schema["doc_id"].dataType
     kind, ddl = to_arrow_type(id_type), id_type.simpleString()
     blocks = written(docs.mapInArrow(

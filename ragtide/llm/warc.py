@@ -47,6 +47,8 @@ from ragtide.session import scratch_path, ship_package
 from .common import written
 
 MIN_DEDUP_BYTES, FILE_BYTES, BLOCK_LINES = 0, 256 << 20, 256
+#: Compressed record bytes that one task reads back.
+READ_BYTES = 8 << 20
 CAPTURE = "key string, page_id bigint, file string, offset bigint, length bigint"
 DIRECTORY = "file string, first string, last string, offset bigint, length bigint"
 RECORD = ("page_id bigint, url string, status string, payload_bytes bigint, payload_digest string,"
@@ -285,7 +287,10 @@ def _read(schema: pa.Schema):
 
 
 def read_records(captures: DataFrame) -> DataFrame:
-    """Range-read and parse the records of ``captures``, in file order."""
+    """Range-read and parse the records of ``captures``, in file order. The number of
+    tasks follows the bytes to read, not the size of the capture rows."""
     schema = to_arrow_schema(captures.sparkSession.createDataFrame([], RECORD).schema)
-    ordered = captures.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    captures = written(captures.select("file", "offset", "length"), "captures")
+    tasks = -(-(captures.agg(F.sum("length")).first()[0] or 1) // READ_BYTES)
+    ordered = captures.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.select("file", "offset", "length").mapInArrow(_read(schema), RECORD)

@@ -38,5 +38,5 @@ def test_empty_documents(spark, sf, empty_docs):
 
 def test_registered():
     names = queries.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1

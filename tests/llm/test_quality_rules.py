@@ -96,3 +96,12 @@ def test_buckets_follow_the_text(spark, documents, labels, empty_docs):
     near, far = (sorted(map(str, quality_rules.quality_rules(documents, labels, n_buckets=1 << 12, max_broadcast=m).collect()))
                  for m in (1 << 12, 0))
     assert near == far
+
+
+def test_verdicts_across_a_doubling_of_the_buckets(spark, sf):
+    """The bucket count follows the text: few verdicts may move with it."""
+    big = sf.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{big}/{t}.parquet") for t in ("documents", "labels"))
+    a, b = ({r.doc_id: r.kept for r in quality_rules.quality_rules(docs, labels, n_buckets=n).collect()}
+            for n in (1 << 16, 1 << 17))
+    assert a.keys() == b.keys() and sum(a[i] != b[i] for i in a) <= 0.005 * len(a)

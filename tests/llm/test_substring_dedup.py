@@ -34,6 +34,14 @@ def test_equals_brute_force(spark, documents, with_clashes, window, limits):
     assert sorted((str(r[0]), *r[1:]) for r in rows) == want
 
 
+def test_exchange_rows_follow_the_text():
+    sizes = [substring_dedup.layout(n) for n in (0, 1 << 30, 30 << 30, 256 << 30, 1 << 40, 100 << 40)]
+    assert sizes[0] == sizes[1] == sizes[2] == (4 << 20, 1 << 20)
+    assert sizes[-2] == sizes[-1] == (16 << 20, 4 << 20)
+    for n, (block, entries) in zip((30 << 30, 256 << 30, 1 << 40), sizes[2:5]):
+        assert block * entries >= substring_dedup.VALUES_A_ROW * n
+
+
 def test_empty_and_wordless(spark, empty_docs):
     assert substring_dedup.remove_repeats(empty_docs).count() == 0
     blank = spark.createDataFrame([(1, None), (2, " "), (3, "")], "doc_id bigint, text string")
