@@ -2,7 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)``, works on all that the stage before it
 kept, and returns the columns of ``documents`` (the last one packed pieces).
-Between stages the rows are written as Parquet to the shared folder and reread.
+Between stages the rows are written as Parquet to the shared folder and reread; a
+stage's own intermediate tables are removed when its rows are written, and so are the
+rows of the stage before it.
 
 1. quality rules: documents that fail a rule or the likelihood ratio go;
 2. SimHash near-duplicates: the smallest doc_id of each group stays;
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ragtide.llm import decontaminate, packing, pii, quality_rules, simhash
 from ragtide.llm.common import table, written
+from ragtide.session import remove_paths, temporary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +65,16 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
+def folders(df: DataFrame) -> list[str]:
+    """Folders of a written table."""
+    return sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with temporary(spark):
+            docs = written(stage(spark, docs, sf_dir), name, keep=True)
+        remove_paths(spark, before)
+        before = folders(docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -98,14 +98,13 @@ def candidate_context(run: DataFrame, children: DataFrame, expanded: DataFrame |
     # doc_id is unique in the child corpus, so the hit keys are no more than the
     # measured ids: their bound is proven without another measuring job
     bc = F.broadcast if small else broadcast_if_small
-    # keys are unique in the lookup tables, so the matched lookup rows are no
-    # more than the hit keys: broadcast them into the left joins as well
-    after = F.broadcast if small else (lambda x: x)
+    # the matched lookup rows hold texts of any length: how they are joined is left to
+    # their real size at run time
     if expanded is not None:
-        expanded = after(expanded.join(bc(hit_children.select("law_key", "start", "end").distinct()),
-                                       ["law_key", "start", "end"]))
+        expanded = expanded.join(bc(hit_children.select("law_key", "start", "end").distinct()),
+                                 ["law_key", "start", "end"])
     if articles is not None:
-        articles = after(articles.join(bc(hit_children.select("law_key").distinct()), "law_key"))
+        articles = articles.join(bc(hit_children.select("law_key").distinct()), "law_key")
     return with_parent_context(hit_children, expanded, articles)
 
 

@@ -221,6 +221,28 @@ def relevant_docs(val_rel: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set(F.col("corpus_id").cast("string"))).alias("corpus_ids"))
 
 
+def relevant_doc_chunks(val_rel: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
+    """``(query_id, chunk, corpus_ids)``: the sorted distinct relevant ids of a query,
+    cut into cells of ``chunk_rows`` that are numbered from 0 in id order.
+
+    No group is larger than a partition or a cell: ids are range-sorted, counted by
+    (query, range), and their place is the ids of the query in the ranges before plus
+    the place inside the range.
+    """
+    ids = materialize(val_rel.select(F.col("query_id").cast("string").alias("query_id"),
+                                     F.col("corpus_id").cast("string").alias("corpus_id")).distinct()
+                      .repartitionByRange("query_id", "corpus_id").withColumn("_range", F.spark_partition_id()))
+    earlier = Window.partitionBy("query_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = ids.groupBy("query_id", "_range").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("query_id").alias("_q"), F.col("_range").alias("_r"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_n"))
+    inside = F.row_number().over(Window.partitionBy("query_id", "_range").orderBy("corpus_id")) - 1
+    placed = ids.withColumn("_i", inside).join(
+        before, F.col("query_id").eqNullSafe(F.col("_q")) & (F.col("_range") == F.col("_r")))
+    cell = F.floor((F.col("_n") + F.col("_i")) / chunk_rows).cast("long")
+    return placed.groupBy("query_id", cell.alias("chunk")).agg(
+        F.array_sort(F.collect_list("corpus_id")).alias("corpus_ids"))
+
+
 def _fill(texts_of_rows, batch_size: int) -> list[int]:
     """Batch number of each row: the first open batch behind all batches that
     hold one of its texts. Each text only moves forward, and full batches are

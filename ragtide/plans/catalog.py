@@ -14,7 +14,7 @@ from ..functions import law as lawf
 from ..functions import text
 
 from ..operators import (bm25, dense, dense_index, encode, fusion, generate, grading, ireval, law, parent, prep, qa,
-                         rerank, search)
+                         rerank, retrievers, search)
 from ..operators.topk import broadcast_if_small, materialize, round_out, topk_per_group
 from ..session import scratch_path
 from ..sources import files as src
@@ -509,6 +509,33 @@ def relevant_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("query_id", F.array_join("corpus_ids", ",").alias("corpus_ids"))
 
 
+def relevant_doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relevance sets of the validation side in numbered cells of at most 4 ids."""
+    _, _, (_, _, _, val_rel) = _split(spark, sf_dir)
+    r = prep.relevant_doc_chunks(val_rel, chunk_rows=4)
+    return r.select("query_id", "chunk", F.array_join("corpus_ids", ",").alias("corpus_ids"))
+
+
+def ir_metrics_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ir_metrics_eval`` judged by relevance cells, through the retriever interface."""
+    q_std, c_std, (_, _, _, val_rel) = _split(spark, sf_dir)
+    corpus = prep.eval_corpus(c_std, val_rel, random_sample=30, seed=42)
+    chunks = materialize(prep.relevant_doc_chunks(val_rel))
+    asked = prep.eval_queries(q_std).join(chunks.select("query_id").distinct(), "query_id", "left_semi")
+    index = dense_index.build_dense_index(encode.encode_corpus(corpus, "corpus_id", "text", None))
+    run = retrievers.Dense(index).retrieve(asked, ireval.MAP_K)
+    judged, n_rel = ireval.judged_from_chunks(run, chunks)
+    return ireval.ir_metrics(judged, n_rel).select("metric", round_out("value"))
+
+
+def retriever_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hybrid_search`` by retrievers that share one interface."""
+    parts = [retrievers.Part(retrievers.Dense(_doc_vectors(spark, sf_dir)), fusion.ALPHA),
+             retrievers.Part(retrievers.Sparse(_doc_index(spark, sf_dir)), 1 - fusion.ALPHA)]
+    run = retrievers.search(T.bench_queries(spark, sf_dir), parts, final_topk=5)
+    return run.select("query_id", "doc_id", round_out("score"), "rank")
+
+
 def nodup_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, (train_data, _, _, _) = _split(spark, sf_dir)
     b = prep.nodup_batches(prep.train_pairs(train_data), batch_size=16)

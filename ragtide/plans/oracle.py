@@ -760,6 +760,22 @@ SELECT query_id, array_to_string(list_sort(list_distinct(list(corpus_id))), ',')
 FROM split WHERE split = 'val' GROUP BY query_id"""
 
 
+def q_relevant_doc_chunks() -> str:
+    return with_(STD) + """,
+ids AS (SELECT DISTINCT query_id, corpus_id FROM split WHERE split = 'val'),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY corpus_id) - 1) // 4 AS chunk FROM ids)
+SELECT query_id, CAST(chunk AS BIGINT) AS chunk, string_agg(corpus_id, ',' ORDER BY corpus_id) AS corpus_ids
+FROM placed GROUP BY query_id, chunk"""
+
+
+def q_ir_metrics_chunks() -> str:
+    return q_ir_metrics_eval()
+
+
+def q_retriever_search() -> str:
+    return q_hybrid_search()
+
+
 def q_nodup_check() -> str:
     return with_(STD) + """
 SELECT count(*) AS rows_in, count(*) AS rows_out, 0::BIGINT AS n_repeats, 0::BIGINT AS n_too_large

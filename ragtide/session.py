@@ -12,6 +12,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,11 +69,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/ragtide-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Folders written inside the open ``temporary`` block, if one is open.
+_TEMPORARY: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``written`` leaves inside this block when it ends, also after an
+    error. Frames of the block are of no use behind it, so finish their action inside,
+    or write the result with ``keep``. Build indexes outside. Blocks may be nested."""
+    mine: list[str] = []
+    token = _TEMPORARY.set(mine)
+    try:
+        yield
+    finally:
+        _TEMPORARY.reset(token)
+        remove_paths(spark, mine)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost
     executors, holds no executor storage, and every later read sees the same
-    rows. Files live as long as the folder."""
+    rows. Files live as long as the folder, or as the ``temporary`` block that is
+    open, unless ``keep`` is set."""
     path = scratch_path(df.sparkSession, name)
+    if not keep and (held := _TEMPORARY.get()) is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import bm25, dense, encode, fusion
-from ..session import scratch_path
+from ..session import scratch_path, temporary
 
 QUESTION_SCHEMA = "ID string, Question string"
 
@@ -45,7 +45,8 @@ def answer_stream(spark: SparkSession, question_dir: str, out_dir: str,
            .option("escape", '"').csv(question_dir))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch_fn(batch).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out_dir)
+        with temporary(spark):  # a long stream leaves no intermediate tables
+            batch_fn(batch).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out_dir)
 
     w = src.writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
