@@ -70,17 +70,47 @@ META = ("n_docs bigint, avgdl double, mean_idf double, n_ranges int, n_blocks in
 
 def load_bm25_index(spark, path: str) -> BM25Index:
     m = spark.read.parquet(f"{path}/meta").first()
-    # the bucketing is known to the catalogue, not to the files
+    return BM25Index(read_postings(spark, path, m.n_ranges), spark.read.parquet(f"{path}/vocab"),
+                     spark.read.parquet(f"{path}/doc_ids"), *m)
+
+
+def _table_name() -> str:
+    return f"ragtide_bm25_{uuid.uuid4().hex[:12]}"
+
+
+def read_postings(spark, path: str, n_ranges: int) -> DataFrame:
+    """Written postings; the bucketing is known to the catalogue, not to the files."""
     rows = spark.read.parquet(f"{path}/postings")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     name = _table_name()
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (range) SORTED BY (term) "
-              f"INTO {m.n_ranges} BUCKETS LOCATION '{path}/postings'")
-    return BM25Index(spark.table(name), spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/doc_ids"), *m)
+              f"INTO {n_ranges} BUCKETS LOCATION '{path}/postings'")
+    return spark.table(name)
 
 
-def _table_name() -> str:
-    return f"ragtide_bm25_{uuid.uuid4().hex[:12]}"
+def write_postings(hits: DataFrame, path: str, n_ranges: int, n_blocks: int) -> DataFrame:
+    """Deal ``(term, doc_id, dl, tf)`` into ranges and blocks and write them."""
+    dealt = (hits.withColumn("range", F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")))
+    # a block's postings of a term are at most about block_docs rows
+    blocks = dealt.repartition(n_ranges, "range").groupBy("range", "term", "block").agg(
+        F.collect_list(F.struct("doc_id", "dl", "tf")).alias("hits"), F.count(F.lit(1)).alias("df"),
+        F.sum("tf").alias("ctf"), F.min("dl").alias("min_dl"),
+        # the largest frequency, and of its documents the shortest, in one number
+        F.max(F.col("tf").cast("bigint") * BEST_BASE + (BEST_BASE - 1 - F.col("dl"))).alias("best"))
+    name = _table_name()
+    blocks.write.bucketBy(n_ranges, "range").sortBy("term").option("path", f"{path}/postings").saveAsTable(name)
+    return blocks.sparkSession.table(name)
+
+
+def write_vocab(counted: DataFrame, path: str, n_docs: int, epsilon: float) -> tuple[int, float]:
+    """Write ``(term, df, ctf, idf)`` from counts; tokens in all and mean idf."""
+    raw = counted.withColumn("idf_raw", idf_expr(n_docs))
+    m = raw.agg(F.avg("idf_raw").alias("mean_idf"), F.sum("ctf").alias("total")).first()
+    mean_idf = float(m.mean_idf) if m.mean_idf is not None else 0.0
+    raw.select("term", "df", "ctf", F.when(F.col("idf_raw") < 0, F.lit(epsilon * mean_idf))
+               .otherwise(F.col("idf_raw")).alias("idf")).write.parquet(path)
+    return int(m.total or 0), mean_idf
 
 
 def corpus_postings(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -98,6 +128,13 @@ def idf_expr(n_docs: int, df_col="df"):
     return F.log(F.lit(float(n_docs)) - df + F.lit(0.5)) - F.log(df + F.lit(0.5))
 
 
+def shape(spark, n_docs: int, n_bytes: int, range_bytes: int = RANGE_BYTES,
+          block_docs: int = BLOCK_DOCS) -> tuple[int, int]:
+    """Ranges, and blocks of a range, for so many documents and bytes of text."""
+    n_ranges = min(max(spark.sparkContext.defaultParallelism, -(-n_bytes // range_bytes)), MAX_RANGES)
+    return n_ranges, max(1, -(-n_docs // (n_ranges * block_docs)))
+
+
 def layout(corpus: DataFrame, text_col: str, title_col: str | None, range_bytes: int = RANGE_BYTES,
            block_docs: int = BLOCK_DOCS) -> tuple[int, int, int]:
     """Documents, ranges, and blocks of a range, from one look at the sizes."""
@@ -105,9 +142,7 @@ def layout(corpus: DataFrame, text_col: str, title_col: str | None, range_bytes:
     if title_col:
         size = size + F.coalesce(F.octet_length(title_col), F.lit(0))
     m = corpus.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
-    parallel = corpus.sparkSession.sparkContext.defaultParallelism
-    n_ranges = min(max(parallel, -(-(m.b or 0) // range_bytes)), MAX_RANGES)
-    return m.n, n_ranges, max(1, -(-m.n // (n_ranges * block_docs)))
+    return m.n, *shape(corpus.sparkSession, m.n, m.b or 0, range_bytes, block_docs)
 
 
 def build_bm25_index(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -118,26 +153,12 @@ def build_bm25_index(corpus: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = corpus.sparkSession
     path = path or scratch_path(spark, "bm25")
     n_docs, n_ranges, n_blocks = layout(corpus, text_col, title_col, range_bytes, block_docs)
-    dealt = (corpus_postings(ensure_parallel(corpus, 1), id_col, text_col, title_col)
-             .withColumn("range", F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")))
-    # a block's postings of a term are at most about block_docs rows
-    blocks = dealt.repartition(n_ranges, "range").groupBy("range", "term", "block").agg(
-        F.collect_list(F.struct("doc_id", "dl", "tf")).alias("hits"), F.count(F.lit(1)).alias("df"),
-        F.sum("tf").alias("ctf"), F.min("dl").alias("min_dl"),
-        # the largest frequency, and of its documents the shortest, in one number
-        F.max(F.col("tf").cast("bigint") * BEST_BASE + (BEST_BASE - 1 - F.col("dl"))).alias("best"))
-    name = _table_name()
-    blocks.write.bucketBy(n_ranges, "range").sortBy("term").option("path", f"{path}/postings").saveAsTable(name)
-    postings = spark.table(name)
+    hits = corpus_postings(ensure_parallel(corpus, 1), id_col, text_col, title_col)
+    postings = write_postings(hits, path, n_ranges, n_blocks)
     corpus.select(F.col(id_col).alias("doc_id")).write.parquet(f"{path}/doc_ids")
     counted = materialize(postings.groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf")))
-    raw = counted.withColumn("idf_raw", idf_expr(n_docs))
-    m = raw.agg(F.avg("idf_raw").alias("mean_idf"), F.sum("ctf").alias("total")).first()
-    avgdl = float(m.total or 0) / n_docs if n_docs else 0.0
-    mean_idf = float(m.mean_idf) if m.mean_idf is not None else 0.0
-    raw.select("term", "df", "ctf", F.when(F.col("idf_raw") < 0, F.lit(epsilon * mean_idf))
-               .otherwise(F.col("idf_raw")).alias("idf")).write.parquet(f"{path}/vocab")
+    total, mean_idf = write_vocab(counted, f"{path}/vocab", n_docs, epsilon)
+    avgdl = float(total) / n_docs if n_docs else 0.0
     meta = (n_docs, avgdl, mean_idf, n_ranges, n_blocks, k1, b, epsilon)
     spark.createDataFrame([meta], META).write.parquet(f"{path}/meta")
     return BM25Index(postings, spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/doc_ids"), *meta)
@@ -306,6 +327,11 @@ def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000, qid: str = "q
     scores = bm25_scores(index, queries, qid, qtext, k if prune and index.mean_idf > 0 else None, terms)
     if pad and index.mean_idf <= 0:
         scores = materialize(scores)  # the padding reads them once for each step
+    return ranked(index, queries, k, qid, scores, pad)
+
+
+def ranked(index: BM25Index, queries: DataFrame, k: int, qid: str, scores: DataFrame, pad: bool = True) -> DataFrame:
+    """The k best of ``scores`` for each query, with the padding pool."""
     hits = topk_per_group(scores, "query_id", k)
     if not pad:
         return hits
