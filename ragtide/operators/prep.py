@@ -9,15 +9,14 @@ never built.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import compose_question, format_doc, format_query
-from ..session import ship_package
-from .topk import broadcast_if_small, materialize
+from .topk import broadcast_if_small, materialize, measure_small, numbered
 
 DOC_ID_PREFIX = "docid"
 
@@ -243,56 +242,50 @@ def relevant_doc_chunks(val_rel: DataFrame, chunk_rows: int = 10_000) -> DataFra
         F.array_sort(F.collect_list("corpus_id")).alias("corpus_ids"))
 
 
-def _fill(texts_of_rows, batch_size: int) -> list[int]:
-    """Batch number of each row: the first open batch behind all batches that
-    hold one of its texts. Each text only moves forward, and full batches are
-    skipped by path-halving pointers, so a repeated text costs no search."""
-    last: dict = {}
-    sizes: list[int] = []
-    skip: list[int] = []
-    out = []
-    for texts in texts_of_rows:
-        b = 1 + max((last.get(t, -1) for t in texts), default=-1)
-        while b < len(sizes) and sizes[b] >= batch_size:
-            skip[b] = skip[skip[b]] if skip[b] < len(skip) else skip[b]
-            b = skip[b]
-        if b >= len(sizes):
-            b = len(sizes)
-            sizes.append(0)
-            skip.append(b + 1)
-        sizes[b] += 1
-        for t in texts:
-            last[t] = b
-        out.append(b)
-    return out
-
-
-def nodup_batches(pairs: DataFrame, batch_size: int = 16, shard_rows: int = 100_000,
+def nodup_batches(pairs: DataFrame, batch_size: int = 16, group_rows: int = 100_000,
                   text_cols: tuple[str, ...] = ("anchor", "positive"), seed: int = 42) -> DataFrame:
-    """Assign ``batch_id`` so that no text occurs twice inside a batch.
-
-    Rows are dealt into shards of about ``shard_rows`` by a seeded hash of their
-    content and place, so that repeated rows spread too; each shard fills its
-    batches in a pandas group. Batches never span shards. The rows are written first:
-    a task that runs again after a lost executor then numbers them as before.
+    """Assign ``batch_id`` so that no text occurs twice inside a batch (a null text is
+    a text too).
+
+    Rows are edges between their texts and get colours in rounds. In a round every row
+    that is left draws one colour of a fresh palette; the row of smallest rank among
+    those of a (text, colour) wins it, and a row that wins all its texts leaves with
+    that colour. A palette has as many colours as the most frequent text has rows left,
+    or up to four times that where batches still fill. Rows of one colour share no text
+    and are cut into batches, in hashed groups of about ``group_rows``.
+
+    Every step groups by (text, colour) or by row, so that a text in a third of all rows
+    is held nowhere as one group. Ranks hash a row's content and its number among equal
+    rows: the same pairs give the same batches. Only hashes take part in the rounds (two
+    texts of one hash count as one, which parts more rows than it must).
     """
-    ship_package(pairs.sparkSession)
-    pairs = materialize(pairs)
-    n = pairs.count()
-    shards = max(1, math.ceil(n / shard_rows))
-    key = F.xxhash64(*[F.col(c) for c in pairs.columns], F.monotonically_increasing_id(), F.lit(seed))
-    x = pairs.withColumn("_k", key).withColumn("_shard", F.pmod(F.col("_k"), F.lit(shards)))
-    out_schema = T.StructType(pairs.schema.fields + [T.StructField("batch_id", T.StringType())])
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_k", kind="stable")
-        shard = int(pdf["_shard"].iloc[0])
-        rows = (set(t) for t in zip(*[pdf[c].tolist() for c in text_cols]))
-        res = pdf.drop(columns=["_shard", "_k"]).copy()
-        res["batch_id"] = [f"{shard}-{b}" for b in _fill(rows, batch_size)]
-        return res
-
-    return x.groupBy("_shard").applyInPandas(fill, out_schema)
+    rows = materialize(pairs.withColumn("_address", F.monotonically_increasing_id()))
+    texts = F.array_distinct(F.array(*[F.xxhash64(c) for c in text_cols]))
+    slim = numbered(rows.select("_address", F.xxhash64(*pairs.columns).alias("_row"), texts.alias("_texts")),
+                    ["_row"], ["_address"], "_copy")
+    rest = materialize(slim.select("_address", "_texts", F.xxhash64("_row", "_copy", F.lit(seed)).alias("_rank")))
+    n, turn, placed = rest.count(), 0, []
+    while n:
+        claims = rest.select("_address", "_rank", F.explode("_texts").alias("_t"))
+        most = claims.groupBy("_t").count().agg(F.max("count").alias("n")).first().n
+        palette = max(most, min(4 * most, n // (4 * batch_size)))
+        colour = F.pmod(F.xxhash64("_rank", F.lit(turn)), F.lit(palette)).alias("_colour")
+        first = claims.groupBy("_t", colour).agg(F.min(F.struct("_rank", "_address")).alias("_w"))
+        won = first.groupBy(F.col("_w._address").alias("_a")).agg(F.count(F.lit(1)).alias("_n"))
+        tried = materialize(rest.join(won, F.col("_address") == F.col("_a"), "left").select(
+            *rest.columns, colour, (F.coalesce("_n", F.lit(0)) == F.size("_texts")).alias("_won")))
+        groups = math.ceil(n / (palette * group_rows))
+        mine = tried.where("_won").withColumn("_group", F.pmod(F.xxhash64("_rank", F.lit(-1)), F.lit(groups)))
+        at = F.row_number().over(Window.partitionBy("_colour", "_group").orderBy("_rank", "_address")) - 1
+        batch = F.concat_ws("-", F.lit(turn), "_colour", "_group", F.floor(at / batch_size))
+        placed.append(mine.select(F.col("_address").alias("_a"), batch.alias("batch_id")))
+        rest = tried.where("NOT _won").select(rest.columns)
+        n, turn = rest.count(), turn + 1
+    if not placed:
+        return rows.select(*pairs.columns, F.lit(None).cast("string").alias("batch_id"))
+    found, small = measure_small(reduce(DataFrame.unionByName, placed))
+    found = F.broadcast(found) if small else found.hint("shuffle_hash")
+    return rows.join(found, F.col("_address") == F.col("_a")).select(*pairs.columns, "batch_id")
 
 
 def nodup_check(pairs: DataFrame, batches: DataFrame, batch_size: int = 16,

@@ -8,6 +8,8 @@ corpus) from landing whole in one reducer.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,25 +48,52 @@ def topk_per_group(df: DataFrame, group: str | list[str], k: int | None,
     return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
+def same_key(left: list[str], right: list[str]) -> Column:
+    """Null-safe equality of two lists of columns."""
+    return reduce(Column.__and__, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
+
+
 def first_by_key(df: DataFrame, key: str | list[str], order: str,
                  last: bool = False) -> DataFrame:
     """Keep one row per key: the first (or last) by ``order``; rows without an
     order come after all others (before them for ``last``), but a key that has
-    no other row keeps one of them.
+    no other row keeps one of them. Of rows that tie, the first (last) in the order
+    in which they are written stays.
 
-    ``min_by``/``max_by`` over a struct reduce map-side: a key holding a third
-    of all rows is reduced in every map task before the shuffle.
+    Rows are written once with an address. Only key, order and address are grouped,
+    reduced map-side, and only keys that repeat are joined back: their rows stay by
+    address. Payloads are neither sorted nor grouped, and move only where more keys
+    repeat than may be broadcast.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in others])
-    # a struct is never null, so that rows without an order still compete
-    if last:
-        pick = F.max_by(packed, F.struct(F.col(order).isNotNull(), F.col(order)))
-    else:
-        pick = F.min_by(packed, F.struct(F.col(order).isNull(), F.col(order)))
-    out = df.groupBy(*keys).agg(pick.alias("_row"))
-    return out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
+    pick = F.max if last else F.min
+    rows = materialize(df.withColumn("_address", F.monotonically_increasing_id()))
+    mine, best = [f"_k{i}" for i in range(len(keys))], [f"_b{i}" for i in range(len(keys))]
+    slim = rows.select(*[F.col(c).alias(k) for c, k in zip(keys, mine)], F.col(order).alias("_o"), "_address")
+    repeated = (slim.groupBy(*mine).agg(pick("_o").alias("_best"), F.count(F.lit(1)).alias("_n"))
+                .where("_n > 1").select(*[F.col(m).alias(b) for m, b in zip(mine, best)], "_best"))
+    top = slim.join(repeated, same_key(mine, best) & F.col("_o").eqNullSafe(F.col("_best")))
+    kept, small = measure_small(top.groupBy(*best).agg(pick("_address").alias("_kept")))
+    kept = F.broadcast(kept) if small else kept.hint("shuffle_hash")
+    out = rows.join(kept, same_key(keys, best), "left").where("_kept IS NULL OR _kept = _address")
+    return out.select(*keys, *others)
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Add each row's place in its group, from 0, in the order of ``order`` (without
+    ties). No task holds a group: rows are range-sorted and counted by (group, range),
+    and a place is the rows of the group in the ranges before plus the place inside."""
+    x = materialize(df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id()))
+    theirs = [f"_g{i}" for i in range(len(group))]
+    earlier = Window.partitionBy(*theirs).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    before = (x.groupBy(*[F.col(g).alias(t) for g, t in zip(group, theirs)], F.col("_range").alias("_r"))
+              .agg(F.count(F.lit(1)).alias("_n")).withColumn("_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+              .where("_n > 0"))
+    inside = F.row_number().over(Window.partitionBy("_range", *group).orderBy(*order)) - 1
+    met = x.withColumn("_i", inside).join(
+        before, same_key(group, theirs) & (F.col("_range") == F.col("_r")), "left")
+    return met.select(*df.columns, (F.col("_i") + F.coalesce("_n", F.lit(0))).cast("bigint").alias(name))
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -89,14 +118,11 @@ def _row_bytes(df: DataFrame) -> Column:
 def measure_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """``(frame, is_small)``: whether ``df`` holds at most ``max_rows`` rows and
-    about ``max_bytes`` bytes. Counting stops in every task after ``max_rows`` + 1
-    rows, so a large frame is not computed whole to learn that it is large. A
-    small one is written to the shared folder and comes back read from there."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        return df, False
-    small = written(df, "small")
-    total = small.agg(F.sum(_row_bytes(small)).alias("b")).first().b or 0
-    return small, total <= max_bytes
+    about ``max_bytes`` bytes. The frame is computed once, into the shared folder,
+    measured there and used from there, small or not."""
+    out = written(df, "measured")
+    m = out.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(out)).alias("b")).first()
+    return out, m.n <= max_rows and (m.b or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -13,7 +13,7 @@ from ..functions import answers as ans
 from ..functions import law as lawf
 from ..functions import text
 
-from ..operators import (bm25, dense, dense_index, encode, fusion, generate, grading, ireval, law, parent, prep, qa,
+from ..operators import (bm25, bm25_segments, dense, dense_index, encode, fusion, generate, grading, ireval, law, parent, prep, qa,
                          rerank, retrievers, search)
 from ..operators.topk import broadcast_if_small, materialize, round_out, topk_per_group
 from ..session import scratch_path
@@ -66,6 +66,32 @@ def bm25_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.vocab.select("term", "df", "ctf", round_out("idf"))
 
 
+def _changed_index(spark, sf_dir):
+    """All documents without a title; new versions with their source as title where the
+    labels call the document good; those that they call bad taken out."""
+    docs, labels = T.doc_corpus(spark, sf_dir), T.table(spark, sf_dir, "labels")
+    good = labels.where("quality = 1").select("doc_id").distinct()
+    index = bm25_segments.upsert(bm25_segments.create_index(spark), docs.select("doc_id", "text"))
+    index = bm25_segments.upsert(index, docs.join(good, "doc_id", "left_semi"), title_col="title")
+    return bm25_segments.delete(index, labels.where("quality = 0"))
+
+
+def bm25_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 of a segmented index after additions, new versions and deletions."""
+    index = _once(spark, sf_dir, "segments", lambda: _changed_index(spark, sf_dir), ("documents", "labels"))
+    run = bm25_segments.segments_topk(index, T.bench_queries(spark, sf_dir), k=10)
+    return run.select("query_id", "doc_id", round_out("score"), "rank")
+
+
+def bm25_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bm25_changes`` after its segments were merged into one."""
+    index = _once(spark, sf_dir, "segments", lambda: _changed_index(spark, sf_dir), ("documents", "labels"))
+    merged = _once(spark, sf_dir, "merged", lambda: bm25_segments.merge(index, [s.seq for s in index.segments]),
+                   ("documents", "labels"))
+    run = bm25_segments.segments_topk(merged, T.bench_queries(spark, sf_dir), k=10)
+    return run.select("query_id", "doc_id", round_out("score"), "rank")
+
+
 def _emb(spark, sf_dir):
     return T.table(spark, sf_dir, "embeddings")
 

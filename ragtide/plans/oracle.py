@@ -99,6 +99,20 @@ SELECT term, df, ctf, round(idf, 6) AS idf FROM b_vocab"""
 
 
 
+CHANGED_CORPUS = """SELECT doc_id, text,
+  CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN source ELSE '' END AS title
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)"""
+
+
+def q_bm25_changes() -> str:
+    return with_(bm25_ctes(CHANGED_CORPUS, BENCH_QUERIES, 10)) + """
+SELECT query_id, doc_id, round(score, 6) AS score, rank FROM b_run"""
+
+
+def q_bm25_merged() -> str:
+    return q_bm25_changes()
+
+
 # ---------------------------------------------------------------- dense
 
 def hash_vec_ctes(corpus_sql: str, queries_sql: str, k: int | None, dim: int = 256,

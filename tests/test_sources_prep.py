@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ragtide.operators import parent, prep
+from ragtide.operators.topk import first_by_key, materialize, numbered
 from ragtide.sources import files as src
 
 
@@ -102,7 +103,7 @@ def math_ceil(x):
 def test_nodup_batches_invariant(spark):
     rows = [(f"q{i % 5}", f"d{i}", "same anchor" if i % 3 == 0 else f"a{i}", f"p{i % 7}") for i in range(200)]
     df = spark.createDataFrame(rows, "query_id string, corpus_id string, anchor string, positive string")
-    b = prep.nodup_batches(df, batch_size=8, shard_rows=60).collect()
+    b = prep.nodup_batches(df, batch_size=8, group_rows=60).collect()
     assert len(b) == len(rows)
     by = {}
     for r in b:
@@ -116,9 +117,46 @@ def test_nodup_batches_invariant(spark):
 def test_nodup_batches_hot_text_and_rows(spark):
     rows = [("q", "d", "hot anchor", "hot positive")] * 1500 + [(f"q{i}", f"d{i}", f"a{i}", f"p{i}") for i in range(3000)]
     df = spark.createDataFrame(rows, "query_id string, corpus_id string, anchor string, positive string")
-    b = prep.nodup_batches(df, batch_size=8, shard_rows=2000)
+    b = prep.nodup_batches(df, batch_size=8, group_rows=2000)
     assert prep.nodup_check(df, b, batch_size=8).collect() == [(4500, 4500, 0, 0)]
-    assert prep._fill([{"a"}] * 20000, 4) == list(range(20000))
+    again = prep.nodup_batches(df.repartition(7), batch_size=8, group_rows=2000)
+    assert sorted(map(str, again.collect())) == sorted(map(str, b.collect()))  # other places, same batches
+
+
+def test_nodup_batches_are_full_and_hold_nulls(spark):
+    df = spark.createDataFrame([(f"q{i % 1000}", f"d{i % 1500}") for i in range(3000)], "anchor string, positive string")
+    b = materialize(prep.nodup_batches(df, batch_size=8, group_rows=500))
+    assert prep.nodup_check(df, b, batch_size=8).collect() == [(3000, 3000, 0, 0)]
+    assert b.select("batch_id").distinct().count() < 1.15 * 3000 / 8
+    odd = spark.createDataFrame([(None, None), (None, "a"), ("a", "a"), ("a", None), ("b", "c"), ("b", "c")],
+                                "anchor string, positive string")
+    got = materialize(prep.nodup_batches(odd, batch_size=4))
+    assert prep.nodup_check(odd, got, batch_size=4).collect() == [(6, 6, 0, 0)]
+    assert prep.nodup_batches(odd.limit(0)).count() == 0
+
+
+def test_numbered_over_ranges(spark):
+    df = spark.createDataFrame([(["a", "b", None][i % 3] if i % 2 else "a", i) for i in range(500)], "g string, i int")
+    got = numbered(df, ["g"], ["i"], "at").collect()
+    for g in ("a", "b", None):
+        mine = sorted(((r.i, r["at"]) for r in got if r.g == g))
+        assert [x for _, x in mine] == list(range(len(mine)))
+    assert len(got) == 500
+
+
+def test_first_and_last_per_key(spark):
+    """Ties, null keys, clashing orders and a key in a third of the rows; no payload is
+    sorted, grouped or shuffled."""
+    rows = [(["hot", f"k{i % 50}", None][i % 3], i % 7, "x" * 50 + str(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "key string, ord int, body string")
+    for last, best in ((False, min), (True, max)):
+        one = first_by_key(df, "key", "ord", last)
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        want = {k: best(o for x, o, _ in rows if x == k) for k, _, _ in rows}
+        got = one.collect()
+        assert {r.key: r.ord for r in got} == want and len(got) == len(want)
+        assert all((r.key, r.ord, r.body) in rows for r in got)
 
 
 def test_train_val_split_by_query(spark):
