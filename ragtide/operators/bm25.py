@@ -1,7 +1,9 @@
 """Okapi BM25 over an index cut by document range.
 
 Index build (once, reusable): the terms of ``title + " " + text`` are counted
-inside the row, so the build shuffles postings and never texts. Documents are dealt
+inside the row, so the build shuffles postings and never texts. Sorted postings are
+packed in Arrow batches (a collecting aggregate would keep sorting whole rows).
+Documents are dealt
 into ranges by hash, ranges into blocks of about ``BLOCK_DOCS`` documents; a row
 holds the postings of one term in one block, with their number, smallest length and
 best posting (the largest frequency, of these the shortest document). Rows are written as a table bucketed by range and
@@ -22,14 +24,19 @@ from a bounded pool (see ``_padding``).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import index_text, runs, tokenize
-from ..session import ensure_parallel, scratch_path
+from ..session import ensure_parallel, scratch_path, ship_package
 from .topk import RANK_DECIMALS, broadcast_if_small, materialize, topk_per_group
 
 # The Okapi BM25 defaults the reference runs with.
@@ -92,17 +99,63 @@ def write_postings(hits: DataFrame, path: str, n_ranges: int, n_blocks: int) ->
     """Deal ``(term, doc_id, dl, tf)`` into ranges and blocks and write them."""
     dealt = (hits.withColumn("range", F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int"))
              .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")))
-    # a block's postings of a term are at most about block_docs rows
-    blocks = dealt.repartition(n_ranges, "range").groupBy("range", "term", "block").agg(
-        F.collect_list(F.struct("doc_id", "dl", "tf")).alias("hits"), F.count(F.lit(1)).alias("df"),
-        F.sum("tf").alias("ctf"), F.min("dl").alias("min_dl"),
-        # the largest frequency, and of its documents the shortest, in one number
-        F.max(F.col("tf").cast("bigint") * BEST_BASE + (BEST_BASE - 1 - F.col("dl"))).alias("best"))
+    ship_package(hits.sparkSession)
+    rows = dealt.repartition(n_ranges, "range").sortWithinPartitions("term", "range", "block")
+    kind = {f.name: f.dataType for f in dealt.schema.fields}
+    hit = T.StructType([T.StructField(c, kind[c]) for c in ("doc_id", "dl", "tf")])
+    blocks = rows.select("range", "term", "block", "doc_id", "dl", "tf").mapInArrow(_packed, T.StructType([
+        T.StructField("range", T.IntegerType()), T.StructField("term", T.StringType()),
+        T.StructField("block", T.IntegerType()), T.StructField("hits", T.ArrayType(hit)),
+        T.StructField("df", T.LongType()), T.StructField("ctf", T.LongType()),
+        T.StructField("min_dl", kind["dl"]), T.StructField("best", T.LongType())]))
     name = _table_name()
     blocks.write.bucketBy(n_ranges, "range").sortBy("term").option("path", f"{path}/postings").saveAsTable(name)
     return blocks.sparkSession.table(name)
 
 
+def _starts(rows: pa.Table) -> np.ndarray:
+    """Row numbers at which a new (range, term, block) begins."""
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for name in ("range", "term", "block"):
+        c = rows.column(name)
+        new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy()
+    return np.flatnonzero(new)
+
+
+def _block_rows(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+    """One row of the index for each run of sorted postings."""
+    rows = rows.combine_chunks()
+    doc_id, dl, tf = (rows.column(c).chunk(0) for c in ("doc_id", "dl", "tf"))
+    lengths, counts = dl.to_numpy(), tf.to_numpy()
+    # the largest frequency, and of its documents the shortest, in one number
+    best = np.maximum.reduceat(counts.astype(np.int64) * BEST_BASE + (BEST_BASE - 1 - lengths), starts)
+    ends = np.append(starts, rows.num_rows).astype(np.int32)
+    hits = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([doc_id, dl, tf], ["doc_id", "dl", "tf"]))
+    keys = [rows.column(c).chunk(0).take(pa.array(starts)) for c in ("range", "term", "block")]
+    return pa.RecordBatch.from_arrays(
+        [*keys, hits, pa.array(np.diff(ends).astype(np.int64)), pa.array(np.add.reduceat(counts.astype(np.int64), starts)),
+         pa.array(np.minimum.reduceat(lengths, starts)), pa.array(best)],
+        ["range", "term", "block", "hits", "df", "ctf", "min_dl", "best"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the index from sorted postings; a run that a batch ends in waits for the
+    next (a term has at most about BLOCK_DOCS postings in a block)."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        if not rows.num_rows:
+            continue
+        starts = _starts(rows)
+        if len(starts) > 1:
+            yield _block_rows(rows.slice(0, starts[-1]), starts[:-1])
+        held = rows.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield _block_rows(held, np.zeros(1, np.int64))
+
+
 def write_vocab(counted: DataFrame, path: str, n_docs: int, epsilon: float) -> tuple[int, float]:
     """Write ``(term, df, ctf, idf)`` from counts; tokens in all and mean idf."""
     raw = counted.withColumn("idf_raw", idf_expr(n_docs))
