@@ -45,7 +45,7 @@ B = 0.75
 EPSILON = 0.25
 #: Text bytes of a document range and documents of a block; Spark takes at most
 #: 100,000 buckets, so that ranges grow beyond ``MAX_RANGES`` of them.
-RANGE_BYTES, MAX_RANGES, BLOCK_DOCS = 64 << 20, 50_000, 64
+RANGE_BYTES, MAX_RANGES, BLOCK_DOCS = 16 << 20, 50_000, 64
 BEST_BASE = 1 << 31
 #: By default bounds are read for indexes of this many blocks and queries of at most
 #: this many terms on average: beyond, the bounds of long sums rule out next to none.
@@ -97,10 +97,12 @@ def read_postings(spark, path: str, n_ranges: int) -> DataFrame:
 
 def write_postings(hits: DataFrame, path: str, n_ranges: int, n_blocks: int) -> DataFrame:
     """Deal ``(term, doc_id, dl, tf)`` into ranges and blocks and write them."""
-    dealt = (hits.withColumn("range", F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")))
     ship_package(hits.sparkSession)
-    rows = dealt.repartition(n_ranges, "range").sortWithinPartitions("term", "range", "block")
+    # range and block follow from the id, so they are not shuffled
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int")
+    dealt = (hits.repartition(n_ranges, at).withColumn("range", at)
+             .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")))
+    rows = dealt.sortWithinPartitions("term", "range", "block")
     kind = {f.name: f.dataType for f in dealt.schema.fields}
     hit = T.StructType([T.StructField(c, kind[c]) for c in ("doc_id", "dl", "tf")])
     blocks = rows.select("range", "term", "block", "doc_id", "dl", "tf").mapInArrow(_packed, T.StructType([
