@@ -11,10 +11,12 @@ sorted by term; the number of ranges follows the bytes of text. ``vocab(term, df
 ctf, idf)`` comes from one pass over the rows; three corpus scalars are frozen into
 the index.
 
-Retrieval: query terms are broadcast (in slices of a bounded number) into the
-bucketed scan. Sums by document and the best k finish inside a range, because the
-scan is already distributed by range: only k rows for each query and range are
-shuffled. With ``prune``, bounds are read first: a block's bound is the sum of its
+Retrieval: queries that hold the same known terms are one class and scored once.
+The terms of the classes are broadcast (in slices of a bounded number, one slice after
+the other) into the bucketed scan; a row of the index is read once, however many classes
+ask for its term. A range's postings are added up in blocks of numpy cells, and the best
+k finish inside the range, because the scan is already distributed by range: only k rows
+for each class and range are shuffled. With ``prune``, bounds are read first: a block's bound is the sum of its
 terms' largest possible contributions, and the k-th largest best posting of a query
 is a score that k documents reach. Blocks whose bound lies below it are skipped,
 which loses nothing. The score-0 documents the reference also ranks are added back
@@ -35,6 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from ..functions.text import index_text, runs, tokenize
 from ..session import ensure_parallel, scratch_path, ship_package
 from .topk import RANK_DECIMALS, broadcast_if_small, materialize, topk_per_group
@@ -47,11 +51,10 @@ EPSILON = 0.25
 #: 100,000 buckets, so that ranges grow beyond ``MAX_RANGES`` of them.
 RANGE_BYTES, MAX_RANGES, BLOCK_DOCS = 16 << 20, 50_000, 64
 BEST_BASE = 1 << 31
-#: By default bounds are read for indexes of this many blocks and queries of at most
-#: this many terms on average: beyond, the bounds of long sums rule out next to none.
-PRUNE_FROM, PRUNE_TERMS = 4096, 6
 #: Query terms broadcast at once.
 TERM_ROWS = 1_000_000
+#: Sums held at once by a task that scores a range.
+CELLS = 1 << 20
 #: Documents looked at in one step when scores can be negative.
 PAD_CHUNK = 1000
 
@@ -305,7 +308,7 @@ def index_hits(index: BM25Index, terms: DataFrame) -> DataFrame:
 
 
 def _padding(index: BM25Index, queries: DataFrame, k: int, qid: str,
-             scores: DataFrame, chunk: int = PAD_CHUNK) -> DataFrame:
+             scores: DataFrame | None, chunk: int = PAD_CHUNK) -> DataFrame:
     """Score-0 rows so queries with fewer than k hits still return k documents.
 
     The top k of all documents is contained in (top k of the hits) + (the first
@@ -357,39 +360,211 @@ def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id", qte
     return reduce(DataFrame.unionByName, [one(t) for t in terms])
 
 
-def _worth_bounds(index: BM25Index, terms: list[DataFrame]) -> bool:
-    if index.n_ranges * index.n_blocks < PRUNE_FROM:
-        return False
-    m = reduce(DataFrame.unionByName, terms).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("q")).first()
-    return m.n <= PRUNE_TERMS * m.q
+def query_classes(index: BM25Index, queries: DataFrame, qid: str = "query_id",
+                  qtext: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(query_id, class)`` of every query with a term that the index knows, and
+    ``(class, terms)``: queries with the same known terms have the same scores."""
+    known = query_terms(queries, qid, qtext).join(index.vocab.select("term", "idf"), "term")
+    terms = F.array_sort(F.collect_list(F.struct("term", (F.col("qtf") * F.col("idf")).alias("weight"))))
+    asked = materialize(known.groupBy("query_id").agg(terms.alias("terms")).withColumn(
+        "_key", F.sha2(F.to_json("terms"), 256)))
+    classes = materialize(asked.select("_key", "terms").dropDuplicates(["_key"]).withColumn(
+        "class", F.monotonically_increasing_id()))
+    members = asked.select("query_id", "_key").join(classes.select("_key", "class"), "_key").drop("_key")
+    return materialize(members), classes.drop("_key")
+
+
+class _Asked:
+    """The terms of a slice of classes, by class: its place, term code and weight."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by("class").combine_chunks()
+        names = rows.column("term").combine_chunks().dictionary_encode()
+        self.terms = names.dictionary
+        self.code = names.indices.to_numpy()
+        self.weight = rows.column("weight").to_numpy()
+        self.classes, self.place = np.unique(rows.column("class").to_numpy(), return_inverse=True)
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of the spans [start, start + size), one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def _cuts(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs of entries whose sizes add up to about ``most``."""
+    group = np.cumsum(sizes) // most
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(sizes) else np.zeros(0, int)
+    return list(zip(starts, np.r_[starts[1:], len(sizes)]))
+
+
+def _best_of(row: np.ndarray, doc: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best of each row: by rounded score, then by document."""
+    order = np.lexsort((doc, -np.round(score, RANK_DECIMALS), row))
+    r = row[order]
+    starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+    place = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)]))
+    return order[place < k]
+
+
+def _range_best(asked: _Asked, code: np.ndarray, sizes: np.ndarray, doc: np.ndarray, share: np.ndarray, n_docs: int,
+                k: int, cells: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(class place, document, score)`` of the k best of each class in one range.
+    ``code`` and ``sizes`` describe the index rows, whose postings lie in ``doc``
+    (numbers in the order of the ids) and ``share`` (their saturation), by code."""
+    found = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    total = np.zeros(len(asked.terms), np.int64)
+    begin = np.zeros(len(asked.terms), np.int64)
+    total[code[found]] = np.add.reduceat(sizes, found)
+    begin[code[found]] = (np.cumsum(sizes) - sizes)[found]
+    met = np.flatnonzero(total[asked.code] > 0)
+    if not len(met):
+        return
+    place, n, at, weight = (x[met] for x in (asked.place, total[asked.code], begin[asked.code], asked.weight))
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    ends = np.r_[first[1:], len(place)]
+    hits = np.add.reduceat(n, first)
+    # where sums are rare, they are sorted out; where they are dense, each has its cell
+    rare = hits * 16 < n_docs
+    for these, dense in ((np.flatnonzero(rare), False), (np.flatnonzero(~rare), True)):
+        cost = np.maximum(hits[these], n_docs) if dense else hits[these]
+        for lo, hi in _cuts(cost, cells):
+            rows = these[lo:hi]
+            entries = _spans(first[rows], ends[rows] - first[rows])
+            flat = _spans(at[entries], n[entries])
+            row = np.repeat(np.repeat(np.arange(len(rows)), ends[rows] - first[rows]), n[entries])
+            key = row * n_docs + doc[flat]
+            add = share[flat] * np.repeat(weight[entries], n[entries])
+            if dense:
+                sums = np.bincount(key, add, len(rows) * n_docs)
+                held = np.zeros(len(sums), bool)
+                held[key] = True
+                if n_docs > k:
+                    s = np.where(held, np.round(sums, RANK_DECIMALS), -np.inf).reshape(len(rows), n_docs)
+                    held &= (s >= np.partition(s, n_docs - k, axis=1)[:, n_docs - k, None]).ravel()
+                key = np.flatnonzero(held)
+                sums = sums[key]
+            else:
+                key, back = np.unique(key, return_inverse=True)
+                sums = np.bincount(back, add, len(key))
+            row, d = key // n_docs, key % n_docs
+            kept = _best_of(row, d, sums, k)
+            yield place[first[rows]][row[kept]], d[kept], sums[kept]
+
+
+def _range_scorer(index: BM25Index, shared, k: int, schema: T.StructType, cells: int):
+    """Functions of a range's index rows, and of these and the ids that no longer count,
+    to its best."""
+    arrow = to_arrow_schema(schema)
+    k1, b, avgdl = index.k1, index.b, index.avgdl
+
+    def alone(rows: pa.Table) -> pa.Table:
+        return without(rows, None)
+
+    def without(rows: pa.Table, gone: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return arrow.empty_table()
+        asked = shared.value
+        rows = rows.select(["code", "hits"]).take(pc.sort_indices(rows.column("code"))).combine_chunks()
+        code, hits = rows.column("code").to_numpy(), rows.column("hits").chunk(0)
+        sizes = pc.list_value_length(hits).to_numpy().astype(np.int64)
+        flat = hits.flatten()
+        ids, dl, tf = flat.field("doc_id"), flat.field("dl").to_numpy(), flat.field("tf").to_numpy().astype(np.float64)
+        if gone is not None and gone.num_rows:
+            alive = ~pc.is_in(ids, gone.column("doc_id")).to_numpy(zero_copy_only=False)
+            sizes = np.add.reduceat(alive.astype(np.int64), np.cumsum(sizes) - sizes)
+            ids, dl, tf = ids.filter(pa.array(alive)), dl[alive], tf[alive]
+            code, sizes = code[sizes > 0], sizes[sizes > 0]
+            if not len(code):
+                return arrow.empty_table()
+        coded = ids.dictionary_encode(null_encoding="encode")
+        order = pc.array_sort_indices(coded.dictionary, null_placement="at_start").to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        names = coded.dictionary.take(pa.array(order))
+        share = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl / avgdl))
+        parts = [pa.table([pa.array(asked.classes[c]), names.take(pa.array(d)), pa.array(s)], schema=arrow)
+                 for c, d, s in _range_best(asked, code, sizes, rank[coded.indices.to_numpy()], share, len(order), k, cells)]
+        return pa.concat_tables(parts) if parts else arrow.empty_table()
+
+    return alone, without
+
+
+def classes_topk(parts: list[tuple[BM25Index, DataFrame | None]], classes: DataFrame, k: int,
+                 max_rows: int = TERM_ROWS, cells: int = CELLS) -> DataFrame:
+    """``(class, doc_id, score, rank)``: the k best documents of each class that hold one
+    of its terms, over one index or several with the same statistics, each with the
+    ``doc_id`` of documents that no longer count (or None). Slices of classes are
+    broadcast and finished one after the other."""
+    spark = classes.sparkSession
+    ship_package(spark)
+    n = max(1, -(-(classes.agg(F.sum(F.size("terms"))).first()[0] or 0) // max_rows))
+    out = []
+    for i in range(n):
+        mine = classes if n == 1 else classes.where(F.pmod(F.xxhash64("class"), F.lit(n)) == i)
+        asked = _Asked(mine.select("class", F.inline("terms")).toArrow())  # about max_rows rows
+        shared = spark.sparkContext.broadcast(asked)
+        codes = F.broadcast(spark.createDataFrame(pa.table(
+            {"term": asked.terms, "code": pa.array(np.arange(len(asked.terms)), pa.int32())})))
+        found = []
+        for index, gone in parts:
+            hit = index.postings.schema["hits"].dataType.elementType
+            schema = T.StructType([T.StructField("class", T.LongType()), T.StructField("doc_id", hit["doc_id"].dataType),
+                                   T.StructField("score", T.DoubleType())])
+            alone, without = _range_scorer(index, shared, k, schema, cells)
+            rows = index.postings.select("range", "term", "hits").join(codes, "term").select("range", "code", "hits")
+            if gone is None:
+                found.append(rows.groupBy("range").applyInArrow(alone, schema))
+            else:
+                at = F.pmod(F.xxhash64("doc_id"), F.lit(index.n_ranges)).cast("int").alias("range")
+                found.append(rows.groupBy("range").cogroup(gone.select(at, "doc_id").groupBy("range"))
+                             .applyInArrow(without, schema))
+        best = topk_per_group(reduce(DataFrame.unionByName, found), "class", k)
+        if n > 1:
+            best = materialize(best)
+            shared.destroy()
+        out.append(best)
+    return reduce(DataFrame.unionByName, out)
+
+
+def classes_back(run: DataFrame, members: DataFrame) -> DataFrame:
+    """``(query_id, doc_id, score, rank)`` of every query from the run of its class."""
+    return run.join(broadcast_if_small(members), "class").select("query_id", "doc_id", "score", "rank")
 
 
 def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000, qid: str = "query_id", qtext: str = "text",
-              pad: bool = True, prune: bool | None = None) -> DataFrame:
+              pad: bool = True, prune: bool = False) -> DataFrame:
     """Run ``(query_id, doc_id, score, rank)``: the k best documents per query,
     score-0 documents included as in an exhaustive ranking.
 
     The top k of the hits (k rows for each query and range are shuffled) is merged
     with the padding pool; a document in both keeps its hit score. ``prune`` reads
-    the block bounds first (default: see ``PRUNE_FROM``); it needs scores that no term lowers, so that it is off where idfs may be negative.
+    the block bounds first (off by default: a range is read once for all queries); it
+    needs scores that no term lowers, so that it is off where idfs may be negative.
     """
     if k is None or k < 1:
         raise ValueError("bm25_topk needs a positive k (ranking every document emits all pairs)")
-    terms = _weighted_terms(index, queries, qid, qtext)
-    if prune is None:
-        prune = _worth_bounds(index, terms)
-    scores = bm25_scores(index, queries, qid, qtext, k if prune and index.mean_idf > 0 else None, terms)
-    if pad and index.mean_idf <= 0:
-        scores = materialize(scores)  # the padding reads them once for each step
-    return ranked(index, queries, k, qid, scores, pad)
+    if pad and index.mean_idf <= 0:  # the padding reads all scores once for each step
+        scores = materialize(bm25_scores(index, queries, qid, qtext))
+        return ranked(index, queries, k, qid, scores, pad)
+    if prune and index.mean_idf > 0:
+        return ranked(index, queries, k, qid, bm25_scores(index, queries, qid, qtext, k), pad)
+    members, classes = query_classes(index, queries, qid, qtext)
+    hits = classes_back(classes_topk([(index, None)], classes, k), members)
+    return padded(index, queries, k, qid, hits) if pad else hits
 
 
 def ranked(index: BM25Index, queries: DataFrame, k: int, qid: str, scores: DataFrame, pad: bool = True) -> DataFrame:
     """The k best of ``scores`` for each query, with the padding pool."""
     hits = topk_per_group(scores, "query_id", k)
-    if not pad:
-        return hits
+    return padded(index, queries, k, qid, hits, scores) if pad else hits
+
+
+def padded(index: BM25Index, queries: DataFrame, k: int, qid: str, hits: DataFrame,
+           scores: DataFrame | None = None) -> DataFrame:
+    """The k best of the ranked ``hits`` and the padding pool; all ``scores`` are needed
+    where they may be negative."""
     both = (hits.select("query_id", "doc_id", "score", F.lit(1).alias("_hit"))
             .unionByName(_padding(index, queries, k, qid, scores).withColumn("_hit", F.lit(0))))
     merged = both.groupBy("query_id", "doc_id").agg(F.max_by("score", "_hit").alias("score"))

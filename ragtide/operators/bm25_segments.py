@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_parallel, remove_paths, scratch_path
-from .bm25 import (B, BLOCK_DOCS, EPSILON, K1, RANGE_BYTES, BM25Index, _weighted_terms, bm25_scores, corpus_postings,
-                   layout, ranked, read_postings, shape, write_postings, write_vocab)
+from .bm25 import (B, BLOCK_DOCS, EPSILON, K1, RANGE_BYTES, BM25Index, _weighted_terms, bm25_scores, classes_back,
+                   classes_topk, corpus_postings, layout, padded, query_classes, ranked, read_postings, shape,
+                   write_postings, write_vocab)
 from .topk import broadcast_if_small, materialize
 
 #: Segments of about the same size that are merged together.
@@ -262,6 +263,12 @@ def segments_topk(index: SegmentedIndex, queries: DataFrame, k: int = 1000, qid:
         return asked.select("query_id", F.lit(None).cast(index.id_type or "string").alias("doc_id"),
                             F.lit(0.0).alias("score"), F.lit(0).cast("bigint").alias("rank"))
     parts = [index.part(s) for s in index.segments]
+    if not pad or index.mean_idf > 0:
+        members, classes = query_classes(parts[0], queries, qid, qtext)
+        dead = index.dead()
+        gone = [dead.where(F.col("seq") == s.seq).select("doc_id") if s.n_dead else None for s in index.segments]
+        hits = classes_back(classes_topk(list(zip(parts, gone)), classes, k), members)
+        return padded(parts[0], queries, k, qid, hits) if pad else hits
     terms = _weighted_terms(parts[0], queries, qid, qtext)
     found, dead = [], index.dead()
     for s, part in zip(index.segments, parts):
@@ -271,8 +278,7 @@ def segments_topk(index: SegmentedIndex, queries: DataFrame, k: int = 1000, qid:
             scores = scores.join(gone, "doc_id", "left_anti").select("query_id", "doc_id", "score")
         found.append(scores)
     scores = reduce(DataFrame.unionByName, found)
-    if pad and index.mean_idf <= 0:
-        scores = materialize(scores)  # the padding reads them once for each step
+    scores = materialize(scores)  # the padding reads them once for each step
     return ranked(parts[0], queries, k, qid, scores, pad)
 
 

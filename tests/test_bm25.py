@@ -191,3 +191,20 @@ def test_no_cached_tables_are_left(spark):
     for _ in range(3):
         bm25.bm25_topk(idx, qs, k=2).collect()
     assert held() == before
+
+
+@pytest.mark.parametrize("max_rows,cells", [(1 << 20, 1 << 20), (3, 16)])
+def test_queries_with_the_same_known_terms_are_scored_once(spark, max_rows, cells):
+    queries = QUERIES | {"q6": "fox unknown quick", "q7": "quick fox other", "q8": "fox quick quick", "q9": "lorem"}
+    corpus = spark.createDataFrame(list(DOCS.items()), "doc_id string, text string")
+    qs = spark.createDataFrame(list(queries.items()), "query_id string, text string")
+    idx = bm25.build_bm25_index(corpus)
+    members, classes = bm25.query_classes(idx, qs)
+    assert members.count() == 7 and classes.count() == 5  # q1, q6 and q7 are one class
+    want = py_bm25(DOCS, queries)
+    run = bm25.classes_back(bm25.classes_topk([(idx, None)], classes, 2, max_rows, cells), members).collect()
+    for q, scores in want.items():
+        got = [r.doc_id for r in sorted((r for r in run if r.query_id == q), key=lambda r: r.rank)]
+        assert got == [d for d in py_topk(scores, 2) if scores[d] > 0]
+    # an index row is joined to its term only, not to every query that asks for it
+    assert "query_id" not in plan_of(bm25.classes_topk([(idx, None)], classes, 2))
