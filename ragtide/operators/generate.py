@@ -2,7 +2,7 @@
 
 A request's key is the SHA-256 of its options and prompt. Answers are appended to a
 Parquet store, wave by wave: each wave is one Spark job over at most about
-``wave_rows`` requests, and its answers count once that job commits. A later run
+``wave_rows`` requests, read from the wave's own folder, and its answers count once that job commits. A later run
 reads the store and asks only for what is missing, so that a killed run repeats at
 most the wave it was in. A request that fails after ``retries`` more attempts is kept
 with its error and asked again by the next run.
@@ -63,10 +63,14 @@ def _ask(client: Callable, options: dict, retries: int):
     return run
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+
+
 def stored_answers(spark: SparkSession, store: str) -> DataFrame:
     """One row for each answered key; an empty frame where nothing is stored yet."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    if not path_exists(spark, store):
         return spark.createDataFrame([], STORE)
     rows = spark.read.schema(STORE).parquet(store)
     # two runs at the same time may both have asked: either answer will do
@@ -82,16 +86,25 @@ def generate(prompts: DataFrame, client: Callable, store: str | None = None, id_
     options = OPTIONS if options is None else options
     store = store or scratch_path(spark, "answers")
     keyed = materialize(prompts.select(F.col(id_col).alias("ID"), F.col(prompt_col).alias("prompt")).withColumn(
-        "key", request_key("prompt", options)))
-    missing = materialize(keyed.where("prompt is not null").select("key", "prompt").dropDuplicates(["key"])
+        "key", request_key("prompt", options)).withColumn("_at", F.monotonically_increasing_id()))
+    # what is missing is found by key; a prompt is written once, into the folder of its wave
+    missing = materialize(keyed.where("prompt is not null").groupBy("key").agg(F.min("_at").alias("_at"))
                           .join(stored_answers(spark, store).select("key"), "key", "left_anti"))
     waves = -(-missing.count() // wave_rows)
+    if waves:
+        wave_of = F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")
+        queue = scratch_path(spark, "waves")
+        (keyed.join(missing, ["key", "_at"], "left_semi").select("key", "prompt", wave_of.alias("wave"))
+         .repartition(max(waves, parallel), "wave", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(parallel)))
+         .write.partitionBy("wave").parquet(queue))
     for wave in range(waves):
-        part = missing.where(F.pmod(F.xxhash64("key"), F.lit(waves)) == wave)
+        if not path_exists(spark, f"{queue}/wave={wave}"):
+            continue  # no key fell into it
+        part = spark.read.schema("key string, prompt string").parquet(f"{queue}/wave={wave}")
         (part.repartition(parallel, "key").mapInArrow(_ask(client, options, retries), STORE)
          .write.mode("append").parquet(store))
     answers = stored_answers(spark, store)
-    return keyed.join(answers, "key", "left").select(
+    return keyed.select("ID", "key").join(answers, "key", "left").select(
         F.col("ID").alias(id_col), "generated", "eval_count", "eval_duration")
 
 

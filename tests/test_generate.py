@@ -70,3 +70,14 @@ def test_failures_are_kept_and_asked_again(spark, tmp_path):
 def test_empty(spark, tmp_path):
     prompts = spark.createDataFrame([], "ID int, prompt string")
     assert generate.generate(prompts, counting(str(tmp_path / "log")), str(tmp_path / "s")).collect() == []
+
+
+def test_a_wave_reads_its_own_folder_only(spark, tmp_path, monkeypatch):
+    made = {}
+    real = generate.scratch_path
+    monkeypatch.setattr(generate, "scratch_path", lambda s, name: made.setdefault(name, real(s, name)))
+    prompts = spark.createDataFrame([(i, f"p{i % 20}") for i in range(40)], "ID int, prompt string")
+    got = generate.generate(prompts, counting(str(tmp_path / "log")), str(tmp_path / "store"), wave_rows=4)
+    assert {r.ID: r.generated for r in got.collect()} == {i: f"P{i % 20}" for i in range(40)}
+    queue = spark.read.parquet(made["waves"])
+    assert queue.count() == 20 and 1 < queue.select("wave").distinct().count() <= 5
