@@ -1,9 +1,8 @@
 """Okapi BM25 over an index cut by document range.
 
-Index build (once, reusable): the terms of ``title + " " + text`` are counted
-inside the row, so the build shuffles postings and never texts. Sorted postings are
-packed in Arrow batches (a collecting aggregate would keep sorting whole rows).
-Documents are dealt
+Index build (once, reusable): ``title + " " + text`` goes to the range of its document
+once, which is about half of what its postings would take; the terms of a range are
+counted, sorted and packed there as numbers in Arrow batches. Documents are dealt
 into ranges by hash, ranges into blocks of about ``BLOCK_DOCS`` documents; a row
 holds the postings of one term in one block, with their number, smallest length and
 best posting (the largest frequency, of these the shortest document). Rows are written as a table bucketed by range and
@@ -40,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import index_text, runs, tokenize
-from ..session import ensure_parallel, scratch_path, ship_package
+from ..session import scratch_path, ship_package
 from .topk import RANK_DECIMALS, broadcast_if_small, materialize, topk_per_group
 
 # The Okapi BM25 defaults the reference runs with.
@@ -49,12 +48,14 @@ B = 0.75
 EPSILON = 0.25
 #: Text bytes of a document range and documents of a block; Spark takes at most
 #: 100,000 buckets, so that ranges grow beyond ``MAX_RANGES`` of them.
-RANGE_BYTES, MAX_RANGES, BLOCK_DOCS = 16 << 20, 50_000, 64
+RANGE_BYTES, MAX_RANGES, BLOCK_DOCS = 16 << 20, 50_000, 1024
 BEST_BASE = 1 << 31
 #: Query terms broadcast at once.
 TERM_ROWS = 1_000_000
 #: Sums held at once by a task that scores a range.
 CELLS = 1 << 20
+#: Postings in a batch of packed rows.
+OUT_POSTINGS = 1 << 18
 #: Documents looked at in one step when scores can be negative.
 PAD_CHUNK = 1000
 
@@ -98,67 +99,116 @@ def read_postings(spark, path: str, n_ranges: int) -> DataFrame:
     return spark.table(name)
 
 
+def _range_of(n_ranges: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int")
+
+
+def _block_of(n_blocks: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")
+
+
 def write_postings(hits: DataFrame, path: str, n_ranges: int, n_blocks: int) -> DataFrame:
     """Deal ``(term, doc_id, dl, tf)`` into ranges and blocks and write them."""
-    ship_package(hits.sparkSession)
     # range and block follow from the id, so they are not shuffled
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(n_ranges)).cast("int")
-    dealt = (hits.repartition(n_ranges, at).withColumn("range", at)
-             .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(n_blocks)).cast("int")))
-    rows = dealt.sortWithinPartitions("term", "range", "block")
-    kind = {f.name: f.dataType for f in dealt.schema.fields}
-    hit = T.StructType([T.StructField(c, kind[c]) for c in ("doc_id", "dl", "tf")])
-    blocks = rows.select("range", "term", "block", "doc_id", "dl", "tf").mapInArrow(_packed, T.StructType([
+    at = _range_of(n_ranges)
+    dealt = hits.repartitionById(n_ranges, at).select(
+        at.alias("range"), _block_of(n_blocks).alias("block"), "term", "doc_id", "dl", "tf")
+    return _write_rows(dealt, _by_posting, path, n_ranges, n_blocks)
+
+
+def write_texts(corpus: DataFrame, path: str, n_ranges: int, n_blocks: int, id_col: str = "doc_id",
+                text_col: str = "text", title_col: str | None = None) -> DataFrame:
+    """``write_postings`` of the terms of texts. Each text goes to its range once and is
+    cut into words there, so that no posting is shuffled or sorted as a row."""
+    return _write_rows(_dealt_texts(corpus, n_ranges, n_blocks, id_col, text_col, title_col), _by_text, path, n_ranges,
+                       n_blocks)
+
+
+def _dealt_texts(corpus: DataFrame, n_ranges: int, n_blocks: int, id_col: str, text_col: str,
+                 title_col: str | None) -> DataFrame:
+    title = F.col(title_col) if title_col else F.lit("")
+    docs = corpus.select(F.col(id_col).alias("doc_id"), index_text(title, F.col(text_col)).alias("_t"))
+    return docs.repartitionById(n_ranges, _range_of(n_ranges)).select(
+        _range_of(n_ranges).alias("range"), _block_of(n_blocks).alias("block"), "doc_id", tokenize("_t").alias("terms"))
+
+
+def _write_rows(dealt: DataFrame, read, path: str, n_ranges: int, n_blocks: int) -> DataFrame:
+    """Pack the rows of each range (a partition holds one) and write them."""
+    ship_package(dealt.sparkSession)
+    id_type = dealt.schema["doc_id"].dataType
+    hit = T.StructType([T.StructField("doc_id", id_type), T.StructField("dl", T.IntegerType()),
+                        T.StructField("tf", T.IntegerType())])
+    schema = T.StructType([
         T.StructField("range", T.IntegerType()), T.StructField("term", T.StringType()),
         T.StructField("block", T.IntegerType()), T.StructField("hits", T.ArrayType(hit)),
         T.StructField("df", T.LongType()), T.StructField("ctf", T.LongType()),
-        T.StructField("min_dl", kind["dl"]), T.StructField("best", T.LongType())]))
+        T.StructField("min_dl", T.IntegerType()), T.StructField("best", T.LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _packed(read, batches, n_blocks, arrow)
+
+    blocks = dealt.mapInArrow(pack, schema)
     name = _table_name()
     blocks.write.bucketBy(n_ranges, "range").sortBy("term").option("path", f"{path}/postings").saveAsTable(name)
     return blocks.sparkSession.table(name)
 
 
-def _starts(rows: pa.Table) -> np.ndarray:
-    """Row numbers at which a new (range, term, block) begins."""
-    new = np.zeros(rows.num_rows, bool)
-    new[0] = True
-    for name in ("range", "term", "block"):
-        c = rows.column(name)
-        new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy()
-    return np.flatnonzero(new)
-
-
-def _block_rows(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
-    """One row of the index for each run of sorted postings."""
-    rows = rows.combine_chunks()
-    doc_id, dl, tf = (rows.column(c).chunk(0) for c in ("doc_id", "dl", "tf"))
-    lengths, counts = dl.to_numpy(), tf.to_numpy()
-    # the largest frequency, and of its documents the shortest, in one number
-    best = np.maximum.reduceat(counts.astype(np.int64) * BEST_BASE + (BEST_BASE - 1 - lengths), starts)
-    ends = np.append(starts, rows.num_rows).astype(np.int32)
-    hits = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([doc_id, dl, tf], ["doc_id", "dl", "tf"]))
-    keys = [rows.column(c).chunk(0).take(pa.array(starts)) for c in ("range", "term", "block")]
-    return pa.RecordBatch.from_arrays(
-        [*keys, hits, pa.array(np.diff(ends).astype(np.int64)), pa.array(np.add.reduceat(counts.astype(np.int64), starts)),
-         pa.array(np.minimum.reduceat(lengths, starts)), pa.array(best)],
-        ["range", "term", "block", "hits", "df", "ctf", "min_dl", "best"])
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the index from sorted postings; a run that a batch ends in waits for the
-    next (a term has at most about BLOCK_DOCS postings in a block)."""
-    held = None
+def _by_text(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a batch of documents with all their words, for each (document, distinct word):
+    the word in a dictionary, the document's place in the batch and the count; and the
+    length of each document."""
+    words = batch.column("terms")
+    sizes = pc.list_value_length(words).to_numpy()
+    coded = words.flatten().dictionary_encode()
+    n = max(len(coded.dictionary), 1)
+    key, tf = np.unique(np.repeat(np.arange(len(sizes)), sizes) * n + coded.indices.to_numpy(), return_counts=True)
+    return (pa.DictionaryArray.from_arrays(pa.array((key % n).astype(np.int32)), coded.dictionary), key // n,
+            tf.astype(np.int32), sizes.astype(np.int32))
+
+
+def _by_posting(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """``_by_text`` of a batch that holds a posting in each row."""
+    return (batch.column("term").dictionary_encode(), np.arange(batch.num_rows), batch.column("tf").to_numpy(),
+            batch.column("dl").to_numpy())
+
+
+def _packed(read, batches: Iterator[pa.RecordBatch], n_blocks: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows of the index, sorted by term and block, of the documents of one range."""
+    terms, doc, tf, dl, ids, block, docs, at = [], [], [], [], [], [], 0, None
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = rows if held is None else pa.concat_tables([held, rows])
-        if not rows.num_rows:
+        if not batch.num_rows:
             continue
-        starts = _starts(rows)
-        if len(starts) > 1:
-            yield _block_rows(rows.slice(0, starts[-1]), starts[:-1])
-        held = rows.slice(starts[-1])
-    if held is not None and held.num_rows:
-        yield _block_rows(held, np.zeros(1, np.int64))
+        at = batch.column("range")[0]
+        t, d, n, length = read(batch)
+        terms, doc, tf, dl = [*terms, t], [*doc, d + docs], [*tf, n], [*dl, length]
+        ids, block, docs = [*ids, batch.column("doc_id")], [*block, batch.column("block").to_numpy()], docs + batch.num_rows
+    if not sum(map(len, terms)):
+        return
+    one = pa.chunked_array(terms).unify_dictionaries()
+    names = one.chunk(0).dictionary
+    code = np.concatenate([c.indices.to_numpy() for c in one.chunks])
+    order = pc.sort_indices(names).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    doc, tf, dl, block, ids = *(np.concatenate(x) for x in (doc, tf, dl, block)), pa.chunked_array(ids)
+    key = place[code] * n_blocks + block[doc]
+    by = np.argsort(key, kind="stable")
+    key, doc, tf = key[by], doc[by], tf[by]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    for lo, hi in _cuts(np.diff(np.r_[starts, len(key)]), OUT_POSTINGS):
+        first, last = starts[lo], starts[hi] if hi < len(starts) else len(key)
+        row, mine = starts[lo:hi] - first, slice(first, last)
+        length, count = dl[doc[mine]], tf[mine].astype(np.int64)
+        hits = pa.StructArray.from_arrays(
+            [pa.concat_arrays(ids.take(pa.array(doc[mine])).chunks), pa.array(length), pa.array(tf[mine])], ["doc_id", "dl", "tf"])
+        ends = np.append(row, last - first).astype(np.int32)
+        # the largest frequency, and of its documents the shortest, in one number
+        best = np.maximum.reduceat(count * BEST_BASE + (BEST_BASE - 1 - length), row)
+        yield pa.RecordBatch.from_arrays([pa.array(x).cast(f.type) if not isinstance(x, pa.Array) else x.cast(f.type) for x, f in zip((
+            np.full(hi - lo, at.as_py()), names.take(pa.array(order[key[starts[lo:hi]] // n_blocks])), key[starts[lo:hi]] % n_blocks,
+            pa.ListArray.from_arrays(pa.array(ends), hits), np.diff(ends), np.add.reduceat(count, row),
+            np.minimum.reduceat(length, row), best), schema)], schema=schema)
 
 
 def write_vocab(counted: DataFrame, path: str, n_docs: int, epsilon: float) -> tuple[int, float]:
@@ -211,8 +261,7 @@ def build_bm25_index(corpus: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = corpus.sparkSession
     path = path or scratch_path(spark, "bm25")
     n_docs, n_ranges, n_blocks = layout(corpus, text_col, title_col, range_bytes, block_docs)
-    hits = corpus_postings(ensure_parallel(corpus, 1), id_col, text_col, title_col)
-    postings = write_postings(hits, path, n_ranges, n_blocks)
+    postings = write_texts(corpus, path, n_ranges, n_blocks, id_col, text_col, title_col)
     corpus.select(F.col(id_col).alias("doc_id")).write.parquet(f"{path}/doc_ids")
     counted = materialize(postings.groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf")))
     total, mean_idf = write_vocab(counted, f"{path}/vocab", n_docs, epsilon)

@@ -28,10 +28,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_parallel, remove_paths, scratch_path
+from ..session import remove_paths, scratch_path
 from .bm25 import (B, BLOCK_DOCS, EPSILON, K1, RANGE_BYTES, BM25Index, _weighted_terms, bm25_scores, classes_back,
-                   classes_topk, corpus_postings, layout, padded, query_classes, ranked, read_postings, shape,
-                   write_postings, write_vocab)
+                   classes_topk, layout, padded, query_classes, ranked, read_postings, shape, write_postings,
+                   write_texts, write_vocab)
 from .topk import broadcast_if_small, materialize
 
 #: Segments of about the same size that are merged together.
@@ -190,8 +190,7 @@ def upsert(index: SegmentedIndex, corpus: DataFrame, id_col: str = "doc_id", tex
     if not n_docs:
         return index
     left, less = _retire(index, ids)
-    hits = corpus_postings(ensure_parallel(corpus, 1), id_col, text_col, title_col)
-    rows = write_postings(hits, f"{index.path}/{folder}", n_ranges, n_blocks)
+    rows = write_texts(corpus, f"{index.path}/{folder}", n_ranges, n_blocks, id_col, text_col, title_col)
     more = materialize(rows.groupBy("term").agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf")))
     tokens = more.agg(F.sum("ctf").alias("n")).first().n or 0
     new = Segment(index.version + 1, folder, n_docs, 0, tokens, n_ranges, n_blocks)

@@ -208,3 +208,24 @@ def test_queries_with_the_same_known_terms_are_scored_once(spark, max_rows, cell
         assert got == [d for d in py_topk(scores, 2) if scores[d] > 0]
     # an index row is joined to its term only, not to every query that asks for it
     assert "query_id" not in plan_of(bm25.classes_topk([(idx, None)], classes, 2))
+
+
+def test_build_moves_each_text_once_and_keeps_every_posting(spark):
+    docs = [*DOCS.items(), ("d01", "fox of the same id"), (None, "fox without an id"), (None, None), ("e", "É x² \u00df")]
+    corpus = spark.createDataFrame(docs, "doc_id string, text string")
+    moved = re.findall(r"Exchange.*", plan_of(bm25._dealt_texts(corpus, 3, 2, "doc_id", "text", None)))
+    assert moved and not any("regexp" in x or "term" in x for x in moved)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 2)
+    try:
+        idx = bm25.build_bm25_index(corpus, range_bytes=1, block_docs=1)
+        want = bm25.corpus_postings(corpus).select("term", "doc_id", "dl", "tf")
+        again = bm25.write_postings(want, bm25.scratch_path(spark, "again"), idx.n_ranges, idx.n_blocks)
+    finally:
+        spark.conf.set(batch, before)
+    order = lambda df: sorted(map(str, df.collect()))
+    for rows in (idx.postings, again):
+        assert order(rows.select("term", F.inline("hits"))) == order(want)
+        assert rows.count() == rows.select("range", "term", "block").distinct().count()
+    assert order(idx.postings.drop("hits")) == order(again.drop("hits"))
