@@ -73,18 +73,21 @@ def with_parent_context(children: DataFrame, expanded: DataFrame | None,
                         articles: DataFrame | None) -> DataFrame:
     """Add ``expanded_text`` (own text when no expansion) and ``parent_head``
     ("" when missing). A null ``law_key`` matches nothing."""
+    keys = [c for c in ("law_key", "start", "end") if expanded is not None or articles is not None and c == "law_key"]
+    order = [*keys, *[c for c in children.columns if c not in keys], "expanded_text", "parent_head"]
+    # heads first: the expansions, which are longer than the children, move once
     x = children
-    if expanded is not None:
-        x = x.join(expanded, ["law_key", "start", "end"], "left")
-    else:
-        x = x.withColumn("expanded", F.lit(None).cast("string"))
     if articles is not None:
         x = x.join(articles, "law_key", "left")
     else:
         x = x.withColumn("head", F.lit(None).cast("string"))
+    if expanded is not None:
+        x = x.join(expanded, ["law_key", "start", "end"], "left")
+    else:
+        x = x.withColumn("expanded", F.lit(None).cast("string"))
     return (x.withColumn("expanded_text", F.coalesce(F.nullif("expanded", F.lit("")), F.col("text")))
              .withColumn("parent_head", F.coalesce(F.col("head"), F.lit("")))
-             .drop("expanded", "head"))
+             .select(*order))
 
 
 def candidate_context(run: DataFrame, children: DataFrame, expanded: DataFrame | None,

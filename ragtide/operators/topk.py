@@ -60,12 +60,15 @@ def first_by_key(df: DataFrame, key: str | list[str], order: str,
     no other row keeps one of them. Of rows that tie, the first (last) in the order
     in which they are written stays.
 
-    Rows are written once with an address. Only key, order and address are grouped,
+    The keys are counted first; where none repeats, ``df`` is the result and nothing is
+    written. Otherwise rows are written once with an address. Only key, order and address are grouped,
     reduced map-side, and only keys that repeat are joined back: their rows stay by
     address. Payloads are neither sorted nor grouped, and move only where more keys
     repeat than may be broadcast.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        return df.select(*keys, *[c for c in df.columns if c not in keys])
     others = [c for c in df.columns if c not in keys]
     pick = F.max if last else F.min
     rows = materialize(df.withColumn("_address", F.monotonically_increasing_id()))

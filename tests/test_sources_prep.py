@@ -255,3 +255,31 @@ def test_rag_json_multiline_array(spark, tmp_dir):
     df = src.scan_rag_json(spark, [d + "/a/*.json", d + "/missing/*.json"], schema, multi_line=True)
     got = {r.no: r.ids for r in df.select("no", prep.extract_doc_ids("rag_data").alias("ids")).collect()}
     assert got == {1: ["docid7"], 2: []}
+
+
+def test_rows_without_repeated_keys_are_not_written(spark, monkeypatch):
+    from ragtide.operators import topk
+
+    def no_write(df):
+        raise AssertionError("rows are written")
+
+    monkeypatch.setattr(topk, "materialize", no_write)
+    df = spark.createDataFrame([("a", 1, "x"), (None, 2, "y"), ("b", None, None)], "k string, ord int, v string")
+    assert sorted(map(str, topk.first_by_key(df, "k", "ord").collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(AssertionError, match="rows are written"):
+        topk.first_by_key(df.unionByName(df.where("k IS NULL")), "k", "ord")
+
+
+def test_heads_are_joined_before_the_longer_expansions(spark):
+    from ragtide.operators import parent
+
+    children = spark.createDataFrame([("d", "own", "L", 0, 1), ("e", "alone", None, 0, 1)],
+                                     "doc_id string, text string, law_key string, start int, end int")
+    expanded = spark.createDataFrame([("L", 0, 1, "more")], "law_key string, start int, end int, expanded string")
+    articles = spark.createDataFrame([("L", "head")], "law_key string, head string")
+    x = parent.with_parent_context(children, expanded, articles)
+    assert x.columns == ["law_key", "start", "end", "doc_id", "text", "expanded_text", "parent_head"]
+    assert sorted(x.select("doc_id", "expanded_text", "parent_head").collect()) == [("d", "more", "head"), ("e", "alone", "")]
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("start") < plan.index("head#")  # the expansions meet the last join
+    assert parent.with_parent_context(children, None, None).columns == [*children.columns, "expanded_text", "parent_head"]
