@@ -52,6 +52,8 @@ RANGE_BYTES, MAX_RANGES, BLOCK_DOCS = 16 << 20, 50_000, 1024
 BEST_BASE = 1 << 31
 #: Query terms broadcast at once.
 TERM_ROWS = 1_000_000
+#: Members of query classes, and their bytes, that are broadcast.
+MEMBER_ROWS, MEMBER_BYTES = 200_000, 16 << 20
 #: Sums held at once by a task that scores a range.
 CELLS = 1 << 20
 #: Postings in a batch of packed rows.
@@ -577,9 +579,10 @@ def classes_topk(parts: list[tuple[BM25Index, DataFrame | None]], classes: DataF
     return reduce(DataFrame.unionByName, out)
 
 
-def classes_back(run: DataFrame, members: DataFrame) -> DataFrame:
-    """``(query_id, doc_id, score, rank)`` of every query from the run of its class."""
-    return run.join(broadcast_if_small(members), "class").select("query_id", "doc_id", "score", "rank")
+def classes_back(run: DataFrame, members: DataFrame, max_rows: int = MEMBER_ROWS) -> DataFrame:
+    """``(query_id, doc_id, score, rank)`` of every query from the run of its class. Many
+    members are shuffled: the driver would hold them, and a hash table of them, at once."""
+    return run.join(broadcast_if_small(members, max_rows, MEMBER_BYTES), "class").select("query_id", "doc_id", "score", "rank")
 
 
 def bm25_topk(index: BM25Index, queries: DataFrame, k: int = 1000, qid: str = "query_id", qtext: str = "text",

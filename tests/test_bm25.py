@@ -229,3 +229,12 @@ def test_build_moves_each_text_once_and_keeps_every_posting(spark):
         assert order(rows.select("term", F.inline("hits"))) == order(want)
         assert rows.count() == rows.select("range", "term", "block").distinct().count()
     assert order(idx.postings.drop("hits")) == order(again.drop("hits"))
+
+
+def test_many_members_of_classes_are_not_broadcast(spark):
+    members = spark.range(50).selectExpr("concat('q', id) AS query_id", "id % 3 AS class")
+    run = spark.range(3).selectExpr("id AS class", "concat('d', id) AS doc_id", "1.0D AS score", "1L AS rank")
+    few, many = (bm25.classes_back(run, members, n) for n in (50, 49))
+    assert "rightHint=(strategy=broadcast)" in few._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in many._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(few.collect()) == sorted(many.collect()) and few.count() == 50
