@@ -15,7 +15,8 @@
 What moves is about a byte for each window and row plus one bit back. A window
 repeated in any number of documents counts once for each block, so hot passages
 do not gather anywhere. Memory in a task is bounded by a block (or the longest
-document) and by the entries of a shard. A row of the exchange is what one block has
+document) and by the entries of a shard: blocks lie two in a row group, and go to Python
+one by one, in Arrow batches of a block's size or as groups of their own with their bits. A row of the exchange is what one block has
 for one shard, so both sizes follow the input (``layout``): rows keep
 ``VALUES_A_ROW`` values, and their number grows with the text, until both sizes reach
 their bounds at about a terabyte; beyond, rows grow faster than the text.
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ragtide.session import ship_package
+from ragtide.session import arrow_bytes, ship_package
 
 from . import packed
 from .common import written
@@ -46,6 +47,8 @@ WINDOW, DEPTH = 35, 2
 #: Bytes of a block and entries of a shard: least and most.
 BLOCK_BYTES, SHARD_ENTRIES = (4 << 20, 16 << 20), (1 << 20, 4 << 20)
 VALUES_A_ROW = 64
+#: Blocks of a row group of the written blocks.
+GROUP_BLOCKS = 2
 #: Cells of a sketch row for each window (rounded up to a power of two).
 CELLS_PER_WINDOW, MIN_SHARDS = 8, 64
 
@@ -200,54 +203,56 @@ def _sketch(window: int, shards: int, bits: int):
     return run
 
 
-def _pairs(replies) -> list[tuple[int, bytes]]:
-    return [(r["shard"], r["bits"]) for r in replies or ()]
+def _pairs(replies: pa.Table) -> list[tuple[int, bytes]]:
+    return list(zip(replies.column("shard").to_pylist(), replies.column("bits").to_pylist()))
 
 
 def _exact(window: int, shards: int, bits: int, exact_shards: int):
-    def run(batches):
-        for b in batches:
-            for number, data, est in zip(b.column("block").to_pylist(), b.column("data"), b.column("estimates")):
-                blk = Block(data.as_py(), window)
-                some = blk.estimated(shards, bits, _pairs(est.as_py()))
-                yield pa.RecordBatch.from_pylist(list(entries(
-                    number, 0, exact_shards, 64, blk.keys[0][some], blk.keys[1][some])), ENTRY)
+    """A block and its replies to its entries; they are numbered behind the estimates."""
+    def run(block: pa.Table, replies: pa.Table) -> pa.Table:
+        rows = []
+        for number, data in zip(block.column("block").to_pylist(), block.column("data")):
+            blk = Block(data.as_py(), window)
+            some = blk.estimated(shards, bits, _pairs(replies))
+            rows += entries(number, DEPTH * shards, exact_shards, 64, blk.keys[0][some], blk.keys[1][some])
+        return pa.Table.from_pylist(rows, ENTRY)
     return run
 
 
 def _remove(window: int, shards: int, bits: int, exact_shards: int, kind: pa.DataType):
-    def repeated(blk: Block, est, bits_back) -> np.ndarray:
-        some = np.nonzero(blk.estimated(shards, bits, _pairs(est)))[0]
+    schema = pa.schema([("doc_id", kind), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+
+    def repeated(blk: Block, pairs) -> np.ndarray:
+        some = np.nonzero(blk.estimated(shards, bits, pairs))[0]
         a, b = blk.keys[0][some], blk.keys[1][some]
         order = np.lexsort((b, a))
         new = np.ones(len(some), bool)
         new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-        flags = unpack(_pairs(bits_back), 0, exact_shards, 64, a[order][new])
+        flags = unpack(pairs, DEPTH * shards, exact_shards, 64, a[order][new])
         out = np.zeros(len(some), bool)
         out[order] = flags[np.cumsum(new) - 1]
         return blk.inside[some[out]]
 
-    def run(batches):
-        for b in batches:
-            for ids, data, est, exact in zip(b.column("doc_ids").to_pylist(), b.column("data"),
-                                             b.column("estimates"), b.column("exact")):
-                raw = data.as_py()
-                blk = Block(raw, window)
-                change = np.zeros(len(blk.starts) + 1, np.int64)
-                at = repeated(blk, est.as_py(), exact.as_py())
-                np.add.at(change, at, 1)
-                np.add.at(change, at + window, -1)
-                covered = np.cumsum(change[:-1]) > 0
-                n_words = np.bincount(blk.doc, minlength=len(ids))
-                removed = np.bincount(blk.doc[covered], minlength=len(ids))
-                kept = raw.split(b"\n")[:-1]
-                first = np.concatenate(([0], np.cumsum(n_words)))
-                for d in np.nonzero(removed)[0].tolist():
-                    stay = ~covered[first[d]:first[d + 1]]
-                    kept[d] = b" ".join(w for w, s in zip(kept[d].split(b" "), stay.tolist()) if s)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, kind), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()),
-                     pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+    def run(block: pa.Table, replies: pa.Table) -> pa.Table:
+        pairs, out = _pairs(replies), []
+        for ids, data in zip(block.column("doc_ids").to_pylist(), block.column("data")):
+            raw = data.as_py()
+            blk = Block(raw, window)
+            change = np.zeros(len(blk.starts) + 1, np.int64)
+            at = repeated(blk, pairs)
+            np.add.at(change, at, 1)
+            np.add.at(change, at + window, -1)
+            covered = np.cumsum(change[:-1]) > 0
+            n_words = np.bincount(blk.doc, minlength=len(ids))
+            removed = np.bincount(blk.doc[covered], minlength=len(ids))
+            kept = raw.split(b"\n")[:-1]
+            first = np.concatenate(([0], np.cumsum(n_words)))
+            for d in np.nonzero(removed)[0].tolist():
+                stay = ~covered[first[d]:first[d + 1]]
+                kept[d] = b" ".join(w for w, s in zip(kept[d].split(b" "), stay.tolist()) if s)
+            out.append(pa.table([pa.array(ids, kind), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()),
+                                 pa.array(kept, pa.binary()).cast(pa.string())], schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
     return run
 
 
@@ -268,22 +273,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int | Non
         block_bytes, shard_entries = block_bytes or sizes[0], shard_entries or sizes[1]
     id_type = docs.schema["doc_id"].dataType
     kind, ddl = to_arrow_type(id_type), id_type.simpleString()
-    blocks = written(docs.mapInArrow(
-        _blocks(block_bytes, kind, window),
-        f"block bigint, n_windows bigint, doc_ids array<{ddl}>, data binary"), "blocks")
+    spark = docs.sparkSession
+    with arrow_bytes(spark, block_bytes):
+        blocks = written(docs.mapInArrow(
+            _blocks(block_bytes, kind, window),
+            f"block bigint, n_windows bigint, doc_ids array<{ddl}>, data binary"), "blocks", group_rows=GROUP_BLOCKS)
     total = blocks.agg(F.sum("n_windows")).first()[0] or 0
     shards = power_of_two(max(min_shards, total / shard_entries))
     bits = max(int(cells_per_window * power_of_two(total)).bit_length() - 1, shards.bit_length() - 1, 1)
 
     def exchanged(rows: DataFrame, name: str) -> DataFrame:
-        """Merged bits, one row for each block."""
-        back = rows.groupBy("shard").applyInArrow(merge, "block bigint, shard bigint, bits binary")
-        return written(back.groupBy("block").agg(F.collect_list(F.struct("shard", "bits")).alias(name)), name)
+        """Merged bits of each block and shard."""
+        with arrow_bytes(spark, block_bytes):
+            return written(rows.groupBy("shard").applyInArrow(merge, "block bigint, shard bigint, bits binary"), name)
+
+    def with_replies(columns: list[str], replies: DataFrame, run, ddl: str) -> DataFrame:
+        return blocks.select("block", *columns).groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, ddl)
 
     estimates = exchanged(blocks.select("block", "data").mapInArrow(
         _sketch(window, shards, bits), ENTRY_DDL), "estimates")
-    met = blocks.join(estimates, "block", "left")
-    exact = exchanged(met.select("block", "data", "estimates").mapInArrow(
-        _exact(window, shards, bits, shards), ENTRY_DDL), "exact")
-    return met.join(exact, "block", "left").select("doc_ids", "data", "estimates", "exact").mapInArrow(
-        _remove(window, shards, bits, shards, kind), f"doc_id {ddl}, n_words bigint, n_removed bigint, kept string")
+    exact = exchanged(with_replies(["data"], estimates, _exact(window, shards, bits, shards), ENTRY_DDL), "exact")
+    return with_replies(["doc_ids", "data"], estimates.unionByName(exact), _remove(window, shards, bits, shards, kind),
+                        f"doc_id {ddl}, n_words bigint, n_removed bigint, kept string")

@@ -94,18 +94,32 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         remove_paths(spark, mine)
 
 
-def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, keep: bool = False, group_rows: int | None = None) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost
     executors, holds no executor storage, and every later read sees the same
     rows. Files live as long as the folder, or as the ``temporary`` block that is
-    open, unless ``keep`` is set."""
+    open, unless ``keep`` is set. ``group_rows`` bounds the rows of a row group, which
+    a writer and a reader hold at once: for rows of megabytes."""
     path = scratch_path(df.sparkSession, name)
     if not keep and (held := _TEMPORARY.get()) is not None:
         held.append(path)
-    df.write.parquet(path)
+    options = {"parquet.block.row.count.limit": group_rows} if group_rows else {}
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches that go to Python hold about ``size`` bytes in the actions of this block."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def ensure_parallel(df: DataFrame, factor: int = 2) -> DataFrame:
     """Spread a frame round-robin when its scan gives fewer partitions than
     the cluster can run at once (e.g. a file with a single row group).

@@ -1,7 +1,10 @@
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from ragtide import session
 from ragtide.llm import substring_dedup
 
 
@@ -46,3 +49,26 @@ def test_empty_and_wordless(spark, empty_docs):
     assert substring_dedup.remove_repeats(empty_docs).count() == 0
     blank = spark.createDataFrame([(1, None), (2, " "), (3, "")], "doc_id bigint, text string")
     assert sorted(map(tuple, substring_dedup.remove_repeats(blank).collect())) == [(i, 0, 0, "") for i in (1, 2, 3)]
+
+
+def test_blocks_are_held_one_by_one(spark, documents, monkeypatch):
+    """Row groups and Arrow batches hold few blocks, however many a partition has."""
+    frames = {}
+
+    def written(df, name, **options):
+        frames[name] = session.written(df, name, **options)
+        return frames[name]
+
+    monkeypatch.setattr(substring_dedup, "written", written)
+    docs = documents.select("doc_id", "text").coalesce(1)
+    substring_dedup.remove_repeats(docs, block_bytes=10_000, shard_entries=5000, min_shards=2)
+    sizes = []
+    for f in frames["blocks"].inputFiles():
+        meta = pq.ParquetFile(f.removeprefix("file://")).metadata
+        sizes += [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+    assert len(sizes) > 10 and max(sizes) <= substring_dedup.GROUP_BLOCKS
+    rows = spark.range(100, numPartitions=1).selectExpr("repeat('x', 1000) AS t")
+    count = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    with session.arrow_bytes(spark, 4000):
+        assert max(r.n for r in rows.mapInArrow(count, "n bigint").collect()) < 10
+    assert rows.mapInArrow(count, "n bigint").first().n == 100
