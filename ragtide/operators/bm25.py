@@ -414,14 +414,15 @@ def bm25_scores(index: BM25Index, queries: DataFrame, qid: str = "query_id", qte
 def query_classes(index: BM25Index, queries: DataFrame, qid: str = "query_id",
                   qtext: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(query_id, class)`` of every query with a term that the index knows, and
-    ``(class, terms)``: queries with the same known terms have the same scores."""
-    known = query_terms(queries, qid, qtext).join(index.vocab.select("term", "idf"), "term")
+    ``(class, terms)``: queries with the same known terms have the same scores. What follows
+    the queries is shuffled, whatever its estimated size."""
+    known = query_terms(queries, qid, qtext).hint("merge").join(index.vocab.select("term", "idf"), "term")
     terms = F.array_sort(F.collect_list(F.struct("term", (F.col("qtf") * F.col("idf")).alias("weight"))))
     asked = materialize(known.groupBy("query_id").agg(terms.alias("terms")).withColumn(
         "_key", F.sha2(F.to_json("terms"), 256)))
     classes = materialize(asked.select("_key", "terms").dropDuplicates(["_key"]).withColumn(
         "class", F.monotonically_increasing_id()))
-    members = asked.select("query_id", "_key").join(classes.select("_key", "class"), "_key").drop("_key")
+    members = asked.select("query_id", "_key").hint("merge").join(classes.select("_key", "class"), "_key").drop("_key")
     return materialize(members), classes.drop("_key")
 
 

@@ -27,14 +27,17 @@ SELECT_HEAD = ("당신은 금융 분야의 전문가입니다. 아래에 주어
                "전부 다 F인 경우 가장 관련성이 높은 문서에 T를 부여하세요.\n"
                "        질의(Query): {q}\n")
 DOC_HEADER = "\n###문서_{i}\n{doc}\n"
+#: Run rows, and their bytes, that go to the texts by broadcast; they follow the questions.
+RUN_ROWS, RUN_BYTES = 200_000, 16 << 20
 
 
 def ordered_texts(run: DataFrame, corpus: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``(query_id, texts)``: document texts in rank order per query (a run is
-    top-k, so each group holds at most k rows)."""
+    top-k, so each group holds at most k rows). Many run rows are shuffled: the driver
+    would hold them."""
     docs = corpus.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
-    x = docs.join(broadcast_if_small(run.select("query_id", "doc_id", "rank")), "doc_id")
+    x = docs.join(broadcast_if_small(run.select("query_id", "doc_id", "rank"), RUN_ROWS, RUN_BYTES), "doc_id")
     g = x.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "_t"))).alias("_l"))
     return g.select("query_id", F.transform("_l", lambda s: s["_t"]).alias("texts"))
 
@@ -58,8 +61,9 @@ def make_prompt(question, texts) -> Column:
 
 def prompt_table(questions: DataFrame, contexts: DataFrame, id_col: str = "ID",
                  q_col: str = "question") -> DataFrame:
-    """``(ID, is_mc, prompt)``; ``contexts(query_id, texts)`` keyed by ID."""
-    x = questions.join(contexts.withColumnRenamed("query_id", id_col), id_col, "left")
+    """``(ID, is_mc, prompt)``; ``contexts(query_id, texts)`` keyed by ID. Neither side is
+    broadcast, whatever its files seem to hold."""
+    x = questions.hint("merge").join(contexts.withColumnRenamed("query_id", id_col), id_col, "left")
     return x.select(id_col, is_multiple_choice(F.col(q_col)).alias("is_mc"),
                     make_prompt(F.col(q_col), F.col("texts")).alias("prompt"))
 

@@ -130,11 +130,11 @@ def measure_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when ``measure_small`` proves it small; otherwise
-    leave the join to a shuffle strategy (AQE may still switch it at run time
-    from real sizes)."""
+    """Broadcast ``df`` only when ``measure_small`` proves it small; otherwise the join
+    sorts and shuffles. Its estimate counts bytes of written files, which repeated values
+    make small, so that the driver would collect rows beyond the bounds."""
     out, small = measure_small(df, max_rows, max_bytes)
-    return F.broadcast(out) if small else out
+    return F.broadcast(out) if small else out.hint("merge")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -319,7 +319,7 @@ def prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def selection_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = _qa_contexts(spark, sf_dir)
-    q = T.qa_questions(spark, sf_dir).join(ctx.withColumnRenamed("query_id", "ID"), "ID")
+    q = T.qa_questions(spark, sf_dir).hint("merge").join(ctx.withColumnRenamed("query_id", "ID"), "ID")
     return q.select("ID", qa.selection_prompt(F.col("question"), F.col("texts")).alias("prompt"))
 
 

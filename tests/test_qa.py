@@ -1,6 +1,9 @@
+import re
+
 from pyspark.sql import functions as F
 
-from ragtide.operators import qa
+from ragtide.operators import bm25, qa
+from ragtide.operators.topk import broadcast_if_small
 
 
 def test_prompt_formats(spark):
@@ -34,3 +37,29 @@ def test_answer_submission_and_throughput(spark):
                                 "query_id int, eval_count int, eval_duration double")
     t = qa.gen_throughput(log).first()
     assert (t.n, t.n_measured, t.avg_tokps, t.tokens) == (4, 1, 5.0, 10)
+
+
+def joins(df):
+    return set(re.findall(r"\w+Join", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_question_sized_frames_are_not_broadcast(spark, monkeypatch):
+    """Files of repeated values are small, so that an estimate would broadcast them."""
+    many = spark.range(3000).selectExpr("concat('q', id) AS query_id", "id % 3 AS doc_id", "1L AS rank")
+    corpus = spark.range(3).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    assert joins(corpus.join(broadcast_if_small(many, 100), "doc_id")) == {"SortMergeJoin"}
+    assert joins(corpus.join(broadcast_if_small(many), "doc_id")) == {"BroadcastHashJoin"}
+    monkeypatch.setattr(qa, "RUN_ROWS", 100)
+    texts = qa.ordered_texts(many, corpus)
+    assert joins(texts) == {"SortMergeJoin"}
+    prompts = qa.prompt_table(many.selectExpr("query_id AS ID", "query_id AS question"), texts)
+    assert joins(prompts) == {"SortMergeJoin"} and prompts.where("prompt LIKE '%t_\n%'").count() == 3000
+
+
+def test_terms_and_members_of_questions_are_not_broadcast(spark, monkeypatch):
+    corpus = spark.createDataFrame([(1, "a b"), (2, "b c"), (3, "d")], "doc_id bigint, text string")
+    index = bm25.build_bm25_index(corpus)
+    seen, keep = [], bm25.materialize
+    monkeypatch.setattr(bm25, "materialize", lambda df: (seen.append(joins(df)), keep(df))[1])
+    members, _ = bm25.query_classes(index, corpus.withColumnRenamed("doc_id", "query_id"))
+    assert members.count() == 3 and set().union(*seen) == {"SortMergeJoin"}
